@@ -43,6 +43,7 @@ from ebbflow.operators.insight import (
     critical_stations,
     day_top,
     rebalancing_summary,
+    run_summary,
     surplus_deficit_top,
     worst_station,
 )

@@ -167,3 +167,26 @@ def day_top(daily: DataFrame, day: str, k: int, largest: bool = True) -> DataFra
         .orderBy(order, F.col("station_id"))
         .limit(k)
     )
+
+
+def run_summary(
+    trips: DataFrame, catalog: DataFrame, deltas: DataFrame, balances: DataFrame, low: int = LOW_THRESHOLD
+) -> DataFrame:
+    """One row: trips, stations, hourly_events, analysed, low_count, mean_balance (SNK8, AG13).
+
+    The counts of the other frames enter as scalar subqueries of the balance aggregate: each is a separate
+    distributed count, and no cross join is planned.
+    """
+    one = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return balances.agg(
+        F.count(F.lit(1)).alias("analysed"),
+        F.count_if(F.col("final_balance") <= low).alias("low_count"),
+        F.round(F.avg("final_balance"), 6).alias("mean_balance"),
+    ).select(
+        one(trips).alias("trips"),
+        one(catalog).alias("stations"),
+        one(deltas).alias("hourly_events"),
+        "analysed",
+        "low_count",
+        "mean_balance",
+    )

@@ -7,13 +7,14 @@ below; the operators take any value.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow import operators as op
-from ebbflow.config import DASHBOARD_START_INDEX, DAILY_TOP_K, INITIAL_BALANCE, LOW_THRESHOLD, scratch_path
+from ebbflow.config import DASHBOARD_START_INDEX, DAILY_TOP_K, INITIAL_BALANCE, scratch_path
 from ebbflow.sources import (
     adjustments_from_events,
     events_as_trips,
@@ -26,6 +27,13 @@ from ebbflow.sources import (
     station_table,
     write_trips_csv,
 )
+from ebbflow.streaming import (
+    FlowStreamSink,
+    distinct_pairs_stream,
+    read_events_stream,
+    run_available,
+    start_flow_stream,
+)
 
 # --- parameters of the registered queries ---
 AS_OF_HOUR = "2024-01-15 12:00:00"
@@ -320,24 +328,7 @@ def table_status(spark, sf_dir):
 
 @query
 def run_summary(spark, sf_dir):
-    """One row: trips, stations, hourly_events, analysed, low_count, mean_balance (scalar subqueries, no
-    cross join)."""
-    trips_n = clean(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
-    stations_n = catalog(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
-    events_n = deltas(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
-    b = balance(spark, sf_dir)
-    return b.agg(
-        F.count(F.lit(1)).alias("analysed"),
-        F.count_if(F.col("final_balance") <= LOW_THRESHOLD).alias("low_count"),
-        F.round(F.avg("final_balance"), 6).alias("mean_balance"),
-    ).select(
-        trips_n.alias("trips"),
-        stations_n.alias("stations"),
-        events_n.alias("hourly_events"),
-        "analysed",
-        "low_count",
-        "mean_balance",
-    )
+    return op.run_summary(clean(spark, sf_dir), catalog(spark, sf_dir), deltas(spark, sf_dir), balance(spark, sf_dir))
 
 
 @query
@@ -395,6 +386,43 @@ def csv_round_trip(spark, sf_dir):
     return op.hourly_deltas(op.clean_trips(read_trips_csv(spark, _landed_csv(spark, sf_dir))))
 
 
+# --- streaming: the events table as a file stream, run to completion (availableNow) ---
+def _stream_sink(spark, sf_dir) -> FlowStreamSink:
+    root = scratch_path(spark, "flow-stream")
+    sink = FlowStreamSink(spark, os.path.join(root, "out"))
+    trips = events_as_trips(read_events_stream(spark, os.path.join(sf_dir, "events.parquet")))
+    run_available(start_flow_stream(trips, sink, os.path.join(root, "checkpoint"), available_now=True))
+    return sink
+
+
+@query
+def stream_hourly_deltas(spark, sf_dir):
+    return _stream_sink(spark, sf_dir).deltas().select("hour", "station_id", "delta_total")
+
+
+@query
+def stream_balance(spark, sf_dir):
+    return _stream_sink(spark, sf_dir).balances(initial=0)
+
+
+@query
+def stream_station_pairs(spark, sf_dir):
+    root = scratch_path(spark, "pairs-stream")
+    trips = events_as_trips(read_events_stream(spark, os.path.join(sf_dir, "events.parquet")))
+    out = os.path.join(root, "out")
+    stream = (
+        distinct_pairs_stream(trips)
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", os.path.join(root, "checkpoint"))
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run_available(stream)
+    return spark.read.schema("station_id string, station_name string").parquet(out)
+
+
 # --- adapter B: shipments between nations, day grain ---
 def shipments(spark, sf_dir):
     t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "supplier", "nation")}

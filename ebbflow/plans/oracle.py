@@ -142,6 +142,12 @@ new_legs AS ({_legs(new_src)})"""
 
 _BINS = HISTOGRAM_BINS
 
+PAIRS = """
+SELECT DISTINCT station_id, station_name FROM (
+  SELECT start_station_id AS station_id, start_station_name AS station_name FROM norm
+  UNION ALL SELECT end_station_id, end_station_name FROM norm)
+WHERE station_id IS NOT NULL AND station_name IS NOT NULL"""
+
 SELECTS: dict[str, str] = {
     "trips_clean": "SELECT ride_id, rideable_type, start_station_id, end_station_id FROM clean",
     "usable_trips": f"""
@@ -174,11 +180,8 @@ FROM (SELECT rideable_type, count(*) AS total_trips,
   count(*) FILTER (WHERE start_station_id IS NULL) AS null_start,
   count(*) FILTER (WHERE end_station_id IS NULL) AS null_end FROM norm GROUP BY 1)""",
     "station_catalog": "SELECT station_id, station_name FROM catalog",
-    "station_name_pairs": """
-SELECT DISTINCT station_id, station_name FROM (
-  SELECT start_station_id AS station_id, start_station_name AS station_name FROM norm
-  UNION ALL SELECT end_station_id, end_station_name FROM norm)
-WHERE station_id IS NOT NULL AND station_name IS NOT NULL""",
+    "station_name_pairs": PAIRS,
+    "stream_station_pairs": PAIRS,
     "hourly_deltas": "SELECT hour, station_id, delta_total FROM deltas",
     "hourly_deltas_by_class": f"""
 SELECT {HOUR} AS hour, station_id, CAST(sum(delta) AS BIGINT) AS delta_total,
@@ -305,6 +308,10 @@ SELECT o.hour, o.station_id, o.delta_total FROM old o
 WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.hour = o.hour AND n.station_id = o.station_id)""",
     "csv_inferred_shape": 'SELECT count(*) AS "rows", 13 AS "columns" FROM events',
     "csv_round_trip": "SELECT hour, station_id, delta_total FROM deltas",
+    "stream_hourly_deltas": "SELECT hour, station_id, delta_total FROM deltas",
+    "stream_balance": """
+SELECT station_id, hour, CAST(sum(delta_total) OVER (PARTITION BY station_id ORDER BY hour
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS balance FROM deltas""",
 }
 
 SHIP_SELECTS: dict[str, str] = {
@@ -318,10 +325,7 @@ FROM sdaily""",
 
 
 def _compose(base: str, select: str) -> str:
-    select = select.strip()
-    if select.startswith(","):
-        return base.rstrip() + "\n" + select
-    return base.rstrip() + "\n" + select
+    return base.rstrip() + "\n" + select.strip()
 
 
 ORACLES: dict[str, str] = {name: _compose(BASE, sql) for name, sql in SELECTS.items()}
