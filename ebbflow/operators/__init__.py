@@ -3,6 +3,7 @@
 from ebbflow.operators.balance import (
     active_stations,
     adjustment_totals,
+    balance_from_trips,
     balance_of_station,
     balances_as_of,
     balances_at_step,
@@ -15,6 +16,7 @@ from ebbflow.operators.balance import (
     running_balance,
     station_balance,
     station_events_range,
+    with_adjustments,
 )
 from ebbflow.operators.clean import (
     clean_trips,

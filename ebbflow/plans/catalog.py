@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow import operators as op
+from ebbflow.functions import hour_text
 from ebbflow.config import DASHBOARD_START_INDEX, DAILY_TOP_K, INITIAL_BALANCE, scratch_path
 from ebbflow.sources import (
+    active_flag,
     adjustments_from_events,
     events_as_trips,
     file_inventory,
@@ -88,15 +90,23 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.overall_balance(stations(spark, sf_dir), deltas(spark, sf_dir))
+    """Overall balance of the active stations, catalogue and flow from one aggregation over the legs."""
+    b = op.balance_from_trips(clean(spark, sf_dir), member=active_flag() == 1)
+    return b.select("station_id", "station_name", "net_change", F.col("balance").alias("final_balance"))
 
 
 def adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balances at the dashboard hour (start 16, +6 steps) with the manual adjustments."""
-    adj = adjustments_from_events(events(spark, sf_dir))
-    return op.balances_at_step(
-        stations(spark, sf_dir), deltas(spark, sf_dir), DASHBOARD_START_INDEX, DASHBOARD_STEPS, adjustments=adj
-    )
+    """Balances at the dashboard hour (start 16, +6 steps) with the manual adjustments.
+
+    The stepped hour comes from the distinct hours of the legs (a scalar subquery); catalogue and bounded flow
+    then come from one aggregation.
+    """
+    c = clean(spark, sf_dir)
+    hours = op.flow_legs(c).select(hour_text("ts").alias("hour"))
+    hour = op.hour_at_step(hours, DASHBOARD_START_INDEX, DASHBOARD_STEPS).select("hour").scalar()
+    b = op.balance_from_trips(c, as_of=hour, member=active_flag() == 1)
+    b = op.with_adjustments(b, adjustments_from_events(events(spark, sf_dir)))
+    return b.select("station_id", "station_name", "balance")
 
 
 def _text_date(c: str = "date"):
@@ -425,8 +435,8 @@ def stream_station_pairs(spark, sf_dir):
 
 # --- adapter B: shipments between nations, day grain ---
 def shipments(spark, sf_dir):
-    t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "supplier", "nation")}
-    return shipments_as_trips(t["lineitem"], t["orders"], t["customer"], t["supplier"], t["nation"])
+    t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "supplier")}
+    return shipments_as_trips(t["lineitem"], t["orders"], t["customer"], t["supplier"])
 
 
 def _shipment_daily(spark, sf_dir):

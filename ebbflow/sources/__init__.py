@@ -1,6 +1,8 @@
 """Inputs and stored tables: trip files, test-table adapters, the Parquet table store."""
 
 from ebbflow.sources.adapters import (
+    active_flag,
+    nation_catalog,
     adjustments_from_events,
     events_as_trips,
     read_table,
@@ -18,6 +20,8 @@ from ebbflow.sources.trips import (
 )
 
 __all__ = [
+    "active_flag",
+    "nation_catalog",
     "FlowTables",
     "adjustments_from_events",
     "events_as_trips",

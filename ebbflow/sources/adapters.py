@@ -82,23 +82,32 @@ def adjustments_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def active_flag(station_id: str = "station_id") -> Column:
+    """Fixture rule for adapter A: 0 for stations whose number ends in 9, else 1."""
+    number = F.expr(f"try_cast(substr({station_id}, 2) AS INT)")
+    return F.when(number % 10 == 9, 0).otherwise(1).cast("int")
+
+
 def station_table(catalog: DataFrame, created_at: Column | None = None, capacity: Column | None = None) -> DataFrame:
     """Station rows (id, name, capacity, is_active, created_at_utc) for a catalogue (station_id, station_name).
 
     Fixture rule for adapter A: stations whose number ends in 9 are inactive.
     """
-    number = F.expr("try_cast(substr(station_id, 2) AS INT)")
     return catalog.select(
         F.col("station_id").alias("id"),
         F.col("station_name").alias("name"),
         (capacity if capacity is not None else F.lit(None)).cast("int").alias("capacity"),
-        F.when(number % 10 == 9, 0).otherwise(1).cast("int").alias("is_active"),
+        active_flag("station_id").alias("is_active"),
         (created_at if created_at is not None else F.lit(None)).cast("timestamp").alias("created_at_utc"),
     )
 
 
 def shipments_as_trips(
-    lineitem: DataFrame, orders: DataFrame, customer: DataFrame, supplier: DataFrame, nation: DataFrame
+    lineitem: DataFrame,
+    orders: DataFrame,
+    customer: DataFrame,
+    supplier: DataFrame,
+    nation: DataFrame | None = None,
 ) -> DataFrame:
     """Adapter B: one trip per line item, from the supplier's nation (order date) to the customer's (ship date).
 
@@ -106,8 +115,10 @@ def shipments_as_trips(
     only narrow rows. Join strategies are left to AQE, which broadcasts a side only once its measured size is
     under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and splits skewed keys (a hot supplier or order)
     otherwise.
+
+    Nation names are attached only when ``nation`` is given; flow queries leave it out and name the few
+    aggregated rows afterwards (``nation_catalog``) instead of every shipment.
     """
-    names = nation.select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("nn"))
     cust = customer.select("c_custkey", "c_nationkey")
     supp = supplier.select("s_suppkey", "s_nationkey")
     orders_n = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
@@ -117,12 +128,19 @@ def shipments_as_trips(
         supp, F.col("l_suppkey") == F.col("s_suppkey")
     )
     joined = lines_n.join(orders_n, F.col("l_orderkey") == F.col("o_orderkey"))
-    start_names = names.select(F.col("nk").alias("snk"), F.col("nn").alias("start_station_name"))
-    end_names = names.select(F.col("nk").alias("enk"), F.col("nn").alias("end_station_name"))
+    if nation is None:
+        joined = joined.withColumns(
+            {"start_station_name": F.lit(None).cast("string"), "end_station_name": F.lit(None).cast("string")}
+        )
+    else:
+        names = nation.select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("nn"))
+        start_names = names.select(F.col("nk").alias("snk"), F.col("nn").alias("start_station_name"))
+        end_names = names.select(F.col("nk").alias("enk"), F.col("nn").alias("end_station_name"))
+        joined = joined.join(start_names, F.col("s_nationkey") == F.col("snk"), "left").join(
+            end_names, F.col("c_nationkey") == F.col("enk"), "left"
+        )
     return (
-        joined.join(start_names, F.col("s_nationkey") == F.col("snk"), "left")
-        .join(end_names, F.col("c_nationkey") == F.col("enk"), "left")
-        .select(
+        joined.select(
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("ride_id"),
             F.lit("freight").alias("rideable_type"),
             F.col("o_orderdate").alias("started_at"),
@@ -133,3 +151,8 @@ def shipments_as_trips(
             _station_text("N", F.col("c_nationkey")).alias("end_station_id"),
         )
     )
+
+
+def nation_catalog(nation: DataFrame) -> DataFrame:
+    """station_id, station_name of the nations (the place catalogue of adapter B)."""
+    return nation.select(_station_text("N", F.col("n_nationkey")).alias("station_id"), F.col("n_name").alias("station_name"))
