@@ -37,6 +37,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ebbflow-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
