@@ -94,28 +94,40 @@ def balance_histogram(balances: DataFrame, balance: str = "final_balance", bins:
     """bin, bin_lo, bin_hi, stations: equal-width bins over [min, max], the last bin closed.
 
     Same edges as the usual plotting histogram: with min = max the range is widened by 0.5 on each side, so
-    all values land in the middle bin. The two global values arrive as scalar subqueries; every bin is listed,
-    empty ones with 0.
+    all values land in the middle bin. Every bin is listed, empty ones with 0; no input rows, no bins.
+
+    Plan: one global (min, max, count) aggregate feeds both the bin list (exploded from that single row) and,
+    as a scalar subquery, the per-row bin index, so no cross join is needed. All consumers read the same
+    ``balances`` subtree, which Spark computes once and reuses.
     """
     b = F.col(balance)
+    stats = balances.agg(F.min(b).alias("lo"), F.max(b).alias("hi"), F.count(b).alias("n"))
     lo = balances.agg(F.min(b)).scalar()
     hi = balances.agg(F.max(b)).scalar()
-    flat = hi == lo
-    edge0 = F.when(flat, lo - F.lit(0.5)).otherwise(lo.cast("double"))
-    span = F.when(flat, F.lit(1.0)).otherwise((hi - lo).cast("double"))
+
+    def edges(lo_c, hi_c):
+        flat = hi_c == lo_c
+        edge0 = F.when(flat, lo_c - F.lit(0.5)).otherwise(lo_c.cast("double"))
+        span = F.when(flat, F.lit(1.0)).otherwise((hi_c - lo_c).cast("double"))
+        return edge0, span
+
     # integer-exact bin of a value: floor((b - min) * bins / (max - min)), the top edge folded into the last bin
-    exact = F.when(flat, F.lit(bins // 2)).otherwise(
+    exact = F.when(hi == lo, F.lit(bins // 2)).otherwise(
         F.least(F.lit(bins - 1), F.floor((b - lo) * F.lit(bins) / (hi - lo)))
     )
     counts = balances.where(b.isNotNull()).groupBy(exact.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("stations")
     )
-    frame = balances.agg(F.count(b).alias("_n")).where(F.col("_n") > 0)
-    all_bins = frame.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    edge0, span = edges(F.col("lo"), F.col("hi"))
+    all_bins = stats.where(F.col("n") > 0).select(
+        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
+        edge0.alias("_edge0"),
+        span.alias("_span"),
+    )
     return all_bins.join(counts, "bin", "left").select(
         "bin",
-        F.round(edge0 + F.col("bin") * span / F.lit(bins), 6).alias("bin_lo"),
-        F.round(edge0 + (F.col("bin") + 1) * span / F.lit(bins), 6).alias("bin_hi"),
+        F.round(F.col("_edge0") + F.col("bin") * F.col("_span") / F.lit(bins), 6).alias("bin_lo"),
+        F.round(F.col("_edge0") + (F.col("bin") + 1) * F.col("_span") / F.lit(bins), 6).alias("bin_hi"),
         F.coalesce(F.col("stations"), F.lit(0)).cast("bigint").alias("stations"),
     )
 

@@ -41,15 +41,22 @@ def station_catalog(trips: DataFrame) -> DataFrame:
     """One row per station id with a name (station_id, station_name).
 
     Ids seen only without a name are left out. When an id has several names the smallest is kept, so the
-    result is deterministic. Partial aggregation runs before the shuffle, so a hot station sends one row per
-    task, not one per trip.
+    result is deterministic.
+
+    Plan: the legs are first reduced to distinct (id, name) pairs by a hash aggregate (map-side combined, so a
+    hot station sends one row per task and name); the string ``min`` (which Spark can only sort-aggregate)
+    then runs on those few pairs instead of sorting every leg.
     """
     legs = flow_legs(trips, with_names=True)
-    return (
+    pairs = (
         legs.where(F.col("station_name").isNotNull())
-        .groupBy("station_id")
-        .agg(F.min("station_name").alias("station_name"))
+        .groupBy("station_id", "station_name")
+        .agg(F.count(F.lit(1)).alias("_legs"))
     )
+    # The leg count is duplicate-sensitive: filtering on it keeps the optimizer from folding the pair step away
+    # (a bare distinct under a min would be removed as redundant, bringing back the sort over all legs).
+    per = pairs.groupBy("station_id").agg(F.min("station_name").alias("station_name"), F.sum("_legs").alias("_legs"))
+    return per.where(F.col("_legs") > 0).drop("_legs")
 
 
 def station_name_pairs(trips: DataFrame) -> DataFrame:
