@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
+from ebbflow.config import checkpoint_root
 from ebbflow.operators.profile import row_counts
 from ebbflow.operators.upsert import merge_deltas, merge_stations
 from ebbflow.schemas import DELTA_SCHEMA, STATION_SCHEMA
@@ -73,6 +74,12 @@ class FlowTables:
             df = df.where((F.col("date") >= F.to_date(F.lit(since[:10]))) & (F.col("hour") >= F.lit(since)))
         return df
 
+    def hourly_events(self) -> DataFrame:
+        """hour (timestamp), station_id, delta: the flow as the monitoring view reads it (SRC4)."""
+        return self.deltas().select(
+            F.to_timestamp("hour").alias("hour"), "station_id", F.col("delta_total").alias("delta")
+        )
+
     # --- upserts (SNK1, SNK2) ---
     def upsert_stations(self, new: DataFrame, now: Column | None = None) -> DataFrame:
         """Merge station rows (id, name[, capacity, is_active]) and write them as the next version."""
@@ -99,6 +106,7 @@ class FlowTables:
         old = self.deltas().join(touched, "date", "left_semi")
         merged = merge_deltas(old, new, mode).withColumn("date", F.to_date(F.substring("hour", 1, 10)))
         # rebalance (not repartition): AQE may split a hot day over several tasks and files
+        checkpoint_root(self.spark)
         merged = merged.hint("rebalance", "date").checkpoint(eager=True)
         (
             merged.write.mode("overwrite")
