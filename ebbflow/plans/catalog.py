@@ -26,6 +26,7 @@ from ebbflow.sources import (
     read_trips_csv_inferred,
     shape_of,
     shipments_as_trips,
+    spread_small_scan,
     station_table,
     write_trips_csv,
 )
@@ -436,7 +437,8 @@ def stream_station_pairs(spark, sf_dir):
 # --- adapter B: shipments between nations, day grain ---
 def shipments(spark, sf_dir):
     t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "supplier")}
-    return shipments_as_trips(t["lineitem"], t["orders"], t["customer"], t["supplier"])
+    lineitem = spread_small_scan(t["lineitem"], "l_orderkey")
+    return shipments_as_trips(lineitem, t["orders"], t["customer"], t["supplier"])
 
 
 def _shipment_daily(spark, sf_dir):

@@ -7,6 +7,7 @@ from ebbflow.sources.adapters import (
     events_as_trips,
     read_table,
     shipments_as_trips,
+    spread_small_scan,
     station_table,
 )
 from ebbflow.sources.tables import FlowTables
@@ -32,6 +33,7 @@ __all__ = [
     "read_trips_csv_inferred",
     "shape_of",
     "shipments_as_trips",
+    "spread_small_scan",
     "station_table",
     "write_trips_csv",
 ]

@@ -21,6 +21,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan that has fewer input splits than the session has task slots.
+
+    A single-file, single-row-group table is read by one task, and every narrow operator above it (joins
+    probed against broadcast sides, legs, partial aggregation) would stay in that task. Only in that case is the
+    scan hash-partitioned on ``keys`` (the later join key, so the join can reuse the partitioning). A large
+    input already has many splits: the guard is false, the plan is unchanged, and AQE keeps its own
+    shuffles (including skew-join splitting).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys)
+
+
 def _station_text(prefix: str, n: Column) -> Column:
     return F.concat(F.lit(prefix), n.cast("string"))
 
