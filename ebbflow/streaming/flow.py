@@ -111,6 +111,14 @@ class FlowStreamSink:
             "station_id", "station_name"
         ).distinct()
 
+    def compact_into(self, tables) -> DataFrame:
+        """Fold the accumulated totals into a ``FlowTables`` flow table (replace on key).
+
+        The partials of all batches sum to complete totals per (hour, station), so replacing is exact and
+        repeatable; only the days that occur in the partials are rewritten.
+        """
+        return tables.upsert_deltas(self.deltas(), mode="replace")
+
     def balances(self, initial: int = 0) -> DataFrame:
         """station_id, hour, balance: running balance over the accumulated deltas (starts at 0 by default,
         like the streaming job it models)."""

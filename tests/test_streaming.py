@@ -85,3 +85,16 @@ def test_distinct_pairs_stream(spark, split_events, tmp_dir):
     run_available(query)
     got = rows(spark.read.parquet(out))
     assert got == rows(op.station_name_pairs(q.norm_trips(spark, SF_SMOKE)))
+
+
+def test_compact_into_table_equals_batch(spark, tmp_dir):
+    from ebbflow.sources import FlowTables
+
+    sink = FlowStreamSink(spark, os.path.join(tmp_dir, "out"))
+    trips = q.raw_trips(spark, SF_SMOKE)
+    sink.write_batch(trips.where("started_at < '2024-01-15'"), 0)
+    sink.write_batch(trips.where("started_at >= '2024-01-15'"), 1)
+    tables = FlowTables(spark, os.path.join(tmp_dir, "tables")).create()
+    sink.compact_into(tables)
+    sink.compact_into(tables)  # repeatable
+    assert rows(tables.deltas(), "hour", "station_id", "delta_total") == batch_deltas(spark)
