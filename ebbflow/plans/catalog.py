@@ -235,7 +235,10 @@ def station_balance(spark, sf_dir):
 
 @query
 def balances_as_of(spark, sf_dir):
-    return op.balances_as_of(stations(spark, sf_dir), deltas(spark, sf_dir), AS_OF_HOUR)
+    # catalogue over all trips, flow bounded by the hour: one aggregation (op.balances_as_of does the same from
+    # stored tables)
+    b = op.balance_from_trips(clean(spark, sf_dir), as_of=AS_OF_HOUR, member=active_flag() == 1)
+    return b.select("station_id", "station_name", "balance")
 
 
 @query
