@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ebbflow import operators as op
 from ebbflow.functions import hour_text
-from ebbflow.config import DASHBOARD_START_INDEX, DAILY_TOP_K, INITIAL_BALANCE, scratch_path
+from ebbflow.config import CRITICAL_LIST_LIMIT, DASHBOARD_START_INDEX, DAILY_TOP_K, INITIAL_BALANCE, scratch_path
 from ebbflow.sources import (
     active_flag,
     adjustments_from_events,
@@ -251,6 +251,16 @@ def station_events_range(spark, sf_dir):
     return op.station_events_range(deltas(spark, sf_dir), LOOKUP_STATION, RANGE_START, RANGE_END)
 
 
+@query
+def station_events_since(spark, sf_dir):
+    return op.station_events_range(deltas(spark, sf_dir), LOOKUP_STATION, start_hour=RANGE_START)
+
+
+@query
+def station_events_until(spark, sf_dir):
+    return op.station_events_range(deltas(spark, sf_dir), LOOKUP_STATION, end_hour=RANGE_END)
+
+
 @query
 def running_balance(spark, sf_dir):
     return op.running_balance(deltas(spark, sf_dir))
@@ -294,6 +304,12 @@ def critical_stations(spark, sf_dir):
     return op.critical_stations(balance(spark, sf_dir))
 
 
+@query
+def critical_stations_first(spark, sf_dir):
+    """The report's short lists: first 15 low and first 15 high stations by descending net change."""
+    return op.critical_stations(balance(spark, sf_dir), limit=CRITICAL_LIST_LIMIT)
+
+
 @query
 def balance_alerts(spark, sf_dir):
     return op.balance_alerts(adjusted(spark, sf_dir))

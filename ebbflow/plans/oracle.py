@@ -7,7 +7,7 @@ dates/times are compared as text.
 
 from __future__ import annotations
 
-from ebbflow.config import HIGH_THRESHOLD, HISTOGRAM_BINS, LOW_THRESHOLD, TOP_K
+from ebbflow.config import CRITICAL_LIST_LIMIT, HIGH_THRESHOLD, HISTOGRAM_BINS, LOW_THRESHOLD, TOP_K
 from ebbflow.plans import catalog as q
 
 HOUR = "strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00:00')"
@@ -221,6 +221,18 @@ FROM deltas WHERE station_id = '{q.LOOKUP_STATION}' AND hour <= '{q.LOOKUP_HOUR}
     "station_events_range": f"""
 SELECT hour, station_id, delta_total FROM deltas
 WHERE station_id = '{q.LOOKUP_STATION}' AND hour >= '{q.RANGE_START}' AND hour <= '{q.RANGE_END}'""",
+    "station_events_since": f"""
+SELECT hour, station_id, delta_total FROM deltas
+WHERE station_id = '{q.LOOKUP_STATION}' AND hour >= '{q.RANGE_START}'""",
+    "station_events_until": f"""
+SELECT hour, station_id, delta_total FROM deltas
+WHERE station_id = '{q.LOOKUP_STATION}' AND hour <= '{q.RANGE_END}'""",
+    "critical_stations_first": f"""
+(SELECT 'low' AS kind, station_id, final_balance FROM balance WHERE final_balance <= {LOW_THRESHOLD}
+ ORDER BY net_change DESC, station_id LIMIT {CRITICAL_LIST_LIMIT})
+UNION ALL
+(SELECT 'high', station_id, final_balance FROM balance WHERE final_balance >= {HIGH_THRESHOLD}
+ ORDER BY net_change DESC, station_id LIMIT {CRITICAL_LIST_LIMIT})""",
     "running_balance": "SELECT station_id, hour, delta_total, balance FROM running",
     "worst_station_series": """
 SELECT hour, station_id, delta_total, balance FROM running
