@@ -32,6 +32,7 @@ from ebbflow.operators.deltas import (
     arrivals_departures,
     bucketed_deltas,
     daily_net_flow,
+    flow_with_counts,
     hourly_deltas,
     net_flow_by_station,
 )
@@ -44,6 +45,7 @@ from ebbflow.operators.insight import (
     below_initial_top,
     critical_stations,
     day_top,
+    flow_run_summary,
     rebalancing_summary,
     run_summary,
     surplus_deficit_top,
@@ -53,12 +55,15 @@ from ebbflow.operators.legs import flow_legs, station_catalog, station_name_pair
 from ebbflow.operators.profile import (
     bike_type_counts,
     distinct_station_counts,
+    flow_status,
     null_station_by_type,
     null_station_summary,
     orphan_station_events,
     row_counts,
+    station_flow_totals,
     trip_date_range,
     trip_sample,
+    unnamed_stations,
     usable_trip_summary,
 )
 from ebbflow.operators.upsert import merge_deltas, merge_stations

@@ -18,8 +18,12 @@ def _bucket(grain: str) -> Column:
     raise ValueError(f"unknown grain {grain!r}")
 
 
-def bucketed_deltas(legs: DataFrame, grain: str = "hour", by_class: bool = False) -> DataFrame:
-    """Sum of leg deltas per (bucket, station_id) → delta_total [, delta_ebike, delta_other].
+def bucketed_deltas(legs: DataFrame, grain: str = "hour", by_class: bool = False, counts: bool = False) -> DataFrame:
+    """Sum of leg deltas per (bucket, station_id) → delta_total [, delta_ebike, delta_other][, named_legs, trips].
+
+    With ``counts`` (legs from ``flow_legs(with_names=True, mark_trips=True)``) two numbers ride along:
+    ``named_legs`` (legs that carry a station name) and ``trips`` (trips whose marked leg falls here). They let
+    catalogue membership and trip totals be derived from this one aggregate.
 
     A hash aggregate with map-side combine: each task ships at most one row per (bucket, station) it has seen,
     so the shuffle is bounded by the number of keys, not trips, and a hot station cannot skew it.
@@ -31,9 +35,19 @@ def bucketed_deltas(legs: DataFrame, grain: str = "hour", by_class: bool = False
             F.sum(F.when(ebike, F.col("delta")).otherwise(0)).cast("bigint").alias("delta_ebike"),
             F.sum(F.when(ebike, 0).otherwise(F.col("delta"))).cast("bigint").alias("delta_other"),
         ]
+    if counts:
+        aggs += [
+            F.count("station_name").alias("named_legs"),
+            F.sum("trip_leg").cast("bigint").alias("trips"),
+        ]
     return legs.groupBy(_bucket(grain), "station_id").agg(*aggs)
 
 
+def flow_with_counts(trips: DataFrame) -> DataFrame:
+    """hour, station_id, delta_total, named_legs, trips from one scan of cleaned trips (see bucketed_deltas)."""
+    return bucketed_deltas(flow_legs(trips, with_names=True, mark_trips=True), "hour", counts=True)
+
+
 def hourly_deltas(trips: DataFrame, by_class: bool = False) -> DataFrame:
     """hour, station_id, delta_total [, delta_ebike, delta_other]: −1 per departure, +1 per arrival."""
     return bucketed_deltas(flow_legs(trips, with_class=by_class), "hour", by_class)

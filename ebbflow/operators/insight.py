@@ -7,7 +7,7 @@ task merges them). Every ordering ends with ``station_id`` so ties resolve the s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.config import HIGH_THRESHOLD, HISTOGRAM_BINS, INITIAL_BALANCE, LOW_THRESHOLD, TOP_K
@@ -202,3 +202,31 @@ def run_summary(
         "low_count",
         "mean_balance",
     )
+
+
+def flow_run_summary(
+    flow: DataFrame,
+    member: Column | None = None,
+    initial: int = INITIAL_BALANCE,
+    low: int = LOW_THRESHOLD,
+) -> DataFrame:
+    """The run summary (trips, stations, hourly_events, analysed, low_count, mean_balance) from one
+    ``flow_with_counts`` aggregate, as one chain: per station, then one global row. No subquery and no join,
+    so the trips are scanned once."""
+    per = flow.groupBy("station_id").agg(
+        F.sum("delta_total").alias("net"),
+        F.sum("named_legs").alias("named"),
+        F.sum("trips").alias("trips"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    named = F.col("named") > 0
+    analysed = named & member if member is not None else named
+    balance = F.lit(initial) + F.col("net")
+    return per.agg(
+        F.coalesce(F.sum("trips"), F.lit(0)).cast("bigint").alias("trips"),
+        F.count_if(named).alias("stations"),
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("hourly_events"),
+        F.count_if(analysed).alias("analysed"),
+        F.count_if(analysed & (balance <= low)).alias("low_count"),
+        F.round(F.avg(F.when(analysed, balance)), 6).alias("mean_balance"),
+    )

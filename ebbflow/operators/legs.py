@@ -14,12 +14,15 @@ def flow_legs(
     end_delta: int = ARRIVAL_DELTA,
     with_names: bool = False,
     with_class: bool = False,
+    mark_trips: bool = False,
 ) -> DataFrame:
-    """Two legs per trip in a single scan: (ts, station_id[, station_name], delta[, rideable_type]).
+    """Two legs per trip in a single scan: (ts, station_id[, station_name], delta[, trip_leg][, rideable_type]).
 
     The departure leg carries ``start_delta`` at the start station and time, the arrival leg ``end_delta`` at the
     end station and time. Legs without a station are dropped. ``explode`` over a two-element array replaces the
-    union of two projections, which would scan the input twice.
+    union of two projections, which would scan the input twice. With ``mark_trips`` exactly one kept leg of
+    each trip has ``trip_leg = 1`` (the departure, or the arrival when the start station is missing), so trips
+    can still be counted after the legs are aggregated.
     """
 
     def leg(role: str, time_col: str, delta: int):
@@ -27,6 +30,9 @@ def flow_legs(
         if with_names:
             fields.append(F.col(f"{role}_station_name").alias("station_name"))
         fields.append(F.lit(delta).alias("delta"))
+        if mark_trips:
+            first = F.lit(1) if role == "start" else F.when(F.col("start_station_id").isNull(), 1).otherwise(0)
+            fields.append(first.alias("trip_leg"))
         return F.struct(*fields)
 
     carried = ["rideable_type"] if with_class else []

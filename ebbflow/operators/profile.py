@@ -117,3 +117,28 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def station_flow_totals(flow: DataFrame) -> DataFrame:
+    """station_id, net_change, named_legs, rows per station from a ``flow_with_counts`` aggregate."""
+    return flow.groupBy("station_id").agg(
+        F.sum("delta_total").cast("bigint").alias("net_change"),
+        F.sum("named_legs").cast("bigint").alias("named_legs"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+
+
+def unnamed_stations(flow: DataFrame) -> DataFrame:
+    """station_id, rows: stations whose legs never carry a name (they cannot enter the catalogue), with their
+    number of flow rows. Same result as ``orphan_station_events`` when the catalogue comes from the same trips,
+    from one aggregate instead of an anti join of two."""
+    return station_flow_totals(flow).where(F.col("named_legs") == 0).select("station_id", "rows")
+
+
+def flow_status(flow: DataFrame) -> DataFrame:
+    """name, rows for the station catalogue and the hourly flow, both counted from one aggregate chain."""
+    counts = station_flow_totals(flow).agg(
+        F.count_if(F.col("named_legs") > 0).alias("station"),
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("events_hourly"),
+    )
+    return counts.select(F.expr("stack(2, 'station', station, 'events_hourly', events_hourly) AS (name, rows)"))

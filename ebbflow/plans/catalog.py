@@ -207,9 +207,15 @@ def daily_top_removed(spark, sf_dir):
     return top.select(_text_date(), "station_id", "difference")
 
 
+def flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly flow with named-leg and trip counts: the one aggregate several summaries derive from."""
+    return op.flow_with_counts(clean(spark, sf_dir))
+
+
 @query
 def orphan_station_events(spark, sf_dir):
-    return op.orphan_station_events(deltas(spark, sf_dir), stations(spark, sf_dir))
+    # one aggregate (op.orphan_station_events is the same check as an anti join against a stored table)
+    return op.unnamed_stations(flow(spark, sf_dir))
 
 
 # --- station table lookups ---
@@ -268,8 +274,12 @@ def running_balance(spark, sf_dir):
 
 @query
 def worst_station_series(spark, sf_dir):
-    worst = op.worst_station(balance(spark, sf_dir))
-    series = op.running_balance(deltas(spark, sf_dir))
+    # Both branches read the same hourly aggregate. The series branch also references named_legs, so column
+    # pruning leaves the two aggregates identical and Spark computes them once (ReusedExchange).
+    f = flow(spark, sf_dir).select("hour", "station_id", "delta_total", "named_legs")
+    totals = op.station_flow_totals(f).where((F.col("named_legs") > 0) & (active_flag() == 1))
+    worst = op.worst_station(totals)
+    series = op.running_balance(f.where(F.col("named_legs") >= 0))
     # the right side is one row by construction (limit 1): broadcasting it is bounded
     return series.join(F.broadcast(worst), "station_id", "left_semi").select(
         "hour", "station_id", "delta_total", "balance"
@@ -353,12 +363,12 @@ def balance_labels(spark, sf_dir):
 # --- status and summaries ---
 @query
 def table_status(spark, sf_dir):
-    return op.row_counts({"station": catalog(spark, sf_dir), "events_hourly": deltas(spark, sf_dir)})
+    return op.flow_status(flow(spark, sf_dir))
 
 
 @query
 def run_summary(spark, sf_dir):
-    return op.run_summary(clean(spark, sf_dir), catalog(spark, sf_dir), deltas(spark, sf_dir), balance(spark, sf_dir))
+    return op.flow_run_summary(flow(spark, sf_dir), member=active_flag() == 1)
 
 
 @query
