@@ -78,3 +78,18 @@ def test_fixture_sizes(data):
     assert clean.count() == 9163
     assert deltas.count() == 15384
     assert stations.count() == 94
+
+
+def test_one_aggregate_summaries_equal_table_forms(spark, data):
+    clean, deltas, stations = data
+    flow = op.flow_with_counts(clean)
+    anti = {(r["station_id"], r["rows"]) for r in op.orphan_station_events(deltas, stations).collect()}
+    assert {(r["station_id"], r["rows"]) for r in op.unnamed_stations(flow).collect()} == anti
+    from ebbflow.sources import active_flag
+
+    catalog = op.station_catalog(clean)
+    balances = op.overall_balance(stations, deltas)
+    table_form = op.run_summary(clean, catalog, deltas, balances).collect()[0].asDict()
+    one_pass = op.flow_run_summary(flow, member=active_flag() == 1).collect()[0].asDict()
+    assert one_pass == table_form
+    assert flow.agg(F.sum("trips")).first()[0] == clean.count()
