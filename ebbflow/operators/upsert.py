@@ -55,8 +55,12 @@ def merge_deltas(old: DataFrame, new: DataFrame, mode: str = "replace", keys: tu
     """
     cols = [c for c in old.columns if c in new.columns]
     if mode == "replace":
-        kept = old.join(new.select(*keys), list(keys), "left_anti")
-        return new.select(*cols).unionByName(kept.select(*cols))
+        # one full outer join: each side is read once; a flag marks keys present in the new rows
+        values = [c for c in cols if c not in keys]
+        n = new.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values], F.lit(True).alias("_in_new"))
+        j = old.select(*cols).join(n, list(keys), "full_outer")
+        in_new = F.coalesce(F.col("_in_new"), F.lit(False))
+        return j.select(*keys, *[F.when(in_new, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in values])
     if mode == "add":
         values = [c for c in cols if c not in keys]
         both = old.select(*cols).unionByName(new.select(*cols))

@@ -55,7 +55,8 @@ def summarise(text: str) -> dict:
         item = (os.path.basename(loc.split(",")[0]), pushed or "[]", schema)
         if item not in uniq:
             uniq.append(item)
-    return {"counts": {k: v for k, v in counts.items() if v}, "scans": uniq}
+    scans_final = len(re.findall(r"Scan parquet", final))
+    return {"counts": {k: v for k, v in counts.items() if v}, "scans": uniq, "scan_nodes": scans_final}
 
 
 def main(argv):
@@ -88,10 +89,11 @@ def main(argv):
         lines.append(f"## {name}")
         lines.append("")
         lines.append(f"- operators: {ops}")
+        lines.append(f"- scan nodes in the final main plan: {s['scan_nodes']}")
         for table, pushed, schema in s["scans"]:
             lines.append(f"- scan `{table}` ReadSchema `{schema}` PushedFilters `{pushed}`")
         lines.append("")
-        print(name, ops, flush=True)
+        print(name, "scans", s["scan_nodes"], ops, flush=True)
     with open(out, "w") as f:
         f.write("\n".join(lines))
 
