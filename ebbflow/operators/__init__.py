@@ -7,6 +7,7 @@ from ebbflow.operators.balance import (
     balance_of_station,
     balances_as_of,
     balances_at_step,
+    carry_over_at,
     carry_over_balance,
     flow_totals,
     hour_at_step,

@@ -303,9 +303,8 @@ def latest_balance(spark, sf_dir):
 
 @query
 def balance_carry_over(spark, sf_dir):
-    d = deltas(spark, sf_dir)
-    before = op.running_balance(d.where(F.col("hour") < CARRY_FROM))
-    return op.carry_over_balance(d.where(F.col("hour") >= CARRY_FROM), before)
+    # op.carry_over_balance(new_slice, earlier_balances) is the form for a stored balance table
+    return op.carry_over_at(deltas(spark, sf_dir), CARRY_FROM)
 
 
 # --- insight ---

@@ -51,6 +51,8 @@ def test_carry_over_equals_running_balance(spark):
     after = op.carry_over_balance(d.where(F.col("hour") >= "2024-01-01 05:00:00"), before)
     assert {(r["hour"], r["balance"]) for r in after.collect()} <= full
     assert after.count() == 5
+    one_table = op.carry_over_at(d, "2024-01-01 05:00:00")
+    assert {(r["hour"], r["balance"]) for r in one_table.collect()} == {(r["hour"], r["balance"]) for r in after.collect()}
 
 
 def test_hour_index_and_clamp(spark):
