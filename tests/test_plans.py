@@ -72,3 +72,14 @@ def test_table_reads_prune_partitions(spark, tmp_dir):
     t.upsert_deltas(q.deltas(spark, SF_SMOKE))
     text = plan_text(t.deltas(until="2024-01-10 05:00:00"))
     assert "PartitionFilters: [isnotnull(date" in text and "<= 2024-01-10" in text
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["balance_histogram", "worst_station_series", "balance_carry_over", "hour_at_step", "run_summary",
+     "table_status", "orphan_station_events", "surplus_deficit_top", "station_balance", "balances_as_of"],
+)
+def test_multi_branch_queries_scan_trips_once(spark, name):
+    text = plan_text(entry_module.queries()[name](spark, SF_SMOKE), executed=True)
+    final_tree = text.split("== Initial Plan ==")[0]
+    assert final_tree.count("Scan parquet") == 1, f"{name} scans its input more than once"
