@@ -3,6 +3,8 @@
     python -m ebbflow --tables DIR --init-only
     python -m ebbflow --tables DIR --input 'landing/*.csv'
     python -m ebbflow --tables DIR --status
+    python -m ebbflow --tables DIR --skip-etl          (create if missing, show status)
+    python -m ebbflow --tables DIR --force-init --input 'landing/*.csv'
 """
 
 from __future__ import annotations
@@ -17,6 +19,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--input", help="trip CSV files: folder or glob")
     p.add_argument("--init-only", action="store_true", help="create empty tables and stop")
     p.add_argument("--status", action="store_true", help="print row counts per table and stop")
+    p.add_argument("--skip-etl", action="store_true", help="create missing tables and print their status, no load")
+    p.add_argument(
+        "--force-init", action="store_true", help="re-run table creation (idempotent, keeps rows) before loading"
+    )
     p.add_argument("--timezone", default=None, help="session time zone for wall-clock trip times")
     args = p.parse_args(argv)
 
@@ -30,9 +36,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.status:
         FlowTables(spark, args.tables).status().show(truncate=False)
         return 0
-    create_tables(spark, args.tables)
+    create_tables(spark, args.tables)  # creates only what is missing; --force-init is the same, existing rows kept
     if args.init_only:
         return 0
+    if args.skip_etl:
+        FlowTables(spark, args.tables).status().show(truncate=False)
+        return 0
     if not args.input:
         p.error("--input is required unless --init-only or --status is given")
     run_batch(spark, args.input, args.tables).show(truncate=False)

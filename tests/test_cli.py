@@ -18,3 +18,6 @@ def test_cli_init_load_status(spark, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "events_hourly" in out and "station" in out
     assert rows(FlowTables(spark, tables).status()) == [("events_hourly", 2), ("station", 2)]
+    assert main(["--tables", tables, "--skip-etl", "--timezone", "UTC"]) == 0
+    assert main(["--tables", tables, "--force-init", "--input", csv, "--timezone", "UTC"]) == 0
+    assert rows(FlowTables(spark, tables).status()) == [("events_hourly", 2), ("station", 2)]
