@@ -137,3 +137,17 @@ def test_live_station_totals(spark, split_events, tmp_dir):
                 q.deltas(spark, SF_SMOKE).groupBy("station_id").agg({"delta_total": "sum"})
                 .withColumnRenamed("sum(delta_total)", "total").collect()}
     assert out == expected
+
+
+def test_late_files_still_count(spark, split_events, tmp_dir):
+    """Files landing out of event-time order: the partial-delta sink keeps every trip (no watermark)."""
+    files = sorted(os.listdir(split_events))
+    # newest event times land first: give the last file the oldest modification time
+    for rank, name in enumerate(reversed(files)):
+        os.utime(os.path.join(split_events, name), (1_700_000_000 + rank * 60, 1_700_000_000 + rank * 60))
+    sink = FlowStreamSink(spark, os.path.join(tmp_dir, "out"))
+    trips = events_as_trips(read_events_stream(spark, split_events))
+    run_available(start_flow_stream(trips, sink, os.path.join(tmp_dir, "ckpt"), available_now=True))
+    assert rows(sink.deltas(), "hour", "station_id", "delta_total") == batch_deltas(spark)
+    expected_balance = rows(op.running_balance(q.deltas(spark, SF_SMOKE), 0), "station_id", "hour", "balance")
+    assert rows(sink.balances(), "station_id", "hour", "balance") == expected_balance
