@@ -116,6 +116,30 @@ class FlowTables:
         )
         return self.deltas()
 
+    # --- maintenance ---
+    def vacuum_stations(self, keep: int = 1) -> int:
+        """Delete all but the newest ``keep`` station versions; returns how many version folders were removed.
+
+        Readers always select the highest version, so older ones are only history. Run it while no upsert is
+        writing (single writer, as for the upserts themselves).
+        """
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.path(STATION))
+        fs = root.getFileSystem(conf)
+        if not fs.exists(root):
+            return 0
+        versions = []
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith("version="):
+                versions.append((int(name.split("=", 1)[1]), status.getPath()))
+        versions.sort(key=lambda v: v[0])
+        old = versions[: max(len(versions) - keep, 0)]
+        for _, path in old:
+            fs.delete(path, True)
+        return len(old)
+
     # --- status (SNK5) ---
     def status(self) -> DataFrame:
         """name, rows per table; a missing table counts 0 rows."""

@@ -95,3 +95,14 @@ def test_csv_round_trip_with_bad_lines(spark, tmp_dir):
     assert "Name, with comma" in names
     shape = shape_of(read_trips_csv_inferred(spark, path)).collect()[0]
     assert (shape["rows"], shape["columns"]) == (7, 13)
+
+
+def test_vacuum_keeps_current_station_version(spark, tmp_dir):
+    t = FlowTables(spark, tmp_dir).create()
+    for name in ("One", "Uno", "Eins"):
+        t.upsert_stations(spark.createDataFrame([("S1", name)], "id string, name string"))
+    assert t.vacuum_stations(keep=1) == 2
+    assert [(r["id"], r["name"]) for r in t.stations().collect()] == [("S1", "Eins")]
+    assert t.vacuum_stations(keep=1) == 0
+    t.upsert_stations(spark.createDataFrame([("S2", "Two")], "id string, name string"))
+    assert rows(t.stations(), "id", "name") == [("S1", "Eins"), ("S2", "Two")]
