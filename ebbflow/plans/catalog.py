@@ -21,6 +21,7 @@ from ebbflow.sources import (
     adjustments_from_events,
     events_as_trips,
     file_inventory,
+    nation_catalog,
     read_table,
     read_trips_csv,
     read_trips_csv_inferred,
@@ -492,5 +493,16 @@ def shipment_balance(spark, sf_dir):
     )
 
 
+@query
+def shipment_nation_balance(spark, sf_dir):
+    """Balance of every nation (the catalogue is the nation table): flow summed per nation first, then joined
+    to the 25-row dimension."""
+    nations = nation_catalog(read_table(spark, sf_dir, "nation")).select(
+        F.col("station_id").alias("id"), F.col("station_name").alias("name"), F.lit(1).alias("is_active")
+    )
+    flow = _shipment_daily(spark, sf_dir)
+    return op.overall_balance(nations, flow)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return station_balance(spark, sf_dir)

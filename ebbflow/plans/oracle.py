@@ -327,6 +327,12 @@ SELECT station_id, hour, CAST(sum(delta_total) OVER (PARTITION BY station_id ORD
 }
 
 SHIP_SELECTS: dict[str, str] = {
+    "shipment_nation_balance": f"""
+SELECT 'N' || n.n_nationkey AS station_id, n.n_name AS station_name,
+  CAST(COALESCE(t.net, 0) AS BIGINT) AS net_change,
+  CAST({q.INITIAL_BALANCE} + COALESCE(t.net, 0) AS BIGINT) AS final_balance
+FROM nation n LEFT JOIN (SELECT station_id, sum(net) AS net FROM sdaily GROUP BY 1) t
+  ON 'N' || n.n_nationkey = t.station_id""",
     "shipment_daily_flow": "SELECT date, station_id, net FROM sdaily",
     "shipment_balance": f"""
 SELECT date, station_id, net,
