@@ -48,7 +48,7 @@ def summarise(text: str) -> dict:
     trees = re.split(r"\n\n\(\d+\) ", text)[0]
     final_parts = re.split(r"\+- == Initial Plan ==", trees)
     final = final_parts[0]
-    counts = {n: len(re.findall(rf"(?:[-+] |^ *)\*? ?{n} \(", final, re.M)) for n in NODES}
+    counts = {n: len(re.findall(rf"(?:[-+] |^ *)\*? ?{n}(?: [A-Za-z]+)* \(", final, re.M)) for n in NODES}
     scans = re.findall(r"\(\d+\) Scan parquet[^\n]*\nOutput[^\n]*\nBatched[^\n]*\nLocation: [^\[]*\[([^\]]*)\][^\n]*\n(?:PartitionFilters[^\n]*\n)?(?:PushedFilters: ([^\n]*)\n)?ReadSchema: ([^\n]*)", text)
     uniq = []
     for loc, pushed, schema in scans:
