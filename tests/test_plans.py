@@ -83,3 +83,15 @@ def test_multi_branch_queries_scan_trips_once(spark, name):
     text = plan_text(entry_module.queries()[name](spark, SF_SMOKE), executed=True)
     final_tree = text.split("== Initial Plan ==")[0]
     assert final_tree.count("Scan parquet") == 1, f"{name} scans its input more than once"
+
+
+def test_spread_small_scan_is_a_no_op_for_wide_inputs(spark):
+    from ebbflow.sources import read_table, spread_small_scan
+
+    slots = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=slots * 2)
+    assert spread_small_scan(wide, "id") is wide  # enough splits: plan unchanged, AQE keeps its own shuffles
+    narrow = read_table(spark, SF_SMOKE, "lineitem")
+    spread = spread_small_scan(narrow, "l_orderkey")
+    assert spread.rdd.getNumPartitions() == slots
+    assert "hashpartitioning(l_orderkey" in plan_text(spread)
