@@ -135,3 +135,14 @@ def test_daily_flow_sign_and_null_station(spark):
     )
     d = op.daily_net_flow(op.clean_trips(t)).select(F.col("date").cast("string"), "station_id", "difference")
     assert rows(d) == [("2024-01-01", "S1", 1), ("2024-01-01", "S2", -1), ("2024-01-02", "S2", -1)]
+
+
+def test_empty_input_summary_of_zeros(spark):
+    clean = op.clean_trips(trips_df(spark, []))
+    flow = op.flow_with_counts(clean)
+    s = op.flow_run_summary(flow).collect()[0]
+    assert (s["trips"], s["stations"], s["hourly_events"], s["analysed"], s["low_count"]) == (0, 0, 0, 0, 0)
+    assert s["mean_balance"] is None
+    r = op.rebalancing_summary(op.balance_from_trips(clean).withColumnRenamed("balance", "final_balance")).collect()[0]
+    assert (r["low_count"], r["high_count"], r["deficit"], r["surplus"], r["net"]) == (0, 0, 0, 0, 0)
+    assert op.balance_histogram(op.balance_from_trips(clean), "balance").count() == 0
