@@ -9,7 +9,7 @@ WITH item_words AS (
   FROM benchmark),
 windows AS (
   SELECT DISTINCT item, len(win) AS m, win FROM (
-    SELECT item, unnest(list_transform(generate_series(1, greatest(len(w) - 9, 1)), i -> w[i:i+9])) AS win
+    SELECT item, unnest(list_transform(generate_series(1, greatest(len(w) - 9, 1)), lambda i: w[i:i+9])) AS win
     FROM item_words WHERE len(w) > 0)),
 lengths AS (SELECT DISTINCT m FROM windows),
 doc_words AS (
@@ -53,7 +53,7 @@ depl AS (
   FROM ctx LEFT JOIN common USING (host, line) GROUP BY r),
 base AS (
   SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words,
-    CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
   FROM w LEFT JOIN dup USING (r) LEFT JOIN rep USING (r)),

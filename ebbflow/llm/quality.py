@@ -50,24 +50,26 @@ def _windows(word_list: Column, width: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(F.slice(word_list, i, width)))
 
 
-def _covered(hashes: Column, width: int) -> Column:
-    """Words inside windows whose hash occurs twice or more."""
+def _placed(hashes: Column) -> Column:
+    """(hash, place) of every window in hash order; null where no hash occurs twice."""
     placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(hashes) != F.size(F.array_distinct(hashes)), placed)
 
-    n = F.size(placed)
-    again = F.filter(
-        F.transform(
-            placed,
-            lambda x, k: F.when(
-                ((k > 0) & (F.get(placed, k - 1)["h"] == x["h"])) | ((k < n - 1) & (F.get(placed, k + 1)["h"] == x["h"])),
-                x["i"],
-            ),
-        ),
-        lambda i: i.isNotNull(),
+
+def _repeated(placed: str) -> Column:
+    """Places, in text order, of the windows whose hash occurs twice or more."""
+    # ``placed`` is a column of its own: an expression inside a lambda is evaluated again for every element.
+    at = F.transform(
+        placed,
+        lambda x, k: F.when((F.get(placed, k - 1)["h"] == x["h"]) | (F.get(placed, k + 1)["h"] == x["h"]), x["i"]),
     )
-    starts = F.array_sort(again)
-    gaps = F.zip_with(starts, F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), lambda a, b: F.least(F.lit(width), F.coalesce(b - a, F.lit(width))))
-    return F.aggregate(gaps, F.lit(0).cast("long"), lambda total, g: total + g)
+    return F.array_sort(F.filter(at, lambda i: i.isNotNull()))
+
+
+def _covered(starts: str, width: int) -> Column:
+    """Words inside the windows that begin at ``starts``."""
+    gaps = F.zip_with(starts, F.slice(starts, 2, F.size(starts)), lambda a, b: F.coalesce(F.least(F.lit(width), b - a), F.lit(width)))
+    return F.coalesce(F.aggregate(gaps, F.lit(0).cast("long"), lambda total, g: total + g), F.lit(0).cast("long"))
 
 
 def base_columns(text: Column) -> dict[str, Column]:
@@ -83,17 +85,17 @@ def base_columns(text: Column) -> dict[str, Column]:
 def base_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     """All rows and columns of ``docs`` plus one struct column with the base statistics; also returns its name."""
     out, w, h = fresh(docs, "base"), fresh(docs, "word_list"), fresh(docs, "window_hashes")
+    p, r = fresh(docs, "window_places"), fresh(docs, "repeats")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    step = docs.withColumn(w, words(text)).withColumn(h, _windows(F.col(w), WINDOW))
-    n_words = F.size(w).cast("long")
-    repeat = F.when(F.size(h) == F.size(F.array_distinct(h)), F.lit(0).cast("long")).otherwise(_covered(F.col(h), WINDOW))
+    step = docs.withColumn(w, words(text)).withColumn(h, _windows(F.col(w), WINDOW)).withColumn(p, _placed(F.col(h))).withColumn(r, _repeated(p))
+    n_words, repeat = F.size(w).cast("long"), _covered(r, WINDOW)
     step = step.withColumn(
         out,
         F.struct(n_words.alias("n_words"), *(c.alias(name) for name, c in base_columns(text).items()), repeat.alias("n_repeat_words")),
     )
     failed = (F.col(f"{out}.n_words") < MIN_WORDS) | (100 * F.col(f"{out}.n_repeat_words") > MAX_REPEAT_PERCENT * F.col(f"{out}.n_words"))
     step = step.withColumn(out, F.col(out).withField("base_failed", failed))
-    return step.drop(w, h), out
+    return step.drop(w, h, p, r), out
 
 
 def normalised(line: Column) -> Column:
