@@ -101,3 +101,23 @@ def extended(schema: T.StructType, *fields: tuple[str, str]) -> T.StructType:
     return out
 
 
+def file_system(uri: str):
+    """(file system, path) of a folder URI, usable inside tasks; whatever store pyarrow knows (file, hdfs, s3, ...)."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)
+
+
+def write_file(uri: str, name: str, data: bytes) -> None:
+    """Write one file of a folder so that a repeated task attempt leaves exactly one whole copy."""
+    system, folder = file_system(uri)
+    system.create_dir(folder, recursive=True)
+    unfinished = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    with system.open_output_stream(unfinished, compression=None) as out:
+        out.write(data)
+    system.move(unfinished, f"{folder}/{name}")
+
+
+def read_files(spark: SparkSession, uri: str, suffix: str) -> DataFrame:
+    """The finished files of a folder: path, content."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", f"[!_]*{suffix}").load(uri).select("path", "content")

@@ -62,4 +62,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed LEFT JOIN depl USING (r)
 """
 
-ORACLES = {"op5_quality_rules": OP5, "op10_decontamination": OP10}
+OP8 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages),
+f AS (SELECT digest, min(page_id) AS original FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN original IS NULL OR page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest AND n >= 100
+"""
+
+ORACLES = {"op8_warc": OP8, "op5_quality_rules": OP5, "op10_decontamination": OP10}
