@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbflow.llm import chat, decontaminate, html_text, quality, warc, wavelet
+from ebbflow.llm import chat, decontaminate, html_text, quality, token_count, warc, wavelet
 from ebbflow.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op3_html_text": op3_html_text,
+    "op4_token_count": op4_token_count,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_shards": op7_token_shards,
     "op8_warc": op8_warc,
