@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbflow.llm import chat, decontaminate, html_text, quality, token_count, warc, wavelet
+from ebbflow.llm import chat, decontaminate, html_text, near_dedup, quality, token_count, warc, wavelet
 from ebbflow.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(table(spark, sf_dir, "conversations"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.class_report(table(spark, sf_dir, "documents"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -47,6 +51,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op2_near_dedup": op2_near_dedup,
     "op3_html_text": op3_html_text,
     "op4_token_count": op4_token_count,
     "op5_quality_rules": op5_quality_rules,
