@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbflow.llm import chat, decontaminate, html_text, near_dedup, quality, token_count, warc, wavelet
+from ebbflow.llm import chat, decontaminate, html_text, near_dedup, quality, sentencepiece_lattice, token_count, warc, wavelet
 from ebbflow.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_lattice.encoding_report(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file."""
     import public_tokenizers
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_text": op3_html_text,
     "op4_token_count": op4_token_count,
     "op5_quality_rules": op5_quality_rules,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_token_shards": op7_token_shards,
     "op8_warc": op8_warc,
     "op10_decontamination": op10_decontamination,
