@@ -35,18 +35,17 @@ import hashlib
 import itertools
 import math
 import re
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow.llm.common import materialize, pieces
+from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 SPACE = "▁"
 STRETCH = 512
@@ -196,41 +195,9 @@ def segment_words(words: DataFrame, model: Model, keys: tuple[str, ...] = ()) ->
 
 # --- documents in blocks ---------------------------------------------------------------------------------------------
 
-_PACK = zstandard.ZstdCompressor(level=3)
-_OPEN = zstandard.ZstdDecompressor()
 BLOCKS = "block bigint, bucket int, words binary, doc_ids array<bigint>, digests array<binary>, counts array<int>, numbers binary, places binary"
 
 
-def _pack_words(words: list[str]) -> bytes:
-    data = [w.encode("utf-8", "surrogatepass") for w in words]
-    return _PACK.compress(np.array([len(words), *map(len, data)], "<u4").tobytes() + b"".join(data))
-
-
-def _open_words(data: bytes) -> list[str]:
-    raw = _OPEN.decompress(data)
-    n = int(np.frombuffer(raw[:4], "<u4")[0])
-    ends = np.cumsum(np.frombuffer(raw[4 : 4 + 4 * n], "<u4"), dtype=np.int64) + 4 + 4 * n
-    out, start = [], 4 + 4 * n
-    for end in ends.tolist():
-        out.append(raw[start:end].decode("utf-8", "surrogatepass"))
-        start = end
-    return out
-
-
-def _pack_numbers(numbers: np.ndarray) -> bytes:
-    """Byte planes, which compress apart."""
-    return _PACK.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
-
-
-def _open_numbers(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(_OPEN.decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1)
-
-
-def _bucket(word: str, buckets: int) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets
-
-
 class _Block:
     """Documents of one task until they hold about a block of text."""
 
@@ -249,29 +216,18 @@ class _Block:
 
     def rows(self, block: int, buckets: int) -> Iterator[dict]:
         """A row per bucket with its words, then the row of the documents."""
-        words = list(self.index)
-        numbers = np.concatenate(self.numbers) if self.numbers else np.zeros(0, np.uint32)
-        by_count = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")  # frequent words get small numbers
-        rank = np.empty(len(words), np.uint32)
-        rank[by_count] = np.arange(len(words), dtype=np.uint32)
-        in_bucket: defaultdict[int, list[str]] = defaultdict(list)
-        for w in words:
-            in_bucket[_bucket(w, buckets)].append(w)
-        places = np.empty(len(words), np.uint32)  # by rank: the word's place among all bucket rows
-        at = 0
-        for bucket in sorted(in_bucket):
-            group = sorted(in_bucket[bucket])
-            places[rank[np.fromiter(map(self.index.__getitem__, group), np.int64, len(group))]] = np.arange(at, at + len(group), dtype=np.uint32)
-            at += len(group)
-            yield {"block": block, "bucket": bucket, "words": _pack_words(group)}
+        words = [w.encode("utf-8", "surrogatepass") for w in self.index]
+        groups, numbers, places = arrange(words, self.numbers, buckets)
+        for bucket, group in groups:
+            yield {"block": block, "bucket": bucket, "words": pack_words([words[i] for i in group])}
         yield {
             "block": block,
             "bucket": -1,
             "doc_ids": self.ids,
             "digests": self.digests,
             "counts": self.counts,
-            "numbers": _pack_numbers(rank[numbers] if len(words) else numbers),
-            "places": _pack_numbers(places),
+            "numbers": pack_numbers(numbers),
+            "places": pack_numbers(places),
         }
 
 
@@ -312,7 +268,7 @@ def distinct_words(blocks: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         seen: set[str] = set()
         for packed in table.column("words").to_pylist():
-            seen.update(_open_words(packed))
+            seen.update(w.decode("utf-8", "surrogatepass") for w in open_words(packed))
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(seen), pa.int32()), "word": pa.array(list(seen), pa.string())})
 
     found = blocks.filter("bucket >= 0").select("bucket", "words").groupBy("bucket").applyInArrow(run, "bucket int, word string")
@@ -327,9 +283,9 @@ def _ids_of_blocks(blocks: DataFrame, words: DataFrame, model_path: str) -> Data
         ids = {w: model.word_ids(w, b) for w, b in zip(known.column("word").to_pylist(), known.column("back").to_pylist(), strict=True)}
         rows = []
         for block, bucket, data in zip(*(packed.column(c).to_pylist() for c in ("block", "bucket", "words")), strict=True):
-            found = [ids[w] for w in _open_words(data)]
+            found = [ids[w.decode("utf-8", "surrogatepass")] for w in open_words(data)]
             flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
-            rows.append({"block": block, "bucket": bucket, "lengths": _pack_numbers(np.fromiter(map(len, found), np.uint32, len(found))), "ids": _pack_numbers(flat)})
+            rows.append({"block": block, "bucket": bucket, "lengths": pack_numbers(np.fromiter(map(len, found), np.uint32, len(found))), "ids": pack_numbers(flat)})
         return pa.Table.from_pylist(rows, schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("ids", pa.binary())]))
 
     left = blocks.filter("bucket >= 0").select("block", "bucket", "words").groupBy("bucket")
@@ -354,11 +310,11 @@ def _assemble(blocks: DataFrame, returned: DataFrame) -> DataFrame:
         order = np.argsort(buckets.column("bucket").to_numpy(), kind="stable").tolist()
         packed = [(buckets.column("lengths")[i].as_py(), buckets.column("ids")[i].as_py()) for i in order]
         empty = [np.zeros(0, np.uint32)]
-        lengths = np.concatenate(empty + [_open_numbers(p[0]) for p in packed]).astype(np.int64)
-        flat = np.concatenate(empty + [_open_numbers(p[1]) for p in packed])
+        lengths = np.concatenate(empty + [open_numbers(p[0]) for p in packed]).astype(np.int64)
+        flat = np.concatenate(empty + [open_numbers(p[1]) for p in packed])
         starts = np.cumsum(lengths) - lengths
-        numbers = _open_numbers(row["numbers"])
-        at = _open_numbers(row["places"])[numbers] if len(numbers) else numbers
+        numbers = open_numbers(row["numbers"])
+        at = open_numbers(row["places"])[numbers] if len(numbers) else numbers
         count = lengths[at] if len(at) else lengths[:0]
         ends = np.cumsum(count)
         source = np.repeat(starts[at] - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0) if len(at) else np.zeros(0, np.int64)
