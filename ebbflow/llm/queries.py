@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbflow.llm import chat, decontaminate, html_text, near_dedup, quality, sentencepiece_lattice, token_count, warc, wavelet
+from ebbflow.llm import chat, decontaminate, html_text, katz, near_dedup, quality, sentencepiece_lattice, token_count, warc, wavelet
 from ebbflow.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_report(table(spark, sf_dir, "pages"))
 
 
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_token_shards": op7_token_shards,
     "op8_warc": op8_warc,
+    "op9_katz": op9_katz,
     "op10_decontamination": op10_decontamination,
 }
