@@ -89,10 +89,10 @@ def base_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     step = docs.withColumn(w, words(text)).withColumn(h, _windows(F.col(w), WINDOW)).withColumn(p, _placed(F.col(h))).withColumn(r, _repeated(p))
     n_words, repeat = F.size(w).cast("long"), _covered(r, WINDOW)
-    step = step.withColumn(
-        out,
-        F.struct(n_words.alias("n_words"), *(c.alias(name) for name, c in base_columns(text).items()), repeat.alias("n_repeat_words")),
-    )
+    base = F.struct(n_words.alias("n_words"), *(c.alias(name) for name, c in base_columns(text).items()), repeat.alias("n_repeat_words"))
+    # One row from an array of one: a filter on the statistics is then not pushed down and written out again inside the
+    # lambdas above, where it would be evaluated for every element.
+    step = step.select("*", F.explode(F.array(base)).alias(out))
     failed = (F.col(f"{out}.n_words") < MIN_WORDS) | (100 * F.col(f"{out}.n_repeat_words") > MAX_REPEAT_PERCENT * F.col(f"{out}.n_words"))
     step = step.withColumn(out, F.col(out).withField("base_failed", failed))
     return step.drop(w, h, p, r), out
