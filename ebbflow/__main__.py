@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--status", action="store_true", help="print row counts per table and stop")
     p.add_argument("--skip-etl", action="store_true", help="create missing tables and print their status, no load")
     p.add_argument(
-        "--force-init", action="store_true", help="re-run table creation (idempotent, keeps rows) before loading"
+        "--force-init", action="store_true", help="drop the tables and create them empty before anything else"
     )
     p.add_argument("--timezone", default=None, help="session time zone for wall-clock trip times")
     args = p.parse_args(argv)
@@ -30,13 +30,13 @@ def main(argv: list[str] | None = None) -> int:
 
     from ebbflow.config import TIMEZONE, configure
     from ebbflow.plans.job import create_tables, run_batch
-    from ebbflow.sources.tables import FlowTables
+    from ebbflow.sources.tables import FlowTables, hadoop_glob
 
     spark = configure(SparkSession.builder.appName("ebbflow").getOrCreate(), args.timezone or TIMEZONE)
     if args.status:
         FlowTables(spark, args.tables).status().show(truncate=False)
         return 0
-    create_tables(spark, args.tables)  # creates only what is missing; --force-init is the same, existing rows kept
+    create_tables(spark, args.tables, force=args.force_init)
     if args.init_only:
         return 0
     if args.skip_etl:
@@ -44,6 +44,11 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if not args.input:
         p.error("--input is required unless --init-only or --status is given")
+    found = hadoop_glob(spark, args.input)
+    if not found:
+        print(f"no input: nothing matches {args.input}", file=sys.stderr)
+        return 2
+    print(f"{found} input file(s) or folder(s)")
     run_batch(spark, args.input, args.tables).show(truncate=False)
     return 0
 

@@ -6,8 +6,6 @@ kept as they are. Every operator takes them as keyword arguments, so callers can
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,7 +16,6 @@ LOW_THRESHOLD = 5
 HIGH_THRESHOLD = 30
 TIMEZONE = "America/Chicago"
 DASHBOARD_START_INDEX = 16
-STEP_SIZES = (1, 6)
 TOP_K = 10
 DAILY_TOP_K = 5
 CRITICAL_LIST_LIMIT = 15
@@ -51,27 +48,13 @@ def configure(spark: SparkSession, timezone: str = TIMEZONE) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be set by the deployment; it is never replaced by a machine-local folder there. Only a
-    ``local[...]`` session without the setting (unit tests) gets a temporary folder of its own.
-    """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if root:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(root)
-        return root.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="ebbflow-ckpt-")
-    sc.setCheckpointDir(root)
-    return root
+    """The shared folder of the session: ``spark.checkpoint.dir``, or the folder given to ``setCheckpointDir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return root.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder below the checkpoint root."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "ebbflow-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+def scratch_path(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh, never reused folder below ``root`` (default: the session's shared folder)."""
+    return f"{(root or checkpoint_root(spark)).rstrip('/')}/ebbflow-scratch/{name}-{uuid.uuid4().hex[:12]}"

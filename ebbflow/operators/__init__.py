@@ -3,7 +3,9 @@
 from ebbflow.operators.balance import (
     active_stations,
     adjustment_totals,
+    balance_from_flow,
     balance_from_trips,
+    flow_by_name,
     balance_of_station,
     balances_as_of,
     balances_at_step,
@@ -23,15 +25,14 @@ from ebbflow.operators.clean import (
     clean_trips,
     is_usable_trip,
     is_valid_trip,
-    normalise_text,
     normalise_trips,
-    parse_times,
     usable_trips,
     valid_trips,
 )
 from ebbflow.operators.deltas import (
     arrivals_departures,
     bucketed_deltas,
+    class_flow_by_name,
     daily_net_flow,
     flow_with_counts,
     hourly_deltas,

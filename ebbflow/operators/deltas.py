@@ -48,6 +48,21 @@ def flow_with_counts(trips: DataFrame) -> DataFrame:
     return bucketed_deltas(flow_legs(trips, with_names=True, mark_trips=True), "hour", counts=True)
 
 
+def class_flow_by_name(trips: DataFrame) -> DataFrame:
+    """hour, station_id, station_name, delta_total, delta_ebike, delta_other, trips from one scan of cleaned trips.
+
+    The one aggregate of a load: the station catalogue, the hourly flow and the number of trips all derive from it.
+    """
+    legs = flow_legs(trips, with_names=True, with_class=True, mark_trips=True)
+    ebike = F.coalesce(F.col("rideable_type") == EBIKE_CLASS, F.lit(False))
+    return legs.groupBy(hour_text("ts").alias("hour"), "station_id", "station_name").agg(
+        F.sum("delta").cast("bigint").alias("delta_total"),
+        F.sum(F.when(ebike, F.col("delta")).otherwise(0)).cast("bigint").alias("delta_ebike"),
+        F.sum(F.when(ebike, 0).otherwise(F.col("delta"))).cast("bigint").alias("delta_other"),
+        F.sum("trip_leg").cast("bigint").alias("trips"),
+    )
+
+
 def hourly_deltas(trips: DataFrame, by_class: bool = False) -> DataFrame:
     """hour, station_id, delta_total [, delta_ebike, delta_other]: −1 per departure, +1 per arrival."""
     return bucketed_deltas(flow_legs(trips, with_class=by_class), "hour", by_class)

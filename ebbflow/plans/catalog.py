@@ -7,30 +7,30 @@ below; the operators take any value.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow import operators as op
-from ebbflow.functions import hour_text
 from ebbflow.config import CRITICAL_LIST_LIMIT, DASHBOARD_START_INDEX, DAILY_TOP_K, INITIAL_BALANCE, scratch_path
 from ebbflow.sources import (
+    FlowTables,
     active_flag,
     adjustments_from_events,
     events_as_trips,
     file_inventory,
     nation_catalog,
+    nation_station,
     read_table,
     read_trips_csv,
     read_trips_csv_inferred,
     shape_of,
     shipments_as_trips,
-    spread_small_scan,
     station_table,
     write_trips_csv,
 )
+from ebbflow.plans.job import run_batch
 from ebbflow.streaming import (
     FlowStreamSink,
     distinct_pairs_stream,
@@ -53,6 +53,7 @@ UPSERT_NEW_FROM = "2024-01-15 00:00:00"
 OLD_CREATED = "2024-01-01 00:00:00"
 NEW_CREATED = "2024-02-01 00:00:00"
 OLD_CAPACITY = 20
+STREAM_FILES = 4
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -100,17 +101,21 @@ def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balances at the dashboard hour (start 16, +6 steps) with the manual adjustments.
 
-    The stepped hour comes from the distinct hours of the legs (a scalar subquery); catalogue and bounded flow
-    then come from one aggregation.
+    One aggregate of the trips by (hour, station, name) gives the stepped hour (a scalar subquery), the catalogue and
+    the bounded flow; the adjustments are another input, which here happens to be derived from the same file.
     """
-    c = clean(spark, sf_dir)
-    hours = op.flow_legs(c).select(hour_text("ts").alias("hour"))
-    hour = op.hour_at_step(hours, DASHBOARD_START_INDEX, DASHBOARD_STEPS).select("hour").scalar()
-    b = op.balance_from_trips(c, as_of=hour, member=active_flag() == 1)
+    flow = op.flow_by_name(clean(spark, sf_dir))
+    hour = op.hour_at_step(flow, DASHBOARD_START_INDEX, DASHBOARD_STEPS).select("hour").scalar()
+    b = op.balance_from_flow(flow, as_of=hour, member=active_flag() == 1)
     b = op.with_adjustments(b, adjustments_from_events(events(spark, sf_dir)))
     return b.select("station_id", "station_name", "balance")
 
 
+def _trips_until(trips: DataFrame, hour: str) -> DataFrame:
+    """Valid trips that can have a leg in or before ``hour``: they start before its end. The bound reaches the scan."""
+    return trips.where(F.col("started_at") < F.lit(hour).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR"))
+
+
 def _text_date(c: str = "date"):
     return F.date_format(F.col(c), "yyyy-MM-dd").alias(c)
 
@@ -184,11 +189,12 @@ def hourly_arrivals_departures(spark, sf_dir):
 
 @query
 def net_flow_by_station(spark, sf_dir):
-    return op.net_flow_by_station(clean(spark, sf_dir))
+    # exploratory form: every leg with a station counts, also of trips that cleaning rejects
+    return op.net_flow_by_station(norm_trips(spark, sf_dir))
 
 
 def _daily(spark, sf_dir):
-    return op.daily_net_flow(clean(spark, sf_dir))
+    return op.daily_net_flow(norm_trips(spark, sf_dir))
 
 
 @query
@@ -250,12 +256,14 @@ def balances_as_of(spark, sf_dir):
 
 @query
 def balance_of_station(spark, sf_dir):
-    return op.balance_of_station(deltas(spark, sf_dir), LOOKUP_STATION, LOOKUP_HOUR)
+    d = op.hourly_deltas(_trips_until(clean(spark, sf_dir), LOOKUP_HOUR))
+    return op.balance_of_station(d, LOOKUP_STATION, LOOKUP_HOUR)
 
 
 @query
 def station_events_range(spark, sf_dir):
-    return op.station_events_range(deltas(spark, sf_dir), LOOKUP_STATION, RANGE_START, RANGE_END)
+    d = op.hourly_deltas(_trips_until(clean(spark, sf_dir), RANGE_END))
+    return op.station_events_range(d, LOOKUP_STATION, RANGE_START, RANGE_END)
 
 
 @query
@@ -265,7 +273,8 @@ def station_events_since(spark, sf_dir):
 
 @query
 def station_events_until(spark, sf_dir):
-    return op.station_events_range(deltas(spark, sf_dir), LOOKUP_STATION, end_hour=RANGE_END)
+    d = op.hourly_deltas(_trips_until(clean(spark, sf_dir), RANGE_END))
+    return op.station_events_range(d, LOOKUP_STATION, end_hour=RANGE_END)
 
 
 @query
@@ -376,6 +385,12 @@ def source_inventory(spark, sf_dir):
     return file_inventory(events(spark, sf_dir))
 
 
+@query
+def batch_job(spark, sf_dir):
+    """The batch job into fresh tables; its one-row summary counts this load."""
+    return run_batch(spark, raw_trips(spark, sf_dir), scratch_path(spark, "batch-job"), F.lit(OLD_CREATED).cast("timestamp"))
+
+
 # --- upserts ---
 def _trips_between(spark, sf_dir, start=None, end=None):
     c = clean(spark, sf_dir)
@@ -426,18 +441,127 @@ def csv_round_trip(spark, sf_dir):
     return op.hourly_deltas(op.clean_trips(read_trips_csv(spark, _landed_csv(spark, sf_dir))))
 
 
-# --- streaming: the events table as a file stream, run to completion (availableNow) ---
+# --- stored tables: loaded through the table store, then only the tables are read ---
+_LOADED: dict[tuple[str, str, str], str] = {}
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> FlowTables:
+    """Station and flow tables with all trips of ``sf_dir``, loaded once per application and folder (a side effect of the
+    first query that asks for them)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "all")
+    if key not in _LOADED:
+        tables = FlowTables(spark, scratch_path(spark, "tables")).create()
+        tables.upsert_stations(stations(spark, sf_dir))
+        tables.upsert_deltas(op.hourly_deltas(clean(spark, sf_dir), by_class=True))
+        _LOADED[key] = tables.root
+    return FlowTables(spark, _LOADED[key])
+
+
+def _tables_twice(spark: SparkSession, sf_dir: str) -> FlowTables:
+    """Tables after three loads: the old trips, the new ones (both have trips of the days between), the new ones again."""
+    key = (spark.sparkContext.applicationId, sf_dir, "twice")
+    if key not in _LOADED:
+        tables = FlowTables(spark, scratch_path(spark, "tables-twice")).create()
+        old, new = _trips_between(spark, sf_dir, end=UPSERT_OLD_BEFORE), _trips_between(spark, sf_dir, start=UPSERT_NEW_FROM)
+        first = station_table(op.station_catalog(old), capacity=F.lit(OLD_CAPACITY)).drop("created_at_utc")
+        second = op.station_catalog(new).select(F.col("station_id").alias("id"), F.col("station_name").alias("name"))
+        tables.upsert_stations(first, F.lit(OLD_CREATED).cast("timestamp"))
+        tables.upsert_deltas(op.hourly_deltas(old))
+        for _ in range(2):
+            tables.upsert_stations(second, F.lit(NEW_CREATED).cast("timestamp"))
+            tables.upsert_deltas(op.hourly_deltas(new))
+        _LOADED[key] = tables.root
+    return FlowTables(spark, _LOADED[key])
+
+
+@query
+def table_upsert_twice(spark, sf_dir):
+    return _tables_twice(spark, sf_dir).deltas().select("hour", "station_id", "delta_total")
+
+
+@query
+def table_upsert_stations_twice(spark, sf_dir):
+    created = F.date_format("created_at_utc", "yyyy-MM-dd HH:mm:ss").alias("created_at_utc")
+    return _tables_twice(spark, sf_dir).stations().select("id", "name", "capacity", "is_active", created)
+
+
+@query
+def table_active_stations(spark, sf_dir):
+    return _station_cols(_tables(spark, sf_dir).stations(active_only=True, ordered=True))
+
+
+@query
+def table_station_lookup(spark, sf_dir):
+    return _station_cols(_tables(spark, sf_dir).stations().where(F.col("id") == LOOKUP_STATION))
+
+
+@query
+def table_station_range(spark, sf_dir):
+    d = _tables(spark, sf_dir).deltas(until=RANGE_END, since=RANGE_START)
+    return op.station_events_range(d, LOOKUP_STATION, RANGE_START, RANGE_END).orderBy("hour")
+
+
+@query
+def table_hourly_events(spark, sf_dir):
+    found = _tables(spark, sf_dir).hourly_events(until=RANGE_END, since=RANGE_START)
+    return found.select(F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour"), "station_id", "delta").orderBy("hour", "station_id")
+
+
+@query
+def table_balances_as_of(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return op.balances_as_of(t.stations(), t.deltas(until=AS_OF_HOUR), AS_OF_HOUR)
+
+
+@query
+def table_balances_at_step(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    adjustments = adjustments_from_events(events(spark, sf_dir))
+    return op.balances_at_step(t.stations(), t.deltas(), DASHBOARD_START_INDEX, DASHBOARD_STEPS, adjustments=adjustments)
+
+
+@query
+def table_stored_status(spark, sf_dir):
+    return _tables(spark, sf_dir).status()
+
+
+@query
+def table_orphans(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return op.orphan_station_events(t.deltas(), t.stations())
+
+
+@query
+def table_balance_carry_over(spark, sf_dir):
+    """The balance of every station before the cut is stored; only the hours from the cut on are read from the table."""
+    t = _tables(spark, sf_dir)
+    before = op.latest_balance(op.running_balance(t.deltas().where(F.col("hour") < CARRY_FROM)))
+    return op.carry_over_balance(t.deltas(since=CARRY_FROM), t.stage(before, "balances"))
+
+
+# --- streaming: the events, landed as several files, run to completion (availableNow) ---
+def _landed_events(spark, sf_dir) -> str:
+    """The events in several files by time, landed one after another. Calling a ``stream_*`` query runs its stream."""
+    path = scratch_path(spark, "landing")
+    e = events(spark, sf_dir)
+    for k in range(STREAM_FILES):
+        e.where(F.pmod(F.dayofmonth("ts"), F.lit(STREAM_FILES)) == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def _stream_sink(spark, sf_dir) -> FlowStreamSink:
     root = scratch_path(spark, "flow-stream")
-    sink = FlowStreamSink(spark, os.path.join(root, "out"))
-    trips = events_as_trips(read_events_stream(spark, os.path.join(sf_dir, "events.parquet")))
-    run_available(start_flow_stream(trips, sink, os.path.join(root, "checkpoint"), available_now=True))
+    sink = FlowStreamSink(spark, f"{root}/out")
+    trips = events_as_trips(read_events_stream(spark, _landed_events(spark, sf_dir), max_files_per_trigger=1))
+    run_available(start_flow_stream(trips, sink, f"{root}/checkpoint", available_now=True))
     return sink
 
 
 @query
 def stream_hourly_deltas(spark, sf_dir):
-    return _stream_sink(spark, sf_dir).deltas().select("hour", "station_id", "delta_total")
+    sink = _stream_sink(spark, sf_dir)
+    sink.compact()
+    return sink.deltas().select("hour", "station_id", "delta_total")
 
 
 @query
@@ -448,13 +572,13 @@ def stream_balance(spark, sf_dir):
 @query
 def stream_station_pairs(spark, sf_dir):
     root = scratch_path(spark, "pairs-stream")
-    trips = events_as_trips(read_events_stream(spark, os.path.join(sf_dir, "events.parquet")))
-    out = os.path.join(root, "out")
+    trips = events_as_trips(read_events_stream(spark, _landed_events(spark, sf_dir), max_files_per_trigger=1))
+    out = f"{root}/out"
     stream = (
         distinct_pairs_stream(trips)
         .writeStream.format("parquet")
         .option("path", out)
-        .option("checkpointLocation", os.path.join(root, "checkpoint"))
+        .option("checkpointLocation", f"{root}/checkpoint")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
@@ -466,13 +590,13 @@ def stream_station_pairs(spark, sf_dir):
 # --- adapter B: shipments between nations, day grain ---
 def shipments(spark, sf_dir):
     t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "supplier")}
-    lineitem = spread_small_scan(t["lineitem"], "l_orderkey")
-    return shipments_as_trips(lineitem, t["orders"], t["customer"], t["supplier"])
+    return shipments_as_trips(t["lineitem"], t["orders"], t["customer"], t["supplier"])
 
 
 def _shipment_daily(spark, sf_dir):
-    legs = op.flow_legs(op.clean_trips(shipments(spark, sf_dir)))
-    return op.bucketed_deltas(legs, grain="day")
+    legs = op.flow_legs(op.valid_trips(shipments(spark, sf_dir)))
+    daily = op.bucketed_deltas(legs, grain="day")
+    return daily.select("date", nation_station("station_id").alias("station_id"), "delta_total")
 
 
 @query

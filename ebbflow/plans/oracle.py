@@ -35,7 +35,7 @@ ACTIVE_RULE = "CASE WHEN TRY_CAST(substr(station_id, 2) AS INTEGER) % 10 = 9 THE
 
 BASE = f"""
 WITH src AS (
-  SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k,
+  SELECT *, TRY_CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k,
          CAST(round(value * 100) AS BIGINT) % 100 AS c2
   FROM events),
 trips AS (
@@ -64,7 +64,7 @@ clean AS (
   WHERE started_at IS NOT NULL AND ended_at IS NOT NULL AND ended_at >= started_at
     AND (start_station_id IS NOT NULL OR end_station_id IS NOT NULL)),
 legs AS ({_legs("clean")}),
-flip AS ({_legs("clean", -1)}),
+flip AS ({_legs("norm", -1)}),
 deltas AS ({_deltas("legs")}),
 catalog AS ({_catalog("legs")}),
 stations AS (
@@ -99,7 +99,7 @@ adjusted AS (
   WHERE s.is_active = 1),
 daily AS (
   SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, station_id, CAST(sum(delta) AS BIGINT) AS difference
-  FROM flip GROUP BY 1, 2)
+  FROM flip WHERE ts IS NOT NULL GROUP BY 1, 2)
 """
 
 SHIP = """
@@ -341,6 +341,25 @@ SELECT date, station_id, net,
 FROM sdaily""",
 }
 
+SELECTS |= {
+    "source_inventory": "SELECT 'events.parquet' AS file_name, count(*) AS \"rows\" FROM events",
+    "batch_job": f"""
+SELECT (SELECT count(*) FROM clean) AS trips, count(*) AS stations, (SELECT count(*) FROM deltas) AS hourly_events,
+  count(*) AS analysed, count(*) FILTER (WHERE b <= {LOW_THRESHOLD}) AS low_count, round(avg(b), 6) AS mean_balance
+FROM (SELECT {q.INITIAL_BALANCE} + COALESCE(t.net_change, 0) AS b FROM catalog c LEFT JOIN totals t USING (station_id))""",
+    "table_upsert_twice": SELECTS["upsert_deltas"],
+    "table_upsert_stations_twice": SELECTS["upsert_stations"],
+    "table_active_stations": SELECTS["active_stations"] + " ORDER BY name, id",
+    "table_station_lookup": SELECTS["station_lookup"],
+    "table_station_range": SELECTS["station_events_range"] + " ORDER BY hour",
+    "table_hourly_events": f"SELECT hour, station_id, delta_total AS delta FROM deltas WHERE hour >= '{q.RANGE_START}' AND hour <= '{q.RANGE_END}'",
+    "table_balances_as_of": SELECTS["balances_as_of"],
+    "table_balances_at_step": SELECTS["balances_adjusted"],
+    "table_stored_status": SELECTS["table_status"],
+    "table_orphans": SELECTS["orphan_station_events"],
+    "table_balance_carry_over": SELECTS["balance_carry_over"],
+}
+
 
 def _compose(base: str, select: str) -> str:
     return base.rstrip() + "\n" + select.strip()

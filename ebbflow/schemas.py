@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# --- fixed values: the columns of a trip file, in file order ---
 # Trip records as delivered by the operator of the fleet; every column is nullable.
 TRIP_SCHEMA = StructType(
     [
@@ -28,6 +29,7 @@ TRIP_SCHEMA = StructType(
         StructField("member_casual", StringType()),
     ]
 )
+# --- end of fixed values ---
 
 # Station catalogue table; key: id.
 STATION_SCHEMA = StructType(
@@ -50,16 +52,3 @@ DELTA_SCHEMA = StructType(
         StructField("delta_other", LongType()),
     ]
 )
-
-# Manual stock corrections; several rows per station are summed.
-ADJUSTMENT_SCHEMA = StructType(
-    [StructField("station_id", StringType(), False), StructField("amount", LongType(), False)]
-)
-
-BALANCE_SCHEMA = StructType(
-    [
-        StructField("station_id", StringType()),
-        StructField("hour", StringType()),
-        StructField("balance", LongType()),
-    ]
-)

@@ -3,17 +3,16 @@
 from ebbflow.sources.adapters import (
     active_flag,
     nation_catalog,
+    nation_station,
     adjustments_from_events,
     events_as_trips,
     read_table,
     shipments_as_trips,
-    spread_small_scan,
     station_table,
 )
 from ebbflow.sources.tables import FlowTables
 from ebbflow.sources.trips import (
     file_inventory,
-    read_trips,
     read_trips_csv,
     read_trips_csv_inferred,
     shape_of,
@@ -23,17 +22,16 @@ from ebbflow.sources.trips import (
 __all__ = [
     "active_flag",
     "nation_catalog",
+    "nation_station",
     "FlowTables",
     "adjustments_from_events",
     "events_as_trips",
     "file_inventory",
     "read_table",
-    "read_trips",
     "read_trips_csv",
     "read_trips_csv_inferred",
     "shape_of",
     "shipments_as_trips",
-    "spread_small_scan",
     "station_table",
     "write_trips_csv",
 ]

@@ -36,21 +36,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that has fewer input splits than the session has task slots.
-
-    A single-file, single-row-group table is read by one task, and every narrow operator above it (joins
-    probed against broadcast sides, legs, partial aggregation) would stay in that task. Only in that case is the
-    scan hash-partitioned on ``keys`` (the later join key, so the join can reuse the partitioning). A large
-    input already has many splits: the guard is false, the plan is unchanged, and AQE keeps its own
-    shuffles (including skew-join splitting).
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, *keys)
-
-
 def _station_text(prefix: str, n: Column) -> Column:
     return F.concat(F.lit(prefix), n.cast("string"))
 
@@ -58,7 +43,7 @@ def _station_text(prefix: str, n: Column) -> Column:
 # --- fixed values: the adapter-A mapping from an event to a trip (SQL expressions over events columns) ---
 _EVENT_KEYS = (
     "*",
-    "CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS _k",
+    "try_cast(regexp_extract(props, '[0-9]+', 0) AS BIGINT) AS _k",
     "CAST(round(value * 100) AS BIGINT) % 100 AS _c2",
 )
 _EVENT_TRIP = (
@@ -90,16 +75,6 @@ def events_as_trips(events: DataFrame) -> DataFrame:
     return trips.select(*TRIP_SCHEMA.fieldNames())
 
 
-def with_trip_columns(trips: DataFrame) -> DataFrame:
-    """Add the declared trip columns a frame lacks (as typed NULLs), in declared order."""
-    return trips.select(
-        *[
-            F.col(f.name) if f.name in trips.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in TRIP_SCHEMA.fields
-        ]
-    )
-
-
 def adjustments_from_events(events: DataFrame) -> DataFrame:
     """Manual corrections for adapter A: each signup event moves ``event_id % 7 - 3`` bikes (zeros included)."""
     return events.where(F.col("event_type") == "signup").select(
@@ -128,57 +103,37 @@ def station_table(catalog: DataFrame, created_at: Column | None = None, capacity
     )
 
 
-def shipments_as_trips(
-    lineitem: DataFrame,
-    orders: DataFrame,
-    customer: DataFrame,
-    supplier: DataFrame,
-    nation: DataFrame | None = None,
-) -> DataFrame:
+def shipments_as_trips(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, supplier: DataFrame) -> DataFrame:
     """Adapter B: one trip per line item, from the supplier's nation (order date) to the customer's (ship date).
 
-    Each dimension is joined to its own fact before the large ``lineitem ⋈ orders`` join, so that join shuffles
-    only narrow rows. Join strategies are left to AQE, which broadcasts a side only once its measured size is
-    under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and splits skewed keys (a hot supplier or order)
-    otherwise.
-
-    Nation names are attached only when ``nation`` is given; flow queries leave it out and name the few
-    aggregated rows afterwards (``nation_catalog``) instead of every shipment.
+    Stations are the integer nation keys: no text is built, trimmed or hashed per shipment; ``nation_station`` turns the
+    few aggregated keys into station ids. Each dimension is joined to its own fact before the large
+    ``lineitem ⋈ orders`` join, so that join shuffles only narrow rows. Join strategies are left to AQE, which broadcasts
+    a side only once its measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and splits skewed
+    keys (a hot supplier or order) otherwise.
     """
     cust = customer.select("c_custkey", "c_nationkey")
     supp = supplier.select("s_suppkey", "s_nationkey")
     orders_n = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
         cust, F.col("o_custkey") == F.col("c_custkey")
     )
-    lines_n = lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate").join(
+    lines_n = lineitem.select("l_orderkey", "l_suppkey", "l_shipdate").join(
         supp, F.col("l_suppkey") == F.col("s_suppkey")
     )
     joined = lines_n.join(orders_n, F.col("l_orderkey") == F.col("o_orderkey"))
-    if nation is None:
-        joined = joined.withColumns(
-            {"start_station_name": F.lit(None).cast("string"), "end_station_name": F.lit(None).cast("string")}
-        )
-    else:
-        names = nation.select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("nn"))
-        start_names = names.select(F.col("nk").alias("snk"), F.col("nn").alias("start_station_name"))
-        end_names = names.select(F.col("nk").alias("enk"), F.col("nn").alias("end_station_name"))
-        joined = joined.join(start_names, F.col("s_nationkey") == F.col("snk"), "left").join(
-            end_names, F.col("c_nationkey") == F.col("enk"), "left"
-        )
-    return (
-        joined.select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("ride_id"),
-            F.lit("freight").alias("rideable_type"),
-            F.col("o_orderdate").alias("started_at"),
-            F.col("l_shipdate").alias("ended_at"),
-            F.col("start_station_name"),
-            _station_text("N", F.col("s_nationkey")).alias("start_station_id"),
-            F.col("end_station_name"),
-            _station_text("N", F.col("c_nationkey")).alias("end_station_id"),
-        )
+    return joined.select(
+        F.col("o_orderdate").alias("started_at"),
+        F.col("l_shipdate").alias("ended_at"),
+        F.col("s_nationkey").alias("start_station_id"),
+        F.col("c_nationkey").alias("end_station_id"),
     )
 
 
+def nation_station(key: str) -> Column:
+    """Station id of a nation key."""
+    return _station_text("N", F.col(key))
+
+
 def nation_catalog(nation: DataFrame) -> DataFrame:
     """station_id, station_name of the nations (the place catalogue of adapter B)."""
     return nation.select(_station_text("N", F.col("n_nationkey")).alias("station_id"), F.col("n_name").alias("station_name"))

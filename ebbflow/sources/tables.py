@@ -1,32 +1,43 @@
 """Parquet table store for the station catalogue and the hourly flow (SNK1-SNK5, SRC3, SRC4).
 
-* ``events_hourly`` is partitioned by ``date`` (the day of ``hour``). An upsert rewrites only the days it
-  touches (dynamic partition overwrite); readers with an hour bound also get a date bound, so whole days are
-  skipped at the scan.
-* ``station`` is small and unpartitioned. Each upsert appends a complete new ``version=N`` folder; readers pick
-  the highest version through a scalar subquery, so a failed write never exposes a half-written table.
+* ``events_hourly`` holds data below ``date=D/load=N``: an upsert writes the merged rows of the days it touches, each once, as a
+  new load, and then a manifest that names the current load of every day. Readers take the newest finished manifest, so
+  a load that fails half-way leaves the old state readable, and a day is never a mix of two loads. Readers with an hour
+  bound also get a date bound, so whole days are skipped at the scan.
+* ``station`` is small. Each upsert writes a complete new version folder; readers pick the newest finished one.
 
-Single writer per table, like the modelled application.
+Single writer per table, like the modelled application. ``vacuum`` removes what no manifest names any more.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
-from ebbflow.config import checkpoint_root
 from ebbflow.operators.profile import row_counts
 from ebbflow.operators.upsert import merge_deltas, merge_stations
 from ebbflow.schemas import DELTA_SCHEMA, STATION_SCHEMA
 
-STATION_STORED = StructType(STATION_SCHEMA.fields + [StructField("version", IntegerType())])
-DELTA_STORED = StructType(DELTA_SCHEMA.fields + [StructField("date", DateType())])
+DELTA_STORED = StructType(DELTA_SCHEMA.fields + [StructField("date", DateType()), StructField("load", IntegerType())])
+MANIFEST = StructType([StructField("date", DateType()), StructField("load", IntegerType())])
 
 STATION = "station"
 EVENTS_HOURLY = "events_hourly"
+MANIFESTS = "events_hourly_manifests"
+STAGED = "_staged"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a path on whatever store it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def hadoop_glob(spark: SparkSession, path: str) -> int:
+    """How many files or folders a path or glob matches."""
+    fs, p = hadoop_path(spark, path)
+    return len(fs.globStatus(p) or [])
 
 
 class FlowTables:
@@ -34,36 +45,66 @@ class FlowTables:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def path(self, name: str) -> str:
-        return os.path.join(self.root, name)
+    def path(self, *names: str) -> str:
+        return "/".join((self.root, *names))
+
+    def _exists(self, *names: str) -> bool:
+        fs, p = hadoop_path(self.spark, self.path(*names))
+        return fs.exists(p)
 
-    def _exists(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return p.getFileSystem(conf).exists(p)
+    def _delete(self, *names: str) -> None:
+        fs, p = hadoop_path(self.spark, self.path(*names))
+        fs.delete(p, True)
+
+    def _numbers(self, *names: str, finished: bool = True) -> list[int]:
+        """Numbers N of the ``...=N`` folders of a folder, ascending; only those whose write was committed."""
+        fs, p = hadoop_path(self.spark, self.path(*names))
+        if not fs.exists(p):
+            return []
+        found = [s.getPath() for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName()]
+        child = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        done = [x for x in found if not finished or fs.exists(child(x, "_SUCCESS"))]
+        return sorted(int(x.getName().split("=", 1)[1]) for x in done)
 
     # --- creation (SNK4) ---
     def create(self) -> "FlowTables":
         """Create both tables empty if absent; existing rows are kept."""
-        if not self._exists(STATION):
-            empty = self.spark.createDataFrame([], STATION_SCHEMA).withColumn("version", F.lit(0))
-            empty.write.mode("ignore").partitionBy("version").parquet(self.path(STATION))
-        if not self._exists(EVENTS_HOURLY):
-            empty = self.spark.createDataFrame([], DELTA_SCHEMA).withColumn("date", F.lit(None).cast("date"))
-            empty.write.mode("ignore").partitionBy("date").parquet(self.path(EVENTS_HOURLY))
+        for name in (STATION, EVENTS_HOURLY, MANIFESTS):
+            fs, p = hadoop_path(self.spark, self.path(name))
+            fs.mkdirs(p)
         return self
 
-    # --- reads (SRC3, SRC4) ---
-    def _station_versions(self) -> DataFrame:
-        return self.spark.read.schema(STATION_STORED).parquet(self.path(STATION))
+    def drop(self) -> None:
+        """Remove both tables with all their rows."""
+        for name in (STATION, EVENTS_HOURLY, MANIFESTS, STAGED):
+            self._delete(name)
 
-    def stations(self, active_only: bool = False) -> DataFrame:
-        """id, name, capacity, is_active, created_at_utc of the current version."""
-        versions = self._station_versions()
-        current = versions.agg(F.max("version")).scalar()
-        out = versions.where(F.col("version") == current).drop("version")
-        return out.where(F.col("is_active") == 1) if active_only else out
+    # --- staged tables of a running load ---
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` beside the tables and read it back: computed once, whatever derives from it."""
+        path = self.path(STAGED, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_staged(self) -> None:
+        self._delete(STAGED)
+
+    # --- reads (SRC3, SRC4) ---
+    def stations(self, active_only: bool = False, ordered: bool = False) -> DataFrame:
+        """id, name, capacity, is_active, created_at_utc of the current version, by name if asked for."""
+        versions = self._numbers(STATION)
+        if not versions:
+            return self.spark.createDataFrame([], STATION_SCHEMA)
+        out = self.spark.read.schema(STATION_SCHEMA).parquet(self.path(STATION, f"version={versions[-1]}"))
+        out = out.where(F.col("is_active") == 1) if active_only else out
+        return out.orderBy("name", "id") if ordered else out
+
+    def manifest(self) -> DataFrame:
+        """date, load of every day of the flow table."""
+        loads = self._numbers(MANIFESTS)
+        if not loads:
+            return self.spark.createDataFrame([], MANIFEST)
+        return self.spark.read.schema(MANIFEST).parquet(self.path(MANIFESTS, f"load={loads[-1]}"))
 
     def deltas(self, until: str | None = None, since: str | None = None) -> DataFrame:
         """hour, station_id, delta_total, delta_ebike, delta_other, date; optional inclusive hour bounds."""
@@ -72,50 +113,55 @@ class FlowTables:
             df = df.where((F.col("date") <= F.to_date(F.lit(until[:10]))) & (F.col("hour") <= F.lit(until)))
         if since is not None:
             df = df.where((F.col("date") >= F.to_date(F.lit(since[:10]))) & (F.col("hour") >= F.lit(since)))
-        return df
+        # the manifest has one row per day; both columns are partition columns of the data
+        return df.join(self.manifest(), ["date", "load"], "left_semi").select(*DELTA_SCHEMA.fieldNames(), "date")
 
-    def hourly_events(self) -> DataFrame:
+    def hourly_events(self, until: str | None = None, since: str | None = None) -> DataFrame:
         """hour (timestamp), station_id, delta: the flow as the monitoring view reads it (SRC4)."""
-        return self.deltas().select(
+        return self.deltas(until, since).select(
             F.to_timestamp("hour").alias("hour"), "station_id", F.col("delta_total").alias("delta")
         )
 
     # --- upserts (SNK1, SNK2) ---
     def upsert_stations(self, new: DataFrame, now: Column | None = None) -> DataFrame:
         """Merge station rows (id, name[, capacity, is_active]) and write them as the next version."""
-        versions = self._station_versions()
-        latest = versions.agg(F.max("version")).first()[0]
-        current = -1 if latest is None else int(latest)
-        old = versions.where(F.col("version") == current).drop("version")
-        merged = merge_stations(old, new, now).withColumn("version", F.lit(current + 1))
-        merged.write.mode("append").partitionBy("version").parquet(self.path(STATION))
+        version = max(self._numbers(STATION, finished=False), default=-1) + 1
+        merge_stations(self.stations(), new, now).write.parquet(self.path(STATION, f"version={version}"))
         return self.stations()
 
-    def upsert_deltas(self, new: DataFrame, mode: str = "replace") -> DataFrame:
-        """Merge flow rows and rewrite only the days they touch.
+    def upsert_deltas(self, new: DataFrame, mode: str = "replace", stored: bool = False) -> DataFrame:
+        """Merge flow rows and write the days they touch as a new load; returns the table.
 
-        The merged days are checkpointed to the shared checkpoint folder first, which cuts the lineage to the
-        files about to be replaced: a task retried after the overwrite began cannot read half-replaced input.
+        ``new`` is read twice (its days, its rows) and staged first unless it is ``stored`` already. Old rows are read only of
+        the touched days. Each merged row is written once.
         """
         new = new.select(*[c for c in DELTA_SCHEMA.fieldNames() if c in new.columns])
         for c in ("delta_ebike", "delta_other"):
             if c not in new.columns:
                 new = new.withColumn(c, F.lit(0).cast("bigint"))
-        new = new.withColumn("date", F.to_date(F.substring("hour", 1, 10)))
-        touched = new.select("date").distinct()
+        new = new if stored else self.stage(new, "upsert")
+        load = max(self._numbers(MANIFESTS, finished=False), default=-1) + 1
+        fs, p = hadoop_path(self.spark, self.path(MANIFESTS, f"load={load}"))
+        fs.mkdirs(p)  # takes the number: a load that fails leaves it unfinished, and it is not used again
+        day = F.to_date(F.substring("hour", 1, 10))
+        touched = new.select(day.alias("date")).distinct()
         old = self.deltas().join(touched, "date", "left_semi")
-        merged = merge_deltas(old, new, mode).withColumn("date", F.to_date(F.substring("hour", 1, 10)))
+        merged = merge_deltas(old, new, mode).withColumns({"date": day, "load": F.lit(load)})
         # rebalance (not repartition): AQE may split a hot day over several tasks and files
-        checkpoint_root(self.spark)
-        merged = merged.hint("rebalance", "date").checkpoint(eager=True)
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date")
-            .parquet(self.path(EVENTS_HOURLY))
-        )
+        self._write_days(merged.hint("rebalance", "date"))
+        self._write_manifest(touched.select("date", F.lit(load).alias("load")), load)
+        if not stored:
+            self._delete(STAGED, "upsert")
         return self.deltas()
 
+    def _write_days(self, merged: DataFrame) -> None:
+        # appended: another load of the same day is another folder; rows of a failed load are in no manifest
+        merged.write.mode("append").partitionBy("date", "load").parquet(self.path(EVENTS_HOURLY))
+
+    def _write_manifest(self, days: DataFrame, load: int) -> None:
+        kept = self.manifest().join(days.select("date"), "date", "left_anti")
+        kept.unionByName(days).coalesce(1).write.mode("append").parquet(self.path(MANIFESTS, f"load={load}"))  # one row per day
+
     # --- maintenance ---
     def vacuum_stations(self, keep: int = 1) -> int:
         """Delete all but the newest ``keep`` station versions; returns how many version folders were removed.
@@ -123,23 +169,25 @@ class FlowTables:
         Readers always select the highest version, so older ones are only history. Run it while no upsert is
         writing (single writer, as for the upserts themselves).
         """
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path(STATION))
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return 0
-        versions = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if status.isDirectory() and name.startswith("version="):
-                versions.append((int(name.split("=", 1)[1]), status.getPath()))
-        versions.sort(key=lambda v: v[0])
-        old = versions[: max(len(versions) - keep, 0)]
-        for _, path in old:
-            fs.delete(path, True)
+        old = self._numbers(STATION, finished=False)[:-keep]
+        for version in old:
+            self._delete(STATION, f"version={version}")
         return len(old)
 
+    def vacuum_deltas(self) -> int:
+        """Delete the loads of days that the current manifest does not name, and older manifests."""
+        current = {(str(r["date"]), r["load"]) for r in self.manifest().collect()}  # one row per day
+        fs, p = hadoop_path(self.spark, self.path(EVENTS_HOURLY))
+        removed = 0
+        for day in [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]:
+            for load in self._numbers(EVENTS_HOURLY, day, finished=False):
+                if (day.split("=", 1)[1], load) not in current:
+                    self._delete(EVENTS_HOURLY, day, f"load={load}")
+                    removed += 1
+        for load in self._numbers(MANIFESTS, finished=False)[:-1]:
+            self._delete(MANIFESTS, f"load={load}")
+        return removed
+
     # --- status (SNK5) ---
     def status(self) -> DataFrame:
         """name, rows per table; a missing table counts 0 rows."""

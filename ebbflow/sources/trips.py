@@ -21,13 +21,6 @@ def read_trips_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def read_trips(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Trips landed in a columnar format (the recommended storage after the first CSV read)."""
-    if fmt == "csv":
-        return read_trips_csv(spark, path)
-    return spark.read.schema(TRIP_SCHEMA).format(fmt).load(path)
-
-
 def read_trips_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Exploratory read: header CSV with inferred column types (costs an extra pass over the files)."""
     return spark.read.option("header", True).option("inferSchema", True).csv(path)

@@ -8,8 +8,6 @@ from ebbflow.streaming.flow import (
     read_trips_stream,
     run_available,
     start_flow_stream,
-    stream_path,
-    windowed_deltas,
 )
 
 __all__ = [
@@ -20,6 +18,4 @@ __all__ = [
     "read_trips_stream",
     "run_available",
     "start_flow_stream",
-    "stream_path",
-    "windowed_deltas",
 ]

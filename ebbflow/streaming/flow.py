@@ -6,33 +6,23 @@ after a failure) replaces its own output, so the sink is idempotent. Totals and
 partials, which makes late trips simply count where they belong: no watermark drops them and no state store
 grows with the key space.
 
-``windowed_deltas`` and ``live_station_totals`` are the stateful Structured Streaming alternatives, for
-low-latency views where a watermark (and the loss of rows later than it) is acceptable.
+``live_station_totals`` is a stateful Structured Streaming alternative for low-latency views; its state is one number per
+station and drops nothing. Windowed totals with a watermark, which lose late trips, are not offered.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ebbflow.functions import hour_text
-from ebbflow.operators.balance import running_balance
+from ebbflow.operators.balance import carry_over_balance, running_balance
 from ebbflow.operators.clean import clean_trips, normalise_trips
-from ebbflow.operators.deltas import hourly_deltas
+from ebbflow.operators.deltas import class_flow_by_name
 from ebbflow.operators.legs import flow_legs, station_name_pairs
 from ebbflow.schemas import TRIP_SCHEMA
-
-
-def stream_path(path: str) -> str:
-    """File streams need a folder or a glob; a single file becomes a one-file glob."""
-    if os.path.isfile(path):
-        head, tail = os.path.split(path)
-        return os.path.join(head, f"[{tail[0]}]{tail[1:]}")
-    return path
+from ebbflow.sources.tables import hadoop_path
 
 
 def read_trips_stream(
@@ -40,76 +30,131 @@ def read_trips_stream(
     path: str,
     fmt: str = "csv",
     schema: StructType = TRIP_SCHEMA,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Trip files arriving in a folder, at most ``max_files_per_trigger`` per micro-batch (SRC2, ST1)."""
+    """Trip files arriving in a folder or glob (SRC2, ST1); a micro-batch takes all new files unless told otherwise."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.format(fmt).load(stream_path(path))
+    return reader.format(fmt).load(path)
 
 
-def read_events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
-    """The ``events`` table as a file stream (input of adapter A, which is row-wise and stream-safe)."""
+def read_events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A folder of ``events`` files as a stream (input of adapter A, which is row-wise and stream-safe)."""
     schema = spark.read.parquet(path).schema
     return read_trips_stream(spark, path, "parquet", schema, max_files_per_trigger)
 
 
+DELTAS = "hour string, station_id string, delta_total long, delta_ebike long, delta_other long"
+PAIRS = "station_id string, station_name string"
+TOTALS = "station_id string, hour string, balance long"
+
+
 class FlowStreamSink:
-    """Micro-batch sink keyed by batch id, plus readers of what it accumulated (ST2-ST6, SNK3)."""
+    """Micro-batch sink keyed by batch id, plus readers of what it accumulated (ST2-ST6, SNK3).
+
+    A batch writes partial deltas and station name pairs to folders of its own. ``compact`` folds finished batches into one
+    base (``upto=N``: deltas, pairs and each station's net flow up to batch N); readers take the newest finished base and
+    the batches after it, so the cost of a read does not grow with the number of batches ever taken.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        for path in (self.deltas_path, self.pairs_path, self.base_path):  # readable before the first batch
+            fs, p = hadoop_path(spark, path)
+            fs.mkdirs(p)
 
     @property
     def deltas_path(self) -> str:
-        return os.path.join(self.root, "partial_deltas")
+        return f"{self.root}/partial_deltas"
 
     @property
     def pairs_path(self) -> str:
-        return os.path.join(self.root, "station_pairs")
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        return f"{self.root}/station_pairs"
+
+    @property
+    def base_path(self) -> str:
+        return f"{self.root}/base"
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """foreachBatch body: partial hourly deltas and station name pairs of one micro-batch."""
-        batch = batch.persist()
-        try:
-            bid = F.lit(int(batch_id)).cast("long").alias("batch_id")
-            part = hourly_deltas(clean_trips(batch), by_class=True).select("*", bid)
-            self._write(part, self.deltas_path)
-            pairs = station_name_pairs(normalise_trips(batch)).select("*", bid)
-            self._write(pairs, self.pairs_path)
-        finally:
-            batch.unpersist()
-
-    def _read(self, path: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(path)
+        """foreachBatch body: the micro-batch is reduced once, by (hour, station, name); a replay replaces its folder."""
+        flow = f"{self.root}/batch_flow/batch_id={int(batch_id)}"
+        class_flow_by_name(clean_trips(batch)).write.mode("overwrite").parquet(flow)
+        reduced = self.spark.read.schema(f"{DELTAS}, station_name string").parquet(flow)
+        sums = [F.sum(c).cast("bigint").alias(c) for c in ("delta_total", "delta_ebike", "delta_other")]
+        part = reduced.groupBy("hour", "station_id").agg(*sums)
+        part.write.mode("overwrite").parquet(f"{self.deltas_path}/batch_id={int(batch_id)}")
+        # name pairs come from all trips, also those that cleaning rejects
+        pairs = station_name_pairs(normalise_trips(batch))
+        pairs.write.mode("overwrite").parquet(f"{self.pairs_path}/batch_id={int(batch_id)}")
+        fs, p = hadoop_path(self.spark, flow)
+        fs.delete(p, True)
+
+    def _numbers(self, path: str) -> list[int]:
+        """Numbers of the finished folders below a path."""
+        fs, p = hadoop_path(self.spark, path)
+        if not fs.exists(p):
+            return []
+        child = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        names = [s.getPath().getName() for s in fs.listStatus(p) if fs.exists(child(s.getPath(), "_SUCCESS"))]
+        return sorted(int(n.split("=", 1)[1]) for n in names if "=" in n)
+
+    def _base(self) -> int:
+        """The last batch folded into the base; -1 without one."""
+        finished = self._numbers(f"{self.base_path}/totals")  # written last
+        return finished[-1] if finished else -1
+
+    def _read(self, kind: str, path: str, schema: str, base: int) -> DataFrame:
+        """Base rows, then those of the open batches."""
+        open_batches = [f"{path}/batch_id={n}" for n in self._numbers(path) if n > base]
+        paths = ([f"{self.base_path}/{kind}/upto={base}"] if base >= 0 else []) + open_batches
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def deltas(self) -> DataFrame:
-        """hour, station_id, delta_total, delta_ebike, delta_other summed over all batches."""
-        parts = self._read(
-            self.deltas_path,
-            "hour string, station_id string, delta_total long, delta_ebike long, delta_other long, batch_id long",
-        )
+        """hour, station_id, delta_total, delta_ebike, delta_other summed over the base and the open batches."""
+        parts = self._read("deltas", self.deltas_path, DELTAS, self._base())
         return parts.groupBy("hour", "station_id").agg(
             *[F.sum(c).cast("bigint").alias(c) for c in ("delta_total", "delta_ebike", "delta_other")]
         )
 
     def pairs(self) -> DataFrame:
         """station_id, station_name pairs seen in any batch."""
-        return self._read(self.pairs_path, "station_id string, station_name string, batch_id long").select(
-            "station_id", "station_name"
-        ).distinct()
+        return self._read("pairs", self.pairs_path, PAIRS, self._base()).distinct()
+
+    def open_deltas(self) -> DataFrame:
+        """The same as ``deltas`` of the batches after the base only."""
+        base = self._base()
+        paths = [f"{self.deltas_path}/batch_id={n}" for n in self._numbers(self.deltas_path) if n > base]
+        parts = self.spark.read.schema(DELTAS).parquet(*paths) if paths else self.spark.createDataFrame([], DELTAS)
+        return parts.groupBy("hour", "station_id").agg(F.sum("delta_total").cast("bigint").alias("delta_total"))
+
+    def compact(self) -> int:
+        """Fold all finished batches into a new base; returns the last batch folded. Not while a batch is being written."""
+        done = self._numbers(self.deltas_path)
+        last, base = max(done, default=-1), self._base()
+        if last <= base:
+            return base
+        self.deltas().write.mode("overwrite").parquet(f"{self.base_path}/deltas/upto={last}")
+        self.pairs().write.mode("overwrite").parquet(f"{self.base_path}/pairs/upto={last}")
+        folded = self.spark.read.schema(DELTAS).parquet(f"{self.base_path}/deltas/upto={last}")
+        totals = folded.groupBy("station_id").agg(F.max("hour").alias("hour"), F.sum("delta_total").cast("bigint").alias("balance"))
+        totals.write.mode("overwrite").parquet(f"{self.base_path}/totals/upto={last}")  # makes the base current
+        for kind in ("deltas", "pairs", "totals"):
+            for n in self._numbers(f"{self.base_path}/{kind}"):
+                if n < last:
+                    self._delete(f"{self.base_path}/{kind}/upto={n}")
+        for path in (self.deltas_path, self.pairs_path):
+            for n in self._numbers(path):
+                if n <= last:
+                    self._delete(f"{path}/batch_id={n}")
+        return last
+
+    def _delete(self, path: str) -> None:
+        fs, p = hadoop_path(self.spark, path)
+        fs.delete(p, True)
 
     def compact_into(self, tables) -> DataFrame:
         """Fold the accumulated totals into a ``FlowTables`` flow table (replace on key).
@@ -124,6 +169,13 @@ class FlowStreamSink:
         like the streaming job it models)."""
         return running_balance(self.deltas(), initial).select("station_id", "hour", "balance")
 
+    def open_balances(self, initial: int = 0) -> DataFrame:
+        """Running balance of the open batches' flow on top of the base's station totals; the base's hours are not read."""
+        base = self._base()
+        path = f"{self.base_path}/totals/upto={base}"
+        totals = self.spark.read.schema(TOTALS).parquet(path) if base >= 0 else self.spark.createDataFrame([], TOTALS)
+        return carry_over_balance(self.open_deltas(), totals.withColumn("balance", F.col("balance") + initial), initial)
+
 
 def start_flow_stream(
     trips: DataFrame,
@@ -149,21 +201,6 @@ def run_available(query: StreamingQuery) -> None:
         raise exc
 
 
-def windowed_deltas(trips: DataFrame, watermark: str = "6 hours") -> DataFrame:
-    """Stateful hourly deltas: legs → watermark → tumbling 1-hour window per station (ST4).
-
-    Output rows (hour, station_id, delta_total) are final once the watermark passes the hour (append mode).
-    Legs later than the watermark are dropped by Spark; use ``FlowStreamSink`` when every trip must count.
-    """
-    legs = flow_legs(clean_trips(trips)).withColumn("ts", F.col("ts").cast("timestamp"))
-    return (
-        legs.withWatermark("ts", watermark)
-        .groupBy(F.window("ts", "1 hour").alias("w"), "station_id")
-        .agg(F.sum("delta").cast("bigint").alias("delta_total"))
-        .select(hour_text(F.col("w.start")).alias("hour"), "station_id", "delta_total")
-    )
-
-
 def live_station_totals(trips: DataFrame) -> DataFrame:
     """Running net flow per station (update mode); state holds one number per station."""
     return flow_legs(clean_trips(trips)).groupBy("station_id").agg(

@@ -19,5 +19,8 @@ def test_cli_init_load_status(spark, tmp_dir, capsys):
     assert "events_hourly" in out and "station" in out
     assert rows(FlowTables(spark, tables).status()) == [("events_hourly", 2), ("station", 2)]
     assert main(["--tables", tables, "--skip-etl", "--timezone", "UTC"]) == 0
+    assert main(["--tables", tables, "--force-init", "--init-only", "--timezone", "UTC"]) == 0
+    assert rows(FlowTables(spark, tables).status()) == [("events_hourly", 0), ("station", 0)]
+    assert main(["--tables", tables, "--input", os.path.join(tmp_dir, "none*"), "--timezone", "UTC"]) == 2
     assert main(["--tables", tables, "--force-init", "--input", csv, "--timezone", "UTC"]) == 0
     assert rows(FlowTables(spark, tables).status()) == [("events_hourly", 2), ("station", 2)]

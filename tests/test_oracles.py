@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from ebbflow.plans import ORACLES, QUERIES
 from tests.conftest import SF_SMOKE
 from tests.oracle_compare import compare, duck
 
@@ -12,14 +13,15 @@ def con():
     return duck(SF_SMOKE)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, SF_SMOKE, name, con)
     assert ok, msg
 
 
 def test_every_query_runs(spark):
-    for name, fn in entry_module.queries().items():
+    for name, fn in QUERIES.items():
+        assert entry_module.queries()[name] is fn
         df = fn(spark, SF_SMOKE)
         assert df.columns, name
 

@@ -2,15 +2,17 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
 import __spark_entry__ as entry_module
+from ebbflow.plans import QUERIES
 from ebbflow.plans import catalog as q
 from tests.conftest import SF_SMOKE
 
 # queries that start a stream or write scratch files when called; their batch plans are covered elsewhere
-SIDE_EFFECTS = {"stream_hourly_deltas", "stream_balance", "stream_station_pairs", "csv_round_trip", "csv_inferred_shape"}
+SIDE_EFFECTS = {"stream_hourly_deltas", "stream_balance", "stream_station_pairs", "csv_round_trip", "csv_inferred_shape", "batch_job"}
 
 
 def plan_text(df, executed=False) -> str:
@@ -22,7 +24,7 @@ def plan_text(df, executed=False) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
 def test_no_cartesian_or_nested_loop(spark, name):
     text = plan_text(entry_module.queries()[name](spark, SF_SMOKE))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -55,9 +57,11 @@ def test_hour_index_has_no_global_window_over_rows(spark):
     from ebbflow import operators as op
 
     text = plan_text(op.hour_index(q.deltas(spark, SF_SMOKE)))
-    # the only single-partition window runs over distinct days
-    windows = [l for l in text.splitlines() if l.startswith("Arguments: [") and "windowspecdefinition" in l]
-    assert windows
+    # the only single-partition exchange carries one row per day: it reads the rows numbered 0 within their day
+    assert text.count("SinglePartition") == 1
+    node = [l for l in text.splitlines() if re.match(r"\(\d+\) Exchange|Input|Arguments", l)]
+    at = next(i for i, l in enumerate(node) if "SinglePartition" in l)
+    assert "hour#" not in node[at - 1] and "_day#" in node[at - 1]
 
 
 def test_histogram_reuses_balance_subtree(spark):
@@ -85,13 +89,23 @@ def test_multi_branch_queries_scan_trips_once(spark, name):
     assert final_tree.count("Scan parquet") == 1, f"{name} scans its input more than once"
 
 
-def test_spread_small_scan_is_a_no_op_for_wide_inputs(spark):
-    from ebbflow.sources import read_table, spread_small_scan
+@pytest.mark.parametrize("name", ["balances_adjusted", "balance_alerts", "below_initial_top", "above_initial_top", "balance_labels"])
+def test_adjusted_queries_scan_trips_once_and_adjustments_once(spark, name):
+    text = plan_text(entry_module.queries()[name](spark, SF_SMOKE), executed=True)
+    assert text.split("== Initial Plan ==")[0].count("Scan parquet") == 2
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
+def test_no_fixed_count_repartition(spark, name):
+    assert "REPARTITION_BY_NUM" not in plan_text(QUERIES[name](spark, SF_SMOKE))
+
+
+@pytest.mark.parametrize("name", ["balance_of_station", "station_events_range", "station_events_until"])
+def test_hour_bound_reaches_the_scan_of_raw_trips(spark, name):
+    assert "LessThan(ts" in plan_text(QUERIES[name](spark, SF_SMOKE))
+
 
-    slots = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=slots * 2)
-    assert spread_small_scan(wide, "id") is wide  # enough splits: plan unchanged, AQE keeps its own shuffles
-    narrow = read_table(spark, SF_SMOKE, "lineitem")
-    spread = spread_small_scan(narrow, "l_orderkey")
-    assert spread.rdd.getNumPartitions() == slots
-    assert "hashpartitioning(l_orderkey" in plan_text(spread)
+@pytest.mark.parametrize("name", ["table_station_range", "table_hourly_events", "table_balances_as_of"])
+def test_table_queries_read_pruned_days_and_no_trips(spark, name):
+    text = plan_text(QUERIES[name](spark, SF_SMOKE))
+    assert "PartitionFilters: [isnotnull(date" in text and "events.parquet" not in text

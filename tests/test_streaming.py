@@ -15,7 +15,6 @@ from ebbflow.streaming import (
     read_events_stream,
     run_available,
     start_flow_stream,
-    windowed_deltas,
 )
 from tests.conftest import SF_SMOKE
 from tests.helpers import rows
@@ -39,7 +38,7 @@ def batch_deltas(spark):
 
 def test_stream_equals_batch_over_split_files(spark, split_events, tmp_dir):
     sink = FlowStreamSink(spark, os.path.join(tmp_dir, "out"))
-    trips = events_as_trips(read_events_stream(spark, split_events))
+    trips = events_as_trips(read_events_stream(spark, split_events, 1))
     query = start_flow_stream(trips, sink, os.path.join(tmp_dir, "ckpt"), available_now=True)
     run_available(query)
     batches = spark.read.parquet(sink.deltas_path).select("batch_id").distinct().count()
@@ -66,20 +65,35 @@ def test_stream_balance_starts_at_zero(spark, tmp_dir):
     assert rows(sink.balances(), "station_id", "hour", "balance") == expected
 
 
-def test_windowed_deltas_emit_final_hours(spark, split_events, tmp_dir):
-    trips = events_as_trips(read_events_stream(spark, split_events))
-    out = os.path.join(tmp_dir, "win")
-    query = (windowed_deltas(trips, "6 hours").writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", os.path.join(tmp_dir, "wckpt")).outputMode("append")
-             .trigger(availableNow=True).start())
-    run_available(query)
-    got = rows(spark.read.parquet(out), "hour", "station_id", "delta_total")
-    expected = set(batch_deltas(spark))
-    assert got and set(got) <= expected
+def test_sink_is_readable_before_the_first_batch(spark, tmp_dir):
+    sink = FlowStreamSink(spark, os.path.join(tmp_dir, "out"))
+    assert sink.deltas().count() == sink.pairs().count() == sink.balances().count() == sink.open_balances().count() == 0
+    assert sink.compact() == -1
+
+
+def test_compaction_keeps_totals_and_carries_balances(spark, tmp_dir):
+    sink = FlowStreamSink(spark, os.path.join(tmp_dir, "out"))
+    trips = q.raw_trips(spark, SF_SMOKE)
+    bounds = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-03-01"]
+    parts = [trips.where(f"started_at >= '{a}' AND started_at < '{b}'") for a, b in zip(bounds, bounds[1:])]
+    for n in (0, 2):  # the second week comes late, after a compaction
+        sink.write_batch(parts[n], n)
+    assert sink.compact() == 2 and sink.compact() == 2
+    sink.write_batch(parts[1], 3)
+    sink.write_batch(parts[3], 4)
+    sink.write_batch(parts[3], 4)  # a replay
+    assert rows(sink.deltas(), "hour", "station_id", "delta_total") == batch_deltas(spark)
+    assert rows(sink.pairs()) == rows(op.station_name_pairs(q.norm_trips(spark, SF_SMOKE)))
+    last = {r["station_id"]: r["balance"] for r in op.latest_balance(sink.open_balances(20)).collect()}
+    totals = {r["station_id"]: 20 + r["net_change"] for r in op.flow_totals(q.deltas(spark, SF_SMOKE)).collect()}
+    assert last and all(totals[s] == b for s, b in last.items())
+    assert sink.compact() == 4
+    assert sink.open_balances().count() == 0
+    assert rows(sink.deltas(), "hour", "station_id", "delta_total") == batch_deltas(spark)
 
 
 def test_distinct_pairs_stream(spark, split_events, tmp_dir):
-    trips = events_as_trips(read_events_stream(spark, split_events))
+    trips = events_as_trips(read_events_stream(spark, split_events, 1))
     out = os.path.join(tmp_dir, "pairs")
     query = (distinct_pairs_stream(trips).writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", os.path.join(tmp_dir, "pckpt")).trigger(availableNow=True).start())
@@ -123,7 +137,7 @@ def test_csv_stream_one_file_per_trigger(spark, tmp_dir):
 def test_live_station_totals(spark, split_events, tmp_dir):
     from ebbflow.streaming import live_station_totals
 
-    trips = events_as_trips(read_events_stream(spark, split_events))
+    trips = events_as_trips(read_events_stream(spark, split_events, 1))
     out = {}
 
     def keep(batch, batch_id):
@@ -146,7 +160,7 @@ def test_late_files_still_count(spark, split_events, tmp_dir):
     for rank, name in enumerate(reversed(files)):
         os.utime(os.path.join(split_events, name), (1_700_000_000 + rank * 60, 1_700_000_000 + rank * 60))
     sink = FlowStreamSink(spark, os.path.join(tmp_dir, "out"))
-    trips = events_as_trips(read_events_stream(spark, split_events))
+    trips = events_as_trips(read_events_stream(spark, split_events, 1))
     run_available(start_flow_stream(trips, sink, os.path.join(tmp_dir, "ckpt"), available_now=True))
     assert rows(sink.deltas(), "hour", "station_id", "delta_total") == batch_deltas(spark)
     expected_balance = rows(op.running_balance(q.deltas(spark, SF_SMOKE), 0), "station_id", "hour", "balance")

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ebbflow import operators as op
@@ -77,6 +79,62 @@ def test_run_batch_twice_is_idempotent(spark, tmp_dir):
     assert {r["id"]: str(r["created_at_utc"]) for r in t.stations().collect()}["S1"] == "2024-01-05 00:00:00"
 
 
+def test_run_batch_counts_its_own_load(spark, tmp_dir):
+    run_batch(spark, sample_trips(spark), tmp_dir)
+    more = trips_df(spark, [trip("r9", "2024-01-03 10:00:00", "2024-01-03 10:20:00", "S1", "S4", "One", "Four")])
+    s = run_batch(spark, more, tmp_dir).collect()[0]
+    assert (s["trips"], s["stations"], s["hourly_events"], s["analysed"]) == (1, 2, 2, 4)
+    assert rows(FlowTables(spark, tmp_dir).status()) == [("events_hourly", 6), ("station", 4)]
+
+
+def test_run_batch_scans_its_input_once(spark, tmp_dir):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    trips = sample_trips(spark)
+    run_batch(spark, trips.mapInArrow(seen, trips.schema), tmp_dir)
+    assert read.value == trips.count()
+
+
+def test_failed_load_leaves_the_old_state(spark, tmp_dir):
+    t = FlowTables(spark, tmp_dir).create()
+    schema = "hour string, station_id string, delta_total long"
+    t.upsert_deltas(spark.createDataFrame([("2024-01-01 10:00:00", "A", 3), ("2024-01-02 10:00:00", "A", 1)], schema))
+    before = rows(t.deltas(), "hour", "station_id", "delta_total")
+    new = spark.createDataFrame([("2024-01-01 10:00:00", "A", 9), ("2024-01-05 10:00:00", "B", 2)], schema)
+
+    class Crash(FlowTables):
+        def _write_days(self, merged):
+            super()._write_days(merged.limit(1))  # half of the days land
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        Crash(spark, tmp_dir).upsert_deltas(new)
+    assert rows(t.deltas(), "hour", "station_id", "delta_total") == before
+    t.upsert_deltas(new)
+    after = [("2024-01-01 10:00:00", "A", 9), ("2024-01-02 10:00:00", "A", 1), ("2024-01-05 10:00:00", "B", 2)]
+    assert rows(t.deltas(), "hour", "station_id", "delta_total") == after
+    assert t.vacuum_deltas() == 2  # the half load and the replaced day
+    assert rows(t.deltas(), "hour", "station_id", "delta_total") == after
+
+
+def test_exploratory_flows_keep_legs_of_rejected_trips(spark):
+    norm = op.normalise_trips(sample_trips(spark))
+    assert dict(rows(op.net_flow_by_station(norm), "station_id", "difference")) == {"S1": 0, "S2": 1, "S3": -2}
+    assert ("S3", -2) in rows(op.daily_net_flow(norm), "station_id", "difference")
+
+
+def test_one_event_without_digits_does_not_fail(spark):
+    from ebbflow.sources import events_as_trips
+
+    e = spark.sql("SELECT 10L event_id, TIMESTAMP_NTZ'2024-01-01 10:00:00' ts, 1L user_id, 'click' event_type, 1.5D value, '{}' props")
+    assert op.clean_trips(events_as_trips(e)).select("start_station_id").first()[0] is None
+
+
 def test_csv_round_trip_with_bad_lines(spark, tmp_dir):
     path = os.path.join(tmp_dir, "csv")
     write_trips_csv(sample_trips(spark), path)
