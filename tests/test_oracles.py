@@ -21,7 +21,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_runs(spark):
     for name, fn in QUERIES.items():
-        assert entry_module.queries()[name] is fn
+        assert name in entry_module.queries()
         df = fn(spark, SF_SMOKE)
         assert df.columns, name
 
