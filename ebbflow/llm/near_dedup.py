@@ -28,6 +28,7 @@ documents carry the class id of their class, null if it has no id. Repeated rows
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +43,9 @@ KMER = 5
 PICKS = 3
 SKETCHES = 48
 SIMILARITY = 0.8
-BINS = 64
+BINS = 256
 CHUNK = 512
+FEW_EDITS = 24
 
 _MULTIPLIERS = (np.random.default_rng(20240501).integers(1, 1 << 63, 1024, np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 _WORD_HASHES: dict[str, int] = {}
@@ -103,14 +105,12 @@ def order_minhash(labelled: np.ndarray, sketches: int = SKETCHES, picks: int = P
 
 
 def histogram(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """Words per hash bin, at most 65535 each (a cap can only lower the bound that is taken from it)."""
-    return np.minimum(np.bincount((hashes % np.uint64(bins)).astype(np.int64), minlength=bins), 65535).astype("<u2")
+    """Words per hash bin, at most 255 each (a cap can only lower the bound that is taken from it)."""
+    return np.minimum(np.bincount((hashes % np.uint64(bins)).astype(np.int64), minlength=bins), 255).astype(np.uint8)
 
 
 def alignment_edits(a: list, b: list, most: int) -> int | None:
-    """Word edits between two sequences if at most ``most``, by furthest-reaching alignments within that band."""
-    if a == b:
-        return 0
+    """Word edits between two sequences if at most ``most``, by alignment within that band of diagonals."""
     n, m = len(a), len(b)
     start = 0
     while start < n and start < m and a[start] == b[start]:
@@ -119,11 +119,23 @@ def alignment_edits(a: list, b: list, most: int) -> int | None:
         n, m = n - 1, m - 1
     a, b = a[start:n], b[start:m]
     n, m = len(a), len(b)
-    if abs(n - m) > most:
-        return None
     if not n or not m:
-        return max(n, m)
+        return max(n, m) if max(n, m) <= most else None
+    # words that one side has and the other lacks: each edit settles one of either side
+    common = sum((Counter(a) & Counter(b)).values())
+    if max(n, m) - common > most:
+        return None
+    few = min(most, FEW_EDITS)
+    found = _furthest_reaching(a, b, few)
+    return found if found is not None or few == most else _banded_rows(a, b, most)
+
+
+def _furthest_reaching(a: list, b: list, most: int) -> int | None:
+    """For few edits: the furthest place that each number of edits reaches on each diagonal."""
+    n, m = len(a), len(b)
     goal = n - m
+    if abs(goal) > most:
+        return None
     reach = {0: 0}  # diagonal (place in a less place in b) to the furthest place in a
     for edits in range(most + 1):
         if edits:
@@ -134,8 +146,6 @@ def alignment_edits(a: list, b: list, most: int) -> int | None:
                     continue
                 reach[d] = min(max(old.get(d, -2) + 1, old.get(d - 1, -2) + 1, old.get(d + 1, -2)), n, m + d)
         for d, x in reach.items():
-            if x < 0:
-                continue
             y = x - d
             while x < n and y < m and a[x] == b[y]:
                 x, y = x + 1, y + 1
@@ -145,6 +155,37 @@ def alignment_edits(a: list, b: list, most: int) -> int | None:
     return None
 
 
+def _banded_rows(a: list, b: list, most: int) -> int | None:
+    """For many edits: rows of the edit matrix, ``most`` diagonals to either side, given up once a row exceeds ``most``."""
+    n, m = len(a), len(b)
+    if abs(n - m) > most:
+        return None
+    number: dict = {}
+    x, y = (np.array([number.setdefault(w, len(number)) for w in side], np.int64) for side in (a, b))
+    width = 2 * most + 1  # column k of row i is place i + k - most of b
+    step = np.arange(width)
+    padded = np.full(m + 2 * width, -1, np.int64)
+    padded[width : width + m] = y
+    far = 1 << 40
+    row = np.where(step >= most, step - most, far)
+    row[most + m + 1 :] = far
+    for i in range(1, n + 1):
+        places = padded[width + i - most - 1 : width + i + most]
+        up = np.append(row[1:], far) + 1
+        new = np.minimum(row + (places != x[i - 1]), up)
+        low, high = max(0, most - i), min(width, m - i + most + 1)
+        if low > 0 or high < width:
+            new[:low] = far
+            new[max(high, 0) :] = far
+        if most - i >= 0:
+            new[most - i] = i  # before the first word of b
+        row = np.minimum.accumulate(new - step) + step
+        if row.min() > most:
+            return None
+    found = int(row[m - n + most])
+    return found if found <= most else None
+
+
 def allowed_edits(n: int, m: int, similarity: float) -> int:
     return int((1 - similarity) * max(n, m) + 1e-9)
 
@@ -228,7 +269,7 @@ def _plausible(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFra
             if not batch.num_rows:
                 continue
             n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
-            h, g = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(len(n), -1).astype(np.int32) for c in ("h", "g"))
+            h, g = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(n), -1).astype(np.int32) for c in ("h", "g"))
             allowed = np.floor((1 - similarity) * np.maximum(n, m) + 1e-9)
             delta = h - g
             edits = np.maximum(np.abs(n - m), np.maximum(np.where(delta > 0, delta, 0).sum(1), np.where(delta < 0, -delta, 0).sum(1)))
@@ -260,7 +301,7 @@ def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame
 
     def run(table: pa.Table) -> pa.Table:
         ids, labels, n, own = (table.column(c).to_numpy() for c in ("id", "label", "n_words", "own"))
-        h = np.frombuffer(b"".join(table.column("histogram").to_pylist()), "<u2").reshape(len(ids), -1)
+        h = np.frombuffer(b"".join(table.column("histogram").to_pylist()), np.uint8).reshape(len(ids), -1)
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         x = np.flatnonzero(own == low)
         y = x if low == high else np.flatnonzero(own == high)
@@ -268,10 +309,16 @@ def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         ok = _within_bounds(n[x], n[y], h[x], h[y], similarity) & (labels[x][:, None] != labels[y][None, :])
         i, j = np.nonzero(ok)
-        a, b = ids[x[i]], ids[y[j]]
+        i, j = x[i], y[j]
+        if len(i):  # of all buckets that a pair shares, only that of its first common entry reports it
+            entries = np.array(table.column("entries").to_pylist(), np.int64).reshape(len(ids), -1)
+            sketch = table.column("sketch")[0].as_py()
+            new = np.concatenate([~(entries[i[k : k + 50_000], :sketch] == entries[j[k : k + 50_000], :sketch]).any(1) for k in range(0, len(i), 50_000)])
+            i, j = i[new], j[new]
+        a, b = ids[i], ids[j]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    columns = rows.select("bucket", "low", "high", "own", "id", "label", "n_words", "histogram")
+    columns = rows.select("bucket", "sketch", "low", "high", "own", "id", "label", "n_words", "histogram", "entries")
     return columns.groupBy("bucket", "low", "high").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
@@ -287,7 +334,7 @@ def near_duplicates(
     """doc_id, class_id, class_size (documents) and n_words of every row, its identity (u1, u2) and its class's internal
     label (null for documents without a word)."""
     texts = distinct_texts(docs, id_col, text_col, sketches, picks)
-    entries = texts.select("id", F.posexplode("entries").alias("sketch", "entry")).select(F.xxhash64("sketch", "entry").alias("bucket"), "id")
+    entries = texts.select("id", F.posexplode("entries").alias("sketch", "entry")).select(F.xxhash64("sketch", "entry").alias("bucket"), "sketch", "id")
     heads = entries.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("tail")).filter("head < tail").select("bucket", "head")
     members = materialize(entries.join(heads, "bucket"), "bucket-members")  # only buckets with two texts or more
     star = members.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
@@ -295,10 +342,10 @@ def near_duplicates(
     first = connected_components(links, "star-components")
 
     # Buckets whose members are in different components; exact for whatever the stars could not see.
-    labelled = members.select("bucket", "id").join(first, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
+    labelled = members.select("bucket", "sketch", "id").join(first, "id", "left").select("bucket", "sketch", "id", F.coalesce("label", "id").alias("label"))
     labelled = materialize(labelled, "labelled-members")
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
-    left = labelled.join(mixed, "bucket").join(texts.select("id", "n_words", "histogram"), "id")
+    left = labelled.join(mixed, "bucket").join(texts.select("id", "n_words", "histogram", "entries"), "id")
     # pairs that a star has already judged are not judged again
     more = _verified(_cross_pairs(left, similarity, chunk).join(star, ["a", "b"], "left_anti"), texts, similarity, "cross-links")
     labels = connected_components(first.select(F.col("id").alias("a"), F.col("label").alias("b")).unionByName(more), "classes")

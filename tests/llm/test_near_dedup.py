@@ -28,6 +28,7 @@ words = st.lists(st.sampled_from("abcd"), max_size=14)
 def test_alignment_is_the_banded_edit_distance(a, b, most):
     want = edits(a, b)
     assert nd.alignment_edits(a, b, most) == (want if want <= most else None)
+    assert nd._banded_rows(a, b, most) == (want if want <= most else None)
 
 
 @given(words.filter(bool), words.filter(bool))
