@@ -48,23 +48,28 @@ CHUNK = 512
 FEW_EDITS = 24
 
 _MULTIPLIERS = (np.random.default_rng(20240501).integers(1, 1 << 63, 1024, np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
-_WORD_HASHES: dict[str, int] = {}
 
 
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
+class _WordHashes(dict):
+    """64-bit hashes of words, the same in every process, computed when first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        self[word] = found = int.from_bytes(digest, "little")
+        return found
+
+
+_WORD_HASHES = _WordHashes()
+
+
 def word_hashes(words: list[str]) -> np.ndarray:
-    """64-bit hashes of words, the same in every process; a bounded table remembers them."""
-    known = _WORD_HASHES
-    new = set(words).difference(known)
-    if len(known) + len(new) > 1_000_000:
-        known.clear()
-        new = set(words)
-    for w in new:
-        known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    if len(_WORD_HASHES) > 1_000_000:  # keeps the table bounded
+        _WORD_HASHES.clear()
+    return np.fromiter(map(_WORD_HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -96,8 +101,11 @@ def order_minhash(labelled: np.ndarray, sketches: int = SKETCHES, picks: int = P
         one, two = (_MULTIPLIERS[k : 2 * sketches : 2][s : s + step, None] for k in (0, 1))
         hashed = (labelled[None, :] ^ one) * two
         hashed = (hashed ^ (hashed >> np.uint64(29))) * one
-        at = np.sort(np.argpartition(hashed, take - 1, axis=1)[:, :take], axis=1)
-        picked[s : s + step] = labelled[at]
+        at, rows = np.empty((len(hashed), take), np.int64), np.arange(len(hashed))
+        for k in range(take):  # the least hash, again and again: faster than a partition for a few picks
+            at[:, k] = hashed.argmin(axis=1)
+            hashed[rows, at[:, k]] = np.iinfo(np.uint64).max
+        picked[s : s + step] = labelled[np.sort(at, axis=1)]
     out = np.arange(sketches, dtype=np.uint64) * np.uint64(16) + np.uint64(take)
     for k in range(take):
         out = _mix(out * np.uint64(31) + picked[:, k])
