@@ -7,8 +7,7 @@ Encoding is a Viterbi search over the piece table, done once per distinct word b
 2. an equi-join with the piece table keeps those that are pieces; where no one-character piece fits, an unknown edge over
    that character remains, at the lowest score less 10;
 3. the edges are grouped by word, in order of their end, then start;
-4. a higher-order ``aggregate`` folds them: its state is the best scores of the last places and, per place, the length of the
-   best last piece. Only a higher score replaces the best so far, so equal scores go to the earliest start, as the
+4. a higher-order ``aggregate`` folds them: its state is, per place, the best score and the length of the best last piece. Only a higher score replaces the best so far, so equal scores go to the earliest start, as the
    tokenizer does. The fold over stretches is nested, so a word of any length costs linear time.
 
 Unknown characters become their UTF-8 bytes (byte pieces). Unknown, control and byte pieces never match text, as in
@@ -140,50 +139,36 @@ def lattice(words: DataFrame, table: DataFrame, longest: int, lowest: float, key
 def viterbi(stretches: Column, longest: int) -> Column:
     """For every place of a word, the length of the best segmentation's last piece up to it (0: unknown character)."""
 
-    def pushed(state: Column) -> tuple[Column, Column]:
-        """Scores and lengths with the best edge of the place before."""
-        done = state["end"] > 0
-        scores = F.when(done, F.slice(F.concat(state["scores"], F.array(state["best"])), 2, longest)).otherwise(state["scores"])
-        lengths = F.when(done, F.concat(state["lengths"], F.array(state["length"]))).otherwise(state["lengths"])
-        return scores, lengths
-
     def edge(state: Column, e: Column) -> Column:
-        new = e["end"] != state["end"]
-        scores, lengths = pushed(state)
-        scores = F.when(new, scores).otherwise(state["scores"])
-        lengths = F.when(new, lengths).otherwise(state["lengths"])
-        # ``back`` is negative: the score that many places before the end
-        gain = F.when(new, F.element_at(scores, e["back"])).otherwise(F.element_at(state["scores"], e["back"])) + e["score"]
-        better = new | (gain > state["best"])
-        return F.struct(
-            scores.alias("scores"),
-            lengths.alias("lengths"),
-            e["end"].alias("end"),
-            F.when(better, gain).otherwise(state["best"]).alias("best"),
-            F.when(better, F.when(e["unknown"], F.lit(0)).otherwise(-e["back"])).otherwise(state["length"]).alias("length"),
+        # ``bests`` ends with the best so far of the place ``end``; an edge to a later place appends, a better one replaces.
+        # ``back`` is negative: the place that many before the edge's end.
+        bests, new = state["bests"], e["end"] != state["end"]
+        gain = F.element_at(bests, F.when(new, e["back"]).otherwise(e["back"] - 1))["gain"] + e["score"]
+        this = F.array(F.struct(gain.alias("gain"), F.when(e["unknown"], 0).otherwise(-e["back"]).alias("length")))
+        kept = (
+            F.when(new, F.concat(bests, this))
+            .when(gain > F.element_at(bests, -1)["gain"], F.concat(F.slice(bests, 1, F.size(bests) - 1), this))
+            .otherwise(bests)
         )
+        return F.struct(kept.alias("bests"), e["end"].alias("end"))
+
+    def stretch(state: Column, s: Column) -> Column:
+        start = F.struct(F.slice(state["bests"], -longest, longest).alias("bests"), F.lit(0).alias("end"))
+        bests = F.aggregate(s["edges"], start, edge, lambda x: x["bests"])
+        done = F.transform(F.slice(state["bests"], longest + 1, F.greatest(F.size(state["bests"]) - longest, F.lit(0))), lambda x: x["length"])
+        return F.struct(bests.alias("bests"), F.concat(state["lengths"], F.array(done)).alias("lengths"))
 
     def finish(state: Column) -> Column:
-        scores, lengths = pushed(state)
-        return F.struct(scores.alias("scores"), lengths.alias("lengths"))
+        done = F.transform(F.slice(state["bests"], longest + 1, F.greatest(F.size(state["bests"]) - longest, F.lit(0))), lambda x: x["length"])
+        return F.flatten(F.concat(state["lengths"], F.array(done)))
 
-    def stretch(state: Column, s: Column) -> Column:
-        start = F.struct(
-            state["scores"].alias("scores"),
-            F.array().cast("array<int>").alias("lengths"),
-            F.lit(0).alias("end"),
-            F.lit(0.0).alias("best"),
-            F.lit(0).alias("length"),
-        )
-        one = F.aggregate(s["edges"], start, edge, finish)
-        return F.struct(one["scores"].alias("scores"), F.concat(state["lengths"], F.array(one["lengths"])).alias("lengths"))
+    def place(gain: float) -> Column:
+        return F.struct(F.lit(gain).alias("gain"), F.lit(0).alias("length"))
 
-    none = F.lit(float("-inf"))
-    begin = F.struct(
-        F.concat(F.array_repeat(none, longest - 1), F.array(F.lit(0.0))).alias("scores"),
-        F.array().cast("array<array<int>>").alias("lengths"),
-    )
-    return F.flatten(F.aggregate(stretches, begin, stretch, lambda state: state["lengths"]))
+    # ``bests`` always starts with the ``longest`` places before the stretch; before the word only place 0 can be reached
+    before = F.concat(F.array_repeat(place(float("-inf")), longest - 1), F.array(place(0.0)))
+    begin = F.struct(before.alias("bests"), F.array().cast("array<array<int>>").alias("lengths"))
+    return F.aggregate(stretches, begin, stretch, finish)
 
 
 def segment_words(words: DataFrame, model: Model, keys: tuple[str, ...] = ()) -> DataFrame:
