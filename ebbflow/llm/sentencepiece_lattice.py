@@ -10,8 +10,11 @@ Encoding is a Viterbi search over the piece table, done once per distinct word b
 4. a higher-order ``aggregate`` folds them: its state is, per place, the best score and the length of the best last piece. Only a higher score replaces the best so far, so equal scores go to the earliest start, as the
    tokenizer does. The fold over stretches is nested, so a word of any length costs linear time.
 
+Words are cut where the lattice can have no edge: before a space (U+2581), and between two characters that no piece has next to
+each other, such as a letter and the full stop after it. Each part is segmented by itself with the same result.
+
 Unknown characters become their UTF-8 bytes (byte pieces). Unknown, control and byte pieces never match text, as in
-SentencePiece. Words start at spaces (U+2581), which no piece has after another character, so words are independent.
+SentencePiece.
 
 Documents meet their words' ids without one row per occurrence: documents are packed into blocks of about
 ``BLOCK_BYTES`` of text, each holding its word numbers as one compressed column and its distinct words in hash buckets. The
@@ -43,13 +46,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import materialize, pieces
+from ebbflow.llm.common import conf, materialize, pieces
 from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 SPACE = "▁"
 STRETCH = 512
 BLOCK_BYTES = 24_000_000
 BUCKET_BYTES = 32_000_000
+PARTITION_WORDS = 20_000
 UNKNOWN_PENALTY = 10.0
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
@@ -72,9 +76,15 @@ class Model:
         self.unknown = model.unk_id()
         self.lowest = min(scores) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.ids))
-        if any(re.search(f"[^{SPACE}]{SPACE}", n) for n in self.ids):
+        self.pairs = {pair for n in self.ids for pair in zip(n, n[1:], strict=False)}
+        if any(b == SPACE != a for a, b in self.pairs):
             raise ValueError("a piece spans the start of a word")
 
+    def parts(self, word: str) -> list[str]:
+        """The word cut between characters that no piece has next to each other."""
+        cuts = [0, *(i for i in range(1, len(word)) if (word[i - 1], word[i]) not in self.pairs), len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
     def unknown_ids(self, character: str) -> list[int]:
         found = [self.bytes.get(b) for b in character.encode("utf-8", "surrogatepass")]
         return [self.unknown] if None in found else found
@@ -173,7 +183,8 @@ def viterbi(stretches: Column, longest: int) -> Column:
 
 def segment_words(words: DataFrame, model: Model, keys: tuple[str, ...] = ()) -> DataFrame:
     """keys, word_id, word and ``back`` of every word (columns keys, word_id, word)."""
-    spread = words.repartition("word_id")
+    # Grouping holds the edges of a partition's words in memory, so partitions have a bounded number of words.
+    spread = words.repartition(max(1, math.ceil(words.count() / PARTITION_WORDS)), "word_id")
     edges = lattice(spread, piece_table(words.sparkSession, model), model.longest, model.lowest, keys)
     return edges.select(*keys, "word_id", "word", viterbi(F.col("stretches"), model.longest).alias("back"))
 
@@ -183,20 +194,34 @@ def segment_words(words: DataFrame, model: Model, keys: tuple[str, ...] = ()) ->
 BLOCKS = "block bigint, bucket int, words binary, doc_ids array<bigint>, digests array<binary>, counts array<int>, numbers binary, places binary"
 
 
+class _PartNumbers(dict):
+    """Numbers of a word's parts, found when first asked for."""
+
+    def __init__(self, model: Model, index: defaultdict[str, int]):
+        super().__init__()
+        self.model, self.index = model, index
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        self[word] = found = tuple(map(self.index.__getitem__, self.model.parts(word)))
+        return found
+
+
 class _Block:
     """Documents of one task until they hold about a block of text."""
 
-    def __init__(self) -> None:
+    def __init__(self, model: Model) -> None:
         self.index: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.numbers_of = _PartNumbers(model, self.index)
         self.ids, self.digests, self.counts, self.numbers, self.size = [], [], [], [], 0
 
     def add(self, doc_id: int | None, text: str) -> None:
         words = _WORDS.findall(normalise(text))
-        self.numbers.append(np.fromiter(map(self.index.__getitem__, words), np.uint32, len(words)))
+        numbers = np.fromiter(itertools.chain.from_iterable(map(self.numbers_of.__getitem__, words)), np.uint32)
+        self.numbers.append(numbers)
         self.ids.append(doc_id)
         raw = text.encode("utf-8", "surrogatepass")
         self.digests.append(hashlib.md5(raw).digest())
-        self.counts.append(len(words))
+        self.counts.append(len(numbers))
         self.size += len(raw)
 
     def rows(self, block: int, buckets: int) -> Iterator[dict]:
@@ -216,17 +241,18 @@ class _Block:
         }
 
 
-def pack_documents(docs: DataFrame, id_col: str, text_col: str, buckets: int, block_bytes: int) -> DataFrame:
+def pack_documents(docs: DataFrame, id_col: str, text_col: str, buckets: int, block_bytes: int, model_path: str) -> DataFrame:
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, block = TaskContext.get().partitionId(), 0, _Block()
+        part, number, model = TaskContext.get().partitionId(), 0, _model(model_path)
+        block = _Block(model)
         for batch in pieces(batches, "text", 2_000_000):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 block.add(doc_id, text)
             if block.size >= block_bytes:
                 yield from (pa.RecordBatch.from_pylist([r], schema=_BLOCKS_ARROW) for r in block.rows(part << 24 | number, buckets))
-                number, block = number + 1, _Block()
+                number, block = number + 1, _Block(model)
         if block.ids:
             yield from (pa.RecordBatch.from_pylist([r], schema=_BLOCKS_ARROW) for r in block.rows(part << 24 | number, buckets))
 
@@ -286,7 +312,7 @@ def _model(path: str) -> Model:
     return _MODELS[path]
 
 
-ENCODED = "doc_id bigint, digest binary, n_words bigint, ids array<int>"
+ENCODED = "doc_id bigint, digest binary, ids array<int>"
 
 
 def _assemble(blocks: DataFrame, returned: DataFrame) -> DataFrame:
@@ -310,7 +336,6 @@ def _assemble(blocks: DataFrame, returned: DataFrame) -> DataFrame:
             {
                 "doc_id": pa.array(row["doc_ids"], pa.int64()),
                 "digest": pa.array(row["digests"], pa.binary()),
-                "n_words": pa.array(counts, pa.int64()),
                 "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
             }
         )
@@ -327,10 +352,15 @@ def encode(
     block_bytes: int = BLOCK_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
-    """doc_id, digest (MD5 of the text), n_words and ids of every document."""
+    """doc_id, digest (MD5 of the text) and ids of every document."""
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
-    blocks = pack_documents(docs, id_col, text_col, max(1, math.ceil(size / bucket_bytes)), block_bytes)
-    words = materialize(segment_words(distinct_words(blocks), _model(model_path), ("bucket",)), "segmented-words")
+    blocks = pack_documents(docs, id_col, text_col, max(1, math.ceil(size / bucket_bytes)), block_bytes, model_path)
+    settings = {
+        "spark__sql__objectHashAggregate__sortBased__fallbackThreshold": str(100 * PARTITION_WORDS),  # no sort of the edges
+        "spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true",
+    }
+    with conf(docs.sparkSession, **settings):
+        words = materialize(segment_words(distinct_words(blocks), _model(model_path), ("bucket",)), "segmented-words")
     return _assemble(blocks, _ids_of_blocks(blocks, words, model_path))
 
 
