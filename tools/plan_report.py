@@ -12,6 +12,7 @@ import io
 import os
 import re
 import sys
+import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -72,6 +73,8 @@ def main(argv):
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):  # one machine: scratch data of the stored-table queries
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ebbflow-plans-"))
     from ebbflow.plans import QUERIES
 
     lines = [
