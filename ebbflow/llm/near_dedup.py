@@ -356,9 +356,13 @@ def near_duplicates(
     left = labelled.join(mixed, "bucket").join(texts.select("id", "n_words", "histogram", "entries"), "id")
     # pairs that a star has already judged are not judged again
     more = _verified(_cross_pairs(left, similarity, chunk).join(star, ["a", "b"], "left_anti"), texts, similarity, "cross-links")
-    labels = connected_components(first.select(F.col("id").alias("a"), F.col("label").alias("b")).unionByName(more), "classes")
+    # these few links join whole components: only their labels are connected anew
+    ends = more.join(first.toDF("a", "x"), "a", "left").join(first.toDF("b", "y"), "b", "left")
+    merged = connected_components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")), "classes")
+    merged = merged.toDF("label", "merged")
 
-    by_text = texts.select("id", "u1", "u2", "first_doc").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    by_text = texts.select("id", "u1", "u2", "first_doc").join(first, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    by_text = by_text.join(merged, "label", "left").withColumn("label", F.coalesce("merged", "label")).drop("merged")
     rows = materialize(identities(docs, id_col, text_col), "identities")
     copies = rows.filter("n_words > 0").groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("copies"))
     by_text = materialize(by_text.join(copies, ["u1", "u2"]), "texts-by-class")
