@@ -3,7 +3,14 @@
 **Sketch.** A text's k-mers are its windows of five words (a shorter text is one window), each labelled with its
 occurrence number in the text. Each of ``SKETCHES`` hash functions picks the ``PICKS`` labelled k-mers with the least hashes
 and keeps them in text order. Two texts share a sketch entry when they picked the same k-mers in the same order, so unlike
-a set sketch it falls with moved passages too: it follows edit similarity.
+a set sketch it falls with moved passages too: it follows edit similarity. At the least similarity of a link such an entry is
+too rare, so ``SINGLES`` more hash functions pick one window of three words each. An edit changes at most three such windows:
+a link whose longer text has more than ``SHORT`` words shares at least 0.22 of them, whatever its edits, and is missed by all
+single picks with a chance below 0.1 %.
+
+**Short texts** (at most ``SHORT`` words) also meet exactly, by a prefix filter on single occurrence-labelled words: a link
+leaves all but the allowed edits of the longer text in common, so the rarest ``allowed edits + 1`` words of both sides, in
+one order of rarity, share a word.
 
 **Candidates and verification.** Texts that share an entry are candidates. A candidate pair is a link if a word
 alignment confined to the diagonals within the allowed number of edits gives a similarity 1 - edits / longer length of at least
@@ -42,6 +49,9 @@ from ebbflow.llm.components import connected_components
 KMER = 5
 PICKS = 3
 SKETCHES = 48
+SINGLE_KMER = 3
+SINGLES = 32
+SHORT = 32
 SIMILARITY = 0.8
 BINS = 256
 CHUNK = 512
@@ -226,12 +236,18 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
+def sketch_entries(hashes: np.ndarray, sketches: int = SKETCHES, picks: int = PICKS) -> np.ndarray:
+    """The entries of a text: those of several picks, then the single picks."""
+    return np.concatenate([order_minhash(kmers(hashes), sketches, picks), order_minhash(kmers(hashes, SINGLE_KMER), SINGLES, 1)])
+
+
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str, sketches: int, picks: int) -> DataFrame:
-    """One row per different word sequence with a word: id, identity, words, first_doc, sketch entries, histogram, text."""
+    """One row per different word sequence with a word: id, identity, words, first_doc, sketch entries, histogram, labelled
+    words (of short texts), text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary(), pa.string()]
-        names = ["first_doc", "u1", "u2", "n_words", "entries", "histogram", "text"]
+        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.string()]
+        names = ["first_doc", "u1", "u2", "n_words", "entries", "histogram", "labelled", "text"]
         done: dict[tuple[int, int], tuple] = {}  # copies within a task are sketched once
         for batch in pieces(batches, "text", 4_000_000):
             rows = []
@@ -244,17 +260,28 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str, sketches: int, p
                     if len(done) > 20_000:
                         done.clear()
                     hashes = word_hashes(words)
-                    done[key] = (order_minhash(kmers(hashes), sketches, picks).view(np.int64), histogram(hashes).tobytes())
+                    labelled = kmers(hashes, 1).view(np.int64) if len(words) <= SHORT else None
+                    done[key] = (sketch_entries(hashes, sketches, picks).view(np.int64), histogram(hashes).tobytes(), labelled)
                 rows.append((doc_id, *key, len(words), *done[key], text))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
-    schema = f"first_doc bigint, {_IDENTITY}, entries array<bigint>, histogram binary, text string"
+    schema = f"first_doc bigint, {_IDENTITY}, entries array<bigint>, histogram binary, labelled array<bigint>, text string"
     rows = _source(docs, id_col, text_col).mapInArrow(run, schema)
-    first = [F.first(c).alias(c) for c in ("n_words", "entries", "histogram", "text")]
+    first = [F.first(c).alias(c) for c in ("n_words", "entries", "histogram", "labelled", "text")]
     found = rows.groupBy("u1", "u2").agg(F.min("first_doc").alias("first_doc"), *first)
     return materialize(found.withColumn("id", F.monotonically_increasing_id()), "distinct-texts")
 
 
+def _prefix_words(texts: DataFrame, similarity: float) -> DataFrame:
+    """id, word of the short texts: as many of the rarest labelled words of each as its links cannot all lose."""
+    words = texts.filter("labelled IS NOT NULL").select("id", "n_words", F.explode("labelled").alias("word"))
+    shared = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    ranked = words.join(shared, "word").groupBy("id", "n_words").agg(F.array_sort(F.collect_list(F.struct("texts", "word"))).alias("ranked"))
+    first = F.floor(F.lit(1 - similarity) * F.col("n_words") + 1e-9).cast("int") + 1
+    prefix = ranked.select("id", F.explode(F.slice("ranked", F.lit(1), first)).alias("k"))
+    return prefix.filter("k.texts > 1").select("id", "k.word")
+
+
 def _within_bounds(n: np.ndarray, m: np.ndarray, h: np.ndarray, g: np.ndarray, similarity: float) -> np.ndarray:
     """Whether the lower bounds of the edits allow a link, for all pairs of two sets of texts."""
     allowed = np.floor((1 - similarity) * np.maximum(n[:, None], m[None, :]) + 1e-9)
@@ -343,6 +370,8 @@ def near_duplicates(
     label (null for documents without a word)."""
     texts = distinct_texts(docs, id_col, text_col, sketches, picks)
     entries = texts.select("id", F.posexplode("entries").alias("sketch", "entry")).select(F.xxhash64("sketch", "entry").alias("bucket"), "sketch", "id")
+    prefix = _prefix_words(texts, similarity).select(F.xxhash64(F.lit("word"), "word").alias("bucket"), F.lit(sketches + SINGLES).alias("sketch"), "id")
+    entries = entries.unionByName(prefix)
     heads = entries.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("tail")).filter("head < tail").select("bucket", "head")
     members = materialize(entries.join(heads, "bucket"), "bucket-members")  # only buckets with two texts or more
     star = members.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()

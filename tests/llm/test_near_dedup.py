@@ -131,3 +131,34 @@ def test_edge_rows(spark):
     kept = sorted((r["doc_id"] or 0, (r["text"] or "")[:12]) for r in nd.one_of_each(frame).collect())
     assert kept == sorted([(1, ""), (2, ""), (2, ""), (0, "lonely words"), (3, "a b c"), (5, long[:12]), (7, "x"), (7, "other text")])
     assert nd.class_report(frame.limit(0)).count() == 0 and nd.one_of_each(frame.limit(0)).count() == 0
+
+
+def test_links_near_the_limit_are_found(spark):
+    """All links at 0.80 to 0.85, of short texts and of texts without a common five-word window, against all pairs."""
+    rng = random.Random(11)
+    rows = []
+
+    def pair(n, places, extra=0):
+        a = planted(rng, n)
+        b = [f"new{rng.random()}" if i in places else w for i, w in enumerate(a)] + planted(rng, extra)
+        rows.extend([(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))])
+
+    for _ in range(40):
+        pair(200, set(range(4, 200, 5)))  # every fifth word replaced
+        pair(100, set(rng.sample(range(100), 20)))
+        pair(200, set(rng.sample(range(200), 34)))
+        for n, edits_made in ((10, 1), (12, 2), (15, 3), (33, 6), (40, 8)):
+            pair(n, set(rng.sample(range(n), edits_made)))
+        pair(5, (), 1)
+        pair(6, (), 1)
+    want = brute_classes(rows)
+    assert len(set(want.values())) == len(rows) // 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in nd.class_report(frame).collect()} == want
+
+
+def test_query_finds_the_classes_of_short_texts_too(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(1_000_000 + i, " ".join(nd.words_of(t)[: 2 + i % 30])) for i, t in rows if i % 2]  # short heads of texts
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in nd.class_report(frame).collect()} == brute_classes(rows)
