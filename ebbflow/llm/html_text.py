@@ -5,11 +5,15 @@ A line's *length* counts its characters outside links; lines inside page furnitu
 sidebars, forms, adverts, notices, reader comments, hidden parts) have length 0, so they cut the distribution. The lengths
 are summed over sliding windows of ``WINDOW`` lines. A run of lines goes on until a whole window is empty. Its *surge* is the
 first line from which a window ahead reaches the threshold, its *dive* the last line at which a window behind does. Text
-between surge and dive is kept, in page order.
+between surge and dive is kept, in page order. The threshold is ``SURGE`` characters (or the longest line of a shorter page).
 
-Pages that mark their article (``article``, ``main`` or that role) give length to the lines inside it only and need no
-least sum, so its short lines stay. Without such a mark a window must reach ``SURGE`` characters (or the longest line of
-a shorter page); link lists and stray short lines away from the text do not.
+Marks (``article``, ``main`` or that role) are a weight: on a page that has them, marked lines count ``MARK`` times, links
+included, and the threshold is as many times higher, so unmarked text needs that much more to be kept and a marked teaser
+next to a long unmarked text is not the article.
+
+Short lines stay with their text: a marked element that holds a kept line is kept whole, and a kept region goes on to either
+side over the lines of its container (the innermost ``div``, ``section``, ... around the region; directly below ``body`` only
+lines that stand there too), up to furniture. Lines of links alone do not extend a region, nor do stray short lines elsewhere.
 
 Lines are joined by a blank line; character references are decoded and white space inside a line becomes one space.
 
@@ -24,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,11 +38,15 @@ from ebbflow.llm.common import pieces
 
 WINDOW = 3
 SURGE = 80
+MARK = 4
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4"
     " h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
+#: Elements whose lines belong together.
+CONTAINERS = frozenset("article body center details div html main section td".split())
+FLAT = frozenset(("body", "html"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never hold article text.
 FURNITURE = frozenset(
@@ -65,19 +74,46 @@ def _marks(attributes: dict[str, str | None]) -> set[str]:
     return out
 
 
+class Container:
+    """An element whose lines are lines[first:last] of the page."""
+
+    def __init__(self, outer: Container | None, first: int, flat: bool, marked: bool) -> None:
+        self.outer, self.first, self.last, self.flat = outer, first, None, flat
+        self.mark = self if marked else outer and outer.mark  # the innermost marked element
+
+
 class Lines(HTMLParser):
-    """Lines of a page: (text, length outside links, inside a marked article)."""
+    """Lines of a page: (text, length outside links, inside a marked article), and the container of each line."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool]] = []
-        self.open: list[tuple[str, bool, bool]] = []  # element, in furniture, in article
+        self.containers: list[Container] = []
+        self.page = Container(None, 0, True, False)
+        self.open: list[tuple[str, bool, bool, Container]] = []  # element, in furniture, in article, innermost container
         self.parts: list[str] = []
         self.length = 0
         self.in_link = False
 
     def _state(self) -> tuple[bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False)
+        return self.open[-1][1:3] if self.open else (False, False)
+
+    def _container(self) -> Container:
+        return self.open[-1][3] if self.open else self.page
+
+    def _shut(self, at: int) -> None:
+        """Close the open elements from ``at`` on; their lines end here."""
+        for _, _, _, container in self.open[at:]:
+            container.last = len(self.lines)
+        del self.open[at:]
+        if self.open:
+            self.open[-1][3].last = None
+
+    def end_page(self) -> None:
+        self.close()
+        self.end_line()
+        self._shut(0)
+        self.page.last = len(self.lines)
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -85,15 +121,17 @@ class Lines(HTMLParser):
         if furniture:
             if not self.lines or self.lines[-1][0]:
                 self.lines += [("", 0, False)] * WINDOW  # cuts the distribution
+                self.containers += [self._container()] * WINDOW
         elif text:
             self.lines.append((text, self.length, article))
+            self.containers.append(self._container())
         self.parts, self.length = [], 0
 
     def _close(self, names: tuple[str, ...], within: frozenset[str]) -> None:
         """Close the innermost of ``names`` unless one of ``within`` is open inside it."""
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] in names:
-                del self.open[at:]
+                self._shut(at)
                 return
             if self.open[at][0] in within:
                 return
@@ -124,10 +162,14 @@ class Lines(HTMLParser):
                 or not NAMES.isdisjoint(marks)
                 or (page_header and not article and tag not in ("h1", "h2", "h3"))
             )
-        article = not furniture and (article or tag in ("article", "main") or role in ("article", "main"))
-        if (furniture, article) != self._state() and tag not in BLOCKS:
+        marked = not furniture and (tag in ("article", "main") or role in ("article", "main"))
+        article = not furniture and (article or marked)
+        if (marked or (furniture, article) != self._state()) and tag not in BLOCKS:
             self.end_line()
-        self.open.append((tag, furniture, article))
+        container = self._container()
+        if marked or (tag in CONTAINERS and not furniture):
+            container = Container(container, len(self.lines), tag in FLAT, marked)
+        self.open.append((tag, furniture, article, container))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS or tag in ("br", "img"):
@@ -140,9 +182,9 @@ class Lines(HTMLParser):
             self.end_line()
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                if tag not in BLOCKS and self.open[at][1:] != (self.open[at - 1][1:] if at else (False, False)):
+                if tag not in BLOCKS and self.open[at][1:] != (self.open[at - 1][1:] if at else (False, False, self.page)):
                     self.end_line()
-                del self.open[at:]
+                self._shut(at)
                 return
             if tag not in BLOCKS and self.open[at][0] in BLOCKS:
                 return  # an inline end tag never closes a block
@@ -182,15 +224,43 @@ def main_text(html: str) -> str:
         html = html[:opened]
     parser = Lines()
     parser.feed(html)
-    parser.close()
-    parser.end_line()
-    lines = parser.lines
-    if any(article for _, _, article in lines):  # the page marks its article: nothing else has a length
-        lengths, threshold = [len(text) if article else 0 for text, _, article in lines], 1
-    else:
-        lengths = [length for _, length, _ in lines]
-        threshold = max(1, min(SURGE, max(lengths, default=0)))
-    return "\n\n".join(lines[i][0] for a, b in regions(lengths, threshold) for i in range(a, b) if lines[i][0] and (lengths[i] or threshold > 1))
+    parser.end_page()
+    lines, containers = parser.lines, parser.containers
+    marked = [MARK * len(text) if article else 0 for text, _, article in lines]
+    others = [0 if article else length for _, length, article in lines]
+    threshold = max(1, min(MARK * SURGE if any(marked) else SURGE, max(map(max, marked, others), default=0)))
+    keep = bytearray(len(lines))
+    elements = {containers[i].mark for a, b in regions(marked, threshold) for i in range(a, b) if marked[i]}
+    found = [(e.first, e.last) for e in elements] + extended(regions(others, threshold), lines, containers)
+    for a, b in found:
+        keep[a:b] = b"\1" * (b - a)
+    return "\n\n".join(text for (text, _, _), kept in zip(lines, keep, strict=True) if kept and text)
+
+
+def extended(found: list[tuple[int, int]], lines: list[tuple[str, int, bool]], containers: list[Container]) -> list[tuple[int, int]]:
+    """The regions with the adjoining unmarked lines of their containers, up to a cut, a window of links or the next region."""
+    texts = [0, *accumulate(bool(text) for text, _, _ in lines)]
+    out = []
+    for n, (first, last) in enumerate(found):
+        around = containers[first]
+        while around.last < last:
+            around = around.outer
+        alone = texts[around.last] - texts[around.first] == texts[last] - texts[first]
+        if alone and not around.flat and not around.outer.flat:
+            around = around.outer  # a region with an element of its own goes with the lines around that
+        ends = []
+        for at, step, stop in ((first, -1, out[-1][1] - 1 if out else -1), (last - 1, 1, found[n + 1][0] if n + 1 < len(found) else len(lines))):
+            end, links, own = at, 0, containers[at]
+            for i in range(at + step, stop, step):
+                text, length, article = lines[i]
+                links = 0 if length else links + 1
+                inside = containers[i] is own if around.flat else around.first <= i < around.last
+                if not text or article or not inside or links >= WINDOW:
+                    break
+                end = i if length else end
+            ends.append(end)
+        out.append((ends[0], ends[1] + 1))
+    return out
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -65,3 +65,29 @@ def test_edge_rows(spark):
     assert got[(1, 0)] == "" and got[(2, 0)] == "" and got[(None, 1)] == "x" and got[(5, 0)] == "" and got[(6, 4)] == "deep"
     assert got[(5, 1_099_999)] == ("long words " * 100_000).strip()
     assert html_text.extract(frame.limit(0)).count() == 0
+
+
+def test_generated_pages_without_their_marks():
+    """The distribution finds the same text when the article tags are gone or are plain containers."""
+    import pyarrow.parquet as pq
+
+    for page in pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist():
+        want = article_of(page)
+        for start, end in (("", ""), ("<div class=post>", "</div>")):
+            assert html_text.main_text(page.replace("<article>", start).replace("</article>", end)) == want
+
+
+def test_short_lines_of_the_container_stay():
+    long = "Words of the article go on for some time. " * 5
+    verses = "".join(f"<p>verse {i}</p>" for i in range(6))
+    page = f"<body><div>Menu</div><div class=x>{verses}<p>{long}</p><ul><li>one<li>two<li>three<li>four</ul></div><div>Stray</div><div>lines</div><div>here</div><div>too</div></body>"
+    got = html_text.main_text(page).split("\n\n")
+    assert got[-11:-2] == [*(f"verse {i}" for i in range(6)), long.strip(), "one", "two"] and got[-2:] == ["three", "four"]
+    assert html_text.main_text(f"<body><p>{long}</p><p>a</p><p>b</p><p>c</p><p>d</p></body>").split("\n\n")[1:] == ["a", "b", "c", "d"]
+
+
+def test_the_distribution_selects_on_marked_pages_too():
+    long = "Words of the article go on for some time. " * 10
+    teasers = "<article><h3>Next one</h3></article><article><h3>Last one</h3></article>"
+    assert html_text.main_text(f"<div class=x><p>{long}</p><p>{long}</p></div><nav>x</nav>{teasers}") == "\n\n".join([long.strip()] * 2)
+    assert html_text.main_text(f"<div>Short outside.</div><article><p>{long}</p><p>end</p></article><div>Also outside.</div>") == f"{long.strip()}\n\nend"
