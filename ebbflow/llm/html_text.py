@@ -59,6 +59,8 @@ NAMES = frozenset(
     " menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies reply share sharing"
     " sidebar signup skyscraper social sponsor sponsored subscribe teaser toolbar widget".split()
 )
+#: Elements (all furniture) in which markup other than their end is text; the parser knows script and style itself.
+RAW_TEXT = frozenset(("iframe", "textarea", "title"))
 HEADERS = frozenset(("header", "masthead"))
 _WORD = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -189,6 +191,13 @@ class Lines(HTMLParser):
             if tag not in BLOCKS and self.open[at][0] in BLOCKS:
                 return  # an inline end tag never closes a block
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """The end of the comment at ``i``, asked for where the parser reads text or tags (not in scripts, styles or attribute values)."""
+        if self.open and self.open[-1][0] in RAW_TEXT:  # no comments in there
+            return i + len("<!--")
+        end = super().parse_comment(i, report)
+        return end if end >= 0 else len(self.rawdata)  # a comment that is never closed hides the rest
+
     def handle_data(self, data: str) -> None:
         furniture, _ = self._state()
         if not furniture:
@@ -219,9 +228,6 @@ def regions(lengths: list[int], threshold: int, window: int = WINDOW) -> list[tu
 
 
 def main_text(html: str) -> str:
-    opened = html.rfind("<!--")
-    if opened >= 0 and html.find("-->", opened) < 0:  # a comment that is never closed hides the rest
-        html = html[:opened]
     parser = Lines()
     parser.feed(html)
     parser.end_page()

@@ -91,3 +91,21 @@ def test_the_distribution_selects_on_marked_pages_too():
     teasers = "<article><h3>Next one</h3></article><article><h3>Last one</h3></article>"
     assert html_text.main_text(f"<div class=x><p>{long}</p><p>{long}</p></div><nav>x</nav>{teasers}") == "\n\n".join([long.strip()] * 2)
     assert html_text.main_text(f"<div>Short outside.</div><article><p>{long}</p><p>end</p></article><div>Also outside.</div>") == f"{long.strip()}\n\nend"
+
+
+def test_comment_openings_that_open_no_comment():
+    article = "<article><p>The text</p><p>of the page</p></article>"
+    want = "The text\n\nof the page"
+    for before in (
+        '<script>var s = "<!--";</script>',
+        "<script><!-- old style block\nrun();</script>",
+        "<style><!-- p {}</style>",
+        "<form><textarea>a <!-- b</textarea></form>",
+        "<head><title>a <!-- b</title></head>",
+        '<p title="<!--"></p>',
+    ):
+        assert html_text.main_text(before + article) == want
+        assert html_text.main_text(article + before) == want
+        assert html_text.main_text(before + article + "<!-- x --><p>y</p>") == want
+    assert html_text.main_text(article + "<!-- never closed <article><p>hidden</p></article>") == want
+    assert html_text.main_text("<!-- never closed " + article) == ""
