@@ -7,8 +7,11 @@ A document fails with fewer than ten words, or when more than 20 % of its words
 **Line frequency.** Lines are normalised (lower case, white space runs to one space, digits to 0) and hashed. Per
 host, a line is *common* when more than ``max_docs`` distinct documents have it. Exact copies of a text count as one
 document. A line also has to stand between different neighbours: the distinct lines before it, or after it, must
-be at least ``min_context`` of its documents. Copied or lightly edited texts share runs of neighbouring lines; they
-are left to near-duplicate detection, which keeps one of them, instead of being removed here with all their copies.
+be at least ``min_context`` of its documents. A line of a block (notice, licence, menu) has the same neighbours
+everywhere; it counts by the lines around the block too: the lines above ``max_docs`` that follow each other in a text are
+a run, and the distinct lines before, or after, one run that holds the line may reach that share instead. Copied or lightly edited texts share runs of neighbouring lines; they
+are left to near-duplicate detection, which keeps one of them, instead of being removed here with all their copies; edits at
+different places give each copy other runs. (Copies that all differ in one and the same line look like a block and count as one.)
 Common lines are removed from the text (``clean_text``), and a document is *depleted* when less than ``min_left`` of its
 words remain.
 
@@ -23,10 +26,10 @@ are one document in the counts and each keep their row. Extra columns are carrie
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import fresh
+from ebbflow.llm.common import fresh, materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -104,7 +107,7 @@ def normalised(line: Column) -> Column:
 
 
 def host_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per line with a word: host, text id, line hash, hashes of the lines before and after, words."""
+    """One row per line with a word: host, text id, line hash, words, place, hashes of the lines before and after."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     lines = F.filter(F.transform(F.split(text, "\n"), normalised), lambda x: x != "")
     one = docs.select(
@@ -118,6 +121,7 @@ def host_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
         lambda x, i: F.struct(
             x["line"].alias("line"),
             x["n_words"].alias("n_words"),
+            i.alias("place"),
             F.when(i > 0, F.get("lines", i - 1)["line"]).alias("before"),
             F.get("lines", i + 1)["line"].alias("after"),
         ),
@@ -132,7 +136,23 @@ def common_lines(lines: DataFrame, max_docs: int = MAX_DOCS, min_context: float
         F.count_distinct("before").alias("n_before"),
         F.count_distinct("after").alias("n_after"),
     )
-    return counted.filter((F.col("n_docs") > max_docs) & (F.greatest("n_before", "n_after") >= min_context * F.col("n_docs"))).select("host", "line", "n_docs")
+    above = materialize(counted.filter(F.col("n_docs") > max_docs), "lines-above-limit")
+    around = F.greatest("n_before", "n_after", F.coalesce("n_around", F.lit(0)))
+    return above.join(_around_runs(lines, above), ["host", "line"], "left").filter(around >= min_context * F.col("n_docs")).select("host", "line", "n_docs")
+
+
+def _around_runs(lines: DataFrame, above: DataFrame) -> DataFrame:
+    """host, line, n_around: most distinct lines before, or after, any one run of lines of ``above`` that holds the line."""
+    found = lines.join(above.select("host", "line"), ["host", "line"])
+    found = found.groupBy("host", "text_id", "place").agg(*[F.first(c).alias(c) for c in ("line", "before", "after")])  # copies once
+    in_text = Window.partitionBy("host", "text_id").orderBy("place")
+    found = found.withColumn("run", F.col("place") - F.row_number().over(in_text))  # the same for consecutive places
+    held = F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]).alias("held")
+    runs = found.groupBy("host", "text_id", "run").agg(held, F.min_by("before", "place").alias("before"), F.max_by("after", "place").alias("after"))
+    runs = runs.select("host", F.xxhash64("held").alias("run"), "held", "before", "after")
+    spread = runs.groupBy("host", "run").agg(F.count_distinct("before").alias("b"), F.count_distinct("after").alias("a"))
+    each = runs.groupBy("host", "run").agg(F.first("held").alias("held")).join(spread, ["host", "run"])
+    return each.select("host", F.explode("held").alias("line"), F.greatest("a", "b").alias("n")).groupBy("host", "line").agg(F.max("n").alias("n_around"))
 
 
 def depleted_texts(lines: DataFrame, common: DataFrame, min_left: float = MIN_LEFT) -> DataFrame:

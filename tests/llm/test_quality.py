@@ -97,3 +97,27 @@ def test_edge_rows(spark):
     got = [tuple(r) for r in quality.quality_report(frame).select("doc_id", *NAMES).collect()]
     assert sorted(got, key=str) == sorted([(i, *base(t)) for i, t, _ in rows], key=str)
     assert quality.quality_report(frame.limit(0)).count() == 0
+
+
+def test_lines_of_notices_of_several_lines_are_common(spark):
+    """Blocks of five lines at the start, in the middle and at the end; lightly edited copies stay."""
+    rng = random.Random(8)
+    line = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    rows, blocks = [], {h: [line(9) for _ in range(5)] for h in ("start", "middle", "end")}
+    for i in range(40):
+        for k, (host, block) in enumerate(blocks.items()):
+            own = [line(30), line(30)]
+            rows.append((1000 * k + i, "\n".join({"start": block + own, "middle": own[:1] + block + own[1:], "end": own + block}[host]), host))
+            short = [line(4)]  # the notice and one sentence
+            rows.append((1000 * k + 500 + i, "\n".join({"start": block + short, "middle": [line(2), *block, line(2)], "end": short + block}[host]), host))
+    clean = [line(10) for _ in range(20)]
+    for i in range(200):  # copies of a clean text, each with one line of its own somewhere
+        text = list(clean)
+        text[i % 20] = line(10)
+        rows.append((9000 + i, "\n".join(text), "copies"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_report(frame).collect()}
+    assert {i: kept for i, kept in got.items()} == {i: i >= 9000 or i % 1000 < 500 for i, _, _ in rows}
+    lines = quality.host_lines(frame)
+    common = quality.common_lines(lines)
+    assert {r["host"]: r["count"] for r in common.groupBy("host").count().collect()} == {"hstart": 5, "hmiddle": 5, "hend": 5}
