@@ -15,16 +15,20 @@ How it runs. Documents are packed into blocks (word numbers as one compressed co
 
 1. Buckets of words are merged: the unigram table (word, id, count), written partitioned by bucket; ids and counts go
    back to the blocks.
-2. Each block writes its bigram events per history bucket (ids, document, training or not), packed, to a table that is
-   bucketed by history bucket, so that the next two steps read it without a shuffle.
-3. Each history bucket merges its training events: the bigram table (packed, partitioned by history bucket), and the counts of counts.
-4. Each history bucket looks every event up in its part of the bigram table and sums log probabilities by document;
+2. Each block writes its bigrams per history bucket, packed, to a table that is bucketed by history bucket, so that the next
+   two steps read it without a shuffle: every bigram once with its training count, and once per document with its count there.
+3. Each history bucket adds up the training counts: the bigram table (packed, partitioned by history bucket), and the counts of counts.
+4. Each history bucket looks every bigram of a block up in its part of the bigram table and sums log probabilities by document;
    sums per block and bucket are added up. Backing off from a bigram to its unigram is the recursion of one token.
 
 Hot histories: a word with more than ``HOT`` training tokens has its events spread over all buckets by their second word.
 Its total is its unigram count; its left-over mass is the sum of per-bucket parts, gathered for these few histories
 only (at most training tokens / HOT of them).
 
+Hot bigrams: however often a bigram occurs, a block sends it once for the model and once per document for the scores. A
+history bucket with more than ``HEAVY`` times ``EVENT_BUCKET`` such document rows is scored in parts, by block, each with
+a copy of the bucket's part of the bigram table.
+
 Bigrams are looked up by two word ids below 2**32 in one 64-bit key; more distinct words raise an error.
 
 Defined results: null text is the empty text, one end token. A null document id counts as the empty text for the
@@ -56,6 +60,7 @@ HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 7, 2
 BLOCK_BYTES = 24_000_000
 WORD_BUCKET_BYTES = 32_000_000
 EVENT_BUCKET = 2_000_000
+HEAVY = 4
 HOT = 1_000_000
 BEGIN, END, FIRST_WORD = 0, 1, 2
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -217,16 +222,19 @@ def unigram_level(unigrams: DataFrame, documents: int) -> Unigrams:
 
 # --- bigram events ---------------------------------------------------------------------------------------------------
 
-_EVENT_COLUMNS = ("words", "unigrams", "train_h", "train_w", "train_doc", "held_h", "held_w", "held_doc")
+#: Bigrams: history, place of the second word in ``words``, training count. Their documents: place of the bigram, document, count there.
+_MODEL_COLUMNS = ("words", "unigrams", "pair_h", "pair_w", "pair_n")
+_EVENT_COLUMNS = ("words", "unigrams", "pair_h", "pair_w", "pair_n", "at", "doc", "times")
 EVENTS = (
     "hbucket int, block bigint, " + ", ".join(f"{c} binary" for c in _EVENT_COLUMNS)
-    + ", doc_ids array<bigint>, held array<boolean>, n_tokens array<bigint>, n_known array<bigint>, base array<double>"
+    + ", n_rows bigint, doc_ids array<bigint>, held array<boolean>, n_tokens array<bigint>, n_known array<bigint>, base array<double>"
 )
 _EVENTS = pa.schema(
     [
         ("hbucket", pa.int32()),
         ("block", pa.int64()),
         *((c, pa.binary()) for c in _EVENT_COLUMNS),
+        ("n_rows", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
         ("held", pa.list_(pa.bool_())),
         ("n_tokens", pa.list_(pa.int64())),
@@ -259,23 +267,27 @@ def block_events(row: dict, ids: np.ndarray, counts: np.ndarray, level: Unigrams
     doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes + 1)
     held = np.repeat(np.array(row["held"], bool), sizes + 1)
     bucket = history_bucket(h, w, np.isin(h, hot), buckets)
-    order = np.lexsort((w, h, held, bucket))
+    order = np.lexsort((w, h, bucket))  # stable: documents stay in order
     h, w, doc_in, held, bucket, count_in = h[order], w[order], doc[order], held[order], bucket[order], count[order]
     edges = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), total], strict=True):
-        m = a + int(np.searchsorted(held[a:b], True))
-        words, index, local = np.unique(w[a:b], return_index=True, return_inverse=True)
+        h_in, w_in, docs = h[a:b], w[a:b], doc_in[a:b]
+        new_pair = np.concatenate([[True], (h_in[1:] != h_in[:-1]) | (w_in[1:] != w_in[:-1])])
+        new_row = new_pair | np.concatenate([[True], docs[1:] != docs[:-1]])
+        pair_at, row_at = np.flatnonzero(new_pair), np.flatnonzero(new_row)
+        words, index, local = np.unique(w_in[pair_at], return_index=True, return_inverse=True)
         yield {
             "hbucket": int(bucket[a]),
             "block": row["block"],
             "words": pack_numbers(words, delta=True),
-            "unigrams": pack_numbers(count_in[a:b][index]),
-            "train_h": pack_numbers(h[a:m], delta=True),
-            "train_w": pack_numbers(local[: m - a]),
-            "train_doc": pack_numbers(doc_in[a:m]),
-            "held_h": pack_numbers(h[m:b], delta=True),
-            "held_w": pack_numbers(local[m - a :]),
-            "held_doc": pack_numbers(doc_in[m:b]),
+            "unigrams": pack_numbers(count_in[a:b][pair_at][index]),
+            "pair_h": pack_numbers(h_in[pair_at], delta=True),
+            "pair_w": pack_numbers(local),
+            "pair_n": pack_numbers(np.add.reduceat((~held[a:b]).astype(np.int64), pair_at)),
+            "at": pack_numbers((np.cumsum(new_pair) - 1)[row_at].astype(np.uint64), delta=True),
+            "doc": pack_numbers(docs[row_at]),
+            "times": pack_numbers(np.diff(np.append(row_at, b - a))),
+            "n_rows": len(row_at),
         }
     yield {
         "hbucket": -1 - row["block"] % buckets,
@@ -333,12 +345,14 @@ def _keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return h.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64)
 
 
-def merge_bigrams(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted keys, counts, unigram count of the second word) of (h, w, unigram count) events."""
-    empty = np.zeros(0, np.uint64)
-    keys = np.concatenate([empty, *(_keys(h, w) for h, w, _ in parts)])
-    found, index, n = np.unique(keys, return_index=True, return_counts=True)
-    return found, n, np.concatenate([np.zeros(0, np.int64), *(c for _, _, c in parts)])[index]
+def merge_bigrams(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted keys, counts, unigram count of the second word) of (h, w, count, unigram count) of blocks."""
+    keys = np.concatenate([np.zeros(0, np.uint64), *(_keys(h, w) for h, w, _, _ in parts)])
+    n, unigrams = (np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in (2, 3))
+    order = np.argsort(keys, kind="stable")
+    keys, n, unigrams = keys[order], n[order], unigrams[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(n, starts) if len(keys) else n, unigrams[starts]
 
 
 def history_parts(n: np.ndarray, probabilities: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -364,9 +378,11 @@ def bigram_table(events: DataFrame, level: Unigrams, hot: np.ndarray) -> DataFra
 
     def run(table: pa.Table) -> pa.Table:
         parts = []
-        for words, unigrams, h, w in zip(*(table.column(c).to_pylist() for c in ("words", "unigrams", "train_h", "train_w")), strict=True):
-            local = open_numbers(w)
-            parts.append((open_numbers(h, delta=True), open_numbers(words, delta=True)[local], open_numbers(unigrams).astype(np.int64)[local]))
+        for words, unigrams, h, w, n in zip(*(table.column(c).to_pylist() for c in _MODEL_COLUMNS), strict=True):
+            local, n = open_numbers(w), open_numbers(n).astype(np.int64)
+            seen = n > 0
+            local = local[seen]
+            parts.append((open_numbers(h, delta=True)[seen], open_numbers(words, delta=True)[local], n[seen], open_numbers(unigrams).astype(np.int64)[local]))
         keys, n, counts = merge_bigrams(parts)
         h = keys >> np.uint64(32)
         row = {
@@ -387,7 +403,7 @@ def bigram_table(events: DataFrame, level: Unigrams, hot: np.ndarray) -> DataFra
         kinds = [pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
         return pa.Table.from_pylist([row], schema=pa.schema(list(zip(row, kinds, strict=True))))
 
-    rows = events.filter("hbucket >= 0").select("hbucket", "words", "unigrams", "train_h", "train_w")
+    rows = events.filter("hbucket >= 0").select("hbucket", *_MODEL_COLUMNS)
     return materialize(rows.groupBy("hbucket").applyInArrow(run, BIGRAMS), "bigrams")
 
 
@@ -430,7 +446,7 @@ class Bigrams:
         return out
 
 
-def _sums(events: DataFrame, bigrams: DataFrame, level: Unigrams, d: np.ndarray, hot: dict[int, tuple[float, float]]) -> DataFrame:
+def _sums(events: DataFrame, bigrams: DataFrame, level: Unigrams, d: np.ndarray, hot: dict[int, tuple[float, float]], event_bucket: int = EVENT_BUCKET) -> DataFrame:
     """block, hbucket, and the sum of log probabilities of each of the block's documents in that bucket."""
 
     def run(table: pa.Table, model: pa.Table) -> pa.Table:
@@ -444,20 +460,26 @@ def _sums(events: DataFrame, bigrams: DataFrame, level: Unigrams, d: np.ndarray,
         rows = []
         for e in table.to_pylist():
             words, counts = open_numbers(e["words"], delta=True), open_numbers(e["unigrams"]).astype(np.int64)
-            total = np.zeros(0)
-            for kind in ("train", "held"):
-                local, doc = open_numbers(e[f"{kind}_w"]), open_numbers(e[f"{kind}_doc"])
-                if len(local):
-                    scores = part.score(open_numbers(e[f"{kind}_h"], delta=True).astype(np.uint64), words[local].astype(np.uint64), counts[local])
-                    more = np.bincount(doc, weights=scores, minlength=len(total))
-                    more[: len(total)] += total
-                    total = more
+            local = open_numbers(e["pair_w"])
+            scores = part.score(open_numbers(e["pair_h"], delta=True).astype(np.uint64), words[local].astype(np.uint64), counts[local])
+            weights = scores[open_numbers(e["at"], delta=True).astype(np.int64)] * open_numbers(e["times"])
+            total = np.bincount(open_numbers(e["doc"]), weights=weights)
             rows.append({"block": e["block"], "hbucket": e["hbucket"], "sums": total.tolist()})
         return pa.Table.from_pylist(rows, schema=pa.schema([("block", pa.int64()), ("hbucket", pa.int32()), ("sums", pa.list_(pa.float64()))]))
 
-    rows = events.filter("hbucket >= 0").select("hbucket", "block", *_EVENT_COLUMNS).groupBy("hbucket")
-    right = bigrams.select("hbucket", "h", "w", "n", "unigrams").groupBy("hbucket")
-    return rows.cogroup(right).applyInArrow(run, "block bigint, hbucket int, sums array<double>")
+    kind = "block bigint, hbucket int, sums array<double>"
+    rows = events.filter("hbucket >= 0").select("hbucket", "block", *_EVENT_COLUMNS)
+    right = bigrams.select("hbucket", "h", "w", "n", "unigrams")
+    sizes = events.filter("hbucket >= 0").groupBy("hbucket").agg(F.sum("n_rows").alias("n"))
+    heavy = sizes.filter(F.col("n") > HEAVY * event_bucket).select("hbucket", F.ceil(F.col("n") / event_bucket).cast("int").alias("parts"))
+    heavy = materialize(heavy, "heavy-buckets")
+    if heavy.isEmpty():
+        return rows.groupBy("hbucket").cogroup(right.groupBy("hbucket")).applyInArrow(run, kind)
+    light = rows.join(heavy, "hbucket", "left_anti").groupBy("hbucket")
+    light = light.cogroup(right.join(heavy, "hbucket", "left_anti").groupBy("hbucket")).applyInArrow(run, kind)
+    spread = rows.join(heavy, "hbucket").withColumn("part", F.pmod(F.xxhash64("block"), F.col("parts")).cast("int")).drop("parts")
+    copies = right.join(heavy.toDF("hbucket", "copies"), "hbucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    return light.unionByName(spread.groupBy("hbucket", "part").cogroup(copies.groupBy("hbucket", "part")).applyInArrow(run, kind))
 
 
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -519,7 +541,7 @@ def _lm_scores(docs, id_col, text_col, block_bytes, word_bucket_bytes, event_buc
     for r in summed:
         of_counts[r["r"] + 1] = r["types"]
     d = discounts(of_counts)
-    return _scores(events, _sums(events, bigrams, level, d, _hot_weights(bigrams, d)), level)
+    return _scores(events, _sums(events, bigrams, level, d, _hot_weights(bigrams, d), event_bucket), level)
 
 
 def _hot_weights(bigrams: DataFrame, d: np.ndarray) -> dict[int, tuple[float, float]]:

@@ -113,3 +113,22 @@ def test_discounts_fall_back():
     assert katz.discounts([0, 10, 5, 3, 2, 1, 1]).tolist()[1:] != []
     assert katz.discounts([0, 0, 5, 3, 2, 1, 1]).tolist() == [1.0]
     assert katz.discounts([0] * 7).tolist() == [1.0]
+
+
+def test_a_hot_bigram_is_sent_once_per_block_and_document():
+    block = katz._Block()
+    for doc_id in range(20):
+        block.add(doc_id, "b " * 5_000)
+    *words, docs = block.rows(0, 1)
+    level = katz.Unigrams(100_000, 2, 17, np.ones(1), 0.0)
+    *events, _ = katz.block_events(docs, np.array([2], np.uint64), np.array([85_000]), level, np.array([2], np.uint64), 1)
+    held = sum(map(is_held, range(20)))
+    assert max(len(katz.open_numbers(e[c])) for e in events for c in katz._EVENT_COLUMNS) <= 3 * 20  # three bigrams, 20 documents
+    assert sum(katz.open_numbers(e["pair_n"]).sum() for e in events) == (20 - held) * 5_001
+    assert sum(katz.open_numbers(e["times"]).sum() for e in events) == 20 * 5_001
+
+
+def test_heavy_buckets_are_scored_in_parts(spark):
+    rows = [(i, f"x y w{i % 50} x y") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    check(katz.lm_scores(frame, block_bytes=700, event_bucket=100, hot_tokens=300).collect(), rows, Plain(rows))
