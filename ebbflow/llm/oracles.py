@@ -89,4 +89,39 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM shown GROUP BY conv_id
 """
 
-ORACLES = {"op1_chat": OP1, "op8_warc": OP8, "op5_quality_rules": OP5, "op10_decontamination": OP10}
+
+
+def _vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """SQL of the vector codes: the assignment of each round is a join of all parts with their codebook."""
+
+    def assigned(r: int) -> str:
+        return f"""
+n{r} AS (
+  SELECT x.r, x.p, arg_min(e, (dist, e)) AS e, min(dist) AS dist FROM (
+    SELECT x.r, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS dist
+    FROM parts x JOIN book{r} b USING (p)) x GROUP BY ALL),"""
+
+    def moved(r: int) -> str:
+        return f"""
+means{r} AS (
+  SELECT p, e, list(m ORDER BY k) AS v FROM (
+    SELECT p, e, k, CAST(floor(sum(c) / count(*)) AS BIGINT) AS m
+    FROM (SELECT p, e, generate_subscripts(v, 1) AS k, unnest(v) AS c FROM n{r} JOIN parts USING (r, p)) GROUP BY p, e, k) GROUP BY p, e),
+book{r + 1} AS (SELECT p, e, coalesce(m.v, b.v) AS v FROM book{r} b LEFT JOIN means{r} m USING (p, e)),"""
+
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT r, p, v[p * w + 1 : (p + 1) * w] AS v FROM (SELECT r, v, len(v) // {parts} AS w, unnest(generate_series(0, {parts - 1})) AS p FROM kept)),
+book0 AS (SELECT p, r - 1 AS e, v FROM parts WHERE r <= {entries}),
+{"".join(assigned(r) + moved(r) for r in range(rounds))}{assigned(rounds)}
+digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}),
+codes AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error FROM n{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (r), digest
+"""
+
+
+ORACLES = {"op1_chat": OP1, "op8_warc": OP8, "op5_quality_rules": OP5, "op10_decontamination": OP10, "op13_vector_codes": _vector_codes()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbflow.llm import chat, decontaminate, html_text, katz, near_dedup, quality, sentencepiece_lattice, token_count, warc, wavelet
+from ebbflow.llm import chat, decontaminate, html_text, katz, near_dedup, quality, sentencepiece_lattice, token_count, vector_codes, warc, wavelet
 from ebbflow.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_near_dedup": op2_near_dedup,
@@ -68,4 +72,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_katz": op9_katz,
     "op10_decontamination": op10_decontamination,
+    "op13_vector_codes": op13_vector_codes,
 }
