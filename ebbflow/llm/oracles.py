@@ -90,6 +90,27 @@ FROM shown GROUP BY conv_id
 """
 
 
+OP12 = """
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, a.label AS anchor_label, x.vec_id, x.label, CAST(list_inner_product(a.v, x.v) AS BIGINT) AS score
+  FROM kept a JOIN kept x ON a.vec_id % 100 = 0 AND a.r <> x.r),
+positives AS (
+  SELECT a, anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score, k FROM (
+    SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST) AS k FROM scores WHERE label = anchor_label)
+  WHERE k <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.k ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+  FROM positives p JOIN scores s ON p.a = s.a AND s.label <> p.anchor_label
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
+
 
 def _vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
     """SQL of the vector codes: the assignment of each round is a join of all parts with their codebook."""
@@ -124,4 +145,4 @@ FROM kept JOIN codes USING (r), digest
 """
 
 
-ORACLES = {"op1_chat": OP1, "op8_warc": OP8, "op5_quality_rules": OP5, "op10_decontamination": OP10, "op13_vector_codes": _vector_codes()}
+ORACLES = {"op1_chat": OP1, "op8_warc": OP8, "op5_quality_rules": OP5, "op10_decontamination": OP10, "op12_hard_negatives": OP12, "op13_vector_codes": _vector_codes()}
