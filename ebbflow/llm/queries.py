@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbflow.llm import chat, decontaminate, hard_negatives, html_text, katz, near_dedup, quality, sentencepiece_lattice, token_count, vector_codes, warc, wavelet
+from ebbflow.llm import chat, decontaminate, hard_negatives, html_text, katz, near_dedup, quality, quality_classifier, sentencepiece_lattice, token_count, vector_codes, warc, wavelet
 from ebbflow.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.negatives_report(table(spark, sf_dir, "embeddings"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_katz": op9_katz,
     "op10_decontamination": op10_decontamination,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_vector_codes": op13_vector_codes,
 }
