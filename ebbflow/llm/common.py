@@ -43,6 +43,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, buckets: int, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder in hash buckets of ``column`` and read it back: joins on that column leave it in place. The
+    table's name leaves the catalog at once; its files stay with the other scratch data."""
+    spark = df.sparkSession
+    unique = f"{name}_{uuid.uuid4().hex[:12]}"
+    df.write.option("path", scratch(spark, name)).option("compression", "zstd").bucketBy(buckets, column).saveAsTable(unique)
+    table = spark.table(unique)
+    table.schema  # resolved before the name goes  # noqa: B018
+    spark.sql(f"DROP TABLE {unique}")
+    return table
+
+
 @contextmanager
 def conf(spark: SparkSession, **settings: str) -> Iterator[None]:
     """Set SQL settings (dots written as double underscores) and put the former values back."""

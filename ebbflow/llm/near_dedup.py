@@ -1,12 +1,11 @@
 """Near-duplicate classes by Order MinHash and banded alignment.
 
-**Sketch.** A text's k-mers are its windows of five words (a shorter text is one window), each labelled with its
+**Sketch.** A text's k-mers are its windows of ``KMER`` words (a shorter text is one window), each labelled with its
 occurrence number in the text. Each of ``SKETCHES`` hash functions picks the ``PICKS`` labelled k-mers with the least hashes
 and keeps them in text order. Two texts share a sketch entry when they picked the same k-mers in the same order, so unlike
-a set sketch it falls with moved passages too: it follows edit similarity. At the least similarity of a link such an entry is
-too rare, so ``SINGLES`` more hash functions pick one window of three words each. An edit changes at most three such windows:
-a link whose longer text has more than ``SHORT`` words shares at least 0.22 of them, whatever its edits, and is missed by all
-single picks with a chance below 0.1 %.
+a set sketch it falls with moved passages too: it follows edit similarity. One edit changes at most ``KMER`` windows. A link of texts
+of n > ``SHORT`` words therefore shares at least 0.6 n of its two-word windows, whatever its edits, and all sketches together miss it with a
+chance below 0.05 %. (Windows of five words are too rare at similarity 0.8: an edit in every fifth word leaves none.)
 
 **Short texts** (at most ``SHORT`` words) also meet exactly, by a prefix filter on single occurrence-labelled words: a link
 leaves all but the allowed edits of the longer text in common, so the rarest ``allowed edits + 1`` words of both sides, in
@@ -23,13 +22,16 @@ What remains are buckets whose members are in different components, usually text
 are cut into chunks, each pair of chunks is one small task group, and only pairs of different components that pass the bounds
 leave it for verification. Chunk tasks read n²/CHUNK rows of a bucket of n, the price of exactness for such buckets.
 
-Scale: exact copies collapse first, on a 128-bit hash of the word sequence, with map-side combining. Bucket minima are
-combined before the shuffle and joined back, where Spark splits skewed keys. Texts travel once to the distinct table
-and then only for pairs that pass the bounds. Every step is written to the shared scratch folder.
+Scale: exact copies collapse first, on a 128-bit hash of the word sequence, within each task before anything is shuffled. The distinct texts are
+written bucketed by their id, so texts are shuffled once; later joins bring ids to them. A pair's texts meet once per member, and a head with very many
+members is dealt out over copies of its text. Bucket minima are combined before the shuffle and joined back, where Spark
+splits skewed keys. Every step is written to the shared scratch folder.
 
 Defined results: ``class_id`` is the smallest document id of the class. Words are compared lower-cased, separated by white
 space. Documents without a word (null or empty texts) are classes of their own. Null ids are never smallest: such
-documents carry the class id of their class, null if it has no id. Repeated rows share their class.
+documents carry the class id of their class, null if it has no id. Repeated rows share their class. An empty table gives no rows. Columns of ``docs`` other than
+the id and the text are not read, except by ``one_of_each``, which returns them whatever their names. Texts of any length are aligned whole; the
+alignment of two texts of n words takes at most n * n / 5 steps, few when they differ in few places.
 """
 
 from __future__ import annotations
@@ -40,21 +42,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import extended, fresh, materialize, pieces
+from ebbflow.llm.common import bucketed, extended, fresh, materialize, pieces
 from ebbflow.llm.components import connected_components
 
-KMER = 5
-PICKS = 3
-SKETCHES = 48
-SINGLE_KMER = 3
-SINGLES = 32
+KMER = 2
+PICKS = 2
+SKETCHES = 40
 SHORT = 32
 SIMILARITY = 0.8
 BINS = 256
 CHUNK = 512
+HEAD_ROWS = 2048
+SEEN = 100_000
 FEW_EDITS = 24
 
 _MULTIPLIERS = (np.random.default_rng(20240501).integers(1, 1 << 63, 1024, np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -236,40 +238,42 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
-def sketch_entries(hashes: np.ndarray, sketches: int = SKETCHES, picks: int = PICKS) -> np.ndarray:
-    """The entries of a text: those of several picks, then the single picks."""
-    return np.concatenate([order_minhash(kmers(hashes), sketches, picks), order_minhash(kmers(hashes, SINGLE_KMER), SINGLES, 1)])
+def sketch_buckets(hashes: np.ndarray, sketches: int = SKETCHES, picks: int = PICKS) -> np.ndarray:
+    """The bucket of each sketch entry of a text."""
+    return order_minhash(kmers(hashes), sketches, picks)
 
 
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str, sketches: int, picks: int) -> DataFrame:
-    """One row per different word sequence with a word: id, identity, words, first_doc, sketch entries, histogram, labelled
-    words (of short texts), text."""
+    """One row per different word sequence with a word, bucketed by id: id, identity, words, sketch buckets, labelled words (of short texts), text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.string()]
-        names = ["first_doc", "u1", "u2", "n_words", "entries", "histogram", "labelled", "text"]
-        done: dict[tuple[int, int], tuple] = {}  # copies within a task are sketched once
+        kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string()]
+        names = ["u1", "u2", "n_words", "buckets", "labelled", "text"]
+        seen: set[tuple[int, int]] = set()  # copies within a task leave it once
         for batch in pieces(batches, "text", 4_000_000):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for text in batch.column("text").to_pylist():
                 words = words_of(text)
-                if not words:
-                    continue
                 key = _identity(words)
-                if key not in done:
-                    if len(done) > 20_000:
-                        done.clear()
-                    hashes = word_hashes(words)
-                    labelled = kmers(hashes, 1).view(np.int64) if len(words) <= SHORT else None
-                    done[key] = (sketch_entries(hashes, sketches, picks).view(np.int64), histogram(hashes).tobytes(), labelled)
-                rows.append((doc_id, *key, len(words), *done[key], text))
+                if not words or key in seen:
+                    continue
+                if len(seen) > SEEN:
+                    seen.clear()
+                seen.add(key)
+                hashes = word_hashes(words)
+                labelled = kmers(hashes, 1).view(np.int64) if len(words) <= SHORT else None
+                rows.append((*key, len(words), sketch_buckets(hashes, sketches, picks).view(np.int64), labelled, text))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
-    schema = f"first_doc bigint, {_IDENTITY}, entries array<bigint>, histogram binary, labelled array<bigint>, text string"
-    rows = _source(docs, id_col, text_col).mapInArrow(run, schema)
-    first = [F.first(c).alias(c) for c in ("n_words", "entries", "histogram", "labelled", "text")]
-    found = rows.groupBy("u1", "u2").agg(F.min("first_doc").alias("first_doc"), *first)
-    return materialize(found.withColumn("id", F.monotonically_increasing_id()), "distinct-texts")
+    spark = docs.sparkSession
+    rows = _source(docs, id_col, text_col).mapInArrow(run, f"{_IDENTITY}, buckets array<bigint>, labelled array<bigint>, text string")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = ("n_words", "buckets", "labelled", "text")
+    found = rows.repartition(parts, "u1").groupBy("u1", "u2").agg(*[F.first(c).alias(c) for c in names])
+    # the first half of the identity is the id, and with it the bucket; of texts that should share it, all but one get another
+    nth = F.row_number().over(Window.partitionBy("u1").orderBy("u2"))
+    found = found.select("u1", "u2", nth.alias("nth"), *names).withColumn("id", F.when(F.col("nth") == 1, F.col("u1")).otherwise(F.xxhash64("u1", "u2")))
+    return bucketed(found.drop("nth"), "id", parts, "distinct_texts")
 
 
 def _prefix_words(texts: DataFrame, similarity: float) -> DataFrame:
@@ -294,33 +298,36 @@ def _within_bounds(n: np.ndarray, m: np.ndarray, h: np.ndarray, g: np.ndarray, s
     return out
 
 
-def _plausible(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) that the bounds do not reject."""
-    small = texts.select("id", "n_words", "histogram")
-    joined = pairs.join(small.toDF("a", "n", "h"), "a").join(small.toDF("b", "m", "g"), "b")
+def _histograms(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """id, n_words, histogram of the texts named by ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
-            h, g = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(n), -1).astype(np.int32) for c in ("h", "g"))
-            allowed = np.floor((1 - similarity) * np.maximum(n, m) + 1e-9)
-            delta = h - g
-            edits = np.maximum(np.abs(n - m), np.maximum(np.where(delta > 0, delta, 0).sum(1), np.where(delta < 0, -delta, 0).sum(1)))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(edits <= allowed))
+        for batch in pieces(batches, "text", 4_000_000):
+            packed = [histogram(word_hashes(words_of(t))).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_words"), pa.array(packed, pa.binary())], ["id", "n_words", "histogram"])
 
-    return joined.select("a", "b", "n", "m", "h", "g").mapInArrow(run, "a bigint, b bigint")
+    found = texts.join(ids, "id").select("id", "n_words", "text").mapInArrow(run, "id bigint, n_words bigint, histogram binary")
+    return materialize(found, "histograms")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, name: str) -> DataFrame:
-    """The pairs (a, b) that align."""
-    text = texts.select("id", "text")
-    joined = pairs.join(text.toDF("a", "one"), "a").join(text.toDF("b", "two"), "b").select("a", "b", "one", "two")
+    """The pairs (a, b) that align. The text of b joins its pair; that of a follows once for every ``HEAD_ROWS`` of its pairs."""
+    heads = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HEAD_ROWS).cast("int").alias("copies"))
+    one = texts.select(F.col("id").alias("a"), F.col("text").alias("one")).join(heads, "a")
+    one = one.select("a", "one", "copies", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")).drop("copies")
+    dealt = pairs.join(heads, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("copy"))
+    two = dealt.join(texts.select(F.col("id").alias("b"), F.col("text").alias("two")), "b")
+    joined = two.join(one, ["a", "copy"]).select("a", "b", "one", "two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "one", 2_000_000):
-            keep = [similar(x, y, similarity) for x, y in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True)]
+        head, words = None, []  # pairs of a head follow each other
+        for batch in pieces(batches, "two", 2_000_000):
+            keep = []
+            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("one"), batch.column("two").to_pylist(), strict=True):
+                if a != head:
+                    head, words = a, words_of(x.as_py())
+                other = words_of(y)
+                keep.append(alignment_edits(words, other, allowed_edits(len(words), len(other), similarity)) is not None)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return materialize(joined.mapInArrow(run, "a bigint, b bigint"), name)
@@ -345,15 +352,10 @@ def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame
         ok = _within_bounds(n[x], n[y], h[x], h[y], similarity) & (labels[x][:, None] != labels[y][None, :])
         i, j = np.nonzero(ok)
         i, j = x[i], y[j]
-        if len(i):  # of all buckets that a pair shares, only that of its first common entry reports it
-            entries = np.array(table.column("entries").to_pylist(), np.int64).reshape(len(ids), -1)
-            sketch = table.column("sketch")[0].as_py()
-            new = np.concatenate([~(entries[i[k : k + 50_000], :sketch] == entries[j[k : k + 50_000], :sketch]).any(1) for k in range(0, len(i), 50_000)])
-            i, j = i[new], j[new]
         a, b = ids[i], ids[j]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    columns = rows.select("bucket", "sketch", "low", "high", "own", "id", "label", "n_words", "histogram", "entries")
+    columns = rows.select("bucket", "low", "high", "own", "id", "label", "n_words", "histogram")
     return columns.groupBy("bucket", "low", "high").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
@@ -369,31 +371,31 @@ def near_duplicates(
     """doc_id, class_id, class_size (documents) and n_words of every row, its identity (u1, u2) and its class's internal
     label (null for documents without a word)."""
     texts = distinct_texts(docs, id_col, text_col, sketches, picks)
-    entries = texts.select("id", F.posexplode("entries").alias("sketch", "entry")).select(F.xxhash64("sketch", "entry").alias("bucket"), "sketch", "id")
-    prefix = _prefix_words(texts, similarity).select(F.xxhash64(F.lit("word"), "word").alias("bucket"), F.lit(sketches + SINGLES).alias("sketch"), "id")
-    entries = entries.unionByName(prefix)
+    entries = texts.select(F.explode("buckets").alias("bucket"), "id")
+    entries = entries.unionByName(_prefix_words(texts, similarity).select(F.xxhash64(F.lit("word"), "word").alias("bucket"), "id"))
     heads = entries.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("tail")).filter("head < tail").select("bucket", "head")
     members = materialize(entries.join(heads, "bucket"), "bucket-members")  # only buckets with two texts or more
-    star = members.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(_plausible(star, texts, similarity), texts, similarity, "star-links")
-    first = connected_components(links, "star-components")
+    star = materialize(members.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "star-pairs")
+    first = connected_components(_verified(star, texts, similarity, "star-links"), "star-components")
 
     # Buckets whose members are in different components; exact for whatever the stars could not see.
-    labelled = members.select("bucket", "sketch", "id").join(first, "id", "left").select("bucket", "sketch", "id", F.coalesce("label", "id").alias("label"))
+    labelled = members.select("bucket", "id").join(first, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     labelled = materialize(labelled, "labelled-members")
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
-    left = labelled.join(mixed, "bucket").join(texts.select("id", "n_words", "histogram", "entries"), "id")
+    left = materialize(labelled.join(mixed, "bucket"), "mixed-members")
+    left = left.join(_histograms(left.select("id").distinct(), texts), "id")
     # pairs that a star has already judged are not judged again
-    more = _verified(_cross_pairs(left, similarity, chunk).join(star, ["a", "b"], "left_anti"), texts, similarity, "cross-links")
+    more = _cross_pairs(left, similarity, chunk).join(star, ["a", "b"], "left_anti")
+    more = _verified(materialize(more, "cross-pairs"), texts, similarity, "cross-links")
     # these few links join whole components: only their labels are connected anew
     ends = more.join(first.toDF("a", "x"), "a", "left").join(first.toDF("b", "y"), "b", "left")
     merged = connected_components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")), "classes")
     merged = merged.toDF("label", "merged")
 
-    by_text = texts.select("id", "u1", "u2", "first_doc").join(first, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    by_text = texts.select("id", "u1", "u2").join(first, "id", "left").withColumn("label", F.coalesce("label", "id"))
     by_text = by_text.join(merged, "label", "left").withColumn("label", F.coalesce("merged", "label")).drop("merged")
     rows = materialize(identities(docs, id_col, text_col), "identities")
-    copies = rows.filter("n_words > 0").groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("copies"))
+    copies = rows.filter("n_words > 0").groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_doc"))
     by_text = materialize(by_text.join(copies, ["u1", "u2"]), "texts-by-class")
     classes = by_text.groupBy("label").agg(F.min("first_doc").alias("class_id"), F.sum("copies").alias("class_size"))
     known = by_text.select("label", "u1", "u2").join(classes, "label")
