@@ -2,13 +2,15 @@
 
 Encoding is a Viterbi search over the piece table, done once per distinct word by Spark:
 
-1. every word is cut into stretches of ``STRETCH`` characters (nearly all words are one), and all its substrings of at most
-   the longest piece's length are exploded;
+1. all substrings of a word of at most the longest piece's length are exploded;
 2. an equi-join with the piece table keeps those that are pieces; where no one-character piece fits, an unknown edge over
    that character remains, at the lowest score less 10;
-3. the edges are grouped by word, in order of their end, then start;
-4. a higher-order ``aggregate`` folds them: its state is, per place, the best score and the length of the best last piece. Only a higher score replaces the best so far, so equal scores go to the earliest start, as the
-   tokenizer does. The fold over stretches is nested, so a word of any length costs linear time.
+3. the edges are grouped by word;
+4. a higher-order ``aggregate`` folds them place by place: its state is, per place, the best score and the length of the best last piece. Of
+   equal scores the longest last piece wins, that is the earliest start, as in the tokenizer.
+
+A word of more than ``SHORT_WORD`` characters is cut into stretches of ``STRETCH`` first; its edges are folded one by one in order of their end,
+then start, and the fold over stretches is nested, so a word of any length costs linear time.
 
 Words are cut where the lattice can have no edge: before a space (U+2581), and between two characters that no piece has next to
 each other, such as a letter and the full stop after it. Each part is segmented by itself with the same result.
@@ -17,18 +19,19 @@ Unknown characters become their UTF-8 bytes (byte pieces). Unknown, control and
 SentencePiece.
 
 Documents meet their words' ids without one row per occurrence: documents are packed into blocks of about
-``BLOCK_BYTES`` of text, each holding its word numbers as one compressed column and its distinct words in hash buckets. The
-distinct words of a bucket are encoded, handed back to the blocks' bucket rows (one co-grouped shuffle by bucket), and
+``BLOCK_BYTES`` of text, each holding its word numbers as one compressed column and its distinct words in hash buckets. A bucket's
+words travel once: they become one sorted list, and each block keeps the places of its words in it. The list is encoded, a co-group by bucket turns the places into ids, and
 a last co-group by block writes out the ids.
 
 Decoding is a column expression: each id's bytes in hexadecimal from an array literal, joined and read as UTF-8.
 
-Scale: shuffles carry distinct words per block, packed and compressed, not occurrences. Buckets grow in number with the
-text, so a bucket's words stay bounded; a frequent word is one entry per block. The piece table is a file of bounded size and
+Scale: each bucket and each block is a partition of its own. Shuffles carry distinct words per block, packed and compressed, not occurrences. Buckets grow in number with the
+text, so a bucket's words stay bounded; a frequent word is one entry per block. The piece table is a model file's, of a size that no input changes, and
 is broadcast. Blocks, words and word ids are written to the shared scratch folder.
 
 Defined results: null and empty texts have no ids and decode to the empty text. Texts that hold U+2581 themselves decode with
-spaces in its place (``round_trip`` is then false). Repeated rows each give a row.
+spaces in its place (``round_trip`` is then false). Repeated rows each give a row. Equal scores are decided as above. An empty table gives no rows. Very long texts and words are
+encoded whole. Columns other than the id and the text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,6 +53,7 @@ from ebbflow.llm.common import conf, materialize, pieces
 from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 SPACE = "▁"
+SHORT_WORD = 48
 STRETCH = 512
 BLOCK_BYTES = 24_000_000
 BUCKET_BYTES = 32_000_000
@@ -82,6 +86,8 @@ class Model:
 
     def parts(self, word: str) -> list[str]:
         """The word cut between characters that no piece has next to each other."""
+        if self.pairs.issuperset(zip(word, word[1:], strict=False)):
+            return [word]
         cuts = [0, *(i for i in range(1, len(word)) if (word[i - 1], word[i]) not in self.pairs), len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
@@ -113,6 +119,31 @@ def normalise(text: str) -> str:
 # --- the lattice -----------------------------------------------------------------------------------------------------
 
 
+def _edges(substrings: DataFrame, table: DataFrame) -> DataFrame:
+    """``substrings`` (a row each: length, piece) that are pieces, with their score; null for a character that is no piece."""
+    return substrings.join(F.broadcast(table), "piece", "left").filter(F.col("score").isNotNull() | (F.col("length") == 1))
+
+
+def short_words(words: DataFrame, table: DataFrame, longest: int, lowest: float, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, word_id, word and ``back`` (see ``viterbi``) of words of bounded length. ``words`` should be partitioned by word_id."""
+    ends = words.select(*keys, "word_id", "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end"))
+    cut = ends.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), "end"))).alias("length"))
+    joined = _edges(cut.withColumn("piece", F.substring("word", F.col("end") - F.col("length") + 1, F.col("length"))), table)
+    edge = F.struct("end", F.when(F.col("score").isNull(), 0).otherwise(F.col("length")).alias("length"), F.coalesce("score", F.lit(lowest)).alias("score"))
+    grouped = joined.groupBy(*keys, "word_id", "word").agg(F.collect_list(edge).alias("edges"))
+
+    def place(bests: Column, end: Column) -> Column:
+        gains = F.transform(
+            F.filter("edges", lambda e: e["end"] == end),
+            lambda e: F.struct((F.element_at(bests, -F.greatest(e["length"], F.lit(1)))["gain"] + e["score"]).alias("gain"), e["length"].alias("length")),
+        )
+        return F.concat(bests, F.array(F.array_max(gains)))
+
+    start = F.array(F.struct(F.lit(0.0).alias("gain"), F.lit(0).alias("length")))
+    lengths = F.aggregate(F.sequence(F.lit(1), F.length("word")), start, place, lambda b: F.transform(F.slice(b, 2, F.size(b) - 1), lambda x: x["length"]))
+    return grouped.select(*keys, "word_id", "word", lengths.alias("back"))
+
+
 def lattice(words: DataFrame, table: DataFrame, longest: int, lowest: float, keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per word (columns ``keys``, word_id, word): word_id, keys, word and its edges by stretch, in fold order.
 
@@ -133,7 +164,7 @@ def lattice(words: DataFrame, table: DataFrame, longest: int, lowest: float, key
     ends = windows.select(*keys, "word_id", "stretch", "left", "last", "window", place)
     cut = ends.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), "end"))).alias("length"))
     sub = F.substring("window", F.col("end") - F.col("left") - F.col("length") + 1, F.col("length"))
-    joined = cut.withColumn("piece", sub).join(F.broadcast(table), "piece", "left").filter(F.col("score").isNotNull() | (F.col("length") == 1))
+    joined = _edges(cut.withColumn("piece", sub), table)
     edge = F.struct(
         "end",
         F.col("score").isNull().alias("unknown"),
@@ -185,8 +216,11 @@ def segment_words(words: DataFrame, model: Model, keys: tuple[str, ...] = ()) ->
     """keys, word_id, word and ``back`` of every word (columns keys, word_id, word)."""
     # Grouping holds the edges of a partition's words in memory, so partitions have a bounded number of words.
     spread = words.repartition(max(1, math.ceil(words.count() / PARTITION_WORDS)), "word_id")
-    edges = lattice(spread, piece_table(words.sparkSession, model), model.longest, model.lowest, keys)
-    return edges.select(*keys, "word_id", "word", viterbi(F.col("stretches"), model.longest).alias("back"))
+    table = piece_table(words.sparkSession, model)
+    short = F.length("word") <= SHORT_WORD
+    edges = lattice(spread.filter(~short), table, model.longest, model.lowest, keys)
+    long = edges.select(*keys, "word_id", "word", viterbi(F.col("stretches"), model.longest).alias("back"))
+    return short_words(spread.filter(short), table, model.longest, model.lowest, keys).unionByName(long)
 
 
 # --- documents in blocks ---------------------------------------------------------------------------------------------
@@ -273,34 +307,56 @@ _BLOCKS_ARROW = pa.schema(
 )
 
 
-def distinct_words(blocks: DataFrame) -> DataFrame:
-    """bucket, word_id, word: the different words of each bucket, once."""
+def distinct_words(blocks: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The different words of each bucket, once (bucket, word_id, word), and where each block's words stand among them (block, bucket,
+    places). The low half of a word_id is the word's place in its bucket."""
 
     def run(table: pa.Table) -> pa.Table:
-        seen: set[str] = set()
-        for packed in table.column("words").to_pylist():
-            seen.update(w.decode("utf-8", "surrogatepass") for w in open_words(packed))
-        return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(seen), pa.int32()), "word": pa.array(list(seen), pa.string())})
+        number, held = table.column("bucket")[0].as_py(), [open_words(packed) for packed in table.column("words").to_pylist()]
+        known = sorted(set().union(*held))
+        place = {w: i for i, w in enumerate(known)}
+        packed = [pack_numbers(np.fromiter(map(place.__getitem__, words), np.uint32, len(words)), delta=True) for words in held]
+        n, m = len(known), len(held)
+        columns = {
+            "bucket": pa.array([number] * (n + m), pa.int32()),
+            "word_id": pa.array([*((number << 32) + i for i in range(n)), *[None] * m], pa.int64()),
+            "word": pa.array([*(w.decode("utf-8", "surrogatepass") for w in known), *[None] * m], pa.string()),
+            "block": pa.array([*[None] * n, *table.column("block").to_pylist()], pa.int64()),
+            "places": pa.array([*[None] * n, *packed], pa.binary()),
+        }
+        return pa.table(columns)
 
-    found = blocks.filter("bucket >= 0").select("bucket", "words").groupBy("bucket").applyInArrow(run, "bucket int, word string")
-    return materialize(found.withColumn("word_id", F.monotonically_increasing_id()), "distinct-words")
+    rows = blocks.filter("bucket >= 0").select("block", "bucket", "words").repartition(buckets, "bucket")
+    found = rows.groupBy("bucket").applyInArrow(run, "bucket int, word_id bigint, word string, block bigint, places binary")
+    found = materialize(found, "distinct-words")
+    return found.filter("word IS NOT NULL").select("bucket", "word_id", "word"), found.filter("block IS NOT NULL").select("block", "bucket", "places")
 
 
-def _ids_of_blocks(blocks: DataFrame, words: DataFrame, model_path: str) -> DataFrame:
+def _ids_of_blocks(places: DataFrame, words: DataFrame, buckets: int, model_path: str) -> DataFrame:
     """block, bucket and the packed ids of its words, in their order."""
 
-    def run(packed: pa.Table, known: pa.Table) -> pa.Table:
+    def run(blocks: pa.Table, known: pa.Table) -> pa.Table:
         model = _model(model_path)
-        ids = {w: model.word_ids(w, b) for w, b in zip(known.column("word").to_pylist(), known.column("back").to_pylist(), strict=True)}
+        order = np.argsort(known.column("word_id").to_numpy()).tolist()
+        found = [model.word_ids(known.column("word")[i].as_py(), known.column("back")[i].as_py()) for i in order]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
+        starts = np.cumsum(lengths) - lengths
         rows = []
-        for block, bucket, data in zip(*(packed.column(c).to_pylist() for c in ("block", "bucket", "words")), strict=True):
-            found = [ids[w.decode("utf-8", "surrogatepass")] for w in open_words(data)]
-            flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
-            rows.append({"block": block, "bucket": bucket, "lengths": pack_numbers(np.fromiter(map(len, found), np.uint32, len(found))), "ids": pack_numbers(flat)})
+        for block, bucket, packed in zip(*(blocks.column(c).to_pylist() for c in ("block", "bucket", "places")), strict=True):
+            at = open_numbers(packed, delta=True)
+            ids = flat[_ranges(starts[at], lengths[at])]
+            rows.append({"block": block, "bucket": bucket, "lengths": pack_numbers(lengths[at].astype(np.uint32)), "ids": pack_numbers(ids)})
         return pa.Table.from_pylist(rows, schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("ids", pa.binary())]))
 
-    left = blocks.filter("bucket >= 0").select("block", "bucket", "words").groupBy("bucket")
-    return left.cogroup(words.select("bucket", "word", "back").groupBy("bucket")).applyInArrow(run, "block bigint, bucket int, lengths binary, ids binary")
+    known = words.select("bucket", "word_id", "word", "back").repartition(buckets, "bucket").groupBy("bucket")
+    return places.repartition(buckets, "bucket").groupBy("bucket").cogroup(known).applyInArrow(run, "block bigint, bucket int, lengths binary, ids binary")
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (counts[0] numbers), starts[1], ..."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 _MODELS: dict[str, Model] = {}
@@ -328,8 +384,7 @@ def _assemble(blocks: DataFrame, returned: DataFrame) -> DataFrame:
         at = open_numbers(row["places"])[numbers] if len(numbers) else numbers
         count = lengths[at] if len(at) else lengths[:0]
         ends = np.cumsum(count)
-        source = np.repeat(starts[at] - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0) if len(at) else np.zeros(0, np.int64)
-        ids = flat[source].astype(np.int32)
+        ids = flat[_ranges(starts[at], count)].astype(np.int32) if len(at) else np.zeros(0, np.int32)
         counts = np.array(row["counts"], np.int64)
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
         return pa.table(
@@ -340,8 +395,9 @@ def _assemble(blocks: DataFrame, returned: DataFrame) -> DataFrame:
             }
         )
 
-    docs = blocks.filter("bucket < 0").select("block", "doc_ids", "digests", "counts", "numbers", "places").groupBy("block")
-    return docs.cogroup(returned.groupBy("block")).applyInArrow(run, ENCODED)
+    docs = blocks.filter("bucket < 0").select("block", "doc_ids", "digests", "counts", "numbers", "places")
+    parts = max(1, docs.count())
+    return docs.repartition(parts, "block").groupBy("block").cogroup(returned.repartition(parts, "block").groupBy("block")).applyInArrow(run, ENCODED)
 
 
 def encode(
@@ -354,14 +410,16 @@ def encode(
 ) -> DataFrame:
     """doc_id, digest (MD5 of the text) and ids of every document."""
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
-    blocks = pack_documents(docs, id_col, text_col, max(1, math.ceil(size / bucket_bytes)), block_bytes, model_path)
+    buckets = max(1, math.ceil(size / bucket_bytes))
+    blocks = pack_documents(docs, id_col, text_col, buckets, block_bytes, model_path)
     settings = {
         "spark__sql__objectHashAggregate__sortBased__fallbackThreshold": str(100 * PARTITION_WORDS),  # no sort of the edges
         "spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true",
     }
     with conf(docs.sparkSession, **settings):
-        words = materialize(segment_words(distinct_words(blocks), _model(model_path), ("bucket",)), "segmented-words")
-    return _assemble(blocks, _ids_of_blocks(blocks, words, model_path))
+        words, places = distinct_words(blocks, buckets)
+        words = materialize(segment_words(words, _model(model_path), ("bucket",)), "segmented-words")
+    return _assemble(blocks, _ids_of_blocks(places, words, buckets, model_path))
 
 
 def decode(ids: Column, model_path: str) -> Column:

@@ -66,6 +66,18 @@ def test_ties_take_the_earliest_start(spark):
     assert got[1] == ("▁aaaa", [1, 2, 2, 2, 2])
     assert got[2] == ("▁abab", [1, 2, 2, 3, 2])
     assert got[3][0] == "▁" + "ab" * 700 and got[3][1][2:] == [2, 3] * 699 + [2]
+    short = {r["word_id"]: r["back"] for r in sp.short_words(words.filter("word_id < 3"), table, 3, -50.0).collect()}
+    assert short == {i: got[i][1] for i in (1, 2)}
+
+
+def test_short_and_long_words_fold_alike(spark):
+    rng, model = random.Random(6), sp.Model(MODEL)
+    made = ["▁" + "".join(rng.choice("abcdeé梦in_t") for _ in range(rng.randrange(1, sp.SHORT_WORD))) for _ in range(300)]
+    words = spark.createDataFrame(list(enumerate(made)), "word_id long, word string").repartition("word_id")
+    table = sp.piece_table(spark, model)
+    long = sp.lattice(words, table, model.longest, model.lowest).select("word_id", sp.viterbi(F.col("stretches"), model.longest).alias("back"))
+    want = {r["word_id"]: r["back"] for r in long.collect()}
+    assert {r["word_id"]: r["back"] for r in sp.short_words(words, table, model.longest, model.lowest).collect()} == want
 
 
 def test_empty_table(spark):
