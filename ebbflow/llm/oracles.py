@@ -43,11 +43,21 @@ norm AS (
   SELECT r, host, text, pos, regexp_replace(trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), '[0-9]', '0', 'g') AS line
   FROM worded JOIN d USING (r)),
 ctx AS (
-  SELECT *, len(string_split(line, ' ')) AS nw, lag(line) OVER (PARTITION BY r ORDER BY pos) AS before, lead(line) OVER (PARTITION BY r ORDER BY pos) AS after
+  SELECT *, len(string_split(line, ' ')) AS nw, lag(line) OVER (PARTITION BY r ORDER BY pos) AS before, lead(line) OVER (PARTITION BY r ORDER BY pos) AS after,
+         row_number() OVER (PARTITION BY r ORDER BY pos) AS place
   FROM norm),
-common AS (
-  SELECT host, line FROM ctx GROUP BY host, line
-  HAVING count(DISTINCT text) > 20 AND greatest(count(DISTINCT before), count(DISTINCT after)) >= 0.5 * count(DISTINCT text)),
+above AS (
+  SELECT host, line, count(DISTINCT text) AS n_docs, greatest(count(DISTINCT before), count(DISTINCT after)) AS n_next FROM ctx GROUP BY host, line
+  HAVING count(DISTINCT text) > 20),
+held AS (SELECT r, host, line, place, before, after, place - row_number() OVER (PARTITION BY r ORDER BY place) AS run FROM ctx JOIN above USING (host, line)),
+runs AS (
+  SELECT host, list(line ORDER BY place) AS lines, first(before ORDER BY place) AS before, last(after ORDER BY place) AS after FROM held GROUP BY r, host, run),
+around AS (
+  SELECT host, line, max(n) AS n_around FROM (
+    SELECT host, unnest(lines) AS line, n FROM (
+      SELECT host, lines, greatest(count(DISTINCT before), count(DISTINCT after)) AS n FROM runs GROUP BY host, lines))
+  GROUP BY host, line),
+common AS (SELECT host, line FROM above JOIN around USING (host, line) WHERE greatest(n_next, n_around) >= 0.5 * n_docs),
 depl AS (
   SELECT r, sum(CASE WHEN common.line IS NULL THEN nw ELSE 0 END) < 0.2 * sum(nw) AS gone
   FROM ctx LEFT JOIN common USING (host, line) GROUP BY r),

@@ -15,13 +15,14 @@ different places give each copy other runs. (Copies that all differ in one and t
 Common lines are removed from the text (``clean_text``), and a document is *depleted* when less than ``min_left`` of its
 words remain.
 
-Scale: the statistics are one narrow projection. For the line counts only hashes travel, one row per line: first
+Scale: the statistics are one narrow projection. The lines are normalised and hashed once and written as one array per document. For the line counts only hashes travel, one row per line: first
 distinct (host, line, text) combinations, spread by all three, then a map-side combined count per (host, line), so a
 host with a third of all documents or a line in every document does not meet in one task. The common lines are few;
 they go back by a join that Spark plans from measured sizes (broadcast when small, else sort-merge with skew split).
 
 Defined results: null text has no words and fails the base rules. A null host is a host of its own. Repeated rows
-are one document in the counts and each keep their row. Extra columns are carried along.
+are one document in the counts and each keep their row. Extra columns are carried along, and helper columns take names that none of them has. Counts equal to a limit are
+not above it. An empty table gives no rows; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -32,8 +33,7 @@ from pyspark.sql import functions as F
 from ebbflow.llm.common import fresh, materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 MAX_DOCS, MIN_CONTEXT, MIN_LEFT = 20, 0.5, 0.2
 
@@ -43,14 +43,10 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
-def _windows(word_list: Column, width: int) -> Column:
-    """64-bit hashes of the windows of ``width`` words; empty below ``width`` words."""
-    starts = F.when(F.size(word_list) >= width, F.sequence(F.lit(1), F.size(word_list) - (width - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(word_list, i, width)))
+def _windows(word_hashes: Column, width: int) -> Column:
+    """64-bit hashes of the windows of ``width`` words, from the words' hashes; empty below ``width`` words."""
+    starts = F.when(F.size(word_hashes) >= width, F.sequence(F.lit(1), F.size(word_hashes) - (width - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(word_hashes, i, width)))
 
 
 def _placed(hashes: Column) -> Column:
@@ -75,12 +71,12 @@ def _covered(starts: str, width: int) -> Column:
     return F.coalesce(F.aggregate(gaps, F.lit(0).cast("long"), lambda total, g: total + g), F.lit(0).cast("long"))
 
 
-def base_columns(text: Column) -> dict[str, Column]:
-    """The base statistics that need no word list."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(_without(x, SPACES)) > 0)
+def base_columns(text: Column, word_list: Column) -> dict[str, Column]:
+    """The base statistics that need no windows."""
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return {
-        "word_chars": F.length(_without(text, SPACES)).cast("long"),
-        "n_symbols": (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long"),
+        "word_chars": F.length(F.array_join(word_list, "")).cast("long"),
+        "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, SYMBOL, ""))).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
     }
 
@@ -88,17 +84,17 @@ def base_columns(text: Column) -> dict[str, Column]:
 def base_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     """All rows and columns of ``docs`` plus one struct column with the base statistics; also returns its name."""
     out, w, h = fresh(docs, "base"), fresh(docs, "word_list"), fresh(docs, "window_hashes")
-    p, r = fresh(docs, "window_places"), fresh(docs, "repeats")
+    p, r, e = fresh(docs, "window_places"), fresh(docs, "repeats"), fresh(docs, "word_hashes")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    step = docs.withColumn(w, words(text)).withColumn(h, _windows(F.col(w), WINDOW)).withColumn(p, _placed(F.col(h))).withColumn(r, _repeated(p))
+    step = docs.withColumn(w, words(text)).withColumn(e, F.transform(w, lambda x: F.xxhash64(x))).withColumn(h, _windows(F.col(e), WINDOW)).withColumn(p, _placed(F.col(h))).withColumn(r, _repeated(p))
     n_words, repeat = F.size(w).cast("long"), _covered(r, WINDOW)
-    base = F.struct(n_words.alias("n_words"), *(c.alias(name) for name, c in base_columns(text).items()), repeat.alias("n_repeat_words"))
+    base = F.struct(n_words.alias("n_words"), *(c.alias(name) for name, c in base_columns(text, F.col(w)).items()), repeat.alias("n_repeat_words"))
     # One row from an array of one: a filter on the statistics is then not pushed down and written out again inside the
     # lambdas above, where it would be evaluated for every element.
     step = step.select("*", F.explode(F.array(base)).alias(out))
     failed = (F.col(f"{out}.n_words") < MIN_WORDS) | (100 * F.col(f"{out}.n_repeat_words") > MAX_REPEAT_PERCENT * F.col(f"{out}.n_words"))
     step = step.withColumn(out, F.col(out).withField("base_failed", failed))
-    return step.drop(w, h, p, r), out
+    return step.drop(w, e, h, p, r), out
 
 
 def normalised(line: Column) -> Column:
@@ -115,7 +111,8 @@ def host_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
         F.xxhash64(text).alias("text_id"),
         lines.alias("lines"),
     )
-    one = one.select("host", "text_id", F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("n_words"))).alias("lines"))
+    hashed = F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("n_words")))
+    one = materialize(one.select("host", "text_id", hashed.alias("lines")), "hashed-lines")  # read three times
     placed = F.transform(
         "lines",
         lambda x, i: F.struct(
@@ -189,14 +186,17 @@ def judge(
 
 
 def remove_common_lines(docs: DataFrame, common: DataFrame, host_col: str = "source", text_col: str = "text", name: str = "clean_text") -> DataFrame:
-    """``docs`` plus ``clean_text``: the text without the host's common lines. ``common`` is small by construction
-    (each of its lines is in more than ``max_docs`` documents); its hashes reach a document as one array per host."""
-    per_host = common.groupBy("host").agg(F.collect_set("line").alias("_common"))
-    key, text = fresh(docs, "host_key"), F.col(f"`{text_col}`").cast("string")
-    keyed = docs.withColumn(key, F.coalesce(F.concat(F.lit("h"), F.col(f"`{host_col}`").cast("string")), F.lit("")))
-    kept = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("_common", F.xxhash64(normalised(x))))
-    joined = keyed.join(per_host.withColumnRenamed("host", key), key, "left")
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(F.col("_common").isNull(), text).otherwise(F.concat_ws("\n", kept)).alias(name))
+    """``docs`` plus ``clean_text``: the text without the host's common lines. The different lines of a text meet ``common`` in a join by (host,
+    line); what a text has of them returns to its rows as one array, never longer than the text has lines."""
+    key, found, gone = fresh(docs, "host_key"), fresh(docs, "text_key"), fresh(docs, "common_lines")
+    text = F.col(f"`{text_col}`").cast("string")
+    host = F.coalesce(F.concat(F.lit("h"), F.col(f"`{host_col}`").cast("string")), F.lit(""))
+    keyed = docs.withColumn(key, host).withColumn(found, F.xxhash64(F.coalesce(text, F.lit(""))))
+    own = host_lines(docs, host_col, text_col).join(common.select("host", "line"), ["host", "line"])
+    own = own.groupBy(F.col("host").alias(key), F.col("text_id").alias(found)).agg(F.collect_set("line").alias(gone))
+    kept = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(gone, F.xxhash64(normalised(x))))
+    joined = keyed.join(own, [key, found], "left")
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(F.col(gone).isNull(), text).otherwise(F.concat_ws("\n", kept)).alias(name))
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -3,7 +3,11 @@
 import random
 import re
 
+import duckdb
+import pytest
+
 from ebbflow.llm import quality
+from ebbflow.llm.oracles import ORACLES
 from ebbflow.llm.queries import op5_quality_rules
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -27,18 +31,34 @@ def norm(line):
 
 def brute_kept(rows, max_docs=quality.MAX_DOCS):
     """Whether each (id, text, host) is kept."""
-    at = {}
-    for _, text, host in rows:
-        lines = [x for x in map(norm, (text or "").split("\n")) if x]
+    at, spread = {}, {}
+    texts = {(host, text): [x for x in map(norm, (text or "").split("\n")) if x] for _, text, host in rows}
+    for (host, text), lines in texts.items():
         for i, x in enumerate(lines):
             docs, before, after = at.setdefault((host, x), (set(), set(), set()))
             docs.add(text)
             before.update(lines[i - 1 : i] if i else [])
             after.update(lines[i + 1 : i + 2])
-    common = {k for k, (d, b, a) in at.items() if len(d) > max_docs and max(len(b), len(a)) >= 0.5 * len(d)}
+    above = {k for k, (d, _, _) in at.items() if len(d) > max_docs}
+    for (host, _), lines in texts.items():
+        i = 0
+        while i < len(lines):
+            j = i
+            while j < len(lines) and (host, lines[j]) in above:
+                j += 1
+            if j > i:  # a run of lines above the limit
+                before, after = spread.setdefault((host, tuple(lines[i:j])), (set(), set()))
+                before.update(lines[i - 1 : i] if i else [])
+                after.update(lines[j : j + 1])
+            i = max(j, i + 1)
+    around = {}
+    for (host, run), (b, a) in spread.items():
+        for x in run:
+            around[host, x] = max(around.get((host, x), 0), len(b), len(a))
+    common = {k for k in above if max(len(at[k][1]), len(at[k][2]), around[k]) >= 0.5 * len(at[k][0])}
     out = {}
     for doc_id, text, host in rows:
-        sizes = [(len(x.split(" ")), (host, x) in common) for x in map(norm, (text or "").split("\n")) if x]
+        sizes = [(len(x.split(" ")), (host, x) in common) for x in texts[host, text]]
         left, total = sum(n for n, c in sizes if not c), sum(n for n, _ in sizes)
         out[doc_id] = not base(text)[-1] and not (total and left < 0.2 * total)
     return out
@@ -99,13 +119,13 @@ def test_edge_rows(spark):
     assert quality.quality_report(frame.limit(0)).count() == 0
 
 
-def test_lines_of_notices_of_several_lines_are_common(spark):
-    """Blocks of five lines at the start, in the middle and at the end; lightly edited copies stay."""
+def blocks():
+    """Blocks of five lines at the start, in the middle and at the end of documents, and lightly edited copies of a clean text."""
     rng = random.Random(8)
     line = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
-    rows, blocks = [], {h: [line(9) for _ in range(5)] for h in ("start", "middle", "end")}
+    rows, found = [], {h: [line(9) for _ in range(5)] for h in ("start", "middle", "end")}
     for i in range(40):
-        for k, (host, block) in enumerate(blocks.items()):
+        for k, (host, block) in enumerate(found.items()):
             own = [line(30), line(30)]
             rows.append((1000 * k + i, "\n".join({"start": block + own, "middle": own[:1] + block + own[1:], "end": own + block}[host]), host))
             short = [line(4)]  # the notice and one sentence
@@ -115,9 +135,36 @@ def test_lines_of_notices_of_several_lines_are_common(spark):
         text = list(clean)
         text[i % 20] = line(10)
         rows.append((9000 + i, "\n".join(text), "copies"))
+    return rows
+
+
+def test_lines_of_notices_of_several_lines_are_common(spark):
+    rows = blocks()
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r["doc_id"]: r["kept"] for r in quality.quality_report(frame).collect()}
-    assert {i: kept for i, kept in got.items()} == {i: i >= 9000 or i % 1000 < 500 for i, _, _ in rows}
-    lines = quality.host_lines(frame)
-    common = quality.common_lines(lines)
+    assert got == {i: i >= 9000 or i % 1000 < 500 for i, _, _ in rows}
+    common = quality.common_lines(quality.host_lines(frame))
     assert {r["host"]: r["count"] for r in common.groupBy("host").count().collect()} == {"hstart": 5, "hmiddle": 5, "hend": 5}
+
+
+def three_line_copies():
+    """Copies of three lines, half of them with a line of their own after it, and texts of common lines alone."""
+    rng = random.Random(12)
+    line = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
+    three = [line(8) for _ in range(3)]
+    rows = [(i, "\n".join(three + ([line(6)] if i % 2 else [])), "a") for i in range(60)]
+    return rows + [(100 + i, "\n".join([three[0], line(5), three[2]]), "a") for i in range(30)] + [(200, "\n".join(three), None)]
+
+
+@pytest.mark.parametrize("made", [blocks, planted, three_line_copies])
+def test_oracle_and_brute_force_know_runs_of_lines(spark, tmp_path, made):
+    rows = made()
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_report(frame).collect()}
+    assert got == brute_kept(rows)
+    frame.coalesce(1).write.parquet(f"{tmp_path}/documents")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    found = con.sql(ORACLES["op5_quality_rules"])
+    at = found.columns.index("doc_id"), found.columns.index("kept")
+    assert {r[at[0]]: r[at[1]] for r in found.fetchall()} == got
