@@ -17,11 +17,12 @@ from a prefix sum in two steps (within a partition, then over the totals of part
 
 Encoding uses the tokenizers library. Byte-level pre-tokenization never joins characters over certain places (before a
 space that a non-space follows, between a letter and a full stop, ...), so the text is cut there and each distinct
-piece is encoded once per batch or taken from a bounded cache; tests compare with whole-text encoding. Special token
-strings inside texts are ordinary text.
+piece is encoded once per batch or taken from a bounded cache; tests compare with whole-text encoding. As the library does, a text is first cut at the strings
+of the file's added tokens, which get their own ids; with ``special_as_text`` special ones are ordinary text instead.
 
 Defined results: null text is the empty text and yields only the end id. Documents with equal ids follow each other in
-text order, null ids come first. An empty table gives no file and no row.
+text order, null ids come first; a row given twice gives two documents. An empty table gives no file and no row. Very long texts are encoded whole and may fill a shard
+of their own. Columns other than the id and the text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -188,29 +189,43 @@ def from_bytes(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
 #: Pieces between which byte-level pre-tokenization always cuts: a word of plain letters with its space, a full stop or
 #: comma after it, a single line end, or else everything up to the next space before a non-space.
 _PIECES = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ .,\n]|\Z)|[.,](?= \S|\n|\Z)|\n(?=\S)|.+?(?= \S|\Z)", re.S)
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
-    """Exact ids of whole texts from a byte-level BPE file, with a bounded cache of pieces."""
+    """Exact ids of whole texts from a byte-level BPE file, with a bounded cache of pieces. Strings of the file's added tokens are those tokens, as the
+    library has it, or ordinary text (``special_as_text``)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = {t.content: t for t in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)}
+        # a text is cut at its added tokens first; those that take the space around them are left to the library
+        self.plain = {c for c, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
+        self.others = [c for c in added if c not in self.plain]
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for piece, i in vocabulary.items() if piece.startswith("Ġ")]] = True
         self.cache: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, special_as_text: bool = False) -> Encoder:
         """One per Python worker, so its cache serves all its tasks."""
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+        if (path, special_as_text) not in _ENCODERS:
+            _ENCODERS[path, special_as_text] = cls(path, special_as_text)
+        return _ENCODERS[path, special_as_text]
+
+    def _cut(self, text: str) -> list[str]:
+        """Pieces whose ids do not depend on what stands around them."""
+        if self.added is None or not self.added.search(text):
+            return _PIECES.findall(text)
+        if any(c in text for c in self.others):
+            return [text]
+        return [p for k, part in enumerate(self.added.split(text)) for p in ([part] if k % 2 else _PIECES.findall(part))]
 
     def _learn(self, new: list[str]) -> None:
         # Pieces that begin with their only space are encoded in one go: each starts at an id that begins with a space.
@@ -233,7 +248,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [_PIECES.findall(t) for t in texts]
+        cut = [self._cut(t) for t in texts]
         new = set(itertools.chain.from_iterable(cut)).difference(self.cache)
         if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
@@ -252,6 +267,7 @@ def write_shards(
     text_col: str = "text",
     end_id: int = END_ID,
     shard_tokens: int = SHARD_TOKENS,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Encode ``docs`` and write shard files below ``uri``; returns their index (written, so the files exist):
     part and shard (in document order), documents, tokens."""
@@ -260,7 +276,7 @@ def write_shards(
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder.of(tokenizer), TaskContext.get().partitionId()
+        encoder, part = Encoder.of(tokenizer, special_as_text), TaskContext.get().partitionId()
         names, data, held, shard = [], [], 0, 0
 
         def close() -> pa.RecordBatch:

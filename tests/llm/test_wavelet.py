@@ -14,11 +14,11 @@ PATH = tokenizer_path("byte_bpe_50k.json")
 SMOKE = "/root/testdata/sf0.001"
 
 
-def plain_tokenizer():
+def plain_tokenizer(special_as_text=False):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = special_as_text
     return t
 
 
@@ -34,6 +34,14 @@ def test_matrix_answers_like_a_list(ids):
         assert m.count(token, len(ids) // 2) == sum(x == token for x in ids[: len(ids) // 2])
 
 
+def test_added_tokens_are_the_librarys():
+    texts = ["<|endoftext|> x", "a<|endoftext|>", "<|endoftext|><|endoftext|>", "a <|endoftext |>", " <|endoftext|>\n\n"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in wavelet.Encoder.of(PATH).encode(texts)]
+    assert got == [e.ids for e in plain_tokenizer().encode_batch(texts, add_special_tokens=False)]
+    assert got[0] == [50256, 2124]
+    assert np.frombuffer(wavelet.Encoder.of(PATH, True).encode(texts[:1])[0], "<u4").tolist() == plain_tokenizer(True).encode(texts[0], add_special_tokens=False).ids
+
+
 def test_rank_directory_over_several_blocks():
     ids = np.random.default_rng(1).integers(0, 7, 30000).astype("<u4")
     names, lengths, m = wavelet.from_bytes(wavelet.to_bytes([3, None], [10000, 20000], ids))
@@ -47,8 +55,11 @@ def test_rank_directory_over_several_blocks():
 @given(st.lists(st.text(alphabet=" \n\t.,'éßł中a bcdsT09_- 　²x<|endoftext|>", max_size=40), max_size=5))
 @settings(max_examples=150, deadline=None, derandomize=True)
 def test_pieces_encode_like_whole_texts(texts):
-    want = [e.ids for e in plain_tokenizer().encode_batch(texts, add_special_tokens=False)]
-    got = [np.frombuffer(b, "<u4").tolist() for b in wavelet.Encoder.of(PATH).encode(texts)]
+    texts = texts + ["<|endoftext|> x".join(texts)]
+    for special_as_text in (False, True):
+        want = [e.ids for e in plain_tokenizer(special_as_text).encode_batch(texts, add_special_tokens=False)]
+        got = [np.frombuffer(b, "<u4").tolist() for b in wavelet.Encoder.of(PATH, special_as_text).encode(texts)]
+        assert got == want
     assert got == want
 
 
