@@ -2,7 +2,10 @@
 
 The page is read once by the standard library's HTML parser. Markup is stripped and every block element becomes a line.
 A line's *length* counts its characters outside links; lines inside page furniture (menus, page headers, footers,
-sidebars, forms, adverts, notices, reader comments, hidden parts) have length 0, so they cut the distribution. The lengths
+sidebars, forms, adverts, notices, reader comments, hidden parts) have length 0, so they cut the distribution. A form is furniture unless a marked element
+begins in it, or it holds a window of the threshold and more than half of the page's text: then it is a form around the page, and only its controls go.
+A class or id name marks furniture if it holds a word of ``NAMES`` and otherwise only words that say nothing of the contents (``GENERIC``, numbers);
+a word of ``NAMES`` next to others (``login-guide``) only lowers the length of unmarked lines, ``MARK`` times. The lengths
 are summed over sliding windows of ``WINDOW`` lines. A run of lines goes on until a whole window is empty. Its *surge* is the
 first line from which a window ahead reaches the threshold, its *dive* the last line at which a window behind does. Text
 between surge and dive is kept, in page order. The threshold is ``SURGE`` characters (or the longest line of a shorter page).
@@ -20,7 +23,8 @@ Lines are joined by a blank line; character references are decoded and white spa
 Scale: one narrow pass in Arrow batches cut to a few megabytes; no shuffle; time in proportion to the bytes of the page.
 
 Defined results: null and empty html, and pages without a kept line, give the empty text. Unclosed or crossed tags,
-stray ``<`` and truncated pages are read as the parser finds them. Repeated rows each give a row.
+stray ``<`` and truncated pages are read as the parser finds them. Repeated rows each give a row. Windows that reach the threshold exactly count. An empty table gives no
+rows; pages of any length are read whole. Columns other than the id, the address and the html are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,8 +45,8 @@ SURGE = 80
 MARK = 4
 
 BLOCKS = frozenset(
-    "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4"
-    " h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
+    "address article aside blockquote body caption center datalist dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4"
+    " h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
 #: Elements whose lines belong together.
 CONTAINERS = frozenset("article body center details div html main section td".split())
@@ -50,7 +54,7 @@ FLAT = frozenset(("body", "html"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never hold article text.
 FURNITURE = frozenset(
-    "aside button canvas datalist dialog footer form head iframe input math menu nav noscript object option script select style svg template textarea title".split()
+    "aside button canvas datalist dialog footer head iframe input label legend math menu nav noscript object option script select style svg template textarea title".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Words in class or id that mark furniture (fixed list).
@@ -59,6 +63,13 @@ NAMES = frozenset(
     " menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies reply share sharing"
     " sidebar signup skyscraper social sponsor sponsored subscribe teaser toolbar widget".split()
 )
+#: Words that say where or how large an element is, or what kind, but nothing of what it holds (fixed list).
+GENERIC = frozenset(
+    "a area article bar block body bottom box btn button center col column container content embed entry facebook fixed form full google group header"
+    " heading holder icon icons image inline inner item items label large leaderboard left line link links list main media medium message middle mobile module"
+    " mpu news outer overlay page panel placeholder policy post posts primary rectangle right row section secondary side site slot small social space sticky"
+    " stories story strip sub tag tags text the title top twitter unit up view window wrap wrapper x zone".split()
+)
 #: Elements (all furniture) in which markup other than their end is text; the parser knows script and style itself.
 RAW_TEXT = frozenset(("iframe", "textarea", "title"))
 HEADERS = frozenset(("header", "masthead"))
@@ -66,21 +77,29 @@ _WORD = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _marks(attributes: dict[str, str | None]) -> set[str]:
-    """Words of class and id; a word after no, has or with says what is around, not what this is."""
+def _marks(attributes: dict[str, str | None]) -> tuple[set[str], bool, bool]:
+    """Words of class and id; whether a name marks furniture, and whether one has a word of furniture next to others. A word after no, has or with says
+    what is around, not what this is."""
     out: set[str] = set()
+    strong = weak = False
     for key in ("class", "id"):
         for name in (attributes.get(key) or "").split():
             found = _WORD.findall(_CAMEL.sub("-", name).lower())
-            out.update(w for w, before in zip(found, ["", *found], strict=False) if before not in ("no", "has", "with", "without"))
-    return out
+            own = {w for w, before in zip(found, ["", *found], strict=False) if before not in ("no", "has", "with", "without")}
+            if not NAMES.isdisjoint(own):
+                others = {w for w in found if w not in NAMES and w not in GENERIC and not w[0].isdigit()}
+                strong, weak = strong or not others, weak or bool(others)
+            out |= own
+    return out, strong, weak
 
 
 class Container:
-    """An element whose lines are lines[first:last] of the page."""
+    """An element whose lines are lines[first:last] of the page, with the innermost form around it."""
 
-    def __init__(self, outer: Container | None, first: int, flat: bool, marked: bool) -> None:
+    def __init__(self, outer: Container | None, first: int, flat: bool, marked: bool, form: int | None = None, weak: bool = False) -> None:
         self.outer, self.first, self.last, self.flat = outer, first, None, flat
+        self.form = form if form is not None else outer and outer.form
+        self.weak = weak or bool(outer and outer.weak)
         self.mark = self if marked else outer and outer.mark  # the innermost marked element
 
 
@@ -96,6 +115,7 @@ class Lines(HTMLParser):
         self.parts: list[str] = []
         self.length = 0
         self.in_link = False
+        self.forms: list[bool] = []  # whether a marked element begins in it
 
     def _state(self) -> tuple[bool, bool]:
         return self.open[-1][1:3] if self.open else (False, False)
@@ -151,17 +171,19 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         furniture, article = self._state()
+        weak = False
         given = dict(attrs)
         role = (given.get("role") or "").lower()
         if not furniture and tag not in ("html", "body"):
-            marks = _marks(given) if ("class" in given or "id" in given) and tag not in ("article", "main") else frozenset()
+            named = ("class" in given or "id" in given) and tag not in ("article", "main")
+            marks, strong, weak = _marks(given) if named else (frozenset(), False, False)
             page_header = tag == "header" or not HEADERS.isdisjoint(marks)
             furniture = (
                 tag in FURNITURE
                 or role in ROLES
                 or "hidden" in given
                 or given.get("aria-hidden") == "true"
-                or not NAMES.isdisjoint(marks)
+                or strong
                 or (page_header and not article and tag not in ("h1", "h2", "h3"))
             )
         marked = not furniture and (tag in ("article", "main") or role in ("article", "main"))
@@ -169,8 +191,13 @@ class Lines(HTMLParser):
         if (marked or (furniture, article) != self._state()) and tag not in BLOCKS:
             self.end_line()
         container = self._container()
-        if marked or (tag in CONTAINERS and not furniture):
-            container = Container(container, len(self.lines), tag in FLAT, marked)
+        if marked and container.form is not None:
+            self.forms[container.form] = True
+        if tag == "form" and not furniture:
+            self.forms.append(False)
+            container = Container(container, len(self.lines), container.flat, False, len(self.forms) - 1, weak)
+        elif marked or ((tag in CONTAINERS or weak) and not furniture):
+            container = Container(container, len(self.lines), tag in FLAT, marked, weak=weak)
         self.open.append((tag, furniture, article, container))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -231,9 +258,9 @@ def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
     parser.end_page()
-    lines, containers = parser.lines, parser.containers
+    lines, containers = without_forms(parser), parser.containers
     marked = [MARK * len(text) if article else 0 for text, _, article in lines]
-    others = [0 if article else length for _, length, article in lines]
+    others = [0 if article else length // MARK if c.weak else length for (_, length, article), c in zip(lines, containers, strict=True)]
     threshold = max(1, min(MARK * SURGE if any(marked) else SURGE, max(map(max, marked, others), default=0)))
     keep = bytearray(len(lines))
     elements = {containers[i].mark for a, b in regions(marked, threshold) for i in range(a, b) if marked[i]}
@@ -243,6 +270,18 @@ def main_text(html: str) -> str:
     return "\n\n".join(text for (text, _, _), kept in zip(lines, keep, strict=True) if kept and text)
 
 
+def without_forms(parser: Lines) -> list[tuple[str, int, bool]]:
+    """The page's lines; those of forms are empty, but for forms around the page's text."""
+    lines, of = parser.lines, [c.form for c in parser.containers]
+    kept = set()
+    for form, marked in enumerate(parser.forms):
+        own = [length if f == form else 0 for (_, length, _), f in zip(lines, of, strict=True)]
+        around = 2 * sum(own) > sum(length for _, length, _ in lines) and max(sum(own[i : i + WINDOW]) for i in range(len(own))) >= SURGE
+        if marked or around:
+            kept.add(form)
+    return [("", 0, False) if f is not None and f not in kept else line for line, f in zip(lines, of, strict=True)]
+
+
 def extended(found: list[tuple[int, int]], lines: list[tuple[str, int, bool]], containers: list[Container]) -> list[tuple[int, int]]:
     """The regions with the adjoining unmarked lines of their containers, up to a cut, a window of links or the next region."""
     texts = [0, *accumulate(bool(text) for text, _, _ in lines)]

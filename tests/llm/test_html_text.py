@@ -3,7 +3,10 @@
 import html as html_lib
 import re
 
+import pytest
+
 from ebbflow.llm import html_text
+from ebbflow.llm.html_text import NAMES, main_text
 from ebbflow.llm.queries import op3_html_text
 
 RICH = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="no-sidebar">
@@ -109,3 +112,33 @@ def test_comment_openings_that_open_no_comment():
         assert html_text.main_text(before + article + "<!-- x --><p>y</p>") == want
     assert html_text.main_text(article + "<!-- never closed <article><p>hidden</p></article>") == want
     assert html_text.main_text("<!-- never closed " + article) == ""
+
+
+PARAGRAPHS = ["One rather long paragraph about the harbour, its boats and the people who go out with them every morning.", "Another paragraph, as long as the first, that tells what they bring back and to whom they sell it in the evening."]
+
+
+def page(body):
+    return f"<html><body><nav><a href=x>Home</a><a href=y>News</a></nav>{body}<footer>All rights reserved by the publishers of this page</footer></body></html>"
+
+
+def test_a_form_around_the_page_is_no_form():
+    text = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    controls = '<input name=q value=go><label>Your search</label><select><option>one<option>two</select><button>Send it</button>'
+    for inner in (f"<article>{text}</article>", f"<div>{text}</div>", text):
+        got = main_text(page(f'<form action="/page.aspx">{controls}{inner}{controls}</form>'))
+        assert got == "\n\n".join(PARAGRAPHS)
+    signup = '<form><p>Write your address here and we send you all that is new, every day and for nothing at all, to read at home.</p><input name=mail></form>'
+    assert main_text(page(f"<article>{text}{signup}</article>")) == "\n\n".join(PARAGRAPHS)
+    assert main_text(page(f"<div>{text}</div>{signup}")) == "\n\n".join(PARAGRAPHS)
+
+
+@pytest.mark.parametrize("word", sorted(NAMES))
+def test_a_word_of_furniture_in_a_name_of_contents_erases_nothing(word):
+    text = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    want = "\n\n".join(PARAGRAPHS)
+    assert main_text(page(f'<article><p>{PARAGRAPHS[0]}</p><section class="{word}-guide"><p>{PARAGRAPHS[1]}</p></section></article>')) == want
+    assert main_text(page(f'<div class="content {word}-studies">{text}</div>')) == want
+    assert main_text(page(f'<article>{text}<ul class="{word}-free"><li>a short line</li></ul></article>')) == want + "\n\na short line"
+    advert = f'<div class="{word}-box-2"><p>Buy the finest things here today and never think again of what it was that you came to read about.</p></div>'
+    assert main_text(page(f"<article>{text}{advert}</article>")) == want
+    assert main_text(page(f"<div>{text}</div>{advert}")) == want
