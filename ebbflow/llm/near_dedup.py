@@ -37,11 +37,11 @@ alignment of two texts of n words takes at most n * n / 5 steps, few when they d
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,8 +58,9 @@ CHUNK = 512
 HEAD_ROWS = 2048
 SEEN = 100_000
 FEW_EDITS = 24
+BAND_CELLS = 600_000
 
-_MULTIPLIERS = (np.random.default_rng(20240501).integers(1, 1 << 63, 1024, np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
+_FACTORS, _SHIFTS = np.random.default_rng(20240501).integers(0, 1 << 32, (2, 512), np.uint64).astype(np.uint32)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -70,8 +71,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, the same in every process, computed when first asked for."""
 
     def __missing__(self, word: str) -> int:
-        digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-        self[word] = found = int.from_bytes(digest, "little")
+        self[word] = found = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return found
 
 
@@ -108,16 +108,16 @@ def kmers(hashes: np.ndarray, k: int = KMER) -> np.ndarray:
 def order_minhash(labelled: np.ndarray, sketches: int = SKETCHES, picks: int = PICKS) -> np.ndarray:
     """One 64-bit entry per hash function: the picked k-mers in text order."""
     take, step = min(picks, len(labelled)), max(1, 1_000_000 // len(labelled))
-    picked = np.empty((sketches, take), np.uint64)
+    picked, short = np.empty((sketches, take), np.uint64), (labelled >> np.uint64(32)).astype(np.uint32)
     for s in range(0, sketches, step):
-        one, two = (_MULTIPLIERS[k : 2 * sketches : 2][s : s + step, None] for k in (0, 1))
-        hashed = (labelled[None, :] ^ one) * two
-        hashed = (hashed ^ (hashed >> np.uint64(29))) * one
-        at, rows = np.empty((len(hashed), take), np.int64), np.arange(len(hashed))
+        rows = np.arange(min(step, sketches - s))
+        hashed = np.multiply.outer(_FACTORS[s : s + len(rows)] | np.uint32(1), short)
+        hashed += _SHIFTS[s : s + len(rows), None]
+        at = np.empty((len(hashed), take), np.int64)
         for k in range(take):  # the least hash, again and again: faster than a partition for a few picks
             at[:, k] = hashed.argmin(axis=1)
-            hashed[rows, at[:, k]] = np.iinfo(np.uint64).max
-        picked[s : s + step] = labelled[np.sort(at, axis=1)]
+            hashed[rows, at[:, k]] = np.iinfo(np.uint32).max
+        picked[s : s + len(rows)] = labelled[np.sort(at, axis=1)]
     out = np.arange(sketches, dtype=np.uint64) * np.uint64(16) + np.uint64(take)
     for k in range(take):
         out = _mix(out * np.uint64(31) + picked[:, k])
@@ -131,68 +131,78 @@ def histogram(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
 
 def alignment_edits(a: list, b: list, most: int) -> int | None:
     """Word edits between two sequences if at most ``most``, by alignment within that band of diagonals."""
+    number: dict = {}
+    return hashed_edits(*(np.array([number.setdefault(w, len(number)) for w in side], np.int64) for side in (a, b)), most)
+
+
+def hashed_edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """``alignment_edits`` of two sequences of word hashes."""
     n, m = len(a), len(b)
-    start = 0
-    while start < n and start < m and a[start] == b[start]:
-        start += 1
-    while n > start and m > start and a[n - 1] == b[m - 1]:
-        n, m = n - 1, m - 1
-    a, b = a[start:n], b[start:m]
+    if abs(n - m) > most:
+        return None
+    same = a[: min(n, m)] == b[: min(n, m)]
+    start = len(same) if same.all() else int(same.argmin())
+    a, b = a[start:], b[start:]
+    short = min(len(a), len(b))
+    same = a[len(a) - short :][::-1] == b[len(b) - short :][::-1]
+    end = short if same.all() else int(same.argmin())
+    a, b = a[: len(a) - end], b[: len(b) - end]
     n, m = len(a), len(b)
     if not n or not m:
         return max(n, m) if max(n, m) <= most else None
-    # words that one side has and the other lacks: each edit settles one of either side
-    common = sum((Counter(a) & Counter(b)).values())
-    if max(n, m) - common > most:
-        return None
-    few = min(most, FEW_EDITS)
-    found = _furthest_reaching(a, b, few)
-    return found if found is not None or few == most else _banded_rows(a, b, most)
-
-
-def _furthest_reaching(a: list, b: list, most: int) -> int | None:
-    """For few edits: the furthest place that each number of edits reaches on each diagonal."""
+    band = FEW_EDITS
+    while True:
+        band = min(band, most)
+        if (2 * band + 1) * n > BAND_CELLS:
+            return _banded_rows(a, b, most)
+        found = _furthest_reaching(a, b, band)
+        if found is not None or band == most:
+            return found
+        band *= 4
+
+
+def _furthest_reaching(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """The furthest place that each number of edits reaches on each diagonal, all diagonals of the band at once."""
     n, m = len(a), len(b)
-    goal = n - m
-    if abs(goal) > most:
+    goal = n - m + most  # diagonal k: place in a less place in b is k - most
+    if not 0 <= goal <= 2 * most:
         return None
-    reach = {0: 0}  # diagonal (place in a less place in b) to the furthest place in a
+    diagonal, place = np.arange(-most, most + 1), np.arange(n + 1, dtype=np.int32)
+    padded = np.concatenate([np.zeros(most, a.dtype), b, np.zeros(n + most + 1, a.dtype)])
+    step = padded.strides[0]
+    other = np.lib.stride_tricks.as_strided(padded[2 * most :], (2 * most + 1, n + 1), (-step, step))  # row k: what stands in b across from a
+    y = place[None, :] - diagonal[:, None]
+    match = (other == np.append(a, a[:1])[None, :]) & (y >= 0) & (y < m) & (place < n)
+    # stop[k, x]: the first place from x on at which diagonal k does not match
+    stop = np.minimum.accumulate(np.where(match, np.int32(n), place)[:, ::-1], axis=1)[:, ::-1]
+    never, rows = -(1 << 30), np.arange(2 * most + 1)
+    last, valid = np.minimum(n, m + diagonal), (diagonal <= n) & (diagonal >= -m)
+    reach = np.full(2 * most + 3, never, np.int64)  # with one more diagonal at either side
     for edits in range(most + 1):
-        if edits:
-            old, reach = reach, {}
-            room = most - edits
-            for d in range(-edits, edits + 1):
-                if abs(goal - d) > room or d < -m or d > n:
-                    continue
-                reach[d] = min(max(old.get(d, -2) + 1, old.get(d - 1, -2) + 1, old.get(d + 1, -2)), n, m + d)
-        for d, x in reach.items():
-            y = x - d
-            while x < n and y < m and a[x] == b[y]:
-                x, y = x + 1, y + 1
-            reach[d] = x
-        if reach.get(goal, -1) >= n:
+        to = np.maximum(np.maximum(reach[1:-1], reach[:-2]) + 1, reach[2:]) if edits else np.where(diagonal == 0, 0, never)
+        to = np.minimum(to, last)
+        reach[1:-1] = np.where(valid & (to >= 0) & (to >= diagonal), stop[rows, np.clip(to, 0, n)], never)
+        if reach[1 + goal] >= n:
             return edits
     return None
 
 
-def _banded_rows(a: list, b: list, most: int) -> int | None:
+def _banded_rows(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """For many edits: rows of the edit matrix, ``most`` diagonals to either side, given up once a row exceeds ``most``."""
     n, m = len(a), len(b)
     if abs(n - m) > most:
         return None
-    number: dict = {}
-    x, y = (np.array([number.setdefault(w, len(number)) for w in side], np.int64) for side in (a, b))
     width = 2 * most + 1  # column k of row i is place i + k - most of b
     step = np.arange(width)
-    padded = np.full(m + 2 * width, -1, np.int64)
-    padded[width : width + m] = y
+    padded = np.zeros(m + 2 * width, a.dtype)  # what stands outside b is overwritten below
+    padded[width : width + m] = b
     far = 1 << 40
     row = np.where(step >= most, step - most, far)
     row[most + m + 1 :] = far
     for i in range(1, n + 1):
         places = padded[width + i - most - 1 : width + i + most]
         up = np.append(row[1:], far) + 1
-        new = np.minimum(row + (places != x[i - 1]), up)
+        new = np.minimum(row + (places != a[i - 1]), up)
         low, high = max(0, most - i), min(width, m - i + most + 1)
         if low > 0 or high < width:
             new[:low] = far
@@ -244,11 +254,11 @@ def sketch_buckets(hashes: np.ndarray, sketches: int = SKETCHES, picks: int = PI
 
 
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str, sketches: int, picks: int) -> DataFrame:
-    """One row per different word sequence with a word, bucketed by id: id, identity, words, sketch buckets, labelled words (of short texts), text."""
+    """One row per different word sequence with a word, bucketed by id: id, identity, words, sketch buckets, histogram, labelled words (of short texts), text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string()]
-        names = ["u1", "u2", "n_words", "buckets", "labelled", "text"]
+        kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.string()]
+        names = ["u1", "u2", "n_words", "buckets", "histogram", "labelled", "text"]
         seen: set[tuple[int, int]] = set()  # copies within a task leave it once
         for batch in pieces(batches, "text", 4_000_000):
             rows = []
@@ -262,13 +272,13 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str, sketches: int, p
                 seen.add(key)
                 hashes = word_hashes(words)
                 labelled = kmers(hashes, 1).view(np.int64) if len(words) <= SHORT else None
-                rows.append((*key, len(words), sketch_buckets(hashes, sketches, picks).view(np.int64), labelled, text))
+                rows.append((*key, len(words), sketch_buckets(hashes, sketches, picks).view(np.int64), histogram(hashes).tobytes(), labelled, text))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
     spark = docs.sparkSession
-    rows = _source(docs, id_col, text_col).mapInArrow(run, f"{_IDENTITY}, buckets array<bigint>, labelled array<bigint>, text string")
+    rows = _source(docs, id_col, text_col).mapInArrow(run, f"{_IDENTITY}, buckets array<bigint>, histogram binary, labelled array<bigint>, text string")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = ("n_words", "buckets", "labelled", "text")
+    names = ("n_words", "buckets", "histogram", "labelled", "text")
     found = rows.repartition(parts, "u1").groupBy("u1", "u2").agg(*[F.first(c).alias(c) for c in names])
     # the first half of the identity is the id, and with it the bucket; of texts that should share it, all but one get another
     nth = F.row_number().over(Window.partitionBy("u1").orderBy("u2"))
@@ -298,39 +308,49 @@ def _within_bounds(n: np.ndarray, m: np.ndarray, h: np.ndarray, g: np.ndarray, s
     return out
 
 
-def _histograms(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """id, n_words, histogram of the texts named by ``ids``."""
+def _meet(pairs: DataFrame, texts: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The pairs (a, b) with the columns of their texts, as one_* of a and two_* of b. Those of b join their pair; those of a follow once for every
+    ``HEAD_ROWS`` of its pairs."""
+    heads = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HEAD_ROWS).cast("int").alias("copies"))
+    one = texts.select(F.col("id").alias("a"), *[F.col(c).alias(f"one_{c}") for c in columns]).join(heads, "a")
+    one = one.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    dealt = pairs.join(heads, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("copy"))
+    two = dealt.join(texts.select(F.col("id").alias("b"), *[F.col(c).alias(f"two_{c}") for c in columns]), "b")
+    return two.join(one, ["a", "copy"]).drop("copy")
+
+
+def _plausible(pairs: DataFrame, texts: DataFrame, similarity: float, name: str) -> DataFrame:
+    """The pairs (a, b) that the bounds do not reject."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 4_000_000):
-            packed = [histogram(word_hashes(words_of(t))).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_words"), pa.array(packed, pa.binary())], ["id", "n_words", "histogram"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                n, m = (part.column(c).to_numpy().astype(np.int64) for c in ("one_n_words", "two_n_words"))
+                h, g = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(len(n), -1).astype(np.int32) for c in ("one_histogram", "two_histogram"))
+                allowed, delta = np.floor((1 - similarity) * np.maximum(n, m) + 1e-9), h - g
+                edits = np.maximum(np.abs(n - m), np.maximum(np.where(delta > 0, delta, 0).sum(1), np.where(delta < 0, -delta, 0).sum(1)))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(edits <= allowed))
 
-    found = texts.join(ids, "id").select("id", "n_words", "text").mapInArrow(run, "id bigint, n_words bigint, histogram binary")
-    return materialize(found, "histograms")
+    return materialize(_meet(pairs, texts, ("n_words", "histogram")).mapInArrow(run, "a bigint, b bigint"), name)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, name: str) -> DataFrame:
-    """The pairs (a, b) that align. The text of b joins its pair; that of a follows once for every ``HEAD_ROWS`` of its pairs."""
-    heads = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HEAD_ROWS).cast("int").alias("copies"))
-    one = texts.select(F.col("id").alias("a"), F.col("text").alias("one")).join(heads, "a")
-    one = one.select("a", "one", "copies", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")).drop("copies")
-    dealt = pairs.join(heads, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("copy"))
-    two = dealt.join(texts.select(F.col("id").alias("b"), F.col("text").alias("two")), "b")
-    joined = two.join(one, ["a", "copy"]).select("a", "b", "one", "two")
+    """The pairs (a, b) that align."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, words = None, []  # pairs of a head follow each other
-        for batch in pieces(batches, "two", 2_000_000):
+        head, one = None, np.zeros(0, np.uint64)  # pairs of a head follow each other
+        for batch in pieces(batches, "two_text", 2_000_000):
             keep = []
-            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("one"), batch.column("two").to_pylist(), strict=True):
+            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("one_text"), batch.column("two_text").to_pylist(), strict=True):
                 if a != head:
-                    head, words = a, words_of(x.as_py())
-                other = words_of(y)
-                keep.append(alignment_edits(words, other, allowed_edits(len(words), len(other), similarity)) is not None)
+                    head, one = a, word_hashes(words_of(x.as_py()))
+                two = word_hashes(words_of(y))
+                keep.append(hashed_edits(one, two, allowed_edits(len(one), len(two), similarity)) is not None)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return materialize(joined.mapInArrow(run, "a bigint, b bigint"), name)
+    found = _meet(pairs, texts, ("text",)).select("a", "b", "one_text", "two_text")
+    return materialize(found.mapInArrow(run, "a bigint, b bigint"), name)
 
 
 def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame:
@@ -376,14 +396,14 @@ def near_duplicates(
     heads = entries.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("tail")).filter("head < tail").select("bucket", "head")
     members = materialize(entries.join(heads, "bucket"), "bucket-members")  # only buckets with two texts or more
     star = materialize(members.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "star-pairs")
-    first = connected_components(_verified(star, texts, similarity, "star-links"), "star-components")
+    links = _verified(_plausible(star, texts, similarity, "star-plausible"), texts, similarity, "star-links")
+    first = connected_components(links, "star-components")
 
     # Buckets whose members are in different components; exact for whatever the stars could not see.
     labelled = members.select("bucket", "id").join(first, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     labelled = materialize(labelled, "labelled-members")
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
-    left = materialize(labelled.join(mixed, "bucket"), "mixed-members")
-    left = left.join(_histograms(left.select("id").distinct(), texts), "id")
+    left = labelled.join(mixed, "bucket").join(texts.select("id", "n_words", "histogram"), "id")
     # pairs that a star has already judged are not judged again
     more = _cross_pairs(left, similarity, chunk).join(star, ["a", "b"], "left_anti")
     more = _verified(materialize(more, "cross-pairs"), texts, similarity, "cross-links")

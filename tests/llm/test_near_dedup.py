@@ -28,7 +28,10 @@ words = st.lists(st.sampled_from("abcd"), max_size=14)
 def test_alignment_is_the_banded_edit_distance(a, b, most):
     want = edits(a, b)
     assert nd.alignment_edits(a, b, most) == (want if want <= most else None)
-    assert nd._banded_rows(a, b, most) == (want if want <= most else None)
+    x, y = nd.word_hashes(a), nd.word_hashes(b)
+    assert nd.hashed_edits(x, y, most) == nd._banded_rows(x, y, most) == (want if want <= most else None)
+    if a and b:
+        assert nd._furthest_reaching(x, y, most) == (want if want <= most else None)
 
 
 @given(words.filter(bool), words.filter(bool))
