@@ -44,13 +44,16 @@ from ebbflow.operators.insight import (
     balance_histogram,
     balance_labels,
     balance_stats,
+    balance_stats_by_selection,
     below_initial_top,
     critical_stations,
     day_top,
     flow_run_summary,
+    median_by_selection,
     rebalancing_summary,
     run_summary,
     surplus_deficit_top,
+    top_per_day,
     worst_station,
 )
 from ebbflow.operators.legs import flow_legs, station_catalog, station_name_pairs
@@ -68,6 +71,7 @@ from ebbflow.operators.profile import (
     unnamed_stations,
     usable_trip_summary,
 )
+from ebbflow.operators.snapshots import balance_within_days, day_nets, day_totals, running_balance_by_day, totals_at, with_day
 from ebbflow.operators.upsert import merge_deltas, merge_stations
 
 __all__ = [name for name in dir() if not name.startswith("_")]

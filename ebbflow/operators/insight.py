@@ -7,7 +7,7 @@ task merges them). Every ordering ends with ``station_id`` so ties resolve the s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbflow.config import HIGH_THRESHOLD, HISTOGRAM_BINS, INITIAL_BALANCE, LOW_THRESHOLD, TOP_K
@@ -90,6 +90,47 @@ def balance_stats(balances: DataFrame, balance: str = "final_balance") -> DataFr
     )
 
 
+def median_by_selection(df: DataFrame, column: str, ranges: int = 1024, rows: int = 100_000) -> float | None:
+    """The exact (interpolated) median of a column, without a task that holds its values: counts per coarse range, then only the range that holds the
+    middle, until at most ``rows`` values or one value is left. The driver sees ``ranges`` counts a pass and those last values. NULL and NaN do not count;
+    None without values."""
+    x = F.col(column).cast("double")
+    values = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    if not n:
+        return None
+    ranks, below, inside = ((n - 1) // 2, n // 2), 0, n
+    while inside > rows and low < high:
+        middle = values.where(F.col("x").between(low, high))
+        at = F.least(F.lit(ranges - 1), F.floor((F.col("x") / 2 - low / 2) / (high / 2 - low / 2) * ranges)).cast("int")  # halves: no overflow
+        found = middle.groupBy(at.alias("range")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).orderBy("range").collect()
+        ends, total = [], below
+        for r in found:
+            total += r["n"]
+            ends.append(total)
+        one, two = (next(k for k, end in enumerate(ends) if rank < end) for rank in ranks)
+        if one != two:  # the two middle values are neighbours across two ranges
+            return (found[one]["high"] + found[two]["low"]) / 2
+        below, inside, low, high = ends[one] - found[one]["n"], found[one]["n"], found[one]["low"], found[one]["high"]
+    if low == high:
+        return low
+    left = sorted(r["x"] for r in values.where(F.col("x").between(low, high)).collect())  # at most ``rows``
+    return (left[ranks[0] - below] + left[ranks[1] - below]) / 2
+
+
+def balance_stats_by_selection(balances: DataFrame, balance: str = "final_balance", **selection: int) -> DataFrame:
+    """``balance_stats`` with the median by distributed selection, for values of any kind and number."""
+    b = F.col(balance)
+    median = median_by_selection(balances, balance, **selection)
+    return balances.agg(
+        rounded(F.avg(b)).alias("mean"),
+        rounded(F.lit(median).cast("double")).alias("median"),
+        rounded(F.stddev_samp(b)).alias("std"),
+        F.min(b).cast("bigint").alias("min"),
+        F.max(b).cast("bigint").alias("max"),
+    )
+
+
 def balance_histogram(balances: DataFrame, balance: str = "final_balance", bins: int = HISTOGRAM_BINS) -> DataFrame:
     """bin, bin_lo, bin_hi, stations: equal-width bins over [min, max], the last bin closed.
 
@@ -181,6 +222,14 @@ def day_top(daily: DataFrame, day: str, k: int, largest: bool = True) -> DataFra
     )
 
 
+def top_per_day(daily: DataFrame, k: int, largest: bool = True) -> DataFrame:
+    """date, station_id, difference, rank: the k largest (or smallest) daily differences of every day, with a limit inside each task before the shuffle (SO5, all
+    days at once)."""
+    order = F.col("difference").desc() if largest else F.col("difference")
+    by_day = Window.partitionBy("date").orderBy(order, F.col("station_id"))
+    return daily.withColumn("rank", F.row_number().over(by_day)).where(F.col("rank") <= k)
+
+
 def run_summary(
     trips: DataFrame, catalog: DataFrame, deltas: DataFrame, balances: DataFrame, low: int = LOW_THRESHOLD
 ) -> DataFrame:

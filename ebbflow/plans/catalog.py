@@ -25,18 +25,23 @@ from ebbflow.sources import (
     read_table,
     read_trips_csv,
     read_trips_csv_inferred,
+    read_trips_csv_quarantine,
     shape_of,
     shipments_as_trips,
     station_table,
     write_trips_csv,
 )
 from ebbflow.plans.job import run_batch
+from ebbflow.schemas import TRIP_SCHEMA
 from ebbflow.streaming import (
     FlowStreamSink,
     distinct_pairs_stream,
+    WindowSink,
     read_events_stream,
+    read_trips_stream,
     run_available,
     start_flow_stream,
+    start_window_stream,
 )
 
 # --- parameters of the registered queries ---
@@ -54,6 +59,10 @@ OLD_CREATED = "2024-01-01 00:00:00"
 NEW_CREATED = "2024-02-01 00:00:00"
 OLD_CAPACITY = 20
 STREAM_FILES = 4
+WINDOW_DELAY = "1 day"
+LATE_EVERY = 5  # every fifth event comes after the totals were summed up
+DELETED_SUFFIX = "3"
+MALFORMED_EVERY, MALFORMED_AT = 40, 3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -208,6 +217,12 @@ def daily_top_added(spark, sf_dir):
     return top.select(_text_date(), "station_id", "difference")
 
 
+@query
+def daily_top_all(spark, sf_dir):
+    top = op.top_per_day(_daily(spark, sf_dir), DAILY_TOP_K)
+    return top.select(_text_date(), "station_id", "difference", "rank")
+
+
 @query
 def daily_top_removed(spark, sf_dir):
     top = op.day_top(_daily(spark, sf_dir), REPORT_DAY, DAILY_TOP_K, largest=False)
@@ -282,6 +297,11 @@ def running_balance(spark, sf_dir):
     return op.running_balance(deltas(spark, sf_dir))
 
 
+@query
+def running_balance_by_day(spark, sf_dir):
+    return op.running_balance_by_day(deltas(spark, sf_dir))
+
+
 @query
 def worst_station_series(spark, sf_dir):
     # Both branches read the same hourly aggregate. The series branch also references named_legs, so column
@@ -344,6 +364,11 @@ def balance_stats(spark, sf_dir):
     return op.balance_stats(balance(spark, sf_dir))
 
 
+@query
+def balance_stats_by_selection(spark, sf_dir):
+    return op.balance_stats_by_selection(balance(spark, sf_dir))
+
+
 @query
 def balance_histogram(spark, sf_dir):
     return op.balance_histogram(balance(spark, sf_dir))
@@ -441,6 +466,19 @@ def csv_round_trip(spark, sf_dir):
     return op.hourly_deltas(op.clean_trips(read_trips_csv(spark, _landed_csv(spark, sf_dir))))
 
 
+@query
+def csv_quarantine(spark, sf_dir):
+    """Ride ids of the records that the declared schema cannot read: the trips as CSV, some with a start that is no time."""
+    event = F.substring("ride_id", 2, 20).cast("bigint")
+    trips = raw_trips(spark, sf_dir)
+    text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) if t == "timestamp" else F.col(c).cast("string") for c, t in trips.dtypes]
+    broken = F.when(event % MALFORMED_EVERY == MALFORMED_AT, "not a time").otherwise(F.col("started_at"))
+    columns = [F.col(f.name) if f.name in trips.columns else F.lit(None).cast("string").alias(f.name) for f in TRIP_SCHEMA.fields]
+    path = scratch_path(spark, "trips-malformed")
+    trips.select(*text).withColumn("started_at", broken).select(*columns).write.option("header", True).csv(path)
+    return read_trips_csv_quarantine(spark, path)[1].select(F.split("record", ",")[0].alias("ride_id"))
+
+
 # --- stored tables: loaded through the table store, then only the tables are read ---
 _LOADED: dict[tuple[str, str, str], str] = {}
 
@@ -453,6 +491,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> FlowTables:
         tables = FlowTables(spark, scratch_path(spark, "tables")).create()
         tables.upsert_stations(stations(spark, sf_dir))
         tables.upsert_deltas(op.hourly_deltas(clean(spark, sf_dir), by_class=True))
+        tables.snapshot_totals()
         _LOADED[key] = tables.root
     return FlowTables(spark, _LOADED[key])
 
@@ -474,6 +513,33 @@ def _tables_twice(spark: SparkSession, sf_dir: str) -> FlowTables:
     return FlowTables(spark, _LOADED[key])
 
 
+def _tables_late(spark: SparkSession, sf_dir: str) -> FlowTables:
+    """Tables whose totals were summed up before every fifth event came; its flow was added later, to hours of all days."""
+    key = (spark.sparkContext.applicationId, sf_dir, "late")
+    if key not in _LOADED:
+        tables = FlowTables(spark, scratch_path(spark, "tables-late")).create()
+        late = F.col("event_id") % LATE_EVERY == 0
+        first, second = (op.hourly_deltas(op.clean_trips(events_as_trips(events(spark, sf_dir).where(c)))) for c in (~late, late))
+        tables.upsert_stations(stations(spark, sf_dir))
+        tables.upsert_deltas(first)
+        tables.snapshot_totals()
+        tables.upsert_deltas(second, mode="add")
+        _LOADED[key] = tables.root
+    return FlowTables(spark, _LOADED[key])
+
+
+def _tables_after_delete(spark: SparkSession, sf_dir: str) -> FlowTables:
+    """Tables from which some stations were deleted together with their flow."""
+    key = (spark.sparkContext.applicationId, sf_dir, "delete")
+    if key not in _LOADED:
+        tables = FlowTables(spark, scratch_path(spark, "tables-delete")).create()
+        tables.upsert_stations(stations(spark, sf_dir))
+        tables.upsert_deltas(deltas(spark, sf_dir))
+        tables.delete_stations(tables.stations().where(F.col("id").endswith(DELETED_SUFFIX)))
+        _LOADED[key] = tables.root
+    return FlowTables(spark, _LOADED[key])
+
+
 @query
 def table_upsert_twice(spark, sf_dir):
     return _tables_twice(spark, sf_dir).deltas().select("hour", "station_id", "delta_total")
@@ -497,7 +563,7 @@ def table_station_lookup(spark, sf_dir):
 
 @query
 def table_station_range(spark, sf_dir):
-    d = _tables(spark, sf_dir).deltas(until=RANGE_END, since=RANGE_START)
+    d = _tables(spark, sf_dir).deltas(until=RANGE_END, since=RANGE_START, station=LOOKUP_STATION)
     return op.station_events_range(d, LOOKUP_STATION, RANGE_START, RANGE_END).orderBy("hour")
 
 
@@ -509,8 +575,33 @@ def table_hourly_events(spark, sf_dir):
 
 @query
 def table_balances_as_of(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return op.balances_as_of(t.stations(), t.deltas(until=AS_OF_HOUR), AS_OF_HOUR)
+    return _tables(spark, sf_dir).balances_as_of(AS_OF_HOUR)
+
+
+@query
+def table_balances_as_of_late(spark, sf_dir):
+    """Totals of the days before, the changes that a later load made to them, and the hours of the day."""
+    return _tables_late(spark, sf_dir).balances_as_of(AS_OF_HOUR)
+
+
+@query
+def table_delete_cascade(spark, sf_dir):
+    return _tables_after_delete(spark, sf_dir).deltas().select("hour", "station_id", "delta_total")
+
+
+@query
+def table_delete_cascade_stations(spark, sf_dir):
+    return _station_cols(_tables_after_delete(spark, sf_dir).stations())
+
+
+@query
+def table_add_twice(spark, sf_dir):
+    """The flow after the same trip files were added twice."""
+    path = _landed_csv(spark, sf_dir)
+    tables = FlowTables(spark, scratch_path(spark, "tables-add")).create()
+    for _ in range(2):
+        tables.add_trip_files(path, lambda files: read_trips_csv(spark, files))
+    return tables.deltas().select("hour", "station_id", "delta_total")
 
 
 @query
@@ -539,21 +630,25 @@ def table_balance_carry_over(spark, sf_dir):
     return op.carry_over_balance(t.deltas(since=CARRY_FROM), t.stage(before, "balances"))
 
 
-# --- streaming: the events, landed as several files, run to completion (availableNow) ---
-def _landed_events(spark, sf_dir) -> str:
-    """The events in several files by time, landed one after another. Calling a ``stream_*`` query runs its stream."""
-    path = scratch_path(spark, "landing")
-    e = events(spark, sf_dir)
+# --- streaming: the events, landed part by part; the stream takes each part and stops (availableNow), then goes on from its checkpoint ---
+def _part(k: int):
+    """Events of part k: every fourth day of the month (rows without a time are in part 0), so later parts hold earlier days too."""
+    return F.pmod(F.coalesce(F.dayofmonth("ts"), F.lit(0)), F.lit(STREAM_FILES)) == k
+
+
+def _stream_parts(spark, sf_dir, start, between=None) -> None:
+    """Land each part with its natural files and run the stream that ``start`` makes of (landing folder, checkpoint). Calling a ``stream_*`` query runs its stream."""
+    root = scratch_path(spark, "stream")
     for k in range(STREAM_FILES):
-        e.where(F.pmod(F.dayofmonth("ts"), F.lit(STREAM_FILES)) == k).coalesce(1).write.mode("append").parquet(path)
-    return path
+        if k == STREAM_FILES - 1 and between is not None:
+            between()
+        events(spark, sf_dir).where(_part(k)).write.mode("append").parquet(f"{root}/landing")
+        run_available(start(events_as_trips(read_events_stream(spark, f"{root}/landing")), f"{root}/checkpoint"))
 
 
-def _stream_sink(spark, sf_dir) -> FlowStreamSink:
-    root = scratch_path(spark, "flow-stream")
-    sink = FlowStreamSink(spark, f"{root}/out")
-    trips = events_as_trips(read_events_stream(spark, _landed_events(spark, sf_dir), max_files_per_trigger=1))
-    run_available(start_flow_stream(trips, sink, f"{root}/checkpoint", available_now=True))
+def _stream_sink(spark, sf_dir, compact_before_last: bool = False) -> FlowStreamSink:
+    sink = FlowStreamSink(spark, scratch_path(spark, "flow-stream"))
+    _stream_parts(spark, sf_dir, lambda trips, at: start_flow_stream(trips, sink, at, available_now=True), sink.compact if compact_before_last else None)
     return sink
 
 
@@ -569,21 +664,38 @@ def stream_balance(spark, sf_dir):
     return _stream_sink(spark, sf_dir).balances(initial=0)
 
 
+@query
+def stream_balance_open(spark, sf_dir):
+    """The balances that the last part changes on its days, on top of a base of the parts before; it holds days between those of the base."""
+    return _stream_sink(spark, sf_dir, compact_before_last=True).open_balances()
+
+
+@query
+def stream_windowed_deltas(spark, sf_dir):
+    """Closed and open windows and the late path added up; the later parts hold days before the watermark."""
+    sink = WindowSink(spark, scratch_path(spark, "window-stream"), WINDOW_DELAY)
+    _stream_parts(spark, sf_dir, lambda trips, at: start_window_stream(trips, sink, at, available_now=True))
+    return sink.deltas()
+
+
+@query
+def stream_csv_deltas(spark, sf_dir):
+    """Trips landed as CSV files and read as a stream with the declared schema."""
+    sink = FlowStreamSink(spark, scratch_path(spark, "csv-stream"))
+    path = _landed_csv(spark, sf_dir)
+    run_available(start_flow_stream(read_trips_stream(spark, path, max_files_per_trigger=2), sink, scratch_path(spark, "csv-checkpoint"), available_now=True))
+    return sink.deltas().select("hour", "station_id", "delta_total")
+
+
 @query
 def stream_station_pairs(spark, sf_dir):
-    root = scratch_path(spark, "pairs-stream")
-    trips = events_as_trips(read_events_stream(spark, _landed_events(spark, sf_dir), max_files_per_trigger=1))
-    out = f"{root}/out"
-    stream = (
-        distinct_pairs_stream(trips)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run_available(stream)
+    out = scratch_path(spark, "pairs-stream")
+
+    def start(trips, at):
+        writer = distinct_pairs_stream(trips).writeStream.format("parquet").option("path", out).option("checkpointLocation", at)
+        return writer.outputMode("append").trigger(availableNow=True).start()
+
+    _stream_parts(spark, sf_dir, start)
     return spark.read.schema("station_id string, station_name string").parquet(out)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ebbflow import operators as op
 from ebbflow.config import INITIAL_BALANCE, LOW_THRESHOLD
 from ebbflow.sources.tables import FlowTables
-from ebbflow.sources.trips import read_trips_csv
+from ebbflow.sources.trips import read_trips_csv, read_trips_csv_quarantine
 
 
 def create_tables(spark: SparkSession, root: str, force: bool = False) -> FlowTables:
@@ -25,6 +25,7 @@ def run_batch(
     root: str,
     now: Column | None = None,
     initial: int = INITIAL_BALANCE,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Load trips (a DataFrame, or a CSV folder / glob) into the tables below ``root``.
 
@@ -33,9 +34,15 @@ def run_batch(
     existing keys (idempotent over re-runs of the same files).
 
     Returns one row. Of this load: trips, stations and hourly_events (rows upserted). Of the tables after it: analysed
-    (active stations), low_count, mean_balance.
+    (active stations), low_count, mean_balance. With ``quarantine`` (a folder) the records of CSV files that the declared schema cannot read are written
+    there, and their number is a further column, quarantined.
     """
-    if isinstance(trips, str):
+    rejected = None
+    if isinstance(trips, str) and quarantine:
+        trips, unread = read_trips_csv_quarantine(spark, trips)
+        unread.write.mode("overwrite").parquet(quarantine)
+        rejected = spark.read.schema(unread.schema).parquet(quarantine).count()
+    elif isinstance(trips, str):
         trips = read_trips_csv(spark, trips)
     tables = create_tables(spark, root)
     flow = tables.stage(op.class_flow_by_name(op.clean_trips(trips)), "flow")
@@ -58,6 +65,8 @@ def run_batch(
     row = table.select(
         counts.scalar().alias("trips"), loaded.scalar().alias("stations"), events.scalar().alias("hourly_events"), "analysed", "low_count", "mean_balance"
     )
+    if rejected is not None:
+        row = row.withColumn("quarantined", F.lit(rejected).cast("bigint"))
     result = spark.createDataFrame(row.collect(), row.schema)  # one row, before the staged tables go
     tables.drop_staged()
     return result

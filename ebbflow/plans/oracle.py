@@ -358,6 +358,28 @@ FROM (SELECT {q.INITIAL_BALANCE} + COALESCE(t.net_change, 0) AS b FROM catalog c
     "table_stored_status": SELECTS["table_status"],
     "table_orphans": SELECTS["orphan_station_events"],
     "table_balance_carry_over": SELECTS["balance_carry_over"],
+    "table_balances_as_of_late": SELECTS["balances_as_of"],
+    "running_balance_by_day": SELECTS["running_balance"],
+    "balance_stats_by_selection": SELECTS["balance_stats"],
+    "table_add_twice": SELECTS["hourly_deltas"],
+    "stream_csv_deltas": SELECTS["hourly_deltas"],
+    "stream_windowed_deltas": SELECTS["hourly_deltas"],
+    "table_delete_cascade": f"SELECT hour, station_id, delta_total FROM deltas WHERE station_id NOT IN (SELECT id FROM stations WHERE id LIKE '%{q.DELETED_SUFFIX}')",
+    "table_delete_cascade_stations": f"SELECT id, name, capacity, is_active FROM stations WHERE id NOT LIKE '%{q.DELETED_SUFFIX}'",
+    "csv_quarantine": f"SELECT ride_id FROM trips WHERE CAST(substr(ride_id, 2) AS BIGINT) % {q.MALFORMED_EVERY} = {q.MALFORMED_AT}",
+    "daily_top_all": f"""
+SELECT date, station_id, difference, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY date ORDER BY difference DESC, station_id) AS rank FROM daily)
+WHERE rank <= {q.DAILY_TOP_K}""",
+    "stream_balance_open": f"""
+, last_part AS (SELECT * FROM clean WHERE COALESCE(day(started_at), 0) % {q.STREAM_FILES} = {q.STREAM_FILES - 1}),
+last_legs AS ({_legs("last_part")}),
+opened AS (SELECT DISTINCT {HOUR} AS hour, station_id FROM last_legs),
+sums AS (SELECT station_id, hour, sum(delta_total) OVER (PARTITION BY station_id ORDER BY hour
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance FROM deltas)
+SELECT station_id, hour, CAST(balance AS BIGINT) AS balance FROM sums s
+WHERE substr(hour, 1, 10) IN (SELECT substr(hour, 1, 10) FROM opened)
+  AND EXISTS (SELECT 1 FROM opened o WHERE o.station_id = s.station_id AND o.hour <= s.hour)""",
 }
 
 

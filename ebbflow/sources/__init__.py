@@ -15,6 +15,7 @@ from ebbflow.sources.trips import (
     file_inventory,
     read_trips_csv,
     read_trips_csv_inferred,
+    read_trips_csv_quarantine,
     shape_of,
     write_trips_csv,
 )
@@ -30,6 +31,7 @@ __all__ = [
     "read_table",
     "read_trips_csv",
     "read_trips_csv_inferred",
+    "read_trips_csv_quarantine",
     "shape_of",
     "shipments_as_trips",
     "station_table",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ebbflow.schemas import TRIP_SCHEMA
 
@@ -21,6 +22,24 @@ def read_trips_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+CORRUPT = "_unread"
+
+
+def read_trips_csv_quarantine(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(trips, quarantine) of header CSV files: the rows that the declared schema can read, and the others as they stand in the file (record, file_name).
+
+    Without this, ``read_trips_csv`` reads what it cannot parse as NULL and cleaning drops it uncounted. Both frames are lazy over the same files.
+    """
+    schema = StructType([*TRIP_SCHEMA.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    rows = reader.csv(path)
+    # every column is asked for, since the parser marks only what it is asked to parse
+    parsed = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in TRIP_SCHEMA.fieldNames()])) >= 0
+    marked = rows.select("*", F.col("_metadata.file_name").alias("file_name")).where(parsed)
+    trips = marked.where(F.col(CORRUPT).isNull()).select(*TRIP_SCHEMA.fieldNames())
+    return trips, marked.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"), "file_name")
+
+
 def read_trips_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Exploratory read: header CSV with inferred column types (costs an extra pass over the files)."""
     return spark.read.option("header", True).option("inferSchema", True).csv(path)

@@ -7,20 +7,21 @@ partials, which makes late trips simply count where they belong: no watermark dr
 grows with the key space.
 
 ``live_station_totals`` is a stateful Structured Streaming alternative for low-latency views; its state is one number per
-station and drops nothing. Windowed totals with a watermark, which lose late trips, are not offered.
+station and drops nothing. Event-time windows that close, with a path for late rows, are in ``windows.py``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ebbflow.operators.balance import carry_over_balance, running_balance
+from ebbflow.operators.balance import running_balance
 from ebbflow.operators.clean import clean_trips, normalise_trips
 from ebbflow.operators.deltas import class_flow_by_name
 from ebbflow.operators.legs import flow_legs, station_name_pairs
+from ebbflow.operators.snapshots import day_nets, day_totals, with_day
 from ebbflow.schemas import TRIP_SCHEMA
 from ebbflow.sources.tables import hadoop_path
 
@@ -49,14 +50,15 @@ def read_events_stream(spark: SparkSession, path: str, max_files_per_trigger: in
 
 DELTAS = "hour string, station_id string, delta_total long, delta_ebike long, delta_other long"
 PAIRS = "station_id string, station_name string"
-TOTALS = "station_id string, hour string, balance long"
+BASE_DELTAS = f"{DELTAS}, date date"
+TOTALS = "station_id string, total long, date date"
 
 
 class FlowStreamSink:
     """Micro-batch sink keyed by batch id, plus readers of what it accumulated (ST2-ST6, SNK3).
 
     A batch writes partial deltas and station name pairs to folders of its own. ``compact`` folds finished batches into one
-    base (``upto=N``: deltas, pairs and each station's net flow up to batch N); readers take the newest finished base and
+    base (``upto=N``: deltas by day, pairs, and every station's net flow up to the end of each day); readers take the newest finished base and
     the batches after it, so the cost of a read does not grow with the number of batches ever taken.
     """
 
@@ -104,31 +106,34 @@ class FlowStreamSink:
 
     def _base(self) -> int:
         """The last batch folded into the base; -1 without one."""
-        finished = self._numbers(f"{self.base_path}/totals")  # written last
+        finished = self._numbers(f"{self.base_path}/days")  # written last
         return finished[-1] if finished else -1
 
-    def _read(self, kind: str, path: str, schema: str, base: int) -> DataFrame:
-        """Base rows, then those of the open batches."""
-        open_batches = [f"{path}/batch_id={n}" for n in self._numbers(path) if n > base]
-        paths = ([f"{self.base_path}/{kind}/upto={base}"] if base >= 0 else []) + open_batches
+    def _open(self, path: str, schema: str) -> DataFrame:
+        """Rows of the batches after the base."""
+        base = self._base()
+        paths = [f"{path}/batch_id={n}" for n in self._numbers(path) if n > base]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def _folded(self, kind: str, schema: str) -> DataFrame:
+        """Rows of the base."""
+        base = self._base()
+        return self.spark.read.schema(schema).parquet(f"{self.base_path}/{kind}/upto={base}") if base >= 0 else self.spark.createDataFrame([], schema)
+
     def deltas(self) -> DataFrame:
         """hour, station_id, delta_total, delta_ebike, delta_other summed over the base and the open batches."""
-        parts = self._read("deltas", self.deltas_path, DELTAS, self._base())
+        parts = self._folded("deltas", BASE_DELTAS).drop("date").unionByName(self._open(self.deltas_path, DELTAS))
         return parts.groupBy("hour", "station_id").agg(
             *[F.sum(c).cast("bigint").alias(c) for c in ("delta_total", "delta_ebike", "delta_other")]
         )
 
     def pairs(self) -> DataFrame:
         """station_id, station_name pairs seen in any batch."""
-        return self._read("pairs", self.pairs_path, PAIRS, self._base()).distinct()
+        return self._folded("pairs", PAIRS).unionByName(self._open(self.pairs_path, PAIRS)).distinct()
 
     def open_deltas(self) -> DataFrame:
         """The same as ``deltas`` of the batches after the base only."""
-        base = self._base()
-        paths = [f"{self.deltas_path}/batch_id={n}" for n in self._numbers(self.deltas_path) if n > base]
-        parts = self.spark.read.schema(DELTAS).parquet(*paths) if paths else self.spark.createDataFrame([], DELTAS)
+        parts = self._open(self.deltas_path, DELTAS)
         return parts.groupBy("hour", "station_id").agg(F.sum("delta_total").cast("bigint").alias("delta_total"))
 
     def compact(self) -> int:
@@ -137,12 +142,13 @@ class FlowStreamSink:
         last, base = max(done, default=-1), self._base()
         if last <= base:
             return base
-        self.deltas().write.mode("overwrite").parquet(f"{self.base_path}/deltas/upto={last}")
+        by_day = with_day(self.deltas()).hint("rebalance", "date")
+        by_day.write.mode("overwrite").partitionBy("date").parquet(f"{self.base_path}/deltas/upto={last}")
         self.pairs().write.mode("overwrite").parquet(f"{self.base_path}/pairs/upto={last}")
-        folded = self.spark.read.schema(DELTAS).parquet(f"{self.base_path}/deltas/upto={last}")
-        totals = folded.groupBy("station_id").agg(F.max("hour").alias("hour"), F.sum("delta_total").cast("bigint").alias("balance"))
-        totals.write.mode("overwrite").parquet(f"{self.base_path}/totals/upto={last}")  # makes the base current
-        for kind in ("deltas", "pairs", "totals"):
+        folded = self.spark.read.schema(BASE_DELTAS).parquet(f"{self.base_path}/deltas/upto={last}")
+        days = day_totals(day_nets(folded)).hint("rebalance", "date")
+        days.write.mode("overwrite").partitionBy("date").parquet(f"{self.base_path}/days/upto={last}")  # makes the base current
+        for kind in ("deltas", "pairs", "days"):
             for n in self._numbers(f"{self.base_path}/{kind}"):
                 if n < last:
                     self._delete(f"{self.base_path}/{kind}/upto={n}")
@@ -169,12 +175,43 @@ class FlowStreamSink:
         like the streaming job it models)."""
         return running_balance(self.deltas(), initial).select("station_id", "hour", "balance")
 
+    def _base_dates(self) -> list[str]:
+        """The days of the base, as dates in text."""
+        fs, p = hadoop_path(self.spark, f"{self.base_path}/days/upto={self._base()}")
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(n.split("=", 1)[1] for n in names if n.startswith("date="))
+
     def open_balances(self, initial: int = 0) -> DataFrame:
-        """Running balance of the open batches' flow on top of the base's station totals; the base's hours are not read."""
-        base = self._base()
-        path = f"{self.base_path}/totals/upto={base}"
-        totals = self.spark.read.schema(TOTALS).parquet(path) if base >= 0 else self.spark.createDataFrame([], TOTALS)
-        return carry_over_balance(self.open_deltas(), totals.withColumn("balance", F.col("balance") + initial), initial)
+        """station_id, hour, balance of all hours that the open batches changed, on the days that they touch.
+
+        An open batch may hold late hours, before or between those of the base. Of the base only the touched days are read, and the day totals before
+        them. On later days the balance is that of the base plus the station's open flow; ``balances`` has all hours.
+        """
+        opened = with_day(self.open_deltas())
+        touched = opened.select("date").distinct()
+        folded = self._folded("deltas", BASE_DELTAS).join(touched, "date", "left_semi").select("date", "hour", "station_id", "delta_total")
+        rows = folded.withColumn("open", F.lit(0)).unionByName(opened.select("date", "hour", "station_id", "delta_total", F.lit(1).alias("open")))
+        rows = rows.groupBy("date", "station_id", "hour").agg(F.sum("delta_total").alias("delta_total"), F.sum("open").alias("open"), F.sum(F.col("delta_total") * F.col("open")).alias("own"))
+
+        # per station and touched day: the base's total before it, and the open flow of earlier days
+        earlier = Window.partitionBy("station_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+        days = rows.groupBy("station_id", "date").agg(F.sum("own").alias("own"), F.sum("open").alias("open"))
+        days = days.select("station_id", "date", F.sum("own").over(earlier).alias("own"), F.sum("open").over(earlier).alias("open_before"))
+        known = F.array(*[F.to_date(F.lit(d)) for d in self._base_dates()]).cast("array<date>")
+        before = touched.withColumn("at", F.array_max(F.filter(known, lambda d: d < F.col("date"))))
+        totals = self._folded("days", TOTALS).withColumnRenamed("date", "at").join(before, "at").select("station_id", "date", "total")
+        days = days.join(totals, ["station_id", "date"], "left")
+        start = F.coalesce("own", F.lit(0)) + F.coalesce("total", F.lit(0))
+        days = days.select("station_id", "date", start.alias("before"), F.coalesce("open_before", F.lit(0)).alias("open_before"))
+
+        inside = Window.partitionBy("station_id", "date").orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)
+        found = rows.join(days, ["station_id", "date"]).select(
+            "station_id",
+            "hour",
+            (F.lit(initial) + F.col("before") + F.sum("delta_total").over(inside)).cast("bigint").alias("balance"),
+            (F.col("open_before") + F.sum("open").over(inside)).alias("changed"),
+        )
+        return found.where("changed > 0").select("station_id", "hour", "balance")
 
 
 def start_flow_stream(
