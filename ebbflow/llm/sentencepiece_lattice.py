@@ -12,8 +12,8 @@ Encoding is a Viterbi search over the piece table, done once per distinct word b
 A word of more than ``SHORT_WORD`` characters is cut into stretches of ``STRETCH`` first; its edges are folded one by one in order of their end,
 then start, and the fold over stretches is nested, so a word of any length costs linear time.
 
-Words are cut where the lattice can have no edge: before a space (U+2581), and between two characters that no piece has next to
-each other, such as a letter and the full stop after it. Each part is segmented by itself with the same result.
+Texts are cut into words where the lattice can have no edge: between two characters that no piece has next to each other, such as a letter and the space
+(U+2581) or the full stop after it. Each word is segmented by itself with the same result.
 
 Unknown characters become their UTF-8 bytes (byte pieces). Unknown, control and byte pieces never match text, as in
 SentencePiece.
@@ -39,7 +39,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -49,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import conf, materialize, pieces
+from ebbflow.llm.common import bucketed, conf, materialize, pieces
 from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 SPACE = "▁"
@@ -58,8 +57,8 @@ STRETCH = 512
 BLOCK_BYTES = 24_000_000
 BUCKET_BYTES = 32_000_000
 PARTITION_WORDS = 20_000
+CUT_AT_ONCE = 1_000_000
 UNKNOWN_PENALTY = 10.0
-_WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
 class Model:
@@ -83,13 +82,23 @@ class Model:
         self.pairs = {pair for n in self.ids for pair in zip(n, n[1:], strict=False)}
         if any(b == SPACE != a for a, b in self.pairs):
             raise ValueError("a piece spans the start of a word")
-
-    def parts(self, word: str) -> list[str]:
-        """The word cut between characters that no piece has next to each other."""
-        if self.pairs.issuperset(zip(word, word[1:], strict=False)):
-            return [word]
-        cuts = [0, *(i for i in range(1, len(word)) if (word[i - 1], word[i]) not in self.pairs), len(word)]
-        return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        # the pairs as a table over the characters that occur in them (0: all others)
+        characters = sorted({c for pair in self.pairs for c in pair})
+        self.kinds = np.zeros(0x110000, np.int32)
+        self.kinds[[ord(c) for c in characters]] = np.arange(1, len(characters) + 1)
+        self.joined = np.zeros((len(characters) + 1,) * 2, bool)
+        for a, b in self.pairs:
+            self.joined[self.kinds[ord(a)], self.kinds[ord(b)]] = True
+
+    def parts(self, text: str) -> list[str]:
+        """The text cut between characters that no piece has next to each other."""
+        cuts = [0]
+        for start in range(0, len(text), CUT_AT_ONCE):
+            codes = np.frombuffer(text[start : start + CUT_AT_ONCE + 1].encode("utf-32-le", "surrogatepass"), "<u4")
+            kinds = self.kinds[codes]
+            cuts += (np.flatnonzero(~self.joined[kinds[:-1], kinds[1:]]) + (start + 1)).tolist()
+        cuts.append(len(text))
+        return [text[a:b] for a, b in itertools.pairwise(cuts)] if text else []
 
     def unknown_ids(self, character: str) -> list[int]:
         found = [self.bytes.get(b) for b in character.encode("utf-8", "surrogatepass")]
@@ -228,29 +237,17 @@ def segment_words(words: DataFrame, model: Model, keys: tuple[str, ...] = ()) ->
 BLOCKS = "block bigint, bucket int, words binary, doc_ids array<bigint>, digests array<binary>, counts array<int>, numbers binary, places binary"
 
 
-class _PartNumbers(dict):
-    """Numbers of a word's parts, found when first asked for."""
-
-    def __init__(self, model: Model, index: defaultdict[str, int]):
-        super().__init__()
-        self.model, self.index = model, index
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        self[word] = found = tuple(map(self.index.__getitem__, self.model.parts(word)))
-        return found
-
-
 class _Block:
     """Documents of one task until they hold about a block of text."""
 
     def __init__(self, model: Model) -> None:
+        self.model = model
         self.index: defaultdict[str, int] = defaultdict(itertools.count().__next__)
-        self.numbers_of = _PartNumbers(model, self.index)
         self.ids, self.digests, self.counts, self.numbers, self.size = [], [], [], [], 0
 
     def add(self, doc_id: int | None, text: str) -> None:
-        words = _WORDS.findall(normalise(text))
-        numbers = np.fromiter(itertools.chain.from_iterable(map(self.numbers_of.__getitem__, words)), np.uint32)
+        words = self.model.parts(normalise(text))
+        numbers = np.fromiter(map(self.index.__getitem__, words), np.uint32, len(words))
         self.numbers.append(numbers)
         self.ids.append(doc_id)
         raw = text.encode("utf-8", "surrogatepass")
@@ -275,7 +272,7 @@ class _Block:
         }
 
 
-def pack_documents(docs: DataFrame, id_col: str, text_col: str, buckets: int, block_bytes: int, model_path: str) -> DataFrame:
+def pack_documents(docs: DataFrame, id_col: str, text_col: str, buckets: int, block_bytes: int, model_path: str, parts: int) -> DataFrame:
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +287,8 @@ def pack_documents(docs: DataFrame, id_col: str, text_col: str, buckets: int, bl
         if block.ids:
             yield from (pa.RecordBatch.from_pylist([r], schema=_BLOCKS_ARROW) for r in block.rows(part << 24 | number, buckets))
 
-    return materialize(source.mapInArrow(run, BLOCKS), "text-blocks")
+    # bucketed by block: the documents stay where they are when their words' ids come
+    return bucketed(source.mapInArrow(run, BLOCKS), "block", parts, "text_blocks")
 
 
 _BLOCKS_ARROW = pa.schema(
@@ -396,8 +394,7 @@ def _assemble(blocks: DataFrame, returned: DataFrame) -> DataFrame:
         )
 
     docs = blocks.filter("bucket < 0").select("block", "doc_ids", "digests", "counts", "numbers", "places")
-    parts = max(1, docs.count())
-    return docs.repartition(parts, "block").groupBy("block").cogroup(returned.repartition(parts, "block").groupBy("block")).applyInArrow(run, ENCODED)
+    return docs.groupBy("block").cogroup(returned.groupBy("block")).applyInArrow(run, ENCODED)
 
 
 def encode(
@@ -411,7 +408,8 @@ def encode(
     """doc_id, digest (MD5 of the text) and ids of every document."""
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
-    blocks = pack_documents(docs, id_col, text_col, buckets, block_bytes, model_path)
+    parts = 4 * max(1, math.ceil(size / block_bytes))  # few blocks share one
+    blocks = pack_documents(docs, id_col, text_col, buckets, block_bytes, model_path, parts)
     settings = {
         "spark__sql__objectHashAggregate__sortBased__fallbackThreshold": str(100 * PARTITION_WORDS),  # no sort of the edges
         "spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true",
