@@ -58,7 +58,7 @@ CHUNK = 512
 HEAD_ROWS = 2048
 SEEN = 100_000
 FEW_EDITS = 24
-BAND_CELLS = 600_000
+BAND_CELLS = 4_000_000
 
 _FACTORS, _SHIFTS = np.random.default_rng(20240501).integers(0, 1 << 32, (2, 512), np.uint64).astype(np.uint32)
 
@@ -150,12 +150,17 @@ def hashed_edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     n, m = len(a), len(b)
     if not n or not m:
         return max(n, m) if max(n, m) <= most else None
-    band = FEW_EDITS
+    # words that one side has and the other lacks: each edit settles one of either side
+    bins = 1 << min(max(n, m).bit_length() + 2, 20)
+    delta = np.bincount((a % bins).astype(np.int64), minlength=bins) - np.bincount((b % bins).astype(np.int64), minlength=bins)
+    least = max(int(delta[delta > 0].sum()), int(-delta[delta < 0].sum()))
+    if least > most:
+        return None
+    band = max(FEW_EDITS, least)  # most links have few edits: the band widens until it holds the alignment
     while True:
         band = min(band, most)
-        if (2 * band + 1) * n > BAND_CELLS:
-            return _banded_rows(a, b, most)
-        found = _furthest_reaching(a, b, band)
+        within = _furthest_reaching if (2 * band + 1) * n <= BAND_CELLS else _banded_rows
+        found = within(a, b, band)
         if found is not None or band == most:
             return found
         band *= 4
@@ -167,7 +172,7 @@ def _furthest_reaching(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     goal = n - m + most  # diagonal k: place in a less place in b is k - most
     if not 0 <= goal <= 2 * most:
         return None
-    diagonal, place = np.arange(-most, most + 1), np.arange(n + 1, dtype=np.int32)
+    diagonal, place = np.arange(-most, most + 1, dtype=np.int32), np.arange(n + 1, dtype=np.int32)
     padded = np.concatenate([np.zeros(most, a.dtype), b, np.zeros(n + most + 1, a.dtype)])
     step = padded.strides[0]
     other = np.lib.stride_tricks.as_strided(padded[2 * most :], (2 * most + 1, n + 1), (-step, step))  # row k: what stands in b across from a
@@ -361,22 +366,41 @@ def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
 
-    def run(table: pa.Table) -> pa.Table:
-        ids, labels, n, own = (table.column(c).to_numpy() for c in ("id", "label", "n_words", "own"))
-        h = np.frombuffer(b"".join(table.column("histogram").to_pylist()), np.uint8).reshape(len(ids), -1)
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    def pairs(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        ids, labels, n, own = (part.column(c).to_numpy() for c in ("id", "label", "n_words", "own"))
+        h = np.frombuffer(b"".join(part.column("histogram").to_pylist()), np.uint8).reshape(len(ids), -1)
+        low, high = part.column("low")[0].as_py(), part.column("high")[0].as_py()
         x = np.flatnonzero(own == low)
         y = x if low == high else np.flatnonzero(own == high)
-        if not len(x) or not len(y):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         ok = _within_bounds(n[x], n[y], h[x], h[y], similarity) & (labels[x][:, None] != labels[y][None, :])
         i, j = np.nonzero(ok)
-        i, j = x[i], y[j]
-        a, b = ids[i], ids[j]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return ids[x[i]], ids[y[j]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups of (bucket, low, high) follow each other; the last of a batch may go on in the next."""
+
+        def judged(groups: list[pa.Table]) -> pa.RecordBatch:
+            found = [pairs(g) for g in groups]
+            a, b = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        held = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = part if held is None else pa.concat_tables([held, part]).combine_chunks()
+            if not part.num_rows:
+                continue
+            keys = np.stack([part.column(c).to_numpy().astype(np.int64) for c in ("bucket", "low", "high")])
+            starts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+            held = part.slice(starts[-1])
+            yield judged([part.slice(i, j - i) for i, j in zip(starts, starts[1:], strict=False)])
+        if held is not None and held.num_rows:
+            yield judged([held])
 
     columns = rows.select("bucket", "low", "high", "own", "id", "label", "n_words", "histogram")
-    return columns.groupBy("bucket", "low", "high").applyInArrow(run, "a bigint, b bigint").distinct()
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = columns.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(
