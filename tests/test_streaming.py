@@ -84,9 +84,10 @@ def test_compaction_keeps_totals_and_carries_balances(spark, tmp_dir):
     sink.write_batch(parts[3], 4)  # a replay
     assert rows(sink.deltas(), "hour", "station_id", "delta_total") == batch_deltas(spark)
     assert rows(sink.pairs()) == rows(op.station_name_pairs(q.norm_trips(spark, SF_SMOKE)))
-    last = {r["station_id"]: r["balance"] for r in op.latest_balance(sink.open_balances(20)).collect()}
-    totals = {r["station_id"]: 20 + r["net_change"] for r in op.flow_totals(q.deltas(spark, SF_SMOKE)).collect()}
-    assert last and all(totals[s] == b for s, b in last.items())
+    opened = rows(sink.open_balances(20), "station_id", "hour", "balance")
+    assert len(opened) > 500 and set(opened) <= set(rows(sink.balances(20), "station_id", "hour", "balance"))  # the second week's too, which came late
+    changed = set(rows(sink.open_deltas(), "station_id", "hour"))
+    assert changed <= {r[:2] for r in opened}
     assert sink.compact() == 4
     assert sink.open_balances().count() == 0
     assert rows(sink.deltas(), "hour", "station_id", "delta_total") == batch_deltas(spark)
