@@ -33,14 +33,14 @@ Bigrams are looked up by two word ids below 2**32 in one 64-bit key; more distin
 
 Defined results: null text is the empty text, one end token. A null document id counts as the empty text for the
 hold-out rule. Repeated rows are scored and counted each. With no training document every probability is that of the unknown
-word, 1. Equal inputs give equal sums (fixed order).
+word, 1. Equal inputs give equal sums (fixed order). An empty table gives no rows. Texts of any length are read and scored whole. Columns other than the id and
+the text are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -52,7 +52,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import conf, materialize, pieces, scratch
+from ebbflow.llm.common import bucketed, conf, materialize, pieces, scratch
 from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 K_GT = 5
@@ -319,7 +319,6 @@ def _returned(blocks: DataFrame, unigrams: DataFrame) -> DataFrame:
 
 def event_table(blocks: DataFrame, unigrams: DataFrame, level: Unigrams, hot: np.ndarray, buckets: int) -> DataFrame:
     """The events of all blocks, in a table bucketed by history bucket."""
-    spark = blocks.sparkSession
 
     def run(docs: pa.Table, returned: pa.Table) -> pa.Table:
         row = docs.to_pylist()[0]
@@ -330,10 +329,7 @@ def event_table(blocks: DataFrame, unigrams: DataFrame, level: Unigrams, hot: np
 
     left = blocks.filter("bucket < 0").select("block", "doc_ids", "held", "sizes", "numbers", "places").groupBy("block")
     events = left.cogroup(_returned(blocks, unigrams).groupBy("block")).applyInArrow(run, EVENTS)
-    name = f"lm_events_{uuid.uuid4().hex}"
-    writer = events.repartition(buckets, "hbucket").write.bucketBy(buckets, "hbucket")
-    writer.option("compression", "zstd").option("path", scratch(spark, "lm-events")).saveAsTable(name)
-    return spark.table(name)
+    return bucketed(events.repartition(buckets, "hbucket"), "hbucket", buckets, "lm_events")
 
 
 # --- the bigram table ------------------------------------------------------------------------------------------------

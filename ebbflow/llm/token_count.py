@@ -19,7 +19,8 @@ Time is linear in the text (a place has at most as many matches as the longest p
 numbers per character of one text.
 
 Defined results: null text counts as the empty text, which has no token (nothing is put in front of it). Ties follow the
-rules above; repeated rows each give a row.
+rules above; repeated rows each give a row; an empty table gives none. Texts of any length are counted whole. Columns other than the id and the text are not read,
+whatever their names.
 """
 
 from __future__ import annotations

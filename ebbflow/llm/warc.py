@@ -15,7 +15,8 @@ Spark broadcasts it when its files are small and otherwise sort-merges with skew
 file at ``FILE_BYTES``; files get their name by a move once whole.
 
 Defined results: null html is the empty payload; null page ids and urls are allowed (a null id is never the smallest
-unless all are null). Repeated rows of the smallest id are all responses. Every row becomes a record.
+unless all are null). Repeated rows of the smallest id are all responses. Every row becomes a record, however long its payload. An empty table gives no file and no row.
+Columns other than the id, the url and the html are not read, whatever their names.
 """
 
 from __future__ import annotations
