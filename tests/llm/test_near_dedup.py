@@ -20,6 +20,25 @@ def edits(a, b):
     return row[-1]
 
 
+def test_long_texts_with_few_and_with_many_edits():
+    """Bands that widen, and rows where a band has too many cells, agree with one wide band of rows."""
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(4000)}" for _ in range(6000)]
+    for made in (3, 80, 700, 1190, 1300):
+        other = list(base)
+        for k in range(made):
+            place = rng.randrange(len(other))
+            if k % 3 == 0:
+                other[place] = base[rng.randrange(6000)]
+            elif k % 3 == 1:
+                other.insert(place, "the")
+            else:
+                del other[place]
+        a, b = nd.word_hashes(base), nd.word_hashes(other)
+        most = nd.allowed_edits(len(a), len(b), 0.8)
+        assert nd.hashed_edits(a, b, most) == nd._banded_rows(a, b, most)
+
+
 words = st.lists(st.sampled_from("abcd"), max_size=14)
 
 
