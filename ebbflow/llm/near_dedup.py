@@ -31,7 +31,8 @@ Defined results: ``class_id`` is the smallest document id of the class. Words ar
 space. Documents without a word (null or empty texts) are classes of their own. Null ids are never smallest: such
 documents carry the class id of their class, null if it has no id. Repeated rows share their class. An empty table gives no rows. Columns of ``docs`` other than
 the id and the text are not read, except by ``one_of_each``, which returns them whatever their names. Texts of any length are aligned whole; the
-alignment of two texts of n words takes at most n * n / 5 steps, few when they differ in few places.
+alignment of two texts of n words takes at most n * n / 5 steps, few when they differ in few places; up to ``BIT_WORDS`` words a row is a few operations on long
+integers.
 """
 
 from __future__ import annotations
@@ -59,6 +60,7 @@ HEAD_ROWS = 2048
 SEEN = 100_000
 FEW_EDITS = 24
 BAND_CELLS = 4_000_000
+BIT_WORDS = 20_000
 
 _FACTORS, _SHIFTS = np.random.default_rng(20240501).integers(0, 1 << 32, (2, 512), np.uint64).astype(np.uint32)
 
@@ -156,7 +158,14 @@ def hashed_edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     least = max(int(delta[delta > 0].sum()), int(-delta[delta < 0].sum()))
     if least > most:
         return None
-    band = max(FEW_EDITS, least)  # most links have few edits: the band widens until it holds the alignment
+    band = min(FEW_EDITS, most)
+    if least <= band:  # most links have few edits
+        found = _furthest_reaching(a, b, band)
+        if found is not None or band == most:
+            return found
+    if max(n, m) <= BIT_WORDS:
+        return _bit_rows(a, b, most)
+    band = max(4 * FEW_EDITS, least)  # long texts: the band widens until it holds the alignment
     while True:
         band = min(band, most)
         within = _furthest_reaching if (2 * band + 1) * n <= BAND_CELLS else _banded_rows
@@ -192,6 +201,26 @@ def _furthest_reaching(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     return None
 
 
+def _bit_rows(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """Rows of the edit matrix as differences between neighbours, a bit for each place of a; given up once the last diagonal cannot be reached
+    within the band any more."""
+    n, places = len(a), {}
+    for i, w in enumerate(a.tolist()):
+        places[w] = places.get(w, 0) | (1 << i)
+    mask, last = (1 << n) - 1, 1 << (n - 1)
+    more, less, edits = mask, 0, n  # where the next place of the column has one edit more, one less; edits of all of a so far
+    for left, w in zip(range(len(b) - 1, -1, -1), b.tolist(), strict=True):
+        match = places.get(w, 0)
+        diagonal = (((match & more) + more) ^ more) | match | less
+        up, down = less | (~(diagonal | more) & mask), diagonal & more
+        edits += 1 if up & last else -1 if down & last else 0
+        if edits - left > most:
+            return None
+        up, down = (up << 1 | 1) & mask, (down << 1) & mask
+        more, less = down | (~(diagonal | up) & mask), up & diagonal
+    return edits if edits <= most else None
+
+
 def _banded_rows(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """For many edits: rows of the edit matrix, ``most`` diagonals to either side, given up once a row exceeds ``most``."""
     n, m = len(a), len(b)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -20,8 +21,10 @@ def edits(a, b):
     return row[-1]
 
 
-def test_long_texts_with_few_and_with_many_edits():
+@pytest.mark.parametrize("bit_words", [nd.BIT_WORDS, 100])
+def test_long_texts_with_few_and_with_many_edits(monkeypatch, bit_words):
     """Bands that widen, and rows where a band has too many cells, agree with one wide band of rows."""
+    monkeypatch.setattr(nd, "BIT_WORDS", bit_words)
     rng = random.Random(13)
     base = [f"w{rng.randrange(4000)}" for _ in range(6000)]
     for made in (3, 80, 700, 1190, 1300):
@@ -50,7 +53,7 @@ def test_alignment_is_the_banded_edit_distance(a, b, most):
     x, y = nd.word_hashes(a), nd.word_hashes(b)
     assert nd.hashed_edits(x, y, most) == nd._banded_rows(x, y, most) == (want if want <= most else None)
     if a and b:
-        assert nd._furthest_reaching(x, y, most) == (want if want <= most else None)
+        assert nd._furthest_reaching(x, y, most) == nd._bit_rows(x, y, most) == (want if want <= most else None)
 
 
 @given(words.filter(bool), words.filter(bool))
