@@ -403,7 +403,16 @@ def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame
         y = x if low == high else np.flatnonzero(own == high)
         ok = _within_bounds(n[x], n[y], h[x], h[y], similarity) & (labels[x][:, None] != labels[y][None, :])
         i, j = np.nonzero(ok)
-        return ids[x[i]], ids[y[j]]
+        i, j = x[i], y[j]
+        # of all sketch buckets that a pair shares, that of its first common entry reports it
+        here, entries = part.column("bucket")[0].as_py(), part.column("buckets").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        new = [np.zeros(0, bool)]
+        for at in range(0, len(i), 20_000):
+            one = entries[i[at : at + 20_000]]
+            same = one == entries[j[at : at + 20_000]]
+            new.append(~same.any(axis=1) | (one[np.arange(len(one)), same.argmax(axis=1)] == here))
+        new = np.concatenate(new)
+        return ids[i[new]], ids[j[new]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Groups of (bucket, low, high) follow each other; the last of a batch may go on in the next."""
@@ -426,7 +435,7 @@ def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame
         if held is not None and held.num_rows:
             yield judged([held])
 
-    columns = rows.select("bucket", "low", "high", "own", "id", "label", "n_words", "histogram")
+    columns = rows.select("bucket", "low", "high", "own", "id", "label", "n_words", "histogram", "buckets")
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = columns.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -456,7 +465,7 @@ def near_duplicates(
     labelled = members.select("bucket", "id").join(first, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     labelled = materialize(labelled, "labelled-members")
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
-    left = labelled.join(mixed, "bucket").join(texts.select("id", "n_words", "histogram"), "id")
+    left = labelled.join(mixed, "bucket").join(texts.select("id", "n_words", "histogram", "buckets"), "id")
     # pairs that a star has already judged are not judged again
     more = _cross_pairs(left, similarity, chunk).join(star, ["a", "b"], "left_anti")
     more = _verified(materialize(more, "cross-pairs"), texts, similarity, "cross-links")
