@@ -54,7 +54,7 @@ PICKS = 2
 SKETCHES = 40
 SHORT = 32
 SIMILARITY = 0.8
-BINS = 256
+BINS, MOST_BINS = 256, 8192
 CHUNK = 512
 HEAD_ROWS = 2048
 SEEN = 100_000
@@ -126,11 +126,24 @@ def order_minhash(labelled: np.ndarray, sketches: int = SKETCHES, picks: int = P
     return out
 
 
-def histogram(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """Words per hash bin, at most 255 each (a cap can only lower the bound that is taken from it)."""
+def histogram(hashes: np.ndarray) -> np.ndarray:
+    """Words per hash bin, at most 255 each (a cap can only lower the bound that is taken from it); at least two bins a word."""
+    bins = min(max(BINS, 1 << (2 * len(hashes)).bit_length()), MOST_BINS)
     return np.minimum(np.bincount((hashes % np.uint64(bins)).astype(np.int64), minlength=bins), 255).astype(np.uint8)
 
 
+def folded(counts: np.ndarray, bins: int) -> np.ndarray:
+    """A histogram with fewer bins (a power of two)."""
+    return np.minimum(counts.reshape(-1, bins).sum(axis=0, dtype=np.int64), 255)
+
+
+def least_edits(h: bytes, g: bytes) -> int:
+    """A lower bound of the edits between two texts from their histograms: every edit removes at most one word and adds at most one."""
+    bins = min(len(h), len(g))
+    delta = folded(np.frombuffer(h, np.uint8), bins) - folded(np.frombuffer(g, np.uint8), bins)
+    return max(int(delta[delta > 0].sum()), int(-delta[delta < 0].sum()))
+
+
 def alignment_edits(a: list, b: list, most: int) -> int | None:
     """Word edits between two sequences if at most ``most``, by alignment within that band of diagonals."""
     number: dict = {}
@@ -361,10 +374,12 @@ def _plausible(pairs: DataFrame, texts: DataFrame, similarity: float, name: str)
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 n, m = (part.column(c).to_numpy().astype(np.int64) for c in ("one_n_words", "two_n_words"))
-                h, g = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(len(n), -1).astype(np.int32) for c in ("one_histogram", "two_histogram"))
-                allowed, delta = np.floor((1 - similarity) * np.maximum(n, m) + 1e-9), h - g
-                edits = np.maximum(np.abs(n - m), np.maximum(np.where(delta > 0, delta, 0).sum(1), np.where(delta < 0, -delta, 0).sum(1)))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(edits <= allowed))
+                allowed = np.floor((1 - similarity) * np.maximum(n, m) + 1e-9)
+                keep = np.abs(n - m) <= allowed
+                h, g = (part.column(c).to_pylist() for c in ("one_histogram", "two_histogram"))
+                for i in np.flatnonzero(keep).tolist():
+                    keep[i] = least_edits(h[i], g[i]) <= allowed[i]
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(keep))
 
     return materialize(_meet(pairs, texts, ("n_words", "histogram")).mapInArrow(run, "a bigint, b bigint"), name)
 
@@ -387,17 +402,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, name: str)
     return materialize(found.mapInArrow(run, "a bigint, b bigint"), name)
 
 
-def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame:
-    """Pairs (a, b) of members of a bucket with different labels that the bounds allow, without listing all pairs."""
+def _cross_pairs(members: DataFrame, texts: DataFrame, similarity: float, chunk: int) -> DataFrame:
+    """Pairs (a, b) of members (bucket, id, label) of a bucket with different labels that the bounds allow, without listing all pairs."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     rows = members.join(sizes, "bucket").withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    rows = rows.join(texts.select("id", "n_words", "histogram", "buckets"), "id")  # the wide columns travel once
 
     def pairs(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids, labels, n, own = (part.column(c).to_numpy() for c in ("id", "label", "n_words", "own"))
-        h = np.frombuffer(b"".join(part.column("histogram").to_pylist()), np.uint8).reshape(len(ids), -1)
+        counts = part.column("histogram").to_pylist()
+        h = np.stack([folded(np.frombuffer(c, np.uint8), BINS) for c in counts])
         low, high = part.column("low")[0].as_py(), part.column("high")[0].as_py()
         x = np.flatnonzero(own == low)
         y = x if low == high else np.flatnonzero(own == high)
@@ -411,7 +428,9 @@ def _cross_pairs(members: DataFrame, similarity: float, chunk: int) -> DataFrame
             one = entries[i[at : at + 20_000]]
             same = one == entries[j[at : at + 20_000]]
             new.append(~same.any(axis=1) | (one[np.arange(len(one)), same.argmax(axis=1)] == here))
-        new = np.concatenate(new)
+        new = np.flatnonzero(np.concatenate(new)).tolist()
+        allowed = np.floor((1 - similarity) * np.maximum(n[i], n[j]) + 1e-9)
+        new = [k for k in new if least_edits(counts[i[k]], counts[j[k]]) <= allowed[k]]
         return ids[i[new]], ids[j[new]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,9 +484,9 @@ def near_duplicates(
     labelled = members.select("bucket", "id").join(first, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     labelled = materialize(labelled, "labelled-members")
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
-    left = labelled.join(mixed, "bucket").join(texts.select("id", "n_words", "histogram", "buckets"), "id")
+    left = materialize(labelled.join(mixed, "bucket"), "mixed-members")
     # pairs that a star has already judged are not judged again
-    more = _cross_pairs(left, similarity, chunk).join(star, ["a", "b"], "left_anti")
+    more = _cross_pairs(left, texts, similarity, chunk).join(star, ["a", "b"], "left_anti")
     more = _verified(materialize(more, "cross-pairs"), texts, similarity, "cross-links")
     # these few links join whole components: only their labels are connected anew
     ends = more.join(first.toDF("a", "x"), "a", "left").join(first.toDF("b", "y"), "b", "left")

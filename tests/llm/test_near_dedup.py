@@ -62,6 +62,10 @@ def test_bounds_never_reject_a_link(a, b):
     h, g = (nd.histogram(nd.word_hashes(x)) for x in (a, b))
     ok = nd._within_bounds(np.array([len(a)]), np.array([len(b)]), h[None], g[None], 0.8)[0, 0]
     assert ok or edits(a, b) > nd.allowed_edits(len(a), len(b), 0.8)
+    # longer texts, with finer and with different numbers of bins
+    x, y = (nd.word_hashes(t * 60 + [str(k) for k in range(300)]) for t in (a, b))
+    bound = nd.least_edits(nd.histogram(x).tobytes(), nd.histogram(y).tobytes())
+    assert bound <= nd._banded_rows(x, y, max(len(x), len(y)))
 
 
 def test_sketch_keeps_order_and_occurrences():
