@@ -55,7 +55,7 @@ SKETCHES = 40
 SHORT = 32
 SIMILARITY = 0.8
 BINS, MOST_BINS = 256, 8192
-CHUNK = 512
+CHUNK = 1024
 HEAD_ROWS = 2048
 SEEN = 100_000
 FEW_EDITS = 24
