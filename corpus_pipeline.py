@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbflow.llm import decontaminate, near_dedup, quality, sentencepiece_lattice
-from ebbflow.llm.common import materialize, table
+from ebbflow.llm.common import materialize, small_batches, table
 from ebbflow.llm.queries import tokenizer_path
 
 
@@ -26,7 +26,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents in which a benchmark window occurs go."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    with small_batches(spark):  # whole documents pass through Python: written here, while the batches are small
+        return materialize(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")), "decontaminated")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import bucketed, extended, fresh, materialize, pieces
+from ebbflow.llm.common import bucketed, extended, fresh, materialize, pieces, small_batches
 from ebbflow.llm.components import connected_components
 
 KMER = 2
@@ -58,6 +58,8 @@ BINS, MOST_BINS = 256, 8192
 CHUNK = 1024
 HEAD_ROWS = 2048
 SEEN = 100_000
+#: Words that a worker process keeps the hashes of: it stays for later stages, and a million words take 140 MB.
+HASHED_WORDS = 100_000
 FEW_EDITS = 24
 BAND_CELLS = 4_000_000
 BIT_WORDS = 20_000
@@ -81,7 +83,7 @@ _WORD_HASHES = _WordHashes()
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
-    if len(_WORD_HASHES) > 1_000_000:  # keeps the table bounded
+    if len(_WORD_HASHES) > HASHED_WORDS:  # keeps the table bounded
         _WORD_HASHES.clear()
     return np.fromiter(map(_WORD_HASHES.__getitem__, words), np.uint64, len(words))
 
@@ -471,7 +473,8 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, class_id, class_size (documents) and n_words of every row, its identity (u1, u2) and its class's internal
     label (null for documents without a word)."""
-    texts = distinct_texts(docs, id_col, text_col, sketches, picks)
+    with small_batches(docs.sparkSession):
+        texts = distinct_texts(docs, id_col, text_col, sketches, picks)
     entries = texts.select(F.explode("buckets").alias("bucket"), "id")
     entries = entries.unionByName(_prefix_words(texts, similarity).select(F.xxhash64(F.lit("word"), "word").alias("bucket"), "id"))
     heads = entries.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("tail")).filter("head < tail").select("bucket", "head")
@@ -495,7 +498,8 @@ def near_duplicates(
 
     by_text = texts.select("id", "u1", "u2").join(first, "id", "left").withColumn("label", F.coalesce("label", "id"))
     by_text = by_text.join(merged, "label", "left").withColumn("label", F.coalesce("merged", "label")).drop("merged")
-    rows = materialize(identities(docs, id_col, text_col), "identities")
+    with small_batches(docs.sparkSession):
+        rows = materialize(identities(docs, id_col, text_col), "identities")
     copies = rows.filter("n_words > 0").groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_doc"))
     by_text = materialize(by_text.join(copies, ["u1", "u2"]), "texts-by-class")
     classes = by_text.groupBy("label").agg(F.min("first_doc").alias("class_id"), F.sum("copies").alias("class_size"))

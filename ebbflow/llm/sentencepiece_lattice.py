@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import bucketed, conf, materialize, pieces
+from ebbflow.llm.common import bucketed, conf, materialize, pieces, small_batches
 from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 SPACE = "▁"
@@ -409,7 +409,8 @@ def encode(
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     parts = 4 * max(1, math.ceil(size / block_bytes))  # few blocks share one
-    blocks = pack_documents(docs, id_col, text_col, buckets, block_bytes, model_path, parts)
+    with small_batches(docs.sparkSession):
+        blocks = pack_documents(docs, id_col, text_col, buckets, block_bytes, model_path, parts)
     settings = {
         "spark__sql__objectHashAggregate__sortBased__fallbackThreshold": str(100 * PARTITION_WORDS),  # no sort of the edges
         "spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true",

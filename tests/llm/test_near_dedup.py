@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -222,3 +223,11 @@ def test_query_finds_the_classes_of_short_texts_too(spark):
     rows += [(1_000_000 + i, " ".join(nd.words_of(t)[: 2 + i % 30])) for i, t in rows if i % 2]  # short heads of texts
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"]: r["class_id"] for r in nd.class_report(frame).collect()} == brute_classes(rows)
+
+
+def test_table_of_word_hashes_stays_small():
+    nd._WORD_HASHES.clear()
+    for at in range(0, 300_000, 1000):
+        words = [f"n{i}" for i in range(at, at + 1000)]
+        assert nd.word_hashes(words).tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+        assert len(nd._WORD_HASHES) <= nd.HASHED_WORDS + 1000 <= 201_000

@@ -5,8 +5,9 @@ import random
 import pytest
 
 import corpus_pipeline
+from ebbflow.llm import near_dedup
 from ebbflow.llm import sentencepiece_lattice as sp
-from ebbflow.llm.common import materialize
+from ebbflow.llm.common import BATCH_ROWS, materialize, small_batches
 from ebbflow.llm.queries import tokenizer_path
 from tests.llm.test_decontaminate import brute_hits
 from tests.llm.test_near_dedup import brute_classes
@@ -72,3 +73,44 @@ def test_pipeline_keeps_one_of_each_planted_group(spark, tmp_path, size):
     spark.createDataFrame([(7, " ".join(leak))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got == {0} | {i for i in range(size) if i % 3 == 2 or (i % 3 == 1 and i >= 60)}
+
+
+def test_texts_go_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual, seen = spark.conf.get(key), {}
+
+    def noting(where, name):
+        plain = getattr(where, name)
+
+        def noted(df, *rest):
+            seen[rest[-1]] = int(spark.conf.get(key))
+            return plain(df, *rest)
+
+        monkeypatch.setattr(where, name, noted)
+
+    noting(corpus_pipeline, "materialize")
+    for module in (near_dedup, sp):
+        noting(module, "bucketed")
+    rows = [(i, f"text number {i} with a few words", "en", "s", 1) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    spark.createDataFrame([(1, "text number 7 with")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [r for r in rows if r[0] != 7]
+    near_dedup.near_duplicates(docs.limit(20))
+    sp.encode(docs.limit(20), tokenizer_path("piece_bpe_32k.model"))
+    assert {n: seen[n] for n in ("decontaminated", "distinct_texts", "text_blocks")} == dict.fromkeys(("decontaminated", "distinct_texts", "text_blocks"), BATCH_ROWS)
+    assert spark.conf.get(key) == usual
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        yield from (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+
+    with small_batches(spark):
+        assert max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect()) <= BATCH_ROWS
+    spark.conf.set(key, "7")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.set(key, usual)
