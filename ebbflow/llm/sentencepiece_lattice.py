@@ -137,20 +137,34 @@ def short_words(words: DataFrame, table: DataFrame, longest: int, lowest: float,
     """keys, word_id, word and ``back`` (see ``viterbi``) of words of bounded length. ``words`` should be partitioned by word_id."""
     ends = words.select(*keys, "word_id", "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end"))
     cut = ends.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), "end"))).alias("length"))
+    known = table.select("piece", "score").collect()  # a model file's, of a size that no input changes
+    scores = F.split(F.lit(",".join(map(repr, [lowest, *(r["score"] for r in known)]))), ",").cast("array<double>")  # folded to one array literal
+    table = words.sparkSession.createDataFrame([(r["piece"], i, r["score"]) for i, r in enumerate(known, 1)], "piece string, place int, score double")
     joined = _edges(cut.withColumn("piece", F.substring("word", F.col("end") - F.col("length") + 1, F.col("length"))), table)
-    edge = F.struct("end", F.when(F.col("score").isNull(), 0).otherwise(F.col("length")).alias("length"), F.coalesce("score", F.lit(lowest)).alias("score"))
-    grouped = joined.groupBy(*keys, "word_id", "word").agg(F.collect_list(edge).alias("edges"))
+    # Edges are grouped as one number each (end, length, place of the score): as rows they would take several times the memory and time.
+    packed = F.shiftleft(F.col("end").cast("bigint"), 48) + F.shiftleft(F.col("length").cast("bigint"), 32) + F.coalesce("place", F.lit(0))
+    grouped = joined.groupBy(*keys, "word_id", "word").agg(F.array_sort(F.collect_list(packed)).alias("packed"))
+
+    def edge(e: Column) -> Column:
+        at, length = e.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"), F.shiftright(e, 32).cast("int").bitwiseAND(F.lit(0xFFFF))
+        return F.struct(F.when(at == 0, 0).otherwise(length).alias("length"), F.get(scores, at).alias("score"))
+
+    edges = grouped.select(*keys, "word_id", "word", F.transform("packed", edge).alias("edges"))
+    # where the edges to each place begin: with that of length 1 (0: unknown), which every place has
+    begins = F.filter(F.sequence(F.lit(1), F.size("edges")), lambda i: F.element_at("edges", i)["length"] < 2)
+    edges = edges.select("*", F.concat(begins, F.array(F.size("edges") + 1)).alias("begins"))
 
     def place(bests: Column, end: Column) -> Column:
+        begin = F.element_at("begins", end)
         gains = F.transform(
-            F.filter("edges", lambda e: e["end"] == end),
+            F.slice("edges", begin, F.element_at("begins", end + 1) - begin),
             lambda e: F.struct((F.element_at(bests, -F.greatest(e["length"], F.lit(1)))["gain"] + e["score"]).alias("gain"), e["length"].alias("length")),
         )
         return F.concat(bests, F.array(F.array_max(gains)))
 
     start = F.array(F.struct(F.lit(0.0).alias("gain"), F.lit(0).alias("length")))
     lengths = F.aggregate(F.sequence(F.lit(1), F.length("word")), start, place, lambda b: F.transform(F.slice(b, 2, F.size(b) - 1), lambda x: x["length"]))
-    return grouped.select(*keys, "word_id", "word", lengths.alias("back"))
+    return edges.select(*keys, "word_id", "word", lengths.alias("back"))
 
 
 def lattice(words: DataFrame, table: DataFrame, longest: int, lowest: float, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -335,8 +349,8 @@ def _ids_of_blocks(places: DataFrame, words: DataFrame, buckets: int, model_path
 
     def run(blocks: pa.Table, known: pa.Table) -> pa.Table:
         model = _model(model_path)
-        order = np.argsort(known.column("word_id").to_numpy()).tolist()
-        found = [model.word_ids(known.column("word")[i].as_py(), known.column("back")[i].as_py()) for i in order]
+        known = known.sort_by("word_id")
+        found = list(map(model.word_ids, known.column("word").to_pylist(), known.column("back").to_pylist()))
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
         starts = np.cumsum(lengths) - lengths

@@ -83,3 +83,9 @@ def test_short_and_long_words_fold_alike(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert sp.encoding_report(frame, MODEL).count() == 0
+
+
+def test_edges_are_grouped_as_numbers(spark, capsys):
+    words = spark.createDataFrame([(1, "▁aaaa")], "word_id long, word string")
+    sp.short_words(words, spark.createDataFrame([("a", -1.0)], "piece string, score double"), 3, -50.0).explain()
+    assert "collect_list(struct" not in capsys.readouterr().out
