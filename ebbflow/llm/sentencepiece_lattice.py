@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import bucketed, conf, materialize, pieces, small_batches
+from ebbflow.llm.common import BATCH_ROWS, bucketed, conf, materialize, pieces, small_batches
 from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 SPACE = "▁"
@@ -58,6 +58,7 @@ BLOCK_BYTES = 24_000_000
 BUCKET_BYTES = 32_000_000
 PARTITION_WORDS = 20_000
 CUT_AT_ONCE = 1_000_000
+WORDS_AT_ONCE = 500_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -383,29 +384,45 @@ def _model(path: str) -> Model:
 ENCODED = "doc_id bigint, digest binary, ids array<int>"
 
 
+def document_ids(row: dict, lengths: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each document's ids start (and the last one's end), and the ids of all documents of a block.
+
+    ``lengths``: ids of each of the block's words, by place; ``flat``: these ids. Words are looked up ``WORDS_AT_ONCE`` at a time, so that
+    beyond the words' numbers and the result only tables of the block's distinct words are held."""
+    places, numbers = open_numbers(row["places"]), open_numbers(row["numbers"])
+    # by number instead of place
+    starts, counts = (np.cumsum(lengths, dtype=np.int64) - lengths)[places], lengths.astype(np.int64)[places]
+    stops = np.cumsum(np.array(row["counts"], np.int64))
+    slices = [(a, min(a + WORDS_AT_ONCE, len(numbers))) for a in range(0, len(numbers), WORDS_AT_ONCE)]
+    ids = np.empty(sum(int(counts[numbers[a:b]].sum()) for a, b in slices), np.int32)
+    bounds, done = np.zeros(len(stops) + 1, np.int32), 0
+    for a, b in slices:
+        count = counts[numbers[a:b]]
+        ends = np.cumsum(count) + done
+        mine = np.flatnonzero((stops > a) & (stops <= b))
+        bounds[mine + 1] = ends[stops[mine] - a - 1]
+        ids[done : int(ends[-1])] = flat[_ranges(starts[numbers[a:b]], count)]
+        done = int(ends[-1])
+    return bounds, ids
+
+
 def _assemble(blocks: DataFrame, returned: DataFrame) -> DataFrame:
     def run(docs: pa.Table, buckets: pa.Table) -> pa.Table:
         row = docs.select(["doc_ids", "digests", "counts", "numbers", "places"]).to_pylist()[0]
         order = np.argsort(buckets.column("bucket").to_numpy(), kind="stable").tolist()
         packed = [(buckets.column("lengths")[i].as_py(), buckets.column("ids")[i].as_py()) for i in order]
         empty = [np.zeros(0, np.uint32)]
-        lengths = np.concatenate(empty + [open_numbers(p[0]) for p in packed]).astype(np.int64)
+        lengths = np.concatenate(empty + [open_numbers(p[0]) for p in packed])
         flat = np.concatenate(empty + [open_numbers(p[1]) for p in packed])
-        starts = np.cumsum(lengths) - lengths
-        numbers = open_numbers(row["numbers"])
-        at = open_numbers(row["places"])[numbers] if len(numbers) else numbers
-        count = lengths[at] if len(at) else lengths[:0]
-        ends = np.cumsum(count)
-        ids = flat[_ranges(starts[at], count)].astype(np.int32) if len(at) else np.zeros(0, np.int32)
-        counts = np.array(row["counts"], np.int64)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
-        return pa.table(
+        bounds, ids = document_ids(row, lengths, flat)
+        found = pa.table(
             {
                 "doc_id": pa.array(row["doc_ids"], pa.int64()),
                 "digest": pa.array(row["digests"], pa.binary()),
                 "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
             }
         )
+        return pa.Table.from_batches(found.to_batches(max_chunksize=BATCH_ROWS))
 
     docs = blocks.filter("bucket < 0").select("block", "doc_ids", "digests", "counts", "numbers", "places")
     return docs.groupBy("block").cogroup(returned.groupBy("block")).applyInArrow(run, ENCODED)

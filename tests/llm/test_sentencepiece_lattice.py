@@ -1,10 +1,14 @@
 """Encoding against a plain Viterbi and the tokenizers library; decoding as a round trip."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ebbflow.llm import sentencepiece_lattice as sp
+from ebbflow.llm.packing import pack_numbers
 from ebbflow.llm.queries import op6_sentencepiece, tokenizer_path
 
 MODEL = tokenizer_path("piece_bpe_32k.model")
@@ -85,6 +89,42 @@ def test_empty_table(spark):
     assert sp.encoding_report(frame, MODEL).count() == 0
 
 
+class _Cogrouped:
+    """Stands for grouped frames: keeps the function that writes out a block."""
+
+    def filter(self, *_):
+        return self
+
+    select = groupBy = cogroup = filter
+
+    def applyInArrow(self, run, _):
+        return run
+
+
+def test_writing_out_a_block_takes_little_memory():
+    """Documents of 0 to 20,000 words; beyond the numbers and the ids only slices are held, and no batch has all documents."""
+    rng, words = np.random.default_rng(5), 1000
+    counts = [0, 0, *rng.integers(0, 20_000, 300).tolist(), 0, 600_000, 0, *[0] * 1500]
+    numbers, places = rng.integers(0, words, sum(counts)), rng.permutation(words)
+    lengths = rng.integers(1, 3, words)
+    flat = rng.integers(0, 30_000, lengths.sum())
+    ids = list(range(len(counts)))
+    block = {"doc_ids": [ids], "digests": [[b""] * len(ids)], "counts": [counts], "numbers": [pack_numbers(numbers)], "places": [pack_numbers(places)]}
+    buckets = {"bucket": [0], "lengths": [pack_numbers(lengths)], "ids": [pack_numbers(flat)]}
+    run = sp._assemble(_Cogrouped(), _Cogrouped())
+    tracemalloc.start()
+    found = run(pa.table(block), pa.table(buckets))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    starts = np.cumsum(lengths) - lengths
+    of_word = [flat[starts[p] : starts[p] + lengths[p]].tolist() for p in places]
+    got, at = found.column("ids").to_pylist(), 0
+    for i, n in enumerate(counts):
+        assert got[i] == [x for w in numbers[at : at + n].tolist() for x in of_word[w]]
+        at += n
+    assert peak < 30 * len(numbers) and max(b.num_rows for b in found.to_batches()) <= 1000
+
+
 def test_edges_are_grouped_as_numbers(spark, capsys):
     words = spark.createDataFrame([(1, "▁aaaa")], "word_id long, word string")
     sp.short_words(words, spark.createDataFrame([("a", -1.0)], "piece string, score double"), 3, -50.0).explain()
