@@ -52,7 +52,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import bucketed, conf, materialize, pieces, scratch
+from ebbflow.llm.common import bucketed, conf, materialize, pieces, scratch, small_batches
 from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 K_GT = 5
@@ -62,6 +62,7 @@ WORD_BUCKET_BYTES = 32_000_000
 EVENT_BUCKET = 2_000_000
 HEAVY = 4
 HOT = 1_000_000
+TOKENS_AT_ONCE = 500_000
 BEGIN, END, FIRST_WORD = 0, 1, 2
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -250,56 +251,90 @@ def history_bucket(h: np.ndarray, w: np.ndarray, hot: np.ndarray, buckets: int)
 
 
 def block_events(row: dict, ids: np.ndarray, counts: np.ndarray, level: Unigrams, hot: np.ndarray, buckets: int) -> Iterator[dict]:
-    """Event rows of one block, then its documents with base scores. ``ids``, ``counts``: of the block's words by place."""
+    """Event rows of one block, then its documents with base scores. ``ids``, ``counts``: of the block's words by place.
+
+    Per token only the word's place and its number in bucket order are held; ids and counts are looked up for one bucket or one slice of tokens."""
     sizes = np.array(row["sizes"], np.int64)
-    numbers = open_numbers(row["numbers"])
-    at = open_numbers(row["places"])[numbers] if len(numbers) else numbers
     stops = np.cumsum(sizes + 1)
     starts = stops - sizes - 1
-    total = int(stops[-1])
-    first, last = np.zeros(total, bool), np.zeros(total, bool)
-    first[starts], last[stops - 1] = True, True
-    h, w = np.full(total, BEGIN, np.uint64), np.full(total, END, np.uint64)
-    count = np.full(total, level.documents, np.int64)
-    if len(at):
-        h[~first] = w[~last] = ids[at]
-        count[~last] = counts[at]
-    doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes + 1)
-    held = np.repeat(np.array(row["held"], bool), sizes + 1)
-    bucket = history_bucket(h, w, np.isin(h, hot), buckets)
-    order = np.lexsort((w, h, bucket))  # stable: documents stay in order
-    h, w, doc_in, held, bucket, count_in = h[order], w[order], doc[order], held[order], bucket[order], count[order]
-    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), total], strict=True):
-        h_in, w_in, docs = h[a:b], w[a:b], doc_in[a:b]
+    places = _token_places(row, stops, len(ids))
+    ids, counts = np.append(ids, np.uint64(END)).astype(np.uint64), np.append(counts, level.documents).astype(np.int64)
+
+    def pairs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """History, second word and the second word's place of the tokens ``at``."""
+        place, before = places[at], ids[places[at - 1]]
+        return np.where(before == END, np.uint64(BEGIN), before), ids[place], place  # a document starts after the last one's end
+
+    bucket = np.empty(len(places), np.min_scalar_type(buckets))
+    for a in range(0, len(places), TOKENS_AT_ONCE):
+        h, w, _ = pairs(np.arange(a, min(a + TOKENS_AT_ONCE, len(places))))
+        bucket[a : a + len(h)] = history_bucket(h, w, np.isin(h, hot), buckets)
+    order = np.argsort(bucket, kind="stable").astype(np.min_scalar_type(len(places)))  # documents stay in order
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=bucket.dtype.type(0)))
+    del bucket
+    doc, held = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes + 1), np.array(row["held"], bool)
+    edges = np.unique(np.concatenate([[0], edges, [len(places)]])).tolist()
+    for a, b in itertools.pairwise(edges):
+        at = order[a:b].astype(np.int64)
+        h_in, w_in, place = pairs(at)
+        inner = np.lexsort((w_in, h_in))
+        at, h_in, w_in, place = at[inner], h_in[inner], w_in[inner], place[inner]
+        docs = doc[at]
         new_pair = np.concatenate([[True], (h_in[1:] != h_in[:-1]) | (w_in[1:] != w_in[:-1])])
         new_row = new_pair | np.concatenate([[True], docs[1:] != docs[:-1]])
         pair_at, row_at = np.flatnonzero(new_pair), np.flatnonzero(new_row)
         words, index, local = np.unique(w_in[pair_at], return_index=True, return_inverse=True)
         yield {
-            "hbucket": int(bucket[a]),
+            "hbucket": int(history_bucket(h_in[:1], w_in[:1], np.isin(h_in[:1], hot), buckets)[0]),
             "block": row["block"],
             "words": pack_numbers(words, delta=True),
-            "unigrams": pack_numbers(count_in[a:b][pair_at][index]),
+            "unigrams": pack_numbers(counts[place[pair_at][index]]),
             "pair_h": pack_numbers(h_in[pair_at], delta=True),
             "pair_w": pack_numbers(local),
-            "pair_n": pack_numbers(np.add.reduceat((~held[a:b]).astype(np.int64), pair_at)),
+            "pair_n": pack_numbers(np.add.reduceat((~held[docs]).astype(np.int64), pair_at)),
             "at": pack_numbers((np.cumsum(new_pair) - 1)[row_at].astype(np.uint64), delta=True),
             "doc": pack_numbers(docs[row_at]),
             "times": pack_numbers(np.diff(np.append(row_at, b - a))),
             "n_rows": len(row_at),
         }
+    del order, doc
+    known, base, seen, logs = [], [], (counts > 0).astype(np.int64), level.base(counts)
+    for a, b in _slices(stops, TOKENS_AT_ONCE):
+        place, first = places[starts[a] : stops[b - 1]], starts[a:b] - starts[a]
+        known += np.add.reduceat(seen[place], first).tolist()
+        base += np.add.reduceat(logs[place], first).tolist()
     yield {
         "hbucket": -1 - row["block"] % buckets,
         "block": row["block"],
         "doc_ids": row["doc_ids"],
         "held": row["held"],
         "n_tokens": (sizes + 1).tolist(),
-        "n_known": np.add.reduceat((count > 0).astype(np.int64), starts).tolist(),
-        "base": np.add.reduceat(level.base(count), starts).tolist(),
+        "n_known": known,
+        "base": base,
     }
 
 
+def _token_places(row: dict, stops: np.ndarray, end: int) -> np.ndarray:
+    """The place of every token's word among the block's words; ``end`` for an end token."""
+    places = np.empty(int(stops[-1]), np.uint32)
+    is_end = np.zeros(len(places), bool)
+    is_end[stops - 1] = True
+    places[is_end] = end
+    numbers = open_numbers(row["numbers"])
+    if len(numbers):
+        places[~is_end] = open_numbers(row["places"])[numbers]
+    return places
+
+
+def _slices(stops: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of documents with about ``size`` tokens (one document at least); ``stops``: where each one's tokens end."""
+    a = 0
+    while a < len(stops):
+        b = max(a + 1, int(np.searchsorted(stops, (stops[a - 1] if a else 0) + size, side="right")))
+        yield a, b
+        a = b
+
+
 def _returned(blocks: DataFrame, unigrams: DataFrame) -> DataFrame:
     """block, bucket, and the packed ids and training counts of the block's words in that bucket."""
 
@@ -523,7 +558,8 @@ def _lm_scores(docs, id_col, text_col, block_bytes, word_bucket_bytes, event_buc
     trained = F.crc32(F.encode(key, "utf-8")) % HELD_OUT_MODULUS != HELD_OUT_REMAINDER
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string"))), F.count(F.when(trained, 1))).first()
     word_buckets = max(1, math.ceil((size[0] or 0) / word_bucket_bytes))
-    blocks = pack_documents(docs, id_col, text_col, word_buckets, block_bytes)
+    with small_batches(docs.sparkSession):
+        blocks = pack_documents(docs, id_col, text_col, word_buckets, block_bytes)
     unigrams = unigram_table(blocks, word_buckets)
     level = unigram_level(unigrams, size[1])
     hot = [(r["word_id"], r["n"]) for r in unigrams.filter(F.col("n") >= hot_tokens).select("word_id", "n").collect()]  # at most tokens / hot_tokens

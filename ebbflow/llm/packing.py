@@ -28,11 +28,11 @@ def open_words(data: bytes) -> list[bytes]:
 def pack_numbers(numbers: np.ndarray, delta: bool = False) -> bytes:
     """Unsigned 64-bit numbers below 2**32 take four byte planes, others eight; ``delta`` for ascending ones."""
     kind = "<u8" if len(numbers) and int(numbers.max()) >> 32 else "<u4"
-    values = numbers.astype(kind)
+    values = np.ascontiguousarray(numbers, kind)
     if delta and len(values):
         values = np.diff(values, prepend=values.dtype.type(0))
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
-    return kind[2].encode() + _PACK.compress(planes.tobytes())
+    return kind[2].encode() + _PACK.compress(planes)
 
 
 def open_numbers(data: bytes, delta: bool = False) -> np.ndarray:

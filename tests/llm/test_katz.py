@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -132,3 +133,18 @@ def test_heavy_buckets_are_scored_in_parts(spark):
     rows = [(i, f"x y w{i % 50} x y") for i in range(600)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     check(katz.lm_scores(frame, block_bytes=700, event_bucket=100, hot_tokens=300).collect(), rows, Plain(rows))
+
+
+def test_events_of_a_block_take_little_memory():
+    """Per token a place and numbers in bucket order, not every column of all tokens at once."""
+    block, words = katz._Block(), np.random.default_rng(3).integers(0, 5000, (200, 10_000))
+    for i, row in enumerate(words):
+        block.add(i, " ".join(map(str, row)))
+    row = list(block.rows(0, 1))[-1]
+    ids, counts = np.arange(5000, dtype=np.uint64) + katz.FIRST_WORD, np.full(5000, 400)
+    level = katz.Unigrams(2_000_200, 5001, 200, np.ones(1), 0.01)
+    tracemalloc.start()
+    tokens = sum(e.get("n_rows", 0) for e in katz.block_events(row, ids, counts, level, np.array([katz.FIRST_WORD], np.uint64), 64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 1_900_000 < tokens <= 2_000_200 and peak < 45 * 2_000_200
