@@ -63,6 +63,24 @@ def test_pieces_encode_like_whole_texts(texts):
     assert got == want
 
 
+def test_words_of_many_texts_are_cut_once(monkeypatch):
+    cut, pieces = [], wavelet._PIECES
+
+    class Counting:
+        def findall(self, text):
+            cut.append(text)
+            return pieces.findall(text)
+
+    monkeypatch.setattr(wavelet, "_PIECES", Counting())
+    texts = ["One fish, two fish. Red fish", "", "fish, red fish.\nBlue  fish "] + ["blue fish, red fish. One fish", " two fish"] * 200
+    encoder = wavelet.Encoder(PATH)
+    for _ in range(2):
+        got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+        assert got == [e.ids for e in plain_tokenizer().encode_batch(texts, add_special_tokens=False)]
+    assert sum(map(len, cut)) < sum(map(len, texts)) / 10
+    assert encoder.encode([]) == []
+
+
 def expected(rows):
     t, out, start = plain_tokenizer(), [], 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
