@@ -16,8 +16,8 @@ Files are written below a temporary name and then moved, so a lost executor leav
 from a prefix sum in two steps (within a partition, then over the totals of partitions).
 
 Encoding uses the tokenizers library. Byte-level pre-tokenization never joins characters over certain places (before a
-space that a non-space follows, between a letter and a full stop, ...), so the text is cut there and each distinct
-piece is encoded once per batch or taken from a bounded cache, where each distinct word of a batch is looked up once; tests compare with whole-text encoding. As the library does, a text is first cut at the strings
+space that a non-space follows, between a letter and a full stop, ...). The texts of a batch are cut there together, as places in their bytes, and
+each distinct piece is encoded once per batch or found in a bounded table of earlier pieces; only its distinct pieces become Python objects. Tests compare with whole-text encoding. As the library does, a text is first cut at the strings
 of the file's added tokens, which get their own ids; with ``special_as_text`` special ones are ordinary text instead.
 
 Defined results: null text is the empty text and yields only the end id. Documents with equal ids follow each other in
@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import itertools
 import json
-import operator
 import os
 import re
 import struct
@@ -44,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import file_system, materialize, pieces, read_files, scratch, write_file
+from ebbflow.llm.common import cut_at, distinct_of, file_system, materialize, pieces, ranges, read_files, scratch, write_file
 
 MAGIC = b"WMTOK001"
 SUFFIX = ".wmt"
@@ -52,6 +51,9 @@ SHARD_TOKENS = 1 << 21
 BLOCK_BITS = 4096
 END_ID = 2
 CACHE_PIECES = 2_000_000
+BATCH_BYTES = 4_000_000
+#: Numbers that are parted at once: their places stay near the processor.
+PART = 1 << 16
 _COUNT = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
@@ -68,9 +70,14 @@ class WaveletMatrix:
         for bit in range(max(1, top.bit_length()) - 1, -1, -1):
             one = (now & now.dtype.type(1 << bit)).view(now.dtype) != 0
             planes.append(np.packbits(one))
-            low, high = np.flatnonzero(~one), np.flatnonzero(one)  # places are several times faster than masks, whose bits no one can foresee
-            zeros.append(len(low))
-            now = np.concatenate([now.take(low), now.take(high)])
+            zeros.append(n - int(np.count_nonzero(one)))
+            out, at, after = np.empty_like(now), 0, zeros[-1]
+            for a in range(0, n, PART):  # places are several times faster than masks, whose bits no one can foresee
+                part, ones = now[a : a + PART], one[a : a + PART]
+                low, high = part.take(np.flatnonzero(~ones)), part.take(np.flatnonzero(ones))
+                out[at : at + len(low)], out[after : after + len(high)] = low, high
+                at, after = at + len(low), after + len(high)
+            now = out
         return cls(n, planes, zeros)
 
     def _bit(self, level: int, i: int) -> int:
@@ -139,9 +146,13 @@ class WaveletMatrix:
         now = np.zeros(self.n, np.uint16 if levels <= 16 else np.uint32)
         for level in range(levels - 1, -1, -1):
             one = np.unpackbits(self.planes[level], count=self.n).view(bool)
-            out = np.empty_like(now)
-            out[np.flatnonzero(~one)] = now[: self.zeros[level]]
-            out[np.flatnonzero(one)] = now[self.zeros[level] :] | now.dtype.type(1 << (levels - 1 - level))
+            out, at, after = np.empty_like(now), 0, self.zeros[level]
+            now[after:] |= now.dtype.type(1 << (levels - 1 - level))
+            for a in range(0, self.n, PART):
+                part, ones = out[a : a + PART], one[a : a + PART]
+                low, high = np.flatnonzero(~ones), np.flatnonzero(ones)
+                part[low], part[high] = now[at : at + len(low)], now[after : after + len(high)]
+                at, after = at + len(low), after + len(high)
             now = out
         return now
 
@@ -189,10 +200,62 @@ def from_bytes(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
 
 
 #: Pieces between which byte-level pre-tokenization always cuts: a word of plain letters with its space, a full stop or
-#: comma after it, a single line end, or else everything up to the next space before a non-space.
+#: comma after it, a single line end, or else everything up to the next space before a non-space. For texts with added tokens; ``cuts`` is for all others.
 _PIECES = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ .,\n]|\Z)|[.,](?= \S|\n|\Z)|\n(?=\S)|.+?(?= \S|\Z)", re.S)
-#: A space that is no place to cut, as white space or the end follows; texts without one are cut at every space.
-_UNCUT = re.compile(r" (?:\s|\Z)")
+
+_LETTER, _MARK, _SPACE, _LINE, _VISIBLE, _HIGH = (np.uint8(1 << i) for i in range(6))
+#: Kinds of a byte: letter, punctuation, space, line end, anything visible in ASCII, first byte of a longer character.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[0x21:0x7F] = _MARK | _VISIBLE
+_KINDS[0x30:0x3A] = _VISIBLE
+_KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER | _VISIBLE
+_KINDS[0x20], _KINDS[0x0A], _KINDS[0xC2:] = _SPACE, _LINE, _HIGH
+#: White space (or what some tables take for it) beyond ASCII, as its first three bytes (two and 0).
+_WIDE_SPACES = np.array(
+    [0xC28500, 0xC2A000, 0xE19A80, 0xE1A08E, *range(0xE28080, 0xE28090), 0xE280A8, 0xE280A9, 0xE280AF, *range(0xE2819F, 0xE281A5), 0xE38080], np.uint32
+)
+
+
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where UTF-8 texts that follow each other, each beginning at one of ``starts``, can be cut: the starts and the places between
+
+    * anything and a space that a non-space follows,
+    * a letter and punctuation, or something visible and a line end,
+    * a single line end and a non-space.
+
+    Byte-level pre-tokenization has a limit at each of them, whatever is left of the first piece or right of the second."""
+    n = len(data)
+    found = np.zeros(n + 1, bool)
+    if n:
+        kinds = _KINDS[data]
+        solid = (kinds & (_VISIBLE | _HIGH)) != 0  # begins a non-space
+        wide = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+        if len(wide):
+            first, second, third = (data[np.minimum(wide + i, n - 1)].astype(np.uint32) for i in range(3))
+            solid[wide[np.isin(first << 16 | second << 8 | np.where(first == 0xC2, 0, third), _WIDE_SPACES)]] = False
+        letter, mark, space, line, visible = ((kinds & k) != 0 for k in (_LETTER, _MARK, _SPACE, _LINE, _VISIBLE))
+        # the last byte of a Latin letter with an accent
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        visible |= letter
+        inner = found[1:n]
+        inner |= letter[:-1] & mark[1:]
+        inner |= visible[:-1] & line[1:]
+        found[: n - 1] |= space[:-1] & solid[1:]
+        last = starts[1:][starts[1:] > 0] - 1
+        found[last[space[last]]] = False  # what follows is in another text
+        found[2:n] |= visible[: n - 2] & line[1 : n - 1] & solid[2:]
+    found[starts] = True
+    return np.flatnonzero(found[:n])
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a large_string or large_binary column without nulls, and where each row begins (and the last one ends)."""
+    _, offsets, values = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(values, np.uint8)[offsets[0] : offsets[-1]] if values is not None and offsets[-1] else np.zeros(0, np.uint8)
+    return data, offsets - offsets[0]
+
+
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -214,7 +277,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for piece, i in vocabulary.items() if piece.startswith("Ġ")]] = True
-        self.cache: dict[str, bytes] = {}
+        self._forget()
 
     @classmethod
     def of(cls, path: str, special_as_text: bool = False) -> Encoder:
@@ -231,72 +294,71 @@ class Encoder:
             return [text]
         return [p for k, part in enumerate(self.added.split(text)) for p in ([part] if k % 2 else _PIECES.findall(part))]
 
-    def _learn(self, new: list[str]) -> None:
+    def _forget(self) -> None:
+        """The table of pieces: the place of each, where the ids of each place begin (and the last one's end), and these ids."""
+        self.known: dict[bytes, int] = {}
+        self.begins, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Add pieces to the table."""
+        pieces = [u.decode() for u in new]
         # Pieces that begin with their only space are encoded in one go: each starts at an id that begins with a space.
-        spaced = [u for u in new if len(u) > 1 and u[0] == " " and u.count(" ") == 1]
-        if spaced:
-            ids = np.array(self._ids("".join(spaced)), "<u4")
-            at = np.flatnonzero(self.spaced[ids])
-            if len(at) == len(spaced):
-                ends = [*(at[1:] * 4).tolist(), len(ids) * 4]
-                data, start = ids.tobytes(), 0
-                for piece, end in zip(spaced, ends, strict=True):
-                    self.cache[piece] = data[start:end]
-                    start = end
-        rest = [u for u in new if u not in self.cache]
-        for piece, out in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.cache[piece] = np.array(out.ids, "<u4").tobytes()
+        spaced = [len(u) > 1 and u[0] == " " and u.count(" ") == 1 for u in pieces]
+        ids = np.array(self._ids("".join(itertools.compress(pieces, spaced))), np.uint32)
+        at = np.flatnonzero(self.spaced[ids])
+        if len(at) != sum(spaced):
+            ids, at, spaced = ids[:0], at[:0], [False] * len(pieces)
+        others = [not s for s in spaced]
+        apart = [out.ids for out in self.tokenizer.encode_batch_fast(list(itertools.compress(pieces, others)), add_special_tokens=False)]
+        counts = np.concatenate([np.diff(at, append=len(ids)), np.fromiter(map(len, apart), np.int64, len(apart))])
+        self.known.update(zip([*itertools.compress(new, spaced), *itertools.compress(new, others)], itertools.count(len(self.known))))
+        self.flat = np.concatenate([self.flat, ids, np.fromiter(itertools.chain.from_iterable(apart), np.uint32)])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(counts)])
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Place in the table of each of the pieces, which are looked up, or else encoded, once if they are equal."""
+        at, distinct = distinct_of(pieces)
+        place = np.fromiter(map(self.known.get, distinct, itertools.repeat(-1)), np.int32, len(distinct))
+        new = np.flatnonzero(place < 0)
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self._forget()
+            new = np.arange(len(distinct))
+        if len(new):
+            words = [distinct[i] for i in new.tolist()]
+            self._learn(words)
+            place[new] = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
+        return place[at]
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (a large_string column without nulls), and where those of each text end."""
+        odd = np.zeros(len(texts), bool)  # has added tokens
+        for content in [*self.plain, *self.others]:
+            odd |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        data, offsets = _bytes_of(texts.filter(pa.array(~odd)) if odd.any() else texts)
+        starts = cuts(data, offsets[:-1][np.diff(offsets) > 0])
+        pieces, counts = cut_at(data, starts), np.zeros(len(texts), np.int64)
+        counts[~odd] = np.diff(np.searchsorted(starts, offsets))
+        apart = [self._cut(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        if apart:
+            counts[odd] = [len(c) for c in apart]
+            pieces = pa.concat_arrays([pieces, pa.array(itertools.chain.from_iterable(apart), pa.large_string()).cast(pa.large_binary())])
+        place = self._places(pieces)
+        if apart:  # back to the order of the texts
+            order = np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])
+            begins = np.empty(len(texts), np.int64)
+            begins[order] = np.cumsum(counts[order]) - counts[order]
+            place = place[ranges(begins, counts)]
+        n = np.diff(self.begins).astype(np.int32)[place]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(n, dtype=np.int64)])
+        return self.flat[ranges(self.begins[place], n)], ends[np.cumsum(counts)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text. Each distinct word of the texts is looked up once, with the space before it."""
-        odd = [bool(_UNCUT.search(t) or (self.added and self.added.search(t))) for t in texts]
-        split = pc.split_pattern(pa.array(itertools.compress(texts, map(operator.not_, odd)), pa.large_string()), " ")
-        words, bounds = split.flatten(), split.offsets.to_numpy()
-        first = np.zeros(len(words), bool)  # has no space before it
-        first[bounds[:-1]] = True
-        later, spaced = _distinct(words.filter(pa.array(~first)))
-        starts, unspaced = _distinct(words.filter(pa.array(first)))
-        place = np.empty(len(words), np.int32)
-        place[~first], place[first] = later, starts + len(spaced)
-        found = self._lookup([*map(" ".__add__, spaced), *unspaced], list(itertools.compress(texts, odd)))
-
-        whole = iter(found[len(spaced) + len(unspaced) :])
-        found = found[: len(spaced) + len(unspaced)]
-        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
-        n = sizes[place]
-        ends = np.cumsum(n, dtype=np.int32)
-        before = (np.cumsum(sizes, dtype=np.int32) - sizes)[place] - (ends - n)
-        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(before, n) + np.arange(n.sum(), dtype=np.int32)].tobytes()
-        ends = np.concatenate([np.zeros(1, np.int64), ends])[bounds] * 4
-        cut = (ids[a:b] for a, b in itertools.pairwise(ends.tolist()))
-        return [next(whole if o else cut) for o in odd]
-
-    def _lookup(self, words: list[str], texts: list[str]) -> list[bytes]:
-        """Ids of each of the words (strings without added tokens) and texts."""
-        found = [*map(self.cache.get, words), *itertools.repeat(None, len(texts))]
-        missing = [i for i, f in enumerate(found) if f is None]
-        cut = [_PIECES.findall(words[i]) if i < len(words) else self._cut(texts[i - len(words)]) for i in missing]
-        new = set(itertools.chain.from_iterable(cut)).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_PIECES:
-            self.cache.clear()
-            new = set(itertools.chain.from_iterable(cut))
-        if new:
-            self._learn(list(new))
-        known = self.cache.__getitem__
-        for i, c in zip(missing, cut, strict=True):
-            found[i] = b"".join(map(known, c))
-            if len(c) == 2 and i < len(words) and len(self.cache) < CACHE_PIECES // 2:  # mostly a word and its full stop or comma
-                self.cache[words[i]] = found[i]
-        return found
-
-
-def _distinct(words: pa.Array) -> tuple[np.ndarray, list[str]]:
-    """Place of each word in the list of the distinct words, and that list."""
-    coded = words.dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        """Little-endian unsigned 32-bit ids of each text."""
+        ids, ends = self.encode_all(pa.array(texts, pa.large_string()))
+        return [ids[a:b].astype("<u4").tobytes() for a, b in itertools.pairwise([0, *ends.tolist()])]
 
 
 def write_shards(
@@ -313,27 +375,28 @@ def write_shards(
     part and shard (in document order), documents, tokens."""
     ordered = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    end = struct.pack("<I", end_id)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = Encoder.of(tokenizer, special_as_text), TaskContext.get().partitionId()
         names, data, held, shard = [], [], 0, 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(data), "<u4")
-            write_file(uri, f"part-{part:07d}-{shard:07d}{SUFFIX}", to_bytes(names, [len(d) // 4 for d in data], ids))
+            ids = np.concatenate(data)
+            write_file(uri, f"part-{part:07d}-{shard:07d}{SUFFIX}", to_bytes(names, [len(d) for d in data], ids))
             return pa.RecordBatch.from_pydict({"part": [part], "shard": [shard], "n_docs": [len(names)], "n_tokens": [len(ids)]}, schema=INDEX_ARROW)
 
-        for batch in pieces(batches, "text", 2_000_000):
-            ids = batch.column("doc_id").to_pylist()
-            for doc_id, encoded in zip(ids, encoder.encode(batch.column("text").to_pylist()), strict=True):
-                size = len(encoded) // 4 + 1
-                if data and held + size > shard_tokens:
+        for batch in pieces(batches, "text", BATCH_BYTES):
+            ids, ends = encoder.encode_all(batch.column("text").cast(pa.large_string()))
+            ends += np.arange(1, len(ends) + 1)  # each has the end id too
+            ended, inner = np.full(len(ids) + len(ends), end_id, np.uint32), np.ones(len(ids) + len(ends), bool)
+            inner[ends - 1] = False
+            ended[inner] = ids
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), [0, *ends.tolist()], ends.tolist(), strict=False):
+                if data and held + b - a > shard_tokens:
                     yield close()
                     names, data, held, shard = [], [], 0, shard + 1
                 names.append(doc_id)
-                data.append(encoded + end)
-                held += size
+                data.append(ended[a:b])
+                held += b - a
         if data:
             yield close()
 

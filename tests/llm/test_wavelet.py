@@ -81,6 +81,26 @@ def test_words_of_many_texts_are_cut_once(monkeypatch):
     assert encoder.encode([]) == []
 
 
+def test_a_word_meets_the_library_once_whatever_follows_it():
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.sent = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.sent += sum(map(len, texts))
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    words = [f"{a}{b}{c}" for a in ("fis", "été", "Stra") for b in "abcdeé" for c in ("ß", "ing", "ö")]
+    texts = [" ".join(["x", *(w + mark for w in words)]) for mark in ("", ".", ",", "!!", "***", "'s", ";\u2003", "\n", "\n\n", ":\n")]
+    want = [e.ids for e in plain_tokenizer().encode_batch(texts, add_special_tokens=False)]
+    encoder = wavelet.Encoder(PATH)
+    encoder.tokenizer = counting = Counting(encoder.tokenizer)
+    for piece in (texts[:4], texts, texts[::-1]):
+        got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(piece)]
+        assert got == [want[texts.index(t)] for t in piece]
+    assert counting.sent < 2 * len(texts[0])
+
+
 def expected(rows):
     t, out, start = plain_tokenizer(), [], 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
