@@ -13,7 +13,7 @@ A word of more than ``SHORT_WORD`` characters is cut into stretches of ``STRETCH
 then start, and the fold over stretches is nested, so a word of any length costs linear time.
 
 Texts are cut into words where the lattice can have no edge: between two characters that no piece has next to each other, such as a letter and the space
-(U+2581) or the full stop after it. Each word is segmented by itself with the same result.
+(U+2581) or the full stop after it. The texts of a batch are cut together, as places in their bytes. Each word is segmented by itself with the same result.
 
 Unknown characters become their UTF-8 bytes (byte pieces). Unknown, control and byte pieces never match text, as in
 SentencePiece.
@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import BATCH_ROWS, bucketed, conf, materialize, pieces, small_batches
+from ebbflow.llm.common import BATCH_ROWS, bucketed, conf, cut_at, distinct_of, materialize, pieces, ranges, small_batches
 from ebbflow.llm.packing import arrange, open_numbers, open_words, pack_numbers, pack_words
 
 SPACE = "▁"
@@ -91,15 +91,29 @@ class Model:
         for a, b in self.pairs:
             self.joined[self.kinds[ord(a)], self.kinds[ord(b)]] = True
 
-    def parts(self, text: str) -> list[str]:
-        """The text cut between characters that no piece has next to each other."""
-        cuts = [0]
+    def words(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The texts cut between characters that no piece has next to each other, as a column of UTF-8 bytes, and the number of words of each."""
+        text = "".join(texts)
+        limits = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        found, where, size = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 0  # places in the text, and in its bytes
         for start in range(0, len(text), CUT_AT_ONCE):
             codes = np.frombuffer(text[start : start + CUT_AT_ONCE + 1].encode("utf-32-le", "surrogatepass"), "<u4")
             kinds = self.kinds[codes]
-            cuts += (np.flatnonzero(~self.joined[kinds[:-1], kinds[1:]]) + (start + 1)).tolist()
-        cuts.append(len(text))
-        return [text[a:b] for a, b in itertools.pairwise(cuts)] if text else []
+            cut = ~self.joined.take(kinds[:-1] * self.joined.shape[1] + kinds[1:])
+            inside = limits[np.searchsorted(limits, start, "right") : np.searchsorted(limits, start + len(cut), "right")]
+            cut[inside - (start + 1)] = True
+            after = np.flatnonzero(cut) + 1
+            codes = codes[:CUT_AT_ONCE]
+            widths = np.ones(len(codes), np.uint8)
+            for least in (0x80, 0x800, 0x10000):
+                widths += codes >= least
+            ends = np.cumsum(widths, dtype=np.int64)
+            found.append(after + start)
+            where.append(ends[after - 1] + size)
+            size += int(ends[-1])
+        starts = np.concatenate(found)[: None if text else 0]
+        counts = np.diff(np.searchsorted(starts, limits), prepend=0)
+        return cut_at(text.encode("utf-8", "surrogatepass"), np.concatenate(where)[: len(starts)]), counts
 
     def unknown_ids(self, character: str) -> list[int]:
         found = [self.bytes.get(b) for b in character.encode("utf-8", "surrogatepass")]
@@ -257,22 +271,24 @@ class _Block:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.index: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.index: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
         self.ids, self.digests, self.counts, self.numbers, self.size = [], [], [], [], 0
 
-    def add(self, doc_id: int | None, text: str) -> None:
-        words = self.model.parts(normalise(text))
-        numbers = np.fromiter(map(self.index.__getitem__, words), np.uint32, len(words))
-        self.numbers.append(numbers)
-        self.ids.append(doc_id)
-        raw = text.encode("utf-8", "surrogatepass")
-        self.digests.append(hashlib.md5(raw).digest())
-        self.counts.append(len(numbers))
-        self.size += len(raw)
+    def add(self, doc_ids: list[int | None], texts: list[str]) -> None:
+        """The documents of a batch: they are cut together, and each distinct word of theirs is looked up once."""
+        words, counts = self.model.words(list(map(normalise, texts)))
+        places, distinct = distinct_of(words)
+        self.numbers.append(np.fromiter(map(self.index.__getitem__, distinct), np.uint32, len(distinct))[places])
+        self.ids += doc_ids
+        self.counts += counts.tolist()
+        for text in texts:
+            raw = text.encode("utf-8", "surrogatepass")
+            self.digests.append(hashlib.md5(raw).digest())
+            self.size += len(raw)
 
     def rows(self, block: int, buckets: int) -> Iterator[dict]:
         """A row per bucket with its words, then the row of the documents."""
-        words = [w.encode("utf-8", "surrogatepass") for w in self.index]
+        words = list(self.index)
         groups, numbers, places = arrange(words, self.numbers, buckets)
         for bucket, group in groups:
             yield {"block": block, "bucket": bucket, "words": pack_words([words[i] for i in group])}
@@ -294,8 +310,7 @@ def pack_documents(docs: DataFrame, id_col: str, text_col: str, buckets: int, bl
         part, number, model = TaskContext.get().partitionId(), 0, _model(model_path)
         block = _Block(model)
         for batch in pieces(batches, "text", 2_000_000):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                block.add(doc_id, text)
+            block.add(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
             if block.size >= block_bytes:
                 yield from (pa.RecordBatch.from_pylist([r], schema=_BLOCKS_ARROW) for r in block.rows(part << 24 | number, buckets))
                 number, block = number + 1, _Block(model)
@@ -358,7 +373,7 @@ def _ids_of_blocks(places: DataFrame, words: DataFrame, buckets: int, model_path
         rows = []
         for block, bucket, packed in zip(*(blocks.column(c).to_pylist() for c in ("block", "bucket", "places")), strict=True):
             at = open_numbers(packed, delta=True)
-            ids = flat[_ranges(starts[at], lengths[at])]
+            ids = flat[ranges(starts[at], lengths[at])]
             rows.append({"block": block, "bucket": bucket, "lengths": pack_numbers(lengths[at].astype(np.uint32)), "ids": pack_numbers(ids)})
         return pa.Table.from_pylist(rows, schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("ids", pa.binary())]))
 
@@ -366,12 +381,6 @@ def _ids_of_blocks(places: DataFrame, words: DataFrame, buckets: int, model_path
     return places.repartition(buckets, "bucket").groupBy("bucket").cogroup(known).applyInArrow(run, "block bigint, bucket int, lengths binary, ids binary")
 
 
-def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """starts[0], starts[0] + 1, ... (counts[0] numbers), starts[1], ..."""
-    ends = np.cumsum(counts)
-    return np.repeat(starts - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
-
-
 _MODELS: dict[str, Model] = {}
 
 
@@ -401,7 +410,7 @@ def document_ids(row: dict, lengths: np.ndarray, flat: np.ndarray) -> tuple[np.n
         ends = np.cumsum(count) + done
         mine = np.flatnonzero((stops > a) & (stops <= b))
         bounds[mine + 1] = ends[stops[mine] - a - 1]
-        ids[done : int(ends[-1])] = flat[_ranges(starts[numbers[a:b]], count)]
+        ids[done : int(ends[-1])] = flat[ranges(starts[numbers[a:b]], count)]
         done = int(ends[-1])
     return bounds, ids
 

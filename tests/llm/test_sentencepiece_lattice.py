@@ -129,3 +129,32 @@ def test_edges_are_grouped_as_numbers(spark, capsys):
     words = spark.createDataFrame([(1, "▁aaaa")], "word_id long, word string")
     sp.short_words(words, spark.createDataFrame([("a", -1.0)], "piece string, score double"), 3, -50.0).explain()
     assert "collect_list(struct" not in capsys.readouterr().out
+
+
+def test_texts_of_a_batch_are_cut_together_and_each_word_is_looked_up_once(monkeypatch):
+    rng, model = random.Random(8), sp.Model(MODEL)
+    for at_once in (1, 2, 7, 1_000_000):
+        monkeypatch.setattr(sp, "CUT_AT_ONCE", at_once)
+        for _ in range(40):
+            texts = [sp.normalise("".join(rng.choice("ab é.,▁梦\U0001f642\nß_=the") for _ in range(rng.choice([0, 1, 2, 30])))) for _ in range(rng.randrange(6))]
+            words, counts = model.words(texts)
+            want = []
+            for text in texts:
+                cut = [0, *(i for i in range(1, len(text)) if (text[i - 1], text[i]) not in model.pairs), len(text)]
+                want.append([text[a:b] for a, b in zip(cut, cut[1:], strict=False) if a < b])
+            assert counts.tolist() == list(map(len, want)) and [w.as_py().decode() for w in words] == sum(want, [])
+
+    looked = []
+
+    class Index(dict):
+        def __getitem__(self, word):
+            looked.append(word)
+            return self.setdefault(word, len(self))
+
+    block = sp._Block(model)
+    block.index = Index()
+    for _ in range(2):
+        block.add([1, None, 2], ["one fish, two fish. red fish. " * 50, "", "blue fish, red fish"])
+    assert len(looked) == 2 * len(block.index) == 2 * len({*looked})
+    numbers = np.concatenate(block.numbers).tolist()
+    assert sum(block.counts) == len(numbers) and b"".join(list(block.index)[n] for n in numbers[: block.counts[0]]).decode() == sp.normalise("one fish, two fish. red fish. " * 50)
