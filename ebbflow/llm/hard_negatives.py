@@ -165,6 +165,19 @@ def _far_apart(points: np.ndarray, k: int) -> np.ndarray:
     return candidates[chosen]
 
 
+def _sampled(rows: DataFrame, n: int, sample: int) -> np.ndarray:
+    """The vectors of the ``sample`` rows with the least random numbers, of at most n rows. An ordered limit alone sends up to ``sample`` rows of every task to the
+    driver; so only numbers below a share that leaves a few more than ``sample`` rows are sent. If less than n rows are there (those of one dimension), the share grows."""
+    most = sample + 8 * math.sqrt(sample) + 64  # eight standard deviations more
+    share = most / n
+    while True:
+        drawn = rows.select("vector", F.rand(7).alias("k")).filter(F.col("k") < share)
+        picked = drawn.orderBy("k").limit(sample).select("vector").collect()
+        if len(picked) >= sample or share >= 1:
+            return np.array([r["vector"] for r in picked], np.int64)
+        share *= most / max(1, len(picked))
+
+
 def _pack(vectors: np.ndarray) -> bytes:
     """Whole numbers of two bytes each where they fit, else four."""
     small = not vectors.size or max(int(vectors.max()), -int(vectors.min())) < 1 << 15
@@ -194,9 +207,8 @@ def build_index(rows: DataFrame, leaf_rows: int = LEAF_ROWS, fanout: int = FANOU
         raise ValueError("vectors are too long for exact scores")
     d, radius2 = found["d"], int(found["norm"])
     rows = rows.filter(F.size("vector") == d)
-    picked = rows.select("vector", F.rand(7).alias("k")).orderBy("k").limit(sample).select("vector").collect()
     leaves = max(1, min(MAX_LEAVES, round(found["n"] / leaf_rows)))
-    tree = grow(np.array([r["vector"] for r in picked], np.int64), radius2, leaves, fanout)
+    tree = grow(_sampled(rows, found["n"], sample), radius2, leaves, fanout)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -343,7 +355,8 @@ def _candidates(requests: DataFrame, index: Index, same_label: bool, k: int, own
                 yield _best(scores, np.array(anchor), pa.array(ids, pa.int64()), lows, highs, k)
 
     visits = _blocks(requests, index, own_leaf, block)
-    joined = index.chunks.select("leaf", "chunk", "ids", "labels", "vectors").join(visits, F.col("leaf") == F.col("at_leaf"))
+    # Spark takes the visits for as small as the requests, a row for each leaf met, and would broadcast them through the driver
+    joined = index.chunks.select("leaf", "chunk", "ids", "labels", "vectors").join(visits.hint("merge"), F.col("leaf") == F.col("at_leaf"))
     pairs = joined.select("chunk", "ids", F.col("labels"), "vectors", "anchor", "label", "vector", "lows", "highs")
     with conf(index.chunks.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(PAIRS_AT_ONCE)):
         return materialize(pairs.mapInArrow(run, "anchor bigint, window int, score bigint, id bigint"), name)

@@ -2,12 +2,14 @@
 
 import math
 import random
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ebbflow.llm import hard_negatives as hn
+from ebbflow.llm.common import conf
 from ebbflow.llm.queries import op12_hard_negatives
 from ebbflow.llm.vector_codes import scaled_vectors
 
@@ -98,3 +100,41 @@ def test_edge_rows(spark):
     assert hn.negatives_report(frame.filter("label = 1 AND vec_id % 7 > 0")).count() == 0  # no row of another label
     with pytest.raises(Exception, match="component|too long"):
         hn.negatives_report(spark.createDataFrame([(1, [1e30, 1.0], 1)], "vec_id long, embedding array<double>, label int")).collect()
+
+
+@contextmanager
+def results_of_at_most(spark, size):
+    """Within it, a job whose tasks send more than ``size`` to the driver fails."""
+    settings, key = spark.sparkContext._jsc.sc().conf(), "spark.driver.maxResultSize"
+    before = settings.get(key, "1g")
+    settings.set(key, size)
+    try:
+        yield
+    finally:
+        settings.set(key, before)
+
+
+def directions(n, d, step=1):
+    values = np.random.default_rng(5).normal(size=(n, d))
+    return [(i * step, v.tolist(), i % 4) for i, v in enumerate(values / np.linalg.norm(values, axis=1, keepdims=True))]
+
+
+def test_the_sample_does_not_come_to_the_driver_from_every_task(spark):
+    frame = spark.createDataFrame(directions(8000, 64), "vec_id long, embedding array<double>, label int").repartition(40)
+    kept = scaled_vectors(frame, {"id": "vec_id", "label": "label"}, "embedding").withColumn("anchor", F.lit(False))
+    with results_of_at_most(spark, "2m"):
+        index = hn.build_index(kept, leaf_rows=100, sample=256)
+    assert len(index.tree.paths) > 50
+    least = kept.select("vector", F.rand(7).alias("k")).orderBy("k").limit(256).collect()
+    for n in (8000, 100 * 8000, 1):  # as many rows as said, a hundredth of them, more
+        assert hn._sampled(kept, n, 256).tolist() == [r["vector"] for r in least]
+    assert len(hn._sampled(kept.filter("id < 90"), 8000, 256)) == 90
+
+
+def test_visits_are_not_broadcast(spark):
+    """The vectors are too large to be broadcast, the requests are not."""
+    rows = directions(3000, 64, step=10)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    with results_of_at_most(spark, "1m"), conf(spark, spark__sql__autoBroadcastJoinThreshold="200k"):
+        got = result(hn.negatives_report(frame, leaf_rows=15, fanout=4, sample=256))
+    assert got == sorted(brute(rows), key=str) and len(got) > 5000
