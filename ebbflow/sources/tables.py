@@ -161,7 +161,7 @@ class FlowTables:
         if not loads:
             return -1
         rows = day_totals(day_nets(self.deltas())).hint("rebalance", "date").sortWithinPartitions("date", "station_id")
-        rows.write.mode("overwrite").partitionBy("date").parquet(self.path(TOTALS, f"load={loads[-1]}"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(self.path(TOTALS, f"load={loads[-1]}"))
         for name in (TOTALS, CHANGES):
             for n in self._numbers(name, finished=False):
                 if n < loads[-1] or (name == CHANGES and n == loads[-1]):

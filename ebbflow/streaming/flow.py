@@ -143,11 +143,12 @@ class FlowStreamSink:
         if last <= base:
             return base
         by_day = with_day(self.deltas()).hint("rebalance", "date")
-        by_day.write.mode("overwrite").partitionBy("date").parquet(f"{self.base_path}/deltas/upto={last}")
+        # each base has folders of its own; a session's dynamic overwrite would leave them without _SUCCESS, so unfinished
+        by_day.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(f"{self.base_path}/deltas/upto={last}")
         self.pairs().write.mode("overwrite").parquet(f"{self.base_path}/pairs/upto={last}")
         folded = self.spark.read.schema(BASE_DELTAS).parquet(f"{self.base_path}/deltas/upto={last}")
         days = day_totals(day_nets(folded)).hint("rebalance", "date")
-        days.write.mode("overwrite").partitionBy("date").parquet(f"{self.base_path}/days/upto={last}")  # makes the base current
+        days.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(f"{self.base_path}/days/upto={last}")  # makes the base current
         for kind in ("deltas", "pairs", "days"):
             for n in self._numbers(f"{self.base_path}/{kind}"):
                 if n < last:

@@ -50,3 +50,16 @@ def test_open_balances_with_a_late_hour(spark, tmp_dir):
     plan = sink.open_balances()._jdf.queryExecution().toString()
     assert "dynamicpruning" in plan.lower() or "LeftSemi" in plan
     assert sink.compact() == 2 and dict(rows(sink.balances(), "hour", "balance")) == every
+
+
+def test_compaction_in_a_session_with_dynamic_overwrite(spark, tmp_dir):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        sink = FlowStreamSink(spark, os.path.join(tmp_dir, "s"))
+        sink.write_batch(leaving(spark, "2024-01-01 20:00:00", "2024-01-02 08:00:00"), 0)
+        assert sink.compact() == 0 and sink.compact() == 0
+        assert dict(rows(sink.deltas(), "hour", "delta_total")) == {"2024-01-01 20:00:00": -1, "2024-01-02 08:00:00": -1}
+    finally:
+        spark.conf.set(key, usual)
